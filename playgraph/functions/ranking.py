@@ -26,25 +26,37 @@ def dense_position(
     key: str,
     out: str = "pos",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
+    size: str | None = None,
 ) -> DataFrame:
-    """Add ``out``: 0-based position of ``key`` (ascending, unique per group)."""
+    """Add ``out``: 0-based position of ``key`` (ascending, unique per group),
+    and with ``size`` also the group's row count.
+
+    One shuffle of the data on (group, bucket): the per-bucket counts are the
+    largest in-bucket row number, aggregated on the already clustered rows
+    (no second scan of ``df``); only the small prefix table moves again.
+    """
     bucket = "__pg_bucket"
+    rn = "__pg_rn"
     withb = df.withColumn(bucket, F.floor(F.col(key) / F.lit(bucket_width)))
-    counts = withb.groupBy(*group_cols, bucket).agg(F.count(F.lit(1)).alias("__pg_n"))
+    w_in = Window.partitionBy(*group_cols, bucket).orderBy(key)
+    ranked = withb.withColumn(rn, F.row_number().over(w_in))
+    counts = ranked.groupBy(*group_cols, bucket).agg(F.max(rn).alias("__pg_n"))
     w_prefix = (
         Window.partitionBy(*group_cols)
         .orderBy(bucket)
         .rowsBetween(Window.unboundedPreceding, -1)
     )
+    extra = []
+    if size:
+        extra.append(F.sum("__pg_n").over(Window.partitionBy(*group_cols)).alias(size))
     prefix = counts.select(
         *group_cols,
         bucket,
         F.coalesce(F.sum("__pg_n").over(w_prefix), F.lit(0)).alias("__pg_before"),
+        *extra,
     )
-    w_in = Window.partitionBy(*group_cols, bucket).orderBy(key)
-    ranked = withb.withColumn("__pg_rn", F.row_number().over(w_in))
     return (
         ranked.join(prefix, [*group_cols, bucket])
-        .withColumn(out, (F.col("__pg_before") + F.col("__pg_rn") - 1).cast("int"))
-        .drop(bucket, "__pg_rn", "__pg_before")
+        .withColumn(out, (F.col("__pg_before") + F.col(rn) - 1).cast("int"))
+        .drop(bucket, rn, "__pg_before")
     )

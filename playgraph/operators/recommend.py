@@ -4,8 +4,8 @@ Plan (per account, K friends):
 
     friend_edge(pos < K) ⋈ profile(player found)          -- friends used
         ⋈ top_games_per_owner(library)                     -- ≤ 10 per friend
+        ⋉̸ owned (account, appid null-safe)                 -- owned removed
         -> group by (account, game): sum playtime, first encounter
-        ⋉̸ library (account, appid null-safe)               -- owned removed
         -> row_number per account ≤ 10
 
 Scale notes:
@@ -13,11 +13,14 @@ Scale notes:
   plans it with a partial ``WindowGroupLimit`` before the shuffle, so even an
   account owning a third of all rows ships only ≤ 10 rows per map task.
 * Candidates are bounded per account (K × 10), so the aggregate and the final
-  window never see a large group; the aggregate runs partial + final.
-* Owned games are removed after the aggregate (exclusion depends only on
-  (account, appid), so the order does not change the answer) which keeps
-  the probe side of the anti-join small; the owned side is shuffled on
-  (account, appid), which spreads even a huge library over many tasks.
+  window never see a large group; the aggregate runs partial + final as a
+  hash aggregate (the encounter order is one bigint), and a sweep over
+  several friend counts is one conditional aggregation, not one per count.
+* Owned games are removed before the aggregate (exclusion depends only on
+  (account, appid), so the order does not change the answer).  The anti-join
+  and the aggregate share one hash partitioning on (account, null-safe app
+  key): the candidates cross the network once, and the owned side, hashed
+  on (account, appid), spreads even a huge library over many tasks.
 * A friend that sits in a third of all friend lists makes the edge side of
   the ``friend_id`` join skewed; AQE's skew-join split handles it, and the
   build side per key is ≤ 10 rows.
@@ -76,64 +79,153 @@ def candidate_games(
     library: DataFrame,
     k: int = S.FRIENDS_USED,
     games_per_friend: int = S.GAMES_PER_FRIEND,
-    sweep: Sequence[int] | None = None,
 ) -> DataFrame:
-    """account_id, [friends,] friend_pos, friend_id, rank_in_friend, appid,
-    name, playtime: every game a used friend contributes (before exclusion).
-
-    With ``sweep`` the first ``max(sweep)`` friends are joined once and each
-    candidate is tagged with every friend count N it belongs to (pos < N).
-    """
-    k_max = max(sweep) if sweep else k
-    friends = friends_with_profile(friend_edge, profile, k_max)
+    """account_id, friend_pos, friend_id, rank_in_friend, appid, name,
+    playtime: every game one of the first ``k`` usable friends contributes
+    (before exclusion)."""
+    friends = friends_with_profile(friend_edge, profile, k)
     top = top_games_per_owner(library, games_per_friend)
-    c = friends.join(top, friends.friend_id == top.owner_id).select(
+    return friends.join(top, friends.friend_id == top.owner_id).select(
         "account_id", "friend_pos", "friend_id", "rank_in_friend", "appid", "name", "playtime"
     )
-    if sweep:
-        counts = F.array(*[F.lit(int(n)) for n in sorted(sweep)])
-        tags = F.filter(counts, lambda n: F.col("friend_pos") < n)
-        c = c.select(F.explode(tags).alias("friends"), *c.columns)
-        c = c.select("account_id", "friends", *[x for x in c.columns if x not in ("account_id", "friends")])
-    return c
 
 
-def exclude_owned(df: DataFrame, library: DataFrame) -> DataFrame:
+APP_NULL, APP_KEY = "__app_null", "__app_key"
+
+
+def _with_app_keys(df: DataFrame) -> DataFrame:
+    """Null-safe join keys for ``appid`` as two plain columns:
+    (isnull(appid), coalesce(appid, 0)) equal exactly when ``appid <=> appid``."""
+    return df.withColumn(APP_NULL, F.isnull("appid")).withColumn(
+        APP_KEY, F.coalesce(F.col("appid"), F.lit(0).cast("bigint"))
+    )
+
+
+def _anti_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
+    """``df`` (with app keys) minus owned (account_id, appid); keeps the keys.
+
+    Both sides are hashed on (account_id, app keys), which spreads even an
+    account owning a third of all rows over many tasks, and the result stays
+    clustered on those columns for a following aggregate.
+    """
+    o = _with_app_keys(owned.select("account_id", "appid")).select(
+        F.col("account_id").alias("__own_acc"),
+        F.col(APP_NULL).alias("__own_null"),
+        F.col(APP_KEY).alias("__own_key"),
+    )
+    cond = (
+        (F.col("account_id") == F.col("__own_acc"))
+        & (F.col(APP_NULL) == F.col("__own_null"))
+        & (F.col(APP_KEY) == F.col("__own_key"))
+    )
+    return df.join(o, cond, "left_anti")
+
+
+def exclude_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
     """Rows of ``df`` whose (account_id, appid) the account does not own.
 
-    Null-safe: an owned null appid removes null-appid games.  ``<=>`` stays
-    an equi-join (keys coalesce(appid), isnull(appid)), never a nested loop.
+    Null-safe: an owned null appid removes null-appid games (plain equality
+    would keep them).  An equi-join on plain key columns, never a nested loop.
     """
-    owned = library.select(F.col("account_id").alias("__own_acc"), F.col("appid").alias("__own_app"))
-    cond = (F.col("account_id") == F.col("__own_acc")) & F.col("appid").eqNullSafe(F.col("__own_app"))
-    return df.join(owned, cond, "left_anti")
+    return _anti_owned(_with_app_keys(df), owned).drop(APP_NULL, APP_KEY)
 
 
-def _first_seen() -> Column:
-    return F.struct("friend_pos", "rank_in_friend")
+ORDER_SHIFT = 1 << 32
 
 
-def aggregate_candidates(cands: DataFrame, keys: Sequence[str], mode: str = BY_NAME) -> DataFrame:
-    """keys, appid, name, total_playtime, first_seen.
+def encounter_order() -> Column:
+    """(friend_pos, rank_in_friend) as one bigint with the same order, so
+    the aggregates keep fixed-width buffers (hash aggregation, no sort)."""
+    return F.col("friend_pos").cast("bigint") * F.lit(ORDER_SHIFT) + F.col("rank_in_friend").cast("bigint")
 
-    ``first_seen`` is the (friend_pos, rank_in_friend) where the game was
-    first met; it breaks ties in encounter order.
+
+def _counts(k: int, friend_counts: Sequence[int] | None) -> list[int]:
+    return sorted({int(n) for n in friend_counts}) if friend_counts else [k]
+
+
+def aggregate_wide(cands: DataFrame, mode: str, counts: Sequence[int]) -> DataFrame:
+    """One row per (account_id, appid[, name]) with, for every friend count
+    N, the summed playtime ``__tN`` and first encounter ``__fN`` over the
+    candidates of the first N friends (null when none); by-appid adds the
+    name last seen, ``__nN``.
+
+    A single conditional aggregation serves every N: no candidate is
+    duplicated per friend count before the shuffle.
     """
-    total = F.sum("playtime").cast("bigint").alias("total_playtime")
-    first = F.min(_first_seen()).alias("first_seen")
+    largest = counts[-1]
+    order = encounter_order()
+    aggs = []
+    for n in counts:
+        inside = None if n == largest else F.col("friend_pos") < n
+        pt = F.col("playtime") if inside is None else F.when(inside, F.col("playtime"))
+        od = order if inside is None else F.when(inside, order)
+        aggs += [F.sum(pt).cast("bigint").alias(f"__t{n}"), F.min(od).alias(f"__f{n}")]
+        if mode == BY_APPID:
+            aggs.append(F.max(od).alias(f"__l{n}"))
+    # Grouping keys include the null-safe app keys when present, so an input
+    # clustered on (account_id, app keys) needs no further exchange.
+    keys = ["account_id"] + [c for c in (APP_NULL, APP_KEY) if c in cands.columns] + ["appid"]
     if mode == BY_NAME:
-        return cands.groupBy(*keys, "appid", "name").agg(total, first)
-    if mode == BY_APPID:
-        last_name = F.max_by("name", _first_seen()).alias("name")
-        return cands.groupBy(*keys, "appid").agg(total, last_name, first)
-    raise ValueError(f"unknown mode {mode!r}")
+        return cands.groupBy(*keys, "name").agg(*aggs)
+    if mode != BY_APPID:
+        raise ValueError(f"unknown mode {mode!r}")
+    # Sum per (appid, name) with hash aggregation first; the second step
+    # picks, per appid, the name seen last (few rows per group).
+    by_name = cands.groupBy(*keys, "name").agg(*aggs)
+    aggs2 = []
+    for n in counts:
+        aggs2 += [
+            F.sum(f"__t{n}").cast("bigint").alias(f"__t{n}"),
+            F.min(f"__f{n}").alias(f"__f{n}"),
+            F.max_by("name", F.col(f"__l{n}")).alias(f"__n{n}"),
+        ]
+    return by_name.groupBy(*keys).agg(*aggs2)
+
+
+def to_long(wide: DataFrame, mode: str, counts: Sequence[int], sweep: bool) -> DataFrame:
+    """account_id, [friends,] appid, name, total_playtime, first_seen."""
+    def name(n):
+        return F.col(f"__n{n}") if mode == BY_APPID else F.col("name")
+
+    if not sweep:
+        n = counts[0]
+        return wide.select(
+            "account_id", "appid", name(n).alias("name"),
+            F.col(f"__t{n}").alias("total_playtime"), F.col(f"__f{n}").alias("first_seen"),
+        )
+    items = F.array(*[
+        F.struct(
+            F.lit(n).alias("friends"), name(n).alias("name"),
+            F.col(f"__t{n}").alias("total_playtime"), F.col(f"__f{n}").alias("first_seen"),
+        )
+        for n in counts
+    ])
+    return (
+        wide.select("account_id", "appid", F.explode(items).alias("x"))
+        .filter(F.col("x.total_playtime").isNotNull())
+        .select("account_id", "x.friends", "appid", "x.name", "x.total_playtime", "x.first_seen")
+    )
+
+
+def aggregate_candidates(
+    cands: DataFrame, mode: str = BY_NAME, friend_counts: Sequence[int] | None = None, k: int = S.FRIENDS_USED
+) -> DataFrame:
+    """account_id, [friends,] appid, name, total_playtime, first_seen.
+
+    ``first_seen`` encodes where the game was first met (friend position,
+    then rank in that friend's list); it breaks ties in encounter order.
+    """
+    counts = _counts(k, friend_counts)
+    return to_long(aggregate_wide(cands, mode, counts), mode, counts, bool(friend_counts))
 
 
 def rank_per_account(agg: DataFrame, keys: Sequence[str], top_n: int | None) -> DataFrame:
-    """Add ``rank`` (1-based) by total playtime, ties in encounter order."""
-    w = Window.partitionBy(*keys).orderBy(
-        F.desc("total_playtime"), F.col("first_seen.friend_pos"), F.col("first_seen.rank_in_friend")
-    )
+    """Add ``rank`` (1-based) by total playtime, ties in encounter order.
+
+    With ``top_n`` the filter becomes a partial ``WindowGroupLimit`` ahead of
+    the shuffle.
+    """
+    w = Window.partitionBy(*keys).orderBy(F.desc("total_playtime"), F.asc("first_seen"))
     ranked = agg.withColumn("rank", F.row_number().over(w))
     if top_n is not None:
         ranked = ranked.filter(F.col("rank") <= top_n)
@@ -155,15 +247,20 @@ def recommend(
 
     ``account_id`` restricts the plan to one account (the edge filter is
     applied first, so only that account's friends' libraries are joined).
+    ``sweep`` runs several friend counts in one plan (column ``friends``).
     ``owned`` overrides the owned-games table (defaults to ``library``).
     """
     if account_id is not None:
         friend_edge = friend_edge.filter(F.col("account_id") == F.lit(account_id))
-    cands = candidate_games(friend_edge, profile, library, k, sweep=sweep)
+    counts = _counts(k, sweep)
+    cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
+    # Exclusion depends on (account, appid) only, so removing owned games
+    # before summing gives the same groups; done first, the candidates are
+    # shuffled once, and the aggregate reuses the anti-join's partitioning.
+    kept = _anti_owned(cands, library if owned is None else owned)
+    wide = aggregate_wide(kept, mode, counts)
     keys = ["account_id", "friends"] if sweep else ["account_id"]
-    agg = aggregate_candidates(cands, keys, mode)
-    kept = exclude_owned(agg, library if owned is None else owned)
-    return rank_per_account(kept, keys, top_n)
+    return rank_per_account(to_long(wide, mode, counts, bool(sweep)), keys, top_n)
 
 
 def recommend_sweep(
@@ -173,9 +270,10 @@ def recommend_sweep(
     friend_counts: Sequence[int] = S.SWEEP_FRIENDS,
     mode: str = BY_NAME,
     top_n: int | None = S.RECOMMENDATIONS,
+    owned: DataFrame | None = None,
 ) -> DataFrame:
     """Recommendations for several friend counts in one plan (column ``friends``)."""
-    return recommend(library, friend_edge, profile, mode=mode, top_n=top_n, sweep=friend_counts)
+    return recommend(library, friend_edge, profile, mode=mode, top_n=top_n, sweep=friend_counts, owned=owned)
 
 
 def with_hours(recs: DataFrame) -> DataFrame:

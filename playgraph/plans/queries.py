@@ -31,6 +31,10 @@ class Canonical:
     def library(self) -> DataFrame:
         return testmap.library(self.t)
 
+    @cached_property
+    def owned(self) -> DataFrame:
+        return testmap.owned_games(self.t)
+
     @cached_property
     def friend_edge(self) -> DataFrame:
         return testmap.friend_edge(self.t)
@@ -61,32 +65,32 @@ def _c(spark: SparkSession, sf_dir: str) -> Canonical:
 
 def recommend_one(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, account_id=ONE_ACCOUNT)
+    return rec.recommend(c.library, c.friend_edge, c.profile, account_id=ONE_ACCOUNT, owned=c.owned)
 
 
 def recommend_all_k10(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned)
 
 
 def recommend_rank(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, top_n=None)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, top_n=None, owned=c.owned)
 
 
 def recommend_sweep(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend_sweep(c.library, c.friend_edge, c.profile, S.SWEEP_FRIENDS, mode=rec.BY_NAME)
+    return rec.recommend_sweep(c.library, c.friend_edge, c.profile, S.SWEEP_FRIENDS, mode=rec.BY_NAME, owned=c.owned)
 
 
 def recommend_sweep_by_appid(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend_sweep(c.library, c.friend_edge, c.profile, S.SWEEP_FRIENDS, mode=rec.BY_APPID)
+    return rec.recommend_sweep(c.library, c.friend_edge, c.profile, S.SWEEP_FRIENDS, mode=rec.BY_APPID, owned=c.owned)
 
 
 def recommend_by_appid(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, mode=rec.BY_APPID)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, mode=rec.BY_APPID, owned=c.owned)
 
 
 def recommend_hours(spark, sf_dir):
@@ -104,7 +108,7 @@ def recommend_empty(spark, sf_dir):
         .join(c.library.select(F.col("account_id").alias("friend_id"), "appid"), "friend_id")
         .select("account_id", "appid")
     )
-    owned = c.library.select("account_id", "appid").unionByName(friends_games)
+    owned = c.owned.unionByName(friends_games)
     return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=owned)
 
 
@@ -118,7 +122,7 @@ def top10_per_friend(spark, sf_dir):
 def owned_exclusion(spark, sf_dir):
     c = _c(spark, sf_dir)
     cands = rec.candidate_games(c.friend_edge, c.profile, c.library, k=10)
-    return rec.exclude_owned(cands, c.library)
+    return rec.exclude_owned(cands, c.owned)
 
 
 def friends_used(spark, sf_dir):

@@ -41,6 +41,18 @@ def library(t: Tables, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
     return lib.select("account_id", "pos", "appid", "name", "playtime_min")
 
 
+def owned_games(t: Tables) -> DataFrame:
+    """account_id, appid: the owned set (the library without names or
+    positions, so the exclusion side skips those joins)."""
+    li = t.lineitem.select("l_orderkey", "l_partkey")
+    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
+    return (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .select("account_id", F.col("l_partkey").alias("appid"))
+        .distinct()
+    )
+
+
 def friend_edge(
     t: Tables, list_len: int = FRIEND_LIST_LEN, bucket_width: int = DEFAULT_BUCKET_WIDTH
 ) -> DataFrame:
@@ -50,13 +62,10 @@ def friend_edge(
     (nation, rank); no pair enumeration within a nation.
     """
     c = t.customer.select(F.col("c_custkey").alias("account_id"), F.col("c_nationkey").alias("nation"))
-    ranked = dense_position(c, ["nation"], "account_id", "r", bucket_width)
-    sizes = c.groupBy("nation").agg(F.count(F.lit(1)).alias("n"))
-    last = F.least(F.lit(list_len), F.col("n") - 1)
+    ranked = dense_position(c, ["nation"], "account_id", "r", bucket_width, size="n")
+    last = F.least(F.lit(list_len), F.col("n") - 1).cast("int")
     steps = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    src = ranked.join(sizes, "nation").select(
-        "account_id", "nation", "r", "n", F.explode(steps).alias("k")
-    )
+    src = ranked.select("account_id", "nation", "r", "n", F.explode(steps).alias("k"))
     targets = ranked.select("nation", F.col("r").alias("t"), F.col("account_id").alias("friend_id"))
     return src.join(
         targets,
