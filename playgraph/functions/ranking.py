@@ -20,6 +20,10 @@ from pyspark.sql import functions as F
 DEFAULT_BUCKET_WIDTH = 1 << 16
 
 
+def bucket_of(key: str, bucket_width: int = DEFAULT_BUCKET_WIDTH):
+    return F.floor(F.col(key) / F.lit(bucket_width))
+
+
 def dense_position(
     df: DataFrame,
     group_cols: list[str],
@@ -27,6 +31,7 @@ def dense_position(
     out: str = "pos",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     size: str | None = None,
+    bucket: str | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of ``key`` (ascending, unique per group),
     and with ``size`` also the group's row count.
@@ -34,10 +39,15 @@ def dense_position(
     One shuffle of the data on (group, bucket): the per-bucket counts are the
     largest in-bucket row number, aggregated on the already clustered rows
     (no second scan of ``df``); only the small prefix table moves again.
+    ``bucket`` names an existing ``floor(key / bucket_width)`` column, e.g.
+    one the caller already partitioned on, so the window needs no exchange.
     """
-    bucket = "__pg_bucket"
     rn = "__pg_rn"
-    withb = df.withColumn(bucket, F.floor(F.col(key) / F.lit(bucket_width)))
+    if bucket is None:
+        bucket = "__pg_bucket"
+        withb = df.withColumn(bucket, bucket_of(key, bucket_width))
+    else:
+        withb = df
     w_in = Window.partitionBy(*group_cols, bucket).orderBy(key)
     ranked = withb.withColumn(rn, F.row_number().over(w_in))
     counts = ranked.groupBy(*group_cols, bucket).agg(F.max(rn).alias("__pg_n"))

@@ -250,14 +250,21 @@ def recommend(
     ``sweep`` runs several friend counts in one plan (column ``friends``).
     ``owned`` overrides the owned-games table (defaults to ``library``).
     """
+    counts = _counts(k, sweep)
+    owned = library if owned is None else owned
     if account_id is not None:
         friend_edge = friend_edge.filter(F.col("account_id") == F.lit(account_id))
-    counts = _counts(k, sweep)
+        # One account's first K friends: at most K ids, a proven bound, so
+        # the set is broadcast into a semi-join that keeps only those
+        # friends' libraries before their top games are ranked.
+        friend_ids = friend_edge.filter(F.col("pos") < counts[-1]).select(F.col("friend_id").alias("account_id"))
+        library = library.join(F.broadcast(friend_ids), "account_id", "left_semi")
+        owned = owned.filter(F.col("account_id") == F.lit(account_id))
     cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
     # Exclusion depends on (account, appid) only, so removing owned games
     # before summing gives the same groups; done first, the candidates are
     # shuffled once, and the aggregate reuses the anti-join's partitioning.
-    kept = _anti_owned(cands, library if owned is None else owned)
+    kept = _anti_owned(cands, owned)
     wide = aggregate_wide(kept, mode, counts)
     keys = ["account_id", "friends"] if sweep else ["account_id"]
     return rank_per_account(to_long(wide, mode, counts, bool(sweep)), keys, top_n)

@@ -32,7 +32,11 @@ def label_averages(run_log: DataFrame) -> DataFrame:
 
 def run_averages(run_log: DataFrame) -> DataFrame:
     """label, avg_ms, runs, line (``label: 1.234 ms (avg over 3 runs)``)."""
-    a = label_averages(run_log)
+    return averages_text(label_averages(run_log))
+
+
+def averages_text(a: DataFrame) -> DataFrame:
+    """``run_averages`` from per-label (label, avg_ms, runs)."""
     return a.select(
         "label",
         F.round("avg_ms", AVG_DIGITS).alias("avg_ms"),
@@ -48,7 +52,11 @@ def run_comparison(run_log: DataFrame) -> DataFrame:
     an all-digit third part; each cell is the average of the exact label for
     that count, 0.0 when the label never ran.
     """
-    a = label_averages(run_log)
+    return comparison_from_averages(label_averages(run_log))
+
+
+def comparison_from_averages(a: DataFrame) -> DataFrame:
+    """``run_comparison`` from per-label averages (label, avg_ms)."""
     parts = F.split("label", "_", -1)
     eligible = (F.size(parts) >= 4) & F.get(parts, 2).rlike("^[0-9]+$")
     counts = a.filter(eligible).select(F.get(parts, 2).try_cast("bigint").alias("friends")).distinct()

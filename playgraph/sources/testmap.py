@@ -11,7 +11,7 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import fixed_decimals
-from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, dense_position
+from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, bucket_of, dense_position
 from playgraph.functions.timecols import epoch_seconds
 from playgraph.sources.tables import Tables
 
@@ -27,30 +27,38 @@ SNAPSHOT_NOW = "2024-01-31 00:00:00"
 
 
 def library(t: Tables, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """account_id, pos, appid, name, playtime_min (one row per owned game)."""
+    """account_id, pos, appid, name, playtime_min (one row per owned game).
+
+    The joined lines are shuffled once on (account, appid bucket): that one
+    exchange serves the (account, appid) sum and the position windows.  Map
+    side combining is skipped on purpose: (customer, part) pairs are almost
+    unique per line, so a partial sum would not shrink the shuffle.  Names
+    join last, against the already summed rows.
+    """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
+    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(
+        "account_id", F.col("l_partkey").alias("appid"), "l_quantity"
+    )
+    bucket = "__lib_bucket"
     played = (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .groupBy("account_id", F.col("l_partkey").alias("appid"))
+        lines.withColumn(bucket, bucket_of("appid", bucket_width))
+        .repartition("account_id", bucket)
+        .groupBy("account_id", bucket, "appid")
         .agg(F.sum("l_quantity").cast("bigint").alias("playtime_min"))
     )
+    lib = dense_position(played, ["account_id"], "appid", "pos", bucket_width, bucket=bucket)
     names = t.part.select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
-    lib = played.join(names, "appid", "left")
-    lib = dense_position(lib, ["account_id"], "appid", "pos", bucket_width)
-    return lib.select("account_id", "pos", "appid", "name", "playtime_min")
+    return lib.join(names, "appid", "left").select("account_id", "pos", "appid", "name", "playtime_min")
 
 
 def owned_games(t: Tables) -> DataFrame:
-    """account_id, appid: the owned set (the library without names or
-    positions, so the exclusion side skips those joins)."""
+    """account_id, appid: the owned pairs (the library without names or
+    positions).  Pairs may repeat (one per order line); an anti-join build
+    side needs no de-duplication, so none is paid for."""
     li = t.lineitem.select("l_orderkey", "l_partkey")
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
-    return (
-        li.join(o, li.l_orderkey == o.o_orderkey)
-        .select("account_id", F.col("l_partkey").alias("appid"))
-        .distinct()
-    )
+    return li.join(o, li.l_orderkey == o.o_orderkey).select("account_id", F.col("l_partkey").alias("appid"))
 
 
 def friend_edge(
