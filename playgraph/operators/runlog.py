@@ -101,6 +101,11 @@ def resource_averages(samples: DataFrame) -> DataFrame:
     )
 
 
+def append_resource_averages(samples: DataFrame, path: str) -> None:
+    """Append the per-label resource lines to the resource log folder."""
+    resource_averages(samples).select(F.col("line").alias("value")).write.mode("append").text(path)
+
+
 def write_summary(run_log: DataFrame, path: str) -> None:
     """Both report sections, overwritten as one text report folder."""
     avg = run_averages(run_log).orderBy("label").select(F.col("line").alias("value"))

@@ -218,11 +218,11 @@ def runlog_parse(spark, sf_dir):
 
 
 def runlog_averages(spark, sf_dir):
-    return runlog.run_averages(_c(spark, sf_dir).run_log)
+    return runlog.run_averages(_c(spark, sf_dir).run_log).orderBy("label")
 
 
 def runlog_comparison(spark, sf_dir):
-    return runlog.run_comparison(_c(spark, sf_dir).run_log)
+    return runlog.run_comparison(_c(spark, sf_dir).run_log).orderBy("friends")
 
 
 def resource_averages(spark, sf_dir):

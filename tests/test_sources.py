@@ -150,3 +150,24 @@ def test_news_latest_three_cut(spark):
     a = sorted((r.rank, r.news_id, len(r.contents), r.body_chars) for r in out if r.app == "a")
     assert a == [(1, 4, 300, 310), (2, 3, 300, 305), (3, 2, 300, 300)]
     assert [r.contents for r in out if r.app == "b"] == ["short"]
+
+
+def test_sinks_round_trip(spark, tmpdir_fresh):
+    # SNK-2: timing lines appended as text; SNK-3: both report sections;
+    # SNK-4: resource lines appended.
+    log_dir = os.path.join(tmpdir_fresh, "log")
+    first = spark.createDataFrame([("spark_recommendation_10_friends_useCache", 1.2345)], "label string, duration_ms double")
+    text.append_run_log(first, log_dir)
+    text.append_run_log(first.selectExpr("label", "duration_ms + 1 AS duration_ms"), log_dir)
+    lines = text.read_lines(spark, log_dir)
+    assert sorted(r.value for r in lines.collect()) == sorted(
+        f"spark_recommendation_10_friends_useCache: {v:.3f}" for v in (1.2345, 1.2345 + 1))
+    parsed, _ = text.parse_run_log(lines)
+    report = os.path.join(tmpdir_fresh, "report")
+    runlog.write_summary(parsed, report)
+    assert spark.read.text(report + "/averages").count() == 1
+    assert spark.read.text(report + "/comparison").collect()[0].value.startswith("10        ")
+    res = spark.createDataFrame([("w", 1.0, 2.0)], "label string, cpu_pct double, rss_mb double")
+    runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))
+    runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))
+    assert spark.read.text(os.path.join(tmpdir_fresh, "res")).count() == 2
