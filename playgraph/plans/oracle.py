@@ -196,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
     q["recommend_one"] = _recommend(one=True)
     q["recommend_all_k10"] = _recommend()
     q["recommend_rank"] = _recommend(top_n=None)
+    q["recommend_from_documents"] = _recommend()
     q["recommend_sweep"] = _recommend(sweep=True)
     q["recommend_sweep_by_appid"] = _recommend(sweep=True, mode="by_appid")
     q["recommend_by_appid"] = _recommend(mode="by_appid")
@@ -223,6 +224,7 @@ WHERE e.pos < 10"""
     q["friend_count"] = _with() + """
 SELECT account_id, count(*) AS friends_shown FROM friend_edge WHERE pos < 10 GROUP BY account_id"""
     q["profile_summary"] = _profile_summary()
+    q["profile_summary_from_documents"] = _profile_summary()
     q["account_status"] = _with(_friends(10), _cands(False)) + """
 SELECT c.c_custkey AS account_id,
   CASE WHEN p.account_id IS NULL THEN 'NO_DATA' WHEN NOT p.player_found THEN 'NO_PROFILE' ELSE 'OK' END

@@ -166,6 +166,23 @@ def library_explode(spark, sf_dir):
     return documents.library_roundtrip(c.library)
 
 
+def recommend_from_documents(spark, sf_dir):
+    """Recommendations computed from JSON documents: every profile, library
+    and friend list is rendered to its document form, parsed back with the
+    explicit document schemas and exploded, then recommended on."""
+    c = _c(spark, sf_dir)
+    lib = documents.library_from_pages(documents.library_documents(c.library))
+    edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge))
+    prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
+    return rec.recommend(lib, edges, prof, k=10)
+
+
+def profile_summary_from_documents(spark, sf_dir):
+    c = _c(spark, sf_dir)
+    prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
+    return profile_ops.profile_summary(prof)
+
+
 def game_defaults(spark, sf_dir):
     c = _c(spark, sf_dir)
     return lib_ops.game_defaults(c.library)
@@ -241,7 +258,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         recommend_one, recommend_all_k10, recommend_rank, recommend_sweep, recommend_sweep_by_appid,
         recommend_by_appid, recommend_hours, recommend_empty, top10_per_friend, owned_exclusion,
         friends_used, friend_network, friend_count, profile_summary, account_status,
-        account_selection, library_explode, game_defaults, library_top15, library_hours,
+        account_selection, library_explode, recommend_from_documents, profile_summary_from_documents,
+        game_defaults, library_top15, library_hours,
         most_played, snapshot_latest, snapshot_fresh, snapshot_refresh_list, snapshot_cache_hits,
         runlog_parse, runlog_averages, runlog_comparison, resource_averages, news_latest3,
     ]
