@@ -34,7 +34,8 @@ def dense_position(
     bucket: str | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of ``key`` (ascending, unique per group),
-    and with ``size`` also the group's row count.
+    and with ``size`` also the group's row count.  ``key`` must be non-null
+    and unique within its group (a primary key of the group's rows).
 
     One shuffle of the data on (group, bucket): the per-bucket counts are the
     largest in-bucket row number, aggregated on the already clustered rows

@@ -22,6 +22,31 @@ DEFAULTS = {
 }
 
 
+def scale_conf(input_bytes: int, total_cores: int, executor_core_mem_bytes: int = 4 << 30) -> dict:
+    """Partition sizing for a job over ``input_bytes`` of Parquet.
+
+    * Scan splits of 256 MB (fewer, larger tasks; one row group per split
+      at typical writer settings).
+    * Initial shuffle partitions so that one partition holds ~128 MB of
+      shuffled data if every scanned byte were shuffled, and never fewer
+      than 2 waves of the cluster's cores; AQE then coalesces small ones
+      and splits skewed ones at run time.
+    * Skew: a partition is skewed above 5x the median and 256 MB.
+
+    At 100 TB on 1000 executors x 8 cores this gives ~800k initial shuffle
+    partitions (coalesced by AQE), each well inside a 4 GB/core budget.
+    """
+    per_partition = min(128 << 20, max(16 << 20, executor_core_mem_bytes // 16))
+    partitions = max(2 * total_cores, -(-input_bytes // per_partition))
+    return {
+        "spark.sql.files.maxPartitionBytes": str(256 << 20),
+        "spark.sql.shuffle.partitions": str(partitions),
+        "spark.sql.adaptive.advisoryPartitionSizeInBytes": str(per_partition),
+        "spark.sql.adaptive.skewJoin.skewedPartitionFactor": "5",
+        "spark.sql.adaptive.skewJoin.skewedPartitionThresholdInBytes": str(256 << 20),
+    }
+
+
 def build_session(master: str | None = None, app: str = "playgraph", conf: dict | None = None) -> SparkSession:
     b = SparkSession.builder.appName(app)
     if master:
