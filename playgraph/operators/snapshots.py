@@ -15,6 +15,10 @@ from pyspark.sql import functions as F
 from playgraph import schema as S
 from playgraph.functions.timecols import age_seconds
 
+# The benchmark's no-cache mode: only profiles are re-fetched ("latest"
+# ttl); libraries and friend lists keep the normal ttl.
+NO_CACHE_TTL = {"user": S.LATEST_TTL_SECONDS}
+
 
 def latest_snapshots(snapshot: DataFrame) -> DataFrame:
     """kind, key, fetched_at, payload: the newest document per (kind, key).
@@ -28,19 +32,31 @@ def latest_snapshots(snapshot: DataFrame) -> DataFrame:
     )
 
 
+def _ttl(ttl_seconds) -> Column:
+    """A ttl column: one number for every kind, or a {kind: seconds} map
+    (kinds not named keep the default ttl)."""
+    if isinstance(ttl_seconds, dict):
+        expr = F.lit(float(S.CACHE_TTL_SECONDS))
+        for kind, secs in ttl_seconds.items():
+            expr = F.when(F.col("kind") == kind, F.lit(float(secs))).otherwise(expr)
+        return expr
+    return F.lit(float(ttl_seconds))
+
+
 def snapshot_freshness(
     latest: DataFrame,
     now: Column,
-    ttl_seconds: float = S.CACHE_TTL_SECONDS,
+    ttl_seconds: float | dict = S.CACHE_TTL_SECONDS,
     kinds: Sequence[str] = S.CACHED_KINDS,
 ) -> DataFrame:
     """latest's columns + age_seconds, is_fresh (strict ``age < ttl``;
-    kinds the cache does not know are never fresh)."""
+    kinds the cache does not know are never fresh).  ``ttl_seconds`` may be
+    a per-kind map, e.g. ``NO_CACHE_TTL`` for the benchmark's no-cache mode."""
     age = age_seconds(now, F.col("fetched_at"))
     return latest.select(
         "*",
         age.alias("age_seconds"),
-        (F.col("kind").isin(*kinds) & (age < F.lit(float(ttl_seconds)))).alias("is_fresh"),
+        (F.col("kind").isin(*kinds) & (age < _ttl(ttl_seconds))).alias("is_fresh"),
     )
 
 
@@ -48,7 +64,7 @@ def refresh_list(
     wanted: DataFrame,
     snapshot: DataFrame,
     now: Column,
-    ttl_seconds: float = S.CACHE_TTL_SECONDS,
+    ttl_seconds: float | dict = S.CACHE_TTL_SECONDS,
 ) -> DataFrame:
     """kind, key of every wanted document without a fresh snapshot (the
     fetch list for an external fetcher).  Hits are the ``left_semi``."""

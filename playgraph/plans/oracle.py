@@ -266,6 +266,11 @@ WHERE rn = 1"""
     q["snapshot_refresh_list"] = SNAPSHOT + """
 SELECT w.kind, w.key FROM wanted w
 WHERE NOT EXISTS (SELECT 1 FROM flagged f WHERE f.is_fresh AND f.kind = w.kind AND f.key = w.key)"""
+    q["snapshot_refresh_list_nocache"] = SNAPSHOT + """
+SELECT w.kind, w.key FROM wanted w
+WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.kind = w.kind AND f.key = w.key
+                  AND f.kind IN ('user', 'game', 'friend')
+                  AND f.age_seconds < CASE WHEN f.kind = 'user' THEN 0.5 ELSE 36000.0 END)"""
     q["snapshot_cache_hits"] = SNAPSHOT + """
 SELECT w.kind, w.key, f.payload FROM wanted w
 JOIN flagged f ON f.is_fresh AND f.kind = w.kind AND f.key = w.key"""

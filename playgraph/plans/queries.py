@@ -222,6 +222,14 @@ def snapshot_refresh_list(spark, sf_dir):
     return snapshots.refresh_list(wanted, c.snapshot, testmap.snapshot_now())
 
 
+def snapshot_refresh_list_nocache(spark, sf_dir):
+    """Refresh list of the no-cache benchmark mode: profiles with the
+    0.5 s "latest" ttl, libraries and friend lists with the normal ttl."""
+    c = _c(spark, sf_dir)
+    wanted = snapshots.wanted_documents(c.accounts)
+    return snapshots.refresh_list(wanted, c.snapshot, testmap.snapshot_now(), snapshots.NO_CACHE_TTL)
+
+
 def snapshot_cache_hits(spark, sf_dir):
     c = _c(spark, sf_dir)
     wanted = snapshots.wanted_documents(c.accounts)
@@ -260,7 +268,8 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         friends_used, friend_network, friend_count, profile_summary, account_status,
         account_selection, library_explode, recommend_from_documents, profile_summary_from_documents,
         game_defaults, library_top15, library_hours,
-        most_played, snapshot_latest, snapshot_fresh, snapshot_refresh_list, snapshot_cache_hits,
+        most_played, snapshot_latest, snapshot_fresh, snapshot_refresh_list, snapshot_refresh_list_nocache,
+        snapshot_cache_hits,
         runlog_parse, runlog_averages, runlog_comparison, resource_averages, news_latest3,
     ]
 }

@@ -141,6 +141,9 @@ def test_snapshot_latest_fresh_refresh(spark):
     assert todo == [("friend", 1), ("friend", 2), ("game", 2), ("user", 1), ("user", 2)]
     # "latest" mode: ttl 0.5 s
     assert snapshots.refresh_list(wanted, snap, now, ttl_seconds=0.5).count() == 6
+    # no-cache benchmark mode (S21): only profiles use the 0.5 s ttl
+    nocache = sorted(map(tuple, snapshots.refresh_list(wanted, snap, now, snapshots.NO_CACHE_TTL).collect()))
+    assert nocache == todo
 
 
 def test_news_latest_three_cut(spark):
