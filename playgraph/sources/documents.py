@@ -159,7 +159,8 @@ def profile_documents(profile: DataFrame) -> DataFrame:
     return profile.select("account_id", F.to_json(doc).alias("payload"))
 
 
-def _unpage(exploded: DataFrame, page_size: int) -> Column:
+def _unpage(page_size: int) -> Column:
+    """Position in the whole list from (page, index inside the page)."""
     return (F.col("page") * F.lit(page_size) + F.col("i")).cast("int").alias("pos")
 
 
@@ -169,7 +170,7 @@ def library_from_pages(pages: DataFrame, page_size: int = 1000) -> DataFrame:
     exploded = parsed.select("account_id", "page", F.posexplode("response.games").alias("i", "game"))
     return exploded.select(
         "account_id",
-        _unpage(exploded, page_size),
+        _unpage(page_size),
         F.col("game.appid").alias("appid"),
         F.col("game.name").alias("name"),
         F.col("game.playtime_forever").alias("playtime_min"),
@@ -180,7 +181,7 @@ def friend_edge_from_pages(pages: DataFrame, page_size: int = 1000) -> DataFrame
     parsed = parse_payload(pages, "friend")
     exploded = parsed.select("account_id", "page", F.posexplode("friendslist.friends").alias("i", "f"))
     return exploded.select(
-        "account_id", _unpage(exploded, page_size), F.col("f.steamid").cast("bigint").alias("friend_id")
+        "account_id", _unpage(page_size), F.col("f.steamid").cast("bigint").alias("friend_id")
     )
 
 

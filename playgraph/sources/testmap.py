@@ -12,7 +12,7 @@ from pyspark.sql import functions as F
 from playgraph import schema as S
 from playgraph.functions.formats import fixed_decimals
 from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, bucket_of, dense_position
-from playgraph.functions.timecols import epoch_seconds
+from playgraph.functions.timecols import epoch_seconds, ntz_literal
 from playgraph.sources.tables import Tables
 
 # Fixed values of the mapping.
@@ -173,6 +173,5 @@ def account_list_lines(t: Tables) -> DataFrame:
 
 
 def snapshot_now():
-    from playgraph.functions.timecols import ntz_literal
-
+    """The fixed 'now' of the snapshot checks on the test tables."""
     return ntz_literal(SNAPSHOT_NOW)
