@@ -7,15 +7,16 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import floor_div, hours_minutes_label, profile_url, whole_hours_label
+from playgraph.operators import for_account
 from playgraph.operators.recommend import game_triple
 
 
-def game_defaults(library: DataFrame) -> DataFrame:
+def game_defaults(library: DataFrame, account_id: int | None = None) -> DataFrame:
     """account_id, pos, appid, name, playtime with per-game defaults."""
-    return game_triple(library, owner="account_id")
+    return game_triple(for_account(library, account_id), owner="account_id")
 
 
-def library_top(library: DataFrame, n: int = S.HABITS_TOP) -> DataFrame:
+def library_top(library: DataFrame, n: int = S.HABITS_TOP, account_id: int | None = None) -> DataFrame:
     """account_id, rank, appid, name, total_playtime: the ``n`` most played
     games with playtime > 0; ties keep library order.
 
@@ -23,7 +24,7 @@ def library_top(library: DataFrame, n: int = S.HABITS_TOP) -> DataFrame:
     ``WindowGroupLimit`` before the shuffle: a huge library ships ≤ n rows
     per map task.
     """
-    g = library.select(
+    g = for_account(library, account_id).select(
         "account_id", "pos", "appid", "name", F.col("playtime_min").alias("total_playtime")
     ).filter(F.col("total_playtime") > 0)
     w = Window.partitionBy("account_id").orderBy(F.desc("total_playtime"), F.asc("pos"))
@@ -45,13 +46,15 @@ def library_hours(top: DataFrame) -> DataFrame:
     )
 
 
-def most_played(library: DataFrame) -> DataFrame:
+def most_played(library: DataFrame, account_id: int | None = None) -> DataFrame:
     """account_id, appid, game, playtime_min, playtime_label, profile_url.
 
-    One hash aggregate (partial + final): ``max`` of (playtime, -pos, ...)
-    picks the most played game, earliest in the library on ties.
+    One aggregate with a map-side partial step: ``max`` of (playtime, -pos,
+    appid, name) picks the most played game, earliest in the library on
+    ties.  The buffer holds the name, so Spark runs it sort-based; the
+    partial step still reduces a huge library to one row per map task.
     """
-    g = game_triple(library, owner="account_id")
+    g = game_triple(for_account(library, account_id), owner="account_id")
     best = F.max(F.struct(F.col("playtime"), (-F.col("pos")).alias("neg_pos"), "appid", "name")).alias("best")
     agg = g.groupBy("account_id").agg(best)
     return agg.select(

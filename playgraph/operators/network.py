@@ -6,16 +6,19 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
+from playgraph.operators import for_account
 
 
-def friend_network(friend_edge: DataFrame, profile: DataFrame, n: int = S.FRIENDS_SHOWN) -> DataFrame:
+def friend_network(
+    friend_edge: DataFrame, profile: DataFrame, n: int = S.FRIENDS_SHOWN, account_id: int | None = None
+) -> DataFrame:
     """account_id, pos, friend_id, name, country, profile_found.
 
     A friend without a usable profile keeps its row with the defaults
     (``Unknown``, ``—``) and ``profile_found = false`` instead of failing the
     whole overview.  ``pos < n`` on the exploded list needs no sort.
     """
-    edges = friend_edge.filter(F.col("pos") < n)
+    edges = for_account(friend_edge, account_id).filter(F.col("pos") < n)
     p = profile.select(
         F.col("account_id").alias("friend_id"),
         F.col("player_found").alias("__found"),
@@ -33,10 +36,10 @@ def friend_network(friend_edge: DataFrame, profile: DataFrame, n: int = S.FRIEND
     )
 
 
-def friend_count(friend_edge: DataFrame, n: int = S.FRIENDS_SHOWN) -> DataFrame:
+def friend_count(friend_edge: DataFrame, n: int = S.FRIENDS_SHOWN, account_id: int | None = None) -> DataFrame:
     """account_id, friends_shown = min(n, list length) (partial + final count)."""
     return (
-        friend_edge.filter(F.col("pos") < n)
+        for_account(friend_edge, account_id).filter(F.col("pos") < n)
         .groupBy("account_id")
         .agg(F.count(F.lit(1)).alias("friends_shown"))
     )

@@ -7,14 +7,16 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import profile_url, utc_date_or_unknown
+from playgraph.operators import for_account
 
 
-def profile_summary(profile: DataFrame) -> DataFrame:
+def profile_summary(profile: DataFrame, account_id: int | None = None) -> DataFrame:
     """account_id, status, name, location, created, title, profile_url.
 
     ``status`` is ``NO_PROFILE`` when the document holds no player; the
     display fields are then null (the summary shows an error instead).
     """
+    profile = for_account(profile, account_id)
     found = F.col("player_found")
 
     def shown(c):

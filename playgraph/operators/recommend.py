@@ -290,10 +290,14 @@ def with_hours(recs: DataFrame) -> DataFrame:
     )
 
 
-def friends_used(friend_edge: DataFrame, profile: DataFrame, k: int = S.FRIENDS_USED) -> DataFrame:
+def friends_used(
+    friend_edge: DataFrame, profile: DataFrame, k: int = S.FRIENDS_USED, account_id: int | None = None
+) -> DataFrame:
     """account_id, friends_used (names in list order, newline separated),
     friends_used_count.  A friend with a profile but no games still counts;
     the list is bounded by ``k``."""
+    if account_id is not None:
+        friend_edge = friend_edge.filter(F.col("account_id") == F.lit(account_id))
     f = friends_with_profile(friend_edge, profile, k)
     items = F.array_sort(F.collect_list(F.struct("friend_pos", "friend_name")))
     return f.groupBy("account_id").agg(

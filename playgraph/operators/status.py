@@ -6,6 +6,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
+from playgraph.operators import for_account
 from playgraph.operators.recommend import candidate_games
 
 
@@ -15,6 +16,7 @@ def account_status(
     library: DataFrame,
     friend_edge: DataFrame,
     k: int = S.FRIENDS_USED,
+    account_id: int | None = None,
 ) -> DataFrame:
     """account_id, profile_status, library_status, friends_status, recommend_status.
 
@@ -26,6 +28,10 @@ def account_status(
     Every side is reduced to one row per account with partial + final
     aggregation before it meets ``accounts``.
     """
+    if account_id is not None:
+        accounts, library, friend_edge = (
+            for_account(accounts, account_id), for_account(library, account_id), for_account(friend_edge, account_id)
+        )
     prof = profile.groupBy("account_id").agg(F.max(F.col("player_found").cast("int")).alias("__found"))
     lib = library.groupBy("account_id").agg(F.count(F.lit(1)).alias("__games"))
     fr = friend_edge.groupBy("account_id").agg(F.count(F.lit(1)).alias("__friends"))

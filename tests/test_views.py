@@ -82,3 +82,29 @@ def test_account_status(spark):
         ("OK", "NO_GAMES", "OK", "OK")
     assert (out[2].profile_status, out[2].recommend_status) == ("NO_PROFILE", "NO_CANDIDATES")
     assert (out[5].profile_status, out[5].friends_status) == ("NO_DATA", "NO_FRIENDS")
+
+
+def test_single_account_mode_equals_filter(spark):
+    # FLT-7: one account is a filter, never a separate path.
+    lib = library_df(spark, [(a, i, 10 * a + i, f"g{i}", (a * 37 + i * 11) % 90) for a in (1, 2, 3) for i in range(20)])
+    e = edges_df(spark, [(a, p, 1 + (a + p) % 3) for a in (1, 2, 3) for p in range(12)])
+    p = profile_df(spark, [(a, True, f"p{a}", "US", 100) for a in (1, 2, 3)])
+    accounts = spark.createDataFrame([(a,) for a in (1, 2, 3)], "account_id bigint")
+    from playgraph.operators import recommend as rec
+
+    ops = {
+        "profile": lambda acc: profile_ops.profile_summary(p, account_id=acc),
+        "top": lambda acc: lib_ops.library_top(lib, account_id=acc),
+        "most": lambda acc: lib_ops.most_played(lib, account_id=acc),
+        "defaults": lambda acc: lib_ops.game_defaults(lib, account_id=acc),
+        "network": lambda acc: network.friend_network(e, p, account_id=acc),
+        "count": lambda acc: network.friend_count(e, account_id=acc),
+        "used": lambda acc: rec.friends_used(e, p, account_id=acc),
+        "status": lambda acc: status.account_status(accounts, p, lib, e, account_id=acc),
+    }
+    for name, op in ops.items():
+        every = op(None)
+        one = op(2)
+        assert one.exceptAll(every.filter("account_id = 2")).count() == 0, name
+        assert every.filter("account_id = 2").exceptAll(one).count() == 0, name
+        assert one.count() > 0, name
