@@ -7,7 +7,7 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.operators import for_account
-from playgraph.operators.recommend import candidate_games
+from playgraph.operators.recommend import friends_with_profile
 
 
 def account_status(
@@ -35,8 +35,16 @@ def account_status(
     prof = profile.groupBy("account_id").agg(F.max(F.col("player_found").cast("int")).alias("__found"))
     lib = library.groupBy("account_id").agg(F.count(F.lit(1)).alias("__games"))
     fr = friend_edge.groupBy("account_id").agg(F.count(F.lit(1)).alias("__friends"))
-    cands = candidate_games(friend_edge, profile, library, k).groupBy("account_id").agg(
-        F.count(F.lit(1)).alias("__cands")
+    # A friend contributes candidates exactly when it is usable (first k,
+    # has a player) and owns at least one game, so "has candidates" is a
+    # semi-join against the owners already counted above; no top-10 window
+    # and no per-game expansion.
+    owners = lib.select(F.col("account_id").alias("friend_id"))
+    cands = (
+        friends_with_profile(friend_edge, profile, k)
+        .join(owners, "friend_id", "left_semi")
+        .groupBy("account_id")
+        .agg(F.count(F.lit(1)).alias("__cands"))
     )
     a = accounts.select("account_id").distinct()
     j = a.join(prof, "account_id", "left").join(lib, "account_id", "left")
