@@ -6,7 +6,7 @@ played, and each nation is a ring of friends ordered by customer key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
@@ -66,20 +66,25 @@ def friend_edge(
 ) -> DataFrame:
     """account_id, pos, friend_id: friend k (pos k-1) is ring rank (r+k) mod n.
 
-    Built with one ``sequence``/``explode`` and one equi-join on
-    (nation, rank); no pair enumeration within a nation.
+    Each ranked customer emits its own slot (k = 0, at rank r) and one slot
+    per friend k (at rank (r+k) mod n).  A window over (nation, rank) then
+    hands every friend slot the account sitting at that rank.  A window
+    group holds at most one own slot plus ``list_len`` friend slots, and
+    the ranking is consumed once (no self-join of the ranked customers, no
+    pair enumeration within a nation).
     """
     c = t.customer.select(F.col("c_custkey").alias("account_id"), F.col("c_nationkey").alias("nation"))
     ranked = dense_position(c, ["nation"], "account_id", "r", bucket_width, size="n")
     last = F.least(F.lit(list_len), F.col("n") - 1).cast("int")
     steps = F.when(last >= 1, F.sequence(F.lit(1), last)).otherwise(F.array().cast("array<int>"))
-    src = ranked.select("account_id", "nation", "r", "n", F.explode(steps).alias("k"))
-    targets = ranked.select("nation", F.col("r").alias("t"), F.col("account_id").alias("friend_id"))
-    return src.join(
-        targets,
-        (src.nation == targets.nation) & (F.pmod(src.r + src.k, src.n) == targets.t),
-    ).select(
-        "account_id", (F.col("k") - 1).cast("int").alias("pos"), "friend_id"
+    slots = ranked.select(
+        "account_id", "nation", "r", "n", F.explode(F.concat(F.array(F.lit(0)), steps)).alias("k")
+    ).withColumn("t", F.pmod(F.col("r") + F.col("k"), F.col("n")))
+    at_rank = F.max(F.when(F.col("k") == 0, F.col("account_id"))).over(Window.partitionBy("nation", "t"))
+    return (
+        slots.withColumn("friend_id", at_rank)
+        .filter(F.col("k") >= 1)
+        .select("account_id", (F.col("k") - 1).cast("int").alias("pos"), "friend_id")
     )
 
 
