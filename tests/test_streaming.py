@@ -47,6 +47,8 @@ def test_snapshot_ingest_appends_and_latest_wins(spark, tmpdir_fresh):
         json.dump({"response": {"games": [{"appid": 1}]}}, f)
     with open(os.path.join(land, "user", "7.json"), "w") as f:
         json.dump({"response": {"players": []}}, f)
+    with open(os.path.join(land, "user", "news_440.json"), "w") as f:   # S26: news is its own kind
+        json.dump({"appnews": {"newsitems": []}}, f)
     _run(snapshot_ingest.start_ingest(spark, land, table, ckpt, available_now=True))
     os.makedirs(os.path.join(land, "game", "later"))
     with open(os.path.join(land, "game", "later", "games_7.json"), "w") as f:
@@ -54,7 +56,8 @@ def test_snapshot_ingest_appends_and_latest_wins(spark, tmpdir_fresh):
     os.utime(os.path.join(land, "game", "later", "games_7.json"), (2_000_000_000, 2_000_000_000))
     _run(snapshot_ingest.start_ingest(spark, land, table, ckpt, available_now=True))
     snap = spark.read.parquet(table)
-    assert snap.count() == 3
+    assert snap.count() == 4
     latest = {(r.kind, r.key): json.loads(r.payload) for r in snapshots.latest_snapshots(snap).collect()}
     assert latest[("game", 7)]["response"]["games"][0]["appid"] == 2
     assert latest[("user", 7)] == {"response": {"players": []}}
+    assert ("news", 440) in latest and ("user", 440) not in latest
