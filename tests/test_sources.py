@@ -174,3 +174,20 @@ def test_sinks_round_trip(spark, tmpdir_fresh):
     runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))
     runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))
     assert spark.read.text(os.path.join(tmpdir_fresh, "res")).count() == 2
+
+
+def test_append_snapshots_partitioned_by_kind(spark, tmpdir_fresh):
+    # SNK-1: appends never overwrite; readers take the newest row per key.
+    path = os.path.join(tmpdir_fresh, "snapshot")
+    schema = "kind string, key bigint, payload string, fetched_at string"
+    first = spark.createDataFrame([("user", 1, "v1", "2024-01-01 00:00:00"), ("game", 1, "g1", "2024-01-01 00:00:00")], schema)
+    second = spark.createDataFrame([("user", 1, "v2", "2024-01-02 00:00:00")], schema)
+    for batch in (first, second):
+        snapshots.append_snapshots(batch.withColumn("fetched_at", F.col("fetched_at").cast("timestamp_ntz")), path)
+    assert sorted(d for d in os.listdir(path) if d.startswith("kind=")) == ["kind=game", "kind=user"]
+    snap = spark.read.parquet(path)
+    assert snap.count() == 3
+    latest = {(r.kind, r.key): r.payload for r in snapshots.latest_snapshots(snap).collect()}
+    assert latest == {("user", 1): "v2", ("game", 1): "g1"}
+    plan = snap.filter("kind = 'user'")._jdf.queryExecution().executedPlan().toString()
+    assert "PartitionFilters: [isnotnull(kind" in plan  # per-kind reads prune partitions
