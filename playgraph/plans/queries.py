@@ -105,7 +105,7 @@ def recommend_empty(spark, sf_dir):
     c = _c(spark, sf_dir)
     friends_games = (
         c.friend_edge.filter(F.col("pos") < 10)
-        .join(c.library.select(F.col("account_id").alias("friend_id"), "appid"), "friend_id")
+        .join(c.owned.select(F.col("account_id").alias("friend_id"), "appid"), "friend_id")
         .select("account_id", "appid")
     )
     owned = c.owned.unionByName(friends_games)
@@ -149,7 +149,9 @@ def profile_summary(spark, sf_dir):
 
 def account_status(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return status.account_status(c.accounts, c.profile, c.library, c.friend_edge)
+    # Only "has games" is read from the library, so the owned pairs (same
+    # accounts, no positions or names to derive) stand in for it.
+    return status.account_status(c.accounts, c.profile, c.owned, c.friend_edge)
 
 
 def account_selection(spark, sf_dir):
