@@ -62,3 +62,31 @@ def test_recommend_matches_definition(spark, libs, friends, profs):
         for k in (2, 5):
             want = brute(libs, friends, profs, k, mode)
             assert {a: sorted(v) for a, v in got[k].items()} == want, (mode, k)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(libs=libraries)
+def test_library_views_match_definition(spark, libs):
+    from playgraph.operators import library as lib_ops
+
+    lib = library_df(spark, [(acc, pos, a, n, p) for acc, games in libs.items() for pos, (a, n, p) in enumerate(games)])
+    top = defaultdict(list)
+    for r in lib_ops.library_top(lib, n=3).collect():
+        top[r.account_id].append((r.rank, r.appid, r.name, r.total_playtime))
+    want_top = {}
+    for acc, games in libs.items():
+        played = [g for g in games if g[2] is not None and g[2] > 0]
+        best = sorted(played, key=lambda g: g[2], reverse=True)[:3]     # stable: library order on ties
+        if best:
+            want_top[acc] = [(i + 1, a, n, p) for i, (a, n, p) in enumerate(best)]
+    assert {a: sorted(v) for a, v in top.items()} == want_top
+
+    most = {r.account_id: (r.appid, r.game, r.playtime_min, r.playtime_label) for r in lib_ops.most_played(lib).collect()}
+    want_most = {}
+    for acc, games in libs.items():
+        if not games:
+            continue
+        a, n, p = max(enumerate(games), key=lambda ig: (ig[1][2] or 0, -ig[0]))[1]
+        p = p or 0
+        want_most[acc] = (a, n if n is not None else f"Unknown ({a})", p, f"{p // 60}h {p % 60}m")
+    assert most == want_most
