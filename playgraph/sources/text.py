@@ -11,8 +11,22 @@ from pyspark.sql import functions as F
 
 from playgraph.functions.formats import fixed_decimals, strip_ws
 
-# Numbers accepted by Python's float(): decimal, exponent, nan/inf words.
-FLOAT_TEXT = r"^[+-]?(([0-9]+(\.[0-9]*)?|\.[0-9]+)([eE][+-]?[0-9]+)?|(?i:nan|inf|infinity))$"
+# Numbers accepted by Python's float(): decimal with optional exponent,
+# digit groups joined by single underscores, and the nan/inf words.
+_DIGITS = r"[0-9]+(?:_[0-9]+)*"
+FLOAT_TEXT = (
+    rf"^[+-]?(({_DIGITS}(\.({_DIGITS})?)?|\.{_DIGITS})([eE][+-]?{_DIGITS})?"
+    r"|(?i:nan|inf|infinity))$"
+)
+
+
+def _float_value(text):
+    """Cast accepted number text the way Python's float() reads it: drop
+    digit-group underscores; a signed nan is nan."""
+    return (
+        F.when(text.rlike(r"^[+-](?i:nan)$"), F.lit(float("nan")))
+        .otherwise(F.regexp_replace(text, "_", "").cast("double"))
+    )
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
@@ -39,7 +53,7 @@ def parse_run_log(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
     good = (F.col("__n") == 2) & number_ok
     parsed = staged.filter(good).select(
         F.col("__label").alias("label"),
-        F.col("__num").cast("double").alias("duration_ms"),
+        _float_value(F.col("__num")).alias("duration_ms"),
     )
     rejects = staged.filter(~good).select(
         "value",

@@ -90,3 +90,47 @@ def test_library_views_match_definition(spark, libs):
         p = p or 0
         want_most[acc] = (a, n if n is not None else f"Unknown ({a})", p, f"{p // 60}h {p % 60}m")
     assert most == want_most
+
+
+def _python_summary_parse(lines):
+    """The log reader's rules in plain Python: no ':' -> skipped; otherwise
+    strip, split on ':', exactly two parts and a float() value, else reject."""
+    good, bad = [], []
+    for line in lines:
+        if ":" not in line:
+            continue
+        parts = line.strip().split(":")
+        try:
+            if len(parts) != 2:
+                raise ValueError
+            good.append((parts[0].strip(), float(parts[1].strip())))
+        except ValueError:
+            bad.append(line)
+    return good, bad
+
+
+number_text = st.sampled_from(["1.5", " 2 ", "1e3", "abc", "", "nan", "-nan", "+inf", "Infinity", "-0.5", "1_000",
+                               "1__0", "_1", "1_", ".5", "1.", "0x10", "1.5d", "1e1_0", "  -7.25e-2 ", "."])
+log_line = st.one_of(
+    st.builds(lambda l, n: f"{l}:{n}", st.sampled_from(["a_b", " lab ", "spark_recommendation_10_friends_useCache"]), number_text),
+    st.builds(lambda a, b: f"{a}:{b}:1", st.sampled_from(["a", "b"]), st.sampled_from(["x", "2"])),
+    st.sampled_from(["junk", "", "no colon here"]),
+)
+
+
+@settings(max_examples=15, deadline=None, suppress_health_check=list(HealthCheck))
+@given(lines=st.lists(log_line, max_size=12))
+def test_run_log_parse_matches_python(spark, lines):
+    import math
+
+    from playgraph.sources import text
+
+    parsed, rejects = text.parse_run_log(spark.createDataFrame([(v,) for v in lines], "value string"))
+    want_good, want_bad = _python_summary_parse(lines)
+
+    def key(row):
+        label, v = row
+        return (label, "nan" if isinstance(v, float) and math.isnan(v) else v)
+
+    assert sorted(map(key, map(tuple, parsed.collect()))) == sorted(map(key, want_good))
+    assert sorted(r.value for r in rejects.collect()) == sorted(want_bad)
