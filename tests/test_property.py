@@ -134,3 +134,44 @@ def test_run_log_parse_matches_python(spark, lines):
 
     assert sorted(map(key, map(tuple, parsed.collect()))) == sorted(map(key, want_good))
     assert sorted(r.value for r in rejects.collect()) == sorted(want_bad)
+
+
+snapshot_row = st.tuples(
+    st.sampled_from(["user", "game", "friend", "news", "error"]),
+    st.integers(1, 3),
+    st.sampled_from(["p", "q", "r"]),
+    st.sampled_from([0, 1, 35999, 36000, 36001, 90000]),   # age in seconds at "now"
+)
+
+
+@settings(max_examples=10, deadline=None, suppress_health_check=list(HealthCheck))
+@given(rows=st.lists(snapshot_row, max_size=15))
+def test_snapshot_operators_match_definition(spark, rows):
+    import datetime as dt
+
+    from pyspark.sql import functions as F
+
+    from playgraph.functions.timecols import ntz_literal
+    from playgraph.operators import snapshots
+
+    now = dt.datetime(2024, 1, 31)
+    data = [(k, key, p, (now - dt.timedelta(seconds=age)).strftime("%Y-%m-%d %H:%M:%S")) for k, key, p, age in rows]
+    snap = spark.createDataFrame(data, "kind string, key bigint, payload string, fetched_at string").withColumn(
+        "fetched_at", F.col("fetched_at").cast("timestamp_ntz"))
+    latest_rows = snapshots.latest_snapshots(snap).collect()
+    got_latest = {(r.kind, r.key): (r.fetched_at.strftime("%Y-%m-%d %H:%M:%S"), r.payload) for r in latest_rows}
+    want_latest = {}
+    for k, key, p, ts in data:
+        want_latest[(k, key)] = max(want_latest.get((k, key), (ts, p)), (ts, p))
+    assert got_latest == want_latest
+
+    nowc = ntz_literal("2024-01-31 00:00:00")
+    fresh = {(r.kind, r.key) for r in snapshots.snapshot_freshness(snapshots.latest_snapshots(snap), nowc).collect() if r.is_fresh}
+    want_fresh = {kk for kk, (ts, _) in want_latest.items()
+                  if kk[0] in ("user", "game", "friend")
+                  and (now - dt.datetime.strptime(ts, "%Y-%m-%d %H:%M:%S")).total_seconds() < 36000}
+    assert fresh == want_fresh
+
+    wanted = snapshots.wanted_documents(spark.createDataFrame([(a,) for a in (1, 2, 3)], "account_id bigint"))
+    todo = {(r.kind, r.key) for r in snapshots.refresh_list(wanted, snap, nowc).collect()}
+    assert todo == {(k, a) for k in ("user", "game", "friend") for a in (1, 2, 3)} - want_fresh
