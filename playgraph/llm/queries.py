@@ -9,7 +9,10 @@ from pyspark.sql import functions as F
 
 from .packed_ids import matrix_segments, write_id_matrices
 from .packing_tiers import pack_tiers
+from .piece_codec import decode_pieces, encode_pieces
+from .reshard import reshard, rewrite_affected
 from .topk import exact_top_k
+from .toxicity import held_out, toxicity_score, train_toxicity
 from .url_filter import judge_urls
 
 URL_RULES = [
@@ -41,12 +44,42 @@ def op1_token_ids(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's piece ids and the text decoded from them, as digests."""
+    docs = _table(spark, sf_dir, "documents")
+    out = decode_pieces(encode_pieces(docs))
+    return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.crc32("text").alias("decoded_crc32"), F.length("text").cast("bigint").alias("decoded_chars"))
+
+
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Allow or block verdict of every page's url."""
     rules = spark.createDataFrame(URL_RULES, "host string, path string, verdict string")
     return judge_urls(_table(spark, sf_dir, "pages").select("page_id", "url"), rules).select("page_id", "host", "path", "rule", "verdict")
 
 
+def op4_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """All documents moved from 32 shards by source to 40 of equal bytes; rows read back from the rewritten shard files."""
+    docs = _table(spark, sf_dir, "documents").select("doc_id", "text", "source")
+    placed, plan = reshard(docs, F.pmod(F.crc32("source"), F.lit(32)).cast("int"), 40)
+    return rewrite_affected(placed, plan).select(
+        "doc_id",
+        "size",
+        F.crc32(F.coalesce("text", F.lit(""))).alias("text_crc32"),
+        F.lit("bytes").alias("law"),
+        "shard",
+        "slot",
+        F.lit(None).cast("int").alias("grown_shard"),
+    )
+
+
+def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Toxicity score and decision of every document."""
+    docs = _table(spark, sf_dir, "documents")
+    fm = train_toxicity(docs, _table(spark, sf_dir, "labels"))
+    scored = docs.select("doc_id", held_out(F.col("doc_id")).alias("held_out"), toxicity_score(fm, F.col("text")).alias("score"))
+    return scored.withColumn("predicted", (F.col("score") >= 0.3).cast("int"))
+
+
 def op9_packing(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Pieces of all documents in windows of 256 to 2048 tokens."""
     pieces = pack_tiers(_table(spark, sf_dir, "documents"))
@@ -60,7 +93,10 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
 
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
+    "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
+    "op4_reshard": op4_reshard,
+    "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
 }
