@@ -19,7 +19,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .shared import scratch_dir
-from .tokens import ChunkEncoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 SEGMENT = pa.struct([("row", pa.int32()), ("offset", pa.int32()), ("length", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64())])
 MATRIX = pa.schema([("matrix_id", pa.int64()), ("n_rows", pa.int32()), ("width", pa.int32()), ("id_bytes", pa.int32()), ("ids", pa.binary()), ("position_ids", pa.binary()), ("cu_seqlens", pa.list_(pa.list_(pa.int32()))), ("segments", pa.list_(SEGMENT))])
@@ -97,7 +97,7 @@ def _matrices(tokenizer: str, width: int, end_id: int, pad_id: int, block_tokens
             yield pa.RecordBatch.from_pylist([{"matrix_id": state["base"] + state["n"], "n_rows": len(part), "width": width, "id_bytes": kind.itemsize, "ids": ids.tobytes(), "position_ids": pos.tobytes(), "cu_seqlens": cu, "segments": segments}], MATRIX)
 
     def run(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         state = {"base": TaskContext.get().partitionId() << 32, "n": -1}
         pieces, tokens = [], 0
         end = np.array([end_id], "<u4").tobytes()

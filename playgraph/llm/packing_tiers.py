@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .tokens import ChunkEncoder, tokenizer_path
+from .tokens import tokenizer_path, worker_encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_id bigint"
 
@@ -114,7 +114,7 @@ def level_steps(costs: list[int], per_step: int) -> list[int]:
 
 def _packed(tokenizer: str, tiers: tuple[int, ...], end_id: int, block_tokens: int, step_tokens: int):
     def run(batches):
-        encoder = ChunkEncoder(tokenizer)
+        encoder = worker_encoder(tokenizer)
         base = TaskContext.get().partitionId() << 36
         windows: list[tuple] = []
         packer = TierPacker(tiers, lambda tier, pieces: windows.append((tier, pieces)))
