@@ -13,6 +13,7 @@ from .piece_codec import decode_pieces, encode_pieces
 from .reshard import reshard, rewrite_affected
 from .topk import exact_top_k
 from .toxicity import held_out, toxicity_score, train_toxicity
+from .vector_dups import near_vectors
 from .url_filter import judge_urls
 
 URL_RULES = [
@@ -72,6 +73,11 @@ def op4_reshard(spark: SparkSession, sf_dir: str) -> DataFrame:
     )
 
 
+def op5_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every embedding's number of links of cosine >= 0.9, its component and whether it stays."""
+    return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and decision of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -96,6 +102,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op2_sentencepiece": op2_sentencepiece,
     "op3_url_filter": op3_url_filter,
     "op4_reshard": op4_reshard,
+    "op5_vector_dups": op5_vector_dups,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
