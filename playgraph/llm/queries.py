@@ -7,6 +7,7 @@ from collections.abc import Callable
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .minhash_dups import near_documents
 from .packed_ids import matrix_segments, write_id_matrices
 from .packing_tiers import pack_tiers
 from .piece_codec import decode_pieces, encode_pieces
@@ -78,6 +79,11 @@ def op5_vector_dups(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_vectors(_table(spark, sf_dir, "embeddings"), threshold=0.9)
 
 
+def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document's near-duplicate component over 2-word shingles at a similarity of 0.8."""
+    return near_documents(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and decision of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -103,6 +109,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op3_url_filter": op3_url_filter,
     "op4_reshard": op4_reshard,
     "op5_vector_dups": op5_vector_dups,
+    "op6_minhash": op6_minhash,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
