@@ -12,6 +12,7 @@ from .packed_ids import matrix_segments, write_id_matrices
 from .packing_tiers import pack_tiers
 from .piece_codec import decode_pieces, encode_pieces
 from .reshard import reshard, rewrite_affected
+from .suffix_dups import cut_bytes, with_spans
 from .topk import exact_top_k
 from .toxicity import held_out, toxicity_score, train_toxicity
 from .vector_dups import near_vectors
@@ -84,6 +85,13 @@ def op6_minhash(spark: SparkSession, sf_dir: str) -> DataFrame:
     return near_documents(_table(spark, sf_dir, "documents"), shingle_words=2, percent=80)
 
 
+def op7_suffix_dedup(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Every document without the bytes of 100-byte strings that start earlier, as digests."""
+    docs = with_spans(_table(spark, sf_dir, "documents").select("doc_id", "text"), length=100)
+    cut = docs.select("doc_id", cut_bytes(F.col("__text"), F.col("__spans"), 100).alias("c"))
+    return cut.select("doc_id", "c.n_bytes", "c.n_removed", "c.n_spans", F.sha2("c.kept", 256).alias("kept_sha256"))
+
+
 def op8_toxicity(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Toxicity score and decision of every document."""
     docs = _table(spark, sf_dir, "documents")
@@ -110,6 +118,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op4_reshard": op4_reshard,
     "op5_vector_dups": op5_vector_dups,
     "op6_minhash": op6_minhash,
+    "op7_suffix_dedup": op7_suffix_dedup,
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
