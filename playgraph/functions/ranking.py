@@ -8,8 +8,11 @@ When the order key is unique within the group, the same 0-based position is
              + (row_number inside the group's own bucket) - 1
 
 with buckets ``k div width``.  A bucket holds at most ``width`` rows of a
-group (keys are unique), and the prefix table holds one row per non-empty
-(group, bucket), so every window stays bounded however large the group is.
+group (keys are unique).  On sparse keys there are nearly as many buckets as
+rows, so the bucket counts are summed up in the same way: within spans of
+``width`` buckets, plus the earlier spans of the group.  Every window so holds
+at most ``width`` rows for keys in a range of ``width`` cubed (2^48 by default;
+17-digit account ids lie in a range of 2^33).
 """
 
 from __future__ import annotations
@@ -31,41 +34,27 @@ def dense_position(
     out: str = "pos",
     bucket_width: int = DEFAULT_BUCKET_WIDTH,
     size: str | None = None,
-    bucket: str | None = None,
 ) -> DataFrame:
     """Add ``out``: 0-based position of ``key`` (ascending, unique per group),
     and with ``size`` also the group's row count.  ``key`` must be non-null
     and unique within its group (a primary key of the group's rows).
 
-    One shuffle of the data on (group, bucket): the per-bucket counts are the
-    largest in-bucket row number, aggregated on the already clustered rows
-    (no second scan of ``df``); only the small prefix table moves again.
-    ``bucket`` names an existing ``floor(key / bucket_width)`` column, e.g.
-    one the caller already partitioned on, so the window needs no exchange.
+    One shuffle of the data on (group, bucket); ``df`` is read a second time
+    for the bucket counts, which are partial sums before they move.
     """
-    rn = "__pg_rn"
-    if bucket is None:
-        bucket = "__pg_bucket"
-        withb = df.withColumn(bucket, bucket_of(key, bucket_width))
-    else:
-        withb = df
-    w_in = Window.partitionBy(*group_cols, bucket).orderBy(key)
-    ranked = withb.withColumn(rn, F.row_number().over(w_in))
-    counts = ranked.groupBy(*group_cols, bucket).agg(F.max(rn).alias("__pg_n"))
-    w_prefix = (
-        Window.partitionBy(*group_cols)
-        .orderBy(bucket)
-        .rowsBetween(Window.unboundedPreceding, -1)
-    )
-    extra = []
-    if size:
-        extra.append(F.sum("__pg_n").over(Window.partitionBy(*group_cols)).alias(size))
-    prefix = counts.select(
-        *group_cols,
-        bucket,
-        F.coalesce(F.sum("__pg_n").over(w_prefix), F.lit(0)).alias("__pg_before"),
-        *extra,
-    )
+    rn, bucket, span = "__pg_rn", "__pg_bucket", "__pg_span"
+    before = Window.unboundedPreceding, -1
+    withb = df.withColumn(bucket, bucket_of(key, bucket_width))
+    ranked = withb.withColumn(rn, F.row_number().over(Window.partitionBy(*group_cols, bucket).orderBy(key)))
+    counts = withb.groupBy(*group_cols, bucket).agg(F.count(F.lit(1)).alias("__pg_n"))
+    counts = counts.withColumn(span, F.floor(F.col(bucket) / F.lit(bucket_width)))
+    in_span = F.sum("__pg_n").over(Window.partitionBy(*group_cols, span).orderBy(bucket).rowsBetween(*before))
+    spans = counts.groupBy(*group_cols, span).agg(F.sum("__pg_n").alias("__pg_n"))
+    earlier = F.sum("__pg_n").over(Window.partitionBy(*group_cols).orderBy(span).rowsBetween(*before))
+    whole = [F.sum("__pg_n").over(Window.partitionBy(*group_cols)).alias(size)] if size else []
+    starts = spans.select(*group_cols, span, F.coalesce(earlier, F.lit(0)).alias("__pg_earlier"), *whole)
+    prefix = counts.withColumn("__pg_in", F.coalesce(in_span, F.lit(0))).join(starts, [*group_cols, span])
+    prefix = prefix.withColumn("__pg_before", F.col("__pg_earlier") + F.col("__pg_in")).drop("__pg_n", span, "__pg_earlier", "__pg_in")
     return (
         ranked.join(prefix, [*group_cols, bucket])
         .withColumn(out, (F.col("__pg_before") + F.col(rn) - 1).cast("int"))

@@ -6,6 +6,21 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
+from playgraph.operators.snapshots import latest_snapshots
+
+
+NEWS_DOC = "appnews struct<appid:bigint,newsitems:array<struct<gid:string,contents:string,date:bigint>>>"
+
+
+def news_from_snapshots(snapshot: DataFrame) -> DataFrame:
+    """app, news_id, body from the newest stored news document of each app.
+
+    Items whose id is no 64-bit integer, and documents that do not parse, give no row.
+    """
+    stored = latest_snapshots(snapshot.filter(F.col("kind") == "news"))
+    items = stored.select("key", F.explode(F.from_json("payload", NEWS_DOC)["appnews"]["newsitems"]).alias("item"))
+    news_id = F.col("item.gid").try_cast("bigint")
+    return items.select(F.col("key").alias("app"), news_id.alias("news_id"), F.col("item.contents").alias("body")).filter(F.col("news_id").isNotNull())
 
 
 def latest_news(news: DataFrame, per_app: int = S.NEWS_PER_APP, max_chars: int = S.NEWS_MAX_CHARS) -> DataFrame:

@@ -22,8 +22,9 @@ Scale notes:
   key): the candidates cross the network once, and the owned side, hashed
   on (account, appid), spreads even a huge library over many tasks.
 * A friend that sits in a third of all friend lists makes the edge side of
-  the ``friend_id`` join skewed; AQE's skew-join split handles it, and the
-  build side per key is ≤ 10 rows.
+  the ``friend_id`` join skewed.  Players and their top games meet first (≤ 10
+  rows per friend) and the edges are joined to that once; both sides of that
+  join have exchanges of their own, so AQE's skew-join split applies.
 """
 
 from __future__ import annotations
@@ -73,6 +74,23 @@ def friends_with_profile(friend_edge: DataFrame, profile: DataFrame, k: int) ->
     return edges.join(players, "friend_id")
 
 
+def own_exchange(key: str) -> Column:
+    """The same bigint key as a computed column.
+
+    A table that was just joined or ranked by ``key`` is already partitioned on
+    it, and a following join would run in that stage, where AQE does not split
+    skewed partitions.  Under a computed key the join shuffles both sides anew.
+    """
+    return F.col(key).bitwiseXOR(F.lit(0).cast("bigint"))
+
+
+def usable_top_games(profile: DataFrame, library: DataFrame, games_per_friend: int = S.GAMES_PER_FRIEND) -> DataFrame:
+    """friend_id, rank_in_friend, appid, name, playtime: the top games of every account that has a player."""
+    players = profile.filter(F.col("player_found")).select(F.col("account_id").alias("owner_id"))
+    top = top_games_per_owner(library, games_per_friend).join(players, "owner_id")
+    return top.select(own_exchange("owner_id").alias("friend_id"), "rank_in_friend", "appid", "name", "playtime")
+
+
 def candidate_games(
     friend_edge: DataFrame,
     profile: DataFrame,
@@ -83,9 +101,8 @@ def candidate_games(
     """account_id, friend_pos, friend_id, rank_in_friend, appid, name,
     playtime: every game one of the first ``k`` usable friends contributes
     (before exclusion)."""
-    friends = friends_with_profile(friend_edge, profile, k)
-    top = top_games_per_owner(library, games_per_friend)
-    return friends.join(top, friends.friend_id == top.owner_id).select(
+    friends = friend_edge.filter(F.col("pos") < k).select("account_id", F.col("pos").alias("friend_pos"), "friend_id")
+    return friends.join(usable_top_games(profile, library, games_per_friend), "friend_id").select(
         "account_id", "friend_pos", "friend_id", "rank_in_friend", "appid", "name", "playtime"
     )
 
@@ -171,7 +188,12 @@ def aggregate_wide(cands: DataFrame, mode: str, counts: Sequence[int]) -> DataFr
         raise ValueError(f"unknown mode {mode!r}")
     # Sum per (appid, name) with hash aggregation first; the second step
     # picks, per appid, the name seen last (few rows per group).
-    by_name = cands.groupBy(*keys, "name").agg(*aggs)
+    return merge_names(cands.groupBy(*keys, "name").agg(*aggs), counts)
+
+
+def merge_names(by_name: DataFrame, counts: Sequence[int]) -> DataFrame:
+    """``aggregate_wide`` by appid from its rows per (appid, name)."""
+    keys = ["account_id"] + [c for c in (APP_NULL, APP_KEY) if c in by_name.columns] + ["appid"]
     aggs2 = []
     for n in counts:
         aggs2 += [
@@ -254,11 +276,10 @@ def recommend(
     owned = library if owned is None else owned
     if account_id is not None:
         friend_edge = friend_edge.filter(F.col("account_id") == F.lit(account_id))
-        # One account's first K friends: at most K ids, a proven bound, so
-        # the set is broadcast into a semi-join that keeps only those
-        # friends' libraries before their top games are ranked.
+        # Only the account's first K friends' libraries are ranked; Spark picks
+        # the join by the measured size of the id list.
         friend_ids = friend_edge.filter(F.col("pos") < counts[-1]).select(F.col("friend_id").alias("account_id"))
-        library = library.join(F.broadcast(friend_ids), "account_id", "left_semi")
+        library = library.join(friend_ids, "account_id", "left_semi")
         owned = owned.filter(F.col("account_id") == F.lit(account_id))
     cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
     # Exclusion depends on (account, appid) only, so removing owned games
@@ -283,6 +304,30 @@ def recommend_sweep(
     return recommend(library, friend_edge, profile, mode=mode, top_n=top_n, sweep=friend_counts, owned=owned)
 
 
+def both_sweeps(library: DataFrame, friend_edge: DataFrame, profile: DataFrame, owned: DataFrame, store, friend_counts: Sequence[int] = S.SWEEP_FRIENDS, top_n: int | None = S.RECOMMENDATIONS) -> dict[str, DataFrame]:
+    """Both modes of the sweep from one stored aggregate per (account, appid, name).
+
+    ``store(df, name)`` writes a table and returns it read back.
+    """
+    counts = _counts(0, friend_counts)
+    cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
+    kept = _anti_owned(cands, owned)
+    largest, order, aggs = counts[-1], encounter_order(), []
+    for n in counts:
+        inside = F.lit(True) if n == largest else F.col("friend_pos") < n
+        aggs += [
+            F.sum(F.when(inside, F.col("playtime"))).cast("bigint").alias(f"__t{n}"),
+            F.min(F.when(inside, order)).alias(f"__f{n}"),
+            F.max(F.when(inside, order)).alias(f"__l{n}"),
+        ]
+    wide = store(kept.groupBy("account_id", APP_NULL, APP_KEY, "appid", "name").agg(*aggs), "sweep_totals")
+    modes = {"recommend_sweep": (BY_NAME, wide), "recommend_sweep_by_appid": (BY_APPID, merge_names(wide, counts))}
+    return {
+        name: rank_per_account(to_long(table, mode, counts, True), ["account_id", "friends"], top_n)
+        for name, (mode, table) in modes.items()
+    }
+
+
 def with_hours(recs: DataFrame) -> DataFrame:
     """Add ``hours`` (one decimal, Python rounding) and its display text."""
     return recs.withColumn("hours", hours_one_decimal("total_playtime")).withColumn(

@@ -7,12 +7,11 @@ work that grows with the log.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame
+from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgraph.functions.formats import fixed_decimals
 
-LABEL_FORM = "{engine}_recommendation_{friends}_friends_{cache}"
 # Comparison-table cells in display order: (engine, cache mode, column).
 COMPARISON_CELLS = (
     ("manual", "useCache", "manual_cached"),
@@ -59,22 +58,17 @@ def comparison_from_averages(a: DataFrame) -> DataFrame:
     """``run_comparison`` from per-label averages (label, avg_ms)."""
     parts = F.split("label", "_", -1)
     eligible = (F.size(parts) >= 4) & F.get(parts, 2).rlike("^[0-9]+$")
-    counts = a.filter(eligible).select(F.get(parts, 2).try_cast("bigint").alias("friends")).distinct()
-    cells = F.array(*[
-        F.struct(F.lit(e).alias("engine"), F.lit(c).alias("cache"), F.lit(name).alias("cell"))
-        for e, c, name in COMPARISON_CELLS
-    ])
-    grid = counts.select("friends", F.explode(cells).alias("c")).select(
-        "friends",
-        F.col("c.cell").alias("cell"),
-        F.concat(
-            F.col("c.engine"), F.lit("_recommendation_"), F.col("friends").cast("string"),
-            F.lit("_friends_"), F.col("c.cache"),
-        ).alias("label"),
-    )
-    joined = grid.join(a.select("label", "avg_ms"), "label", "left")
+    # A cell's label has a friend count of its own, so one pass over the labels
+    # fills the grid: group by that count, and take each cell where it is exact.
+    friends = F.get(parts, 2).try_cast("bigint")
     names = [name for _, _, name in COMPARISON_CELLS]
-    wide = joined.groupBy("friends").pivot("cell", names).agg(F.first("avg_ms")).fillna(0.0, subset=names)
+    rows = a.filter(eligible & friends.isNotNull()).select("label", "avg_ms", friends.alias("friends"))
+
+    def cell(engine, cache):
+        exact = F.concat(F.lit(f"{engine}_recommendation_"), F.col("friends").cast("string"), F.lit(f"_friends_{cache}"))
+        return F.max(F.when(F.col("label") == exact, F.col("avg_ms")))
+
+    wide = rows.groupBy("friends").agg(*[F.coalesce(cell(e, c), F.lit(0.0)).alias(name) for e, c, name in COMPARISON_CELLS])
     text = F.format_string(
         "%-10d%-18s%-20s%-18s%s", F.col("friends"), *[fixed_decimals(n, 3) for n in names]
     )
@@ -106,10 +100,38 @@ def append_resource_averages(samples: DataFrame, path: str) -> None:
     resource_averages(samples).select(F.col("line").alias("value")).write.mode("append").text(path)
 
 
-def write_summary(run_log: DataFrame, path: str) -> None:
-    """Both report sections, overwritten as one text report folder."""
-    avg = run_averages(run_log).orderBy("label").select(F.col("line").alias("value"))
-    cmp_ = run_comparison(run_log).orderBy("friends").select(F.col("line").alias("value"))
-    avg.write.mode("overwrite").text(path + "/averages")
-    cmp_.write.mode("overwrite").text(path + "/comparison")
+AVERAGES_TITLE = "=== Individual Averages ==="
+COMPARISON_TITLE = "=== Comparison Table (Manual vs Spark with/without cache) ==="
+COMPARISON_HEADER = f"{'Friends':<10}{'Manual (Cached)':<18}{'Manual (No Cache)':<20}{'Spark (Cached)':<18}{'Spark (No Cache)'}"
+
+
+def summary_lines(averages: DataFrame) -> DataFrame:
+    """line_no, value: the whole report from per-label averages (title, averages by label, empty line, title,
+    header, rule, comparison rows by friend count).
 
+    Lines carry ordering keys, so the one sort is over the few report lines.
+    """
+    spark = averages.sparkSession
+    fixed = spark.createDataFrame(
+        [
+            (0, "", 0, AVERAGES_TITLE),
+            (2, "", 0, ""),
+            (3, "", 0, COMPARISON_TITLE),
+            (4, "", 0, COMPARISON_HEADER),
+            (5, "", 0, "-" * (len(COMPARISON_HEADER) + 1)),
+        ],
+        "section int, label string, friends bigint, value string",
+    )
+    avg = averages_text(averages).select(F.lit(1).alias("section"), "label", F.lit(0).cast("bigint").alias("friends"), F.col("line").alias("value"))
+    rows = comparison_from_averages(averages).select(F.lit(6).alias("section"), F.lit("").alias("label"), "friends", F.col("line").alias("value"))
+    order = Window.orderBy("section", "label", "friends")  # a report of a few lines
+    return fixed.union(avg).union(rows).select(F.row_number().over(order).alias("line_no"), "value")
+
+
+def write_summary(run_log: DataFrame, path: str) -> None:
+    """The report, overwritten as one text folder (one file, in order); the log is read once."""
+    averages = label_averages(run_log).persist()
+    try:
+        summary_lines(averages).orderBy("line_no").select("value").coalesce(1).write.mode("overwrite").text(path)
+    finally:
+        averages.unpersist()

@@ -7,6 +7,7 @@ take the latest row per (kind, key).
 
 from __future__ import annotations
 
+import math
 from collections.abc import Sequence
 
 from pyspark.sql import Column, DataFrame
@@ -43,6 +44,15 @@ def _ttl(ttl_seconds) -> Column:
     return F.lit(float(ttl_seconds))
 
 
+def newest_times(snapshot: DataFrame) -> DataFrame:
+    """kind, key, fetched_at of the newest document per (kind, key).
+
+    Reads no payload; the one fixed-width maximum is a hash aggregate with a
+    map-side partial step.
+    """
+    return snapshot.groupBy("kind", "key").agg(F.max("fetched_at").alias("fetched_at"))
+
+
 def snapshot_freshness(
     latest: DataFrame,
     now: Column,
@@ -60,6 +70,25 @@ def snapshot_freshness(
     )
 
 
+def fresh_keys(
+    snapshot: DataFrame,
+    now: Column,
+    ttl_seconds: float | dict = S.CACHE_TTL_SECONDS,
+    kinds: Sequence[str] = S.CACHED_KINDS,
+) -> DataFrame:
+    """kind, key, fetched_at of the documents that are fresh.
+
+    A key is fresh exactly when one of its rows is younger than the ttl, so old
+    rows and unknown kinds leave at the scan: ``fetched_at`` is compared with a
+    constant (the longest ttl back from ``now``) that Parquet statistics can
+    use, and the exact test per kind follows.
+    """
+    longest = max([float(v) for v in ttl_seconds.values()] + [S.CACHE_TTL_SECONDS]) if isinstance(ttl_seconds, dict) else float(ttl_seconds)
+    oldest = now - F.expr(f"INTERVAL '{math.ceil(longest)}' SECOND")
+    recent = snapshot.filter(F.col("kind").isin(*kinds) & (F.col("fetched_at") >= oldest))
+    return snapshot_freshness(newest_times(recent), now, ttl_seconds, kinds).filter("is_fresh").select("kind", "key", "fetched_at")
+
+
 def refresh_list(
     wanted: DataFrame,
     snapshot: DataFrame,
@@ -68,14 +97,16 @@ def refresh_list(
 ) -> DataFrame:
     """kind, key of every wanted document without a fresh snapshot (the
     fetch list for an external fetcher).  Hits are the ``left_semi``."""
-    fresh = snapshot_freshness(latest_snapshots(snapshot), now, ttl_seconds).filter("is_fresh")
+    fresh = fresh_keys(snapshot, now, ttl_seconds)
     return wanted.select("kind", "key").join(fresh.select("kind", "key"), ["kind", "key"], "left_anti")
 
 
-def cache_hits(wanted: DataFrame, snapshot: DataFrame, now: Column, ttl_seconds: float = S.CACHE_TTL_SECONDS) -> DataFrame:
-    """kind, key, payload of wanted documents served from fresh snapshots."""
-    fresh = snapshot_freshness(latest_snapshots(snapshot), now, ttl_seconds).filter("is_fresh")
-    return wanted.select("kind", "key").join(fresh.select("kind", "key", "payload"), ["kind", "key"])
+def cache_hits(wanted: DataFrame, snapshot: DataFrame, now: Column, ttl_seconds: float | dict = S.CACHE_TTL_SECONDS) -> DataFrame:
+    """kind, key, payload of wanted documents served from fresh snapshots; payloads are read for hits only."""
+    hits = wanted.select("kind", "key").join(fresh_keys(snapshot, now, ttl_seconds), ["kind", "key"])
+    docs = snapshot.join(hits.distinct(), ["kind", "key", "fetched_at"])
+    newest = docs.groupBy("kind", "key").agg(F.max("payload").alias("payload"))
+    return wanted.select("kind", "key").join(newest, ["kind", "key"])
 
 
 def wanted_documents(accounts: DataFrame, kinds: Sequence[str] = S.CACHED_KINDS) -> DataFrame:
@@ -86,5 +117,10 @@ def wanted_documents(accounts: DataFrame, kinds: Sequence[str] = S.CACHED_KINDS)
 
 
 def append_snapshots(docs: DataFrame, path: str) -> None:
-    """Append fetched documents, partitioned by kind (prunes per-kind reads)."""
+    """Append fetched documents, partitioned by kind (prunes per-kind reads).
+
+    The one way into the table, for batch jobs and the streaming ingest alike,
+    so that every reader sees every row.  A batch that is written again after a
+    failure repeats rows, which the latest-per-key reads collapse.
+    """
     docs.select("kind", "key", "payload", "fetched_at").write.mode("append").partitionBy("kind").parquet(path)

@@ -15,7 +15,6 @@ import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
-from playgraph import schema as S
 from playgraph.operators import library as lib_ops
 from playgraph.operators import network, profile as profile_ops, recommend as rec, status
 from playgraph.session import ensure_checkpoint_dir
@@ -29,7 +28,7 @@ def materialize(df: DataFrame, name: str, root: str | None = None, sort_by: list
     path = os.path.join(base, name)
     out = df.sortWithinPartitions(*sort_by) if sort_by else df
     out.write.mode("overwrite").parquet(path)
-    return spark.read.parquet(path)
+    return spark.read.schema(df.schema).parquet(path)
 
 
 def run_reports(
@@ -51,8 +50,7 @@ def run_reports(
     prof = materialize(profile, "profile", table_root, ["account_id"])
     own = lib if owned is None else materialize(owned, "owned", table_root, ["account_id"])
     reports = {
-        "recommend_sweep": rec.recommend_sweep(lib, edges, prof, S.SWEEP_FRIENDS, owned=own),
-        "recommend_sweep_by_appid": rec.recommend_sweep(lib, edges, prof, S.SWEEP_FRIENDS, mode=rec.BY_APPID, owned=own),
+        **rec.both_sweeps(lib, edges, prof, own, lambda df, name: materialize(df, name, table_root)),
         "friends_used": rec.friends_used(edges, prof),
         "friend_network": network.friend_network(edges, prof),
         "profile_summary": profile_ops.profile_summary(prof),

@@ -34,7 +34,7 @@ cust AS (
 friend_edge AS (
   SELECT s.account_id, CAST(s.k - 1 AS INTEGER) AS pos, t.account_id AS friend_id
   FROM (SELECT account_id, nation, r, n,
-               unnest(generate_series(1, least(50, n - 1))) AS k FROM cust) s
+               unnest(generate_series(1, least(60, n - 1))) AS k FROM cust) s
   JOIN cust t ON t.nation = s.nation AND t.r = (s.r + s.k) % s.n
 ),
 first_order AS (
@@ -116,8 +116,7 @@ agg AS (
 )"""
     ranked = f"""
 kept AS (
-  SELECT * FROM agg a WHERE NOT EXISTS (
-    SELECT 1 FROM {owned} o WHERE o.account_id = a.account_id AND o.appid IS NOT DISTINCT FROM a.appid)
+  SELECT a.* FROM agg a ANTI JOIN {owned} o ON o.account_id = a.account_id AND o.appid = a.appid
 ),
 ranked AS (
   SELECT {keys}, CAST(row_number() OVER (PARTITION BY {keys} ORDER BY total_playtime DESC, first_seen)
@@ -133,7 +132,7 @@ OWNED_WITH_FRIENDS = """
 owned_all AS (
   SELECT account_id, appid FROM library
   UNION ALL
-  SELECT e.account_id, l.appid FROM friend_edge e JOIN library l ON l.account_id = e.friend_id
+  SELECT e.account_id, t.appid FROM friend_edge e JOIN top10 t ON t.owner_id = e.friend_id
   WHERE e.pos < 10
 )"""
 
@@ -207,9 +206,10 @@ FROM ({_recommend()}) r"""
     q["recommend_empty"] = _recommend_empty()
     q["top10_per_friend"] = _with() + """
 SELECT owner_id AS account_id, rank_in_friend, pos, appid, name, playtime FROM top10"""
+    # Appids are never null in the test tables, so a plain anti-join is the null-safe one.
     q["owned_exclusion"] = _with(_friends(10), _cands(False)) + """
-SELECT * FROM cands c WHERE NOT EXISTS (
-  SELECT 1 FROM library l WHERE l.account_id = c.account_id AND l.appid IS NOT DISTINCT FROM c.appid)"""
+SELECT c.* FROM cands c
+ANTI JOIN (SELECT DISTINCT account_id, appid FROM library) l ON l.account_id = c.account_id AND l.appid = c.appid"""
     q["friends_used"] = _with(_friends(10)) + """
 SELECT account_id, string_agg(friend_name, chr(10) ORDER BY friend_pos) AS friends_used,
        count(*) AS friends_used_count
@@ -225,21 +225,56 @@ WHERE e.pos < 10"""
 SELECT account_id, count(*) AS friends_shown FROM friend_edge WHERE pos < 10 GROUP BY account_id"""
     q["profile_summary"] = _profile_summary()
     q["profile_summary_from_documents"] = _profile_summary()
-    q["account_status"] = _with(_friends(10), _cands(False)) + """
+    q["account_status"] = _with() + """,
+s_library AS (
+  SELECT account_id, CASE WHEN account_id % 11 = 2 THEN 0 ELSE playtime_min END AS playtime_min
+  FROM library WHERE account_id % 11 > 1
+),
+s_friends AS (SELECT * FROM friend_edge WHERE account_id % 9 > 1),
+s_profile AS (SELECT * FROM profile WHERE account_id % 8 <> 0),
+s_cands AS (
+  SELECT DISTINCT e.account_id FROM s_friends e
+  JOIN s_profile p ON p.account_id = e.friend_id AND p.player_found
+  JOIN (SELECT DISTINCT account_id FROM s_library) o ON o.account_id = e.friend_id
+  WHERE e.pos < 10
+)
 SELECT c.c_custkey AS account_id,
   CASE WHEN p.account_id IS NULL THEN 'NO_DATA' WHEN NOT p.player_found THEN 'NO_PROFILE' ELSE 'OK' END
     AS profile_status,
-  CASE WHEN l.account_id IS NULL THEN 'NO_GAMES' ELSE 'OK' END AS library_status,
-  CASE WHEN f.account_id IS NULL THEN 'NO_FRIENDS' ELSE 'OK' END AS friends_status,
+  CASE WHEN c.c_custkey % 11 = 0 THEN 'NO_DATA' WHEN l.account_id IS NULL THEN 'NO_GAMES'
+       WHEN l.most <= 0 THEN 'NO_PLAYTIME' ELSE 'OK' END AS library_status,
+  CASE WHEN c.c_custkey % 9 = 0 THEN 'NO_DATA' WHEN f.account_id IS NULL THEN 'NO_FRIENDS' ELSE 'OK' END
+    AS friends_status,
   CASE WHEN k.account_id IS NULL THEN 'NO_CANDIDATES' ELSE 'OK' END AS recommend_status
 FROM (SELECT DISTINCT c_custkey FROM customer) c
-LEFT JOIN profile p ON p.account_id = c.c_custkey
-LEFT JOIN (SELECT DISTINCT account_id FROM library) l ON l.account_id = c.c_custkey
-LEFT JOIN (SELECT DISTINCT account_id FROM friend_edge) f ON f.account_id = c.c_custkey
-LEFT JOIN (SELECT DISTINCT account_id FROM cands) k ON k.account_id = c.c_custkey"""
+LEFT JOIN s_profile p ON p.account_id = c.c_custkey
+LEFT JOIN (SELECT account_id, max(playtime_min) AS most FROM s_library GROUP BY account_id) l ON l.account_id = c.c_custkey
+LEFT JOIN (SELECT DISTINCT account_id FROM s_friends) f ON f.account_id = c.c_custkey
+LEFT JOIN s_cands k ON k.account_id = c.c_custkey"""
+    damaged = ("""
+d_library AS (SELECT * FROM library WHERE account_id % 10 <> 3)""", """
+d_top10 AS (SELECT * FROM top10 WHERE owner_id % 10 <> 3)""", """
+friends AS (
+  SELECT e.account_id, e.pos AS friend_pos, e.friend_id
+  FROM friend_edge e JOIN profile p ON p.account_id = e.friend_id AND p.player_found
+  WHERE e.pos < 10 AND e.pos % 7 <> 3 AND e.friend_id % 6 <> 0
+)""", """
+agg AS (
+  SELECT f.account_id, t.appid, t.name, CAST(sum(t.playtime) AS BIGINT) AS total_playtime,
+         min(f.friend_pos * 100 + t.rank_in_friend) AS first_seen
+  FROM friends f JOIN d_top10 t ON t.owner_id = f.friend_id
+  GROUP BY f.account_id, t.appid, t.name
+)""", """
+ranked AS (
+  SELECT a.account_id, CAST(row_number() OVER (PARTITION BY a.account_id ORDER BY total_playtime DESC, first_seen)
+         AS INTEGER) AS rank, a.appid, a.name, a.total_playtime
+  FROM agg a ANTI JOIN d_library o ON o.account_id = a.account_id AND o.appid = a.appid
+)""")
+    q["recommend_from_damaged_documents"] = _with(*damaged) + """
+SELECT account_id, rank, appid, name, total_playtime FROM ranked WHERE rank <= 10"""
     q["account_selection"] = _profile_summary(
-        "WHERE account_id IN (SELECT CAST(CAST(user_id AS VARCHAR) AS BIGINT) FROM events "
-        "WHERE regexp_full_match(CAST(user_id AS VARCHAR), '[0-9]{1,18}'))"
+        "WHERE account_id IN (SELECT TRY_CAST(CAST(user_id AS VARCHAR) AS BIGINT) FROM events "
+        "WHERE regexp_full_match(CAST(user_id AS VARCHAR), '[0-9]+'))"
     )
     q["library_explode"] = _with() + "\nSELECT account_id, pos, appid, name, playtime_min FROM library"
     q["game_defaults"] = _with() + "\nSELECT owner_id AS account_id, pos, appid, name, playtime FROM games"
@@ -305,6 +340,19 @@ SELECT label, round(avg(cpu_pct), 6) AS avg_cpu_pct, round(avg(rss_mb), 6) AS av
        label || ': AVG_CPU=' || printf('%.2f', avg(cpu_pct)) || '% AVG_MEM=' || printf('%.2f', avg(rss_mb))
          || 'MB over ' || count(*) || ' samples' AS line
 FROM samples GROUP BY label"""
+    q["runlog_sink"] = q["runlog_parse"]
+    q["resource_sink"] = f"SELECT line AS value FROM ({q['resource_averages']}) r"
+    header = "printf('%-10s%-18s%-20s%-18s%s', 'Friends', 'Manual (Cached)', 'Manual (No Cache)', 'Spark (Cached)', 'Spark (No Cache)')"
+    q["summary_report"] = f"""
+SELECT line AS value FROM ({q['runlog_averages']}) a
+UNION ALL SELECT line FROM ({q['runlog_comparison']}) c
+UNION ALL SELECT unnest(['=== Individual Averages ===', '', '=== Comparison Table (Manual vs Spark with/without cache) ===',
+                         {header}, repeat('-', length({header}) + 1)])"""
+    q["news_from_snapshots"] = """
+SELECT app, rank, news_id, contents, CAST(length(contents) AS BIGINT) AS body_chars FROM (
+  SELECT TRY_CAST(substr(source, 4) AS BIGINT) AS app, doc_id AS news_id, substring(text, 1, 300) AS contents,
+         CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS INTEGER) AS rank
+  FROM documents WHERE regexp_full_match(source, 'src[0-9]+')) WHERE rank <= 3"""
     q["news_latest3"] = """
 SELECT app, rank, news_id, contents, body_chars FROM (
   SELECT source AS app, doc_id AS news_id, substring(text, 1, 300) AS contents,

@@ -6,6 +6,7 @@ Each query reads the parquet test tables, maps them to the canonical tables
 
 from __future__ import annotations
 
+import uuid
 from collections.abc import Callable
 from functools import cached_property
 
@@ -15,6 +16,8 @@ from pyspark.sql import functions as F
 from playgraph import schema as S
 from playgraph.operators import library as lib_ops
 from playgraph.operators import network, news, profile as profile_ops, recommend as rec, runlog, snapshots, status
+from playgraph.plans.batch import materialize
+from playgraph.session import ensure_checkpoint_dir
 from playgraph.sources import documents, testmap, text
 from playgraph.sources.tables import Tables
 
@@ -22,23 +25,36 @@ ONE_ACCOUNT = 42  # the account of the single-account query
 
 
 class Canonical:
-    """Canonical tables derived from one scale factor's test tables."""
+    """Canonical tables derived from one scale factor's test tables.
+
+    Library and owned pairs both start from one stored pair table, so a query
+    reads and joins the order lines once.
+    """
 
     def __init__(self, spark: SparkSession, sf_dir: str):
+        self.spark = spark
         self.t = Tables(spark, sf_dir)
 
+    @cached_property
+    def pairs(self) -> DataFrame:
+        return materialize(testmap.played(self.t), "played")
+
     @cached_property
     def library(self) -> DataFrame:
-        return testmap.library(self.t)
+        return testmap.library(self.t, pairs=self.pairs)
 
     @cached_property
     def owned(self) -> DataFrame:
-        return testmap.owned_games(self.t)
+        return self.pairs.select("account_id", "appid")
 
     @cached_property
     def friend_edge(self) -> DataFrame:
         return testmap.friend_edge(self.t)
 
+    def first_friends(self, k: int) -> DataFrame:
+        """Friend lists of at most ``k + 1`` entries: all that an operator using the first ``k`` needs."""
+        return testmap.friend_edge(self.t, list_len=k + 1)
+
     @cached_property
     def profile(self) -> DataFrame:
         return testmap.profile(self.t)
@@ -64,18 +80,26 @@ def _c(spark: SparkSession, sf_dir: str) -> Canonical:
 # --- recommendations ---------------------------------------------------------
 
 def recommend_one(spark, sf_dir):
+    """One account: its friends are found first, and only their orders and its own are read further."""
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, account_id=ONE_ACCOUNT, owned=c.owned)
+    mine = c.first_friends(S.FRIENDS_USED).filter(F.col("account_id") == ONE_ACCOUNT)
+    edges = materialize(mine, "friends_of_one")
+    ids = edges.select(F.col("friend_id").alias("account_id")).union(
+        c.accounts.filter(F.col("account_id") == ONE_ACCOUNT).select("account_id")
+    )
+    pairs = materialize(testmap.played(c.t, accounts=ids), "played_by_friends")
+    lib = testmap.library(c.t, pairs=pairs)
+    return rec.recommend(lib, edges, c.profile, account_id=ONE_ACCOUNT, owned=pairs.select("account_id", "appid"))
 
 
 def recommend_all_k10(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned)
+    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, owned=c.owned)
 
 
 def recommend_rank(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, top_n=None, owned=c.owned)
+    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, top_n=None, owned=c.owned)
 
 
 def recommend_sweep(spark, sf_dir):
@@ -90,7 +114,7 @@ def recommend_sweep_by_appid(spark, sf_dir):
 
 def recommend_by_appid(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, mode=rec.BY_APPID, owned=c.owned)
+    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, mode=rec.BY_APPID, owned=c.owned)
 
 
 def recommend_hours(spark, sf_dir):
@@ -109,7 +133,7 @@ def recommend_empty(spark, sf_dir):
         .select("account_id", "appid")
     )
     owned = c.owned.unionByName(friends_games)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=owned)
+    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, owned=owned)
 
 
 def top10_per_friend(spark, sf_dir):
@@ -149,9 +173,9 @@ def profile_summary(spark, sf_dir):
 
 def account_status(spark, sf_dir):
     c = _c(spark, sf_dir)
-    # Only "has games" is read from the library, so the owned pairs (same
-    # accounts, no positions or names to derive) stand in for it.
-    return status.account_status(c.accounts, c.profile, c.owned, c.friend_edge)
+    # Only game counts and playtimes are read from the library, so the stored
+    # pairs (no positions or names to derive) stand in for it.
+    return status.account_status(c.accounts, **testmap.status_inputs(c.t, c.pairs, c.first_friends(10), c.profile))
 
 
 def account_selection(spark, sf_dir):
@@ -174,11 +198,31 @@ def recommend_from_documents(spark, sf_dir):
     explicit document schemas and exploded, then recommended on."""
     c = _c(spark, sf_dir)
     lib = documents.library_from_pages(documents.library_documents(c.library))
-    edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge))
+    edges = documents.friend_edge_from_pages(documents.friend_documents(c.first_friends(10)))
     prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
     return rec.recommend(lib, edges, prof, k=10)
 
 
+def recommend_from_damaged_documents(spark, sf_dir):
+    """As ``recommend_from_documents``, with a fixed share of damaged input:
+    profiles of accounts divisible by 6 and libraries of accounts ending in 3
+    do not parse, and every friend entry at position 3, 10, 17, ... holds an id
+    that is no 64-bit integer.  Damaged documents and entries count as absent."""
+    c = _c(spark, sf_dir)
+    acc = F.col("account_id")
+
+    def damaged(docs, where):
+        return docs.withColumn("payload", F.when(where, F.lit('{"response": {broken')).otherwise(F.col("payload")))
+
+    lib_docs = damaged(documents.library_documents(c.library), F.pmod(acc, F.lit(10)) == 3)
+    lib = documents.library_from_pages(lib_docs)
+    bad_id = F.when(F.pmod("pos", F.lit(7)) == 3, F.lit("99999999999999999999")).otherwise(F.col("friend_id").cast("string"))
+    edges = documents.friend_edge_from_pages(documents.friend_documents(c.first_friends(10).withColumn("friend_id", bad_id)))
+    prof_docs = damaged(documents.profile_documents(c.profile), F.pmod(acc, F.lit(6)) == 0)
+    prof = documents.profile_from_documents(documents.parse_payload(prof_docs, "user"))
+    return rec.recommend(lib, edges, prof, k=10)
+
+
 def profile_summary_from_documents(spark, sf_dir):
     c = _c(spark, sf_dir)
     prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
@@ -213,7 +257,7 @@ def snapshot_latest(spark, sf_dir):
 
 def snapshot_fresh(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return snapshots.snapshot_freshness(snapshots.latest_snapshots(c.snapshot), testmap.snapshot_now()).select(
+    return snapshots.snapshot_freshness(snapshots.newest_times(c.snapshot), testmap.snapshot_now()).select(
         "kind", "key", "fetched_at", "age_seconds", "is_fresh"
     )
 
@@ -262,6 +306,40 @@ def news_latest3(spark, sf_dir):
     return news.latest_news(testmap.news(c.t))
 
 
+def news_from_snapshots(spark, sf_dir):
+    """The newest items of each app, read from stored news documents."""
+    c = _c(spark, sf_dir)
+    return news.latest_news(news.news_from_snapshots(testmap.news_snapshot(c.t)))
+
+
+# --- sinks: written to the shared folder and read back ----------------------------------
+
+def _sink_dir(spark, name):
+    return f"{ensure_checkpoint_dir(spark)}/sinks/{uuid.uuid4().hex}/{name}"
+
+
+def runlog_sink(spark, sf_dir):
+    """Timing lines appended to a log folder and parsed again."""
+    path = _sink_dir(spark, "runlog")
+    text.append_run_log(_c(spark, sf_dir).run_log, path)
+    parsed, _ = text.parse_run_log(text.read_lines(spark, path))
+    return parsed
+
+
+def summary_report(spark, sf_dir):
+    """The summary report's lines, written and read again."""
+    path = _sink_dir(spark, "summary")
+    runlog.write_summary(_c(spark, sf_dir).run_log, path)
+    return text.read_lines(spark, path)
+
+
+def resource_sink(spark, sf_dir):
+    """Resource average lines appended to a log folder and read again."""
+    path = _sink_dir(spark, "resources")
+    runlog.append_resource_averages(testmap.resource_sample(_c(spark, sf_dir).t), path)
+    return text.read_lines(spark, path)
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     f.__name__: f
     for f in [
@@ -273,5 +351,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
         most_played, snapshot_latest, snapshot_fresh, snapshot_refresh_list, snapshot_refresh_list_nocache,
         snapshot_cache_hits,
         runlog_parse, runlog_averages, runlog_comparison, resource_averages, news_latest3,
+        recommend_from_damaged_documents, news_from_snapshots, runlog_sink, summary_report, resource_sink,
     ]
 }

@@ -69,6 +69,7 @@ RESOURCE_SAMPLE = T.StructType(
         T.StructField("rss_mb", T.DoubleType()),
     ]
 )
+
 RECOMMENDATION = T.StructType(
     [
         T.StructField("account_id", T.LongType()),
@@ -93,7 +94,6 @@ LATEST_TTL_SECONDS = 0.5      # "latest" mode
 NEWS_PER_APP = 3
 NEWS_MAX_CHARS = 300
 CACHED_KINDS = ("user", "game", "friend")  # kinds the freshness check knows
-SNAPSHOT_KINDS = ("user", "game", "friend", "news")
 DEFAULT_NAME = "Unknown"
 DEFAULT_TITLE_NAME = "Unknown User"
 DEFAULT_COUNTRY_PROFILE = "?"
@@ -105,14 +105,11 @@ TITLE_PREFIX = "Profile Summary for "
 HOURS_SUFFIX = " hrs"
 # Profile link prefix: deployment setting, the account id is appended.
 PROFILE_URL_PREFIX = "https://community.example/profiles/"
-# Benchmark labels: engine and cache mode words, in comparison-table order.
-ENGINES = ("manual", "spark")
-CACHE_MODES = ("useCache", "noCache")
-
 # Status words of the account status table.
 OK = "OK"
 NO_DATA = "NO_DATA"
 NO_PROFILE = "NO_PROFILE"
 NO_GAMES = "NO_GAMES"
+NO_PLAYTIME = "NO_PLAYTIME"
 NO_FRIENDS = "NO_FRIENDS"
 NO_CANDIDATES = "NO_CANDIDATES"

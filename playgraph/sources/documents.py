@@ -3,8 +3,11 @@
 Documents are read with an explicit schema (no inference pass, and an empty
 ``games`` array keeps its element type).  The account key of a file is its
 name: ``{id}.json`` for profiles, ``games_{id}.json`` for libraries and
-``friends_{id}.json`` for friend lists.  Payload strings held in the
-``snapshot`` table go through the same parsers via ``from_json``.
+``friends_{id}.json`` for friend lists; a folder of that name (what
+``write_documents`` makes) counts like a file.  Payload strings held in the
+``snapshot`` table go through the same parsers via ``from_json``.  Files whose
+name or content is unusable are never dropped silently: ``document_rejects``
+lists them.
 """
 
 from __future__ import annotations
@@ -14,22 +17,25 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 
-# File-name patterns per document kind (group 1 is the account id).
-KEY_PATTERNS = {
-    "user": r"^([0-9]+)\.json$",
-    "game": r"^games_([0-9]+)\.json$",
-    "friend": r"^friends_([0-9]+)\.json$",
-}
+# File-name prefix per document kind; the account id follows.
+KEY_PREFIX = {"user": "", "game": "games_", "friend": "friends_", "news": "news_"}
+FOLDER = "document"  # partition column of written documents
 DOC_SCHEMAS = {"user": S.PROFILE_DOC, "game": S.LIBRARY_DOC, "friend": S.FRIENDS_DOC}
 CORRUPT = "_corrupt_record"
 
 
-def read_documents(spark: SparkSession, path: str, kind: str, multiline: bool = False) -> DataFrame:
-    """account_id + the document's top-level fields, one row per file.
+def document_file_name(kind: str, key: str = "account_id") -> Column:
+    """The file name of a key's document."""
+    return F.concat(F.lit(KEY_PREFIX[kind]), F.col(key).cast("string"), F.lit(".json"))
 
-    Malformed files come back with all fields null and the raw text in
-    ``_corrupt_record`` (PERMISSIVE mode); callers filter or report them.
-    """
+
+def _key_of(path: Column, kind: str) -> Column:
+    """The account id in a document's path (file or folder name); null when the name has none or it is no 64-bit integer."""
+    text = F.regexp_extract(path, rf"(?:^|/)(?:{FOLDER}=)?{KEY_PREFIX[kind]}([0-9]+)\.json(?:/[^/]*)?$", 1)
+    return text.try_cast("bigint")
+
+
+def _scan(spark: SparkSession, path: str, kind: str, multiline: bool) -> DataFrame:
     reader = (
         spark.read.schema(f"{DOC_SCHEMAS[kind]}, {CORRUPT} string")
         .option("mode", "PERMISSIVE")
@@ -37,27 +43,58 @@ def read_documents(spark: SparkSession, path: str, kind: str, multiline: bool =
         .option("multiLine", str(multiline).lower())
     )
     df = reader.json(path)
-    key = F.regexp_extract(F.col("_metadata.file_name"), KEY_PATTERNS[kind], 1)
-    return df.select(
-        F.when(key != "", key).cast("bigint").alias("account_id"), "*"
-    ).filter(F.col("account_id").isNotNull())
+    fields = [c for c in df.columns if c != FOLDER]
+    where = F.col("_metadata.file_path")
+    return df.select(_key_of(where, kind).alias("account_id"), where.alias("__path"), *fields)
+
+
+def read_documents(spark: SparkSession, path: str, kind: str, multiline: bool = False) -> DataFrame:
+    """account_id + the document's top-level fields, one row per document.
+
+    Malformed files come back with all fields null and the raw text in
+    ``_corrupt_record`` (PERMISSIVE mode); the canonical tables leave them out.
+    Files whose name holds no usable id are in ``document_rejects`` only.
+    """
+    return _scan(spark, path, kind, multiline).filter(F.col("account_id").isNotNull()).drop("__path")
+
+
+def document_rejects(spark: SparkSession, path: str, kind: str, multiline: bool = False) -> DataFrame:
+    """path, reason (``name`` or ``content``) of every file that gives no usable document."""
+    df = _scan(spark, path, kind, multiline)
+    # The reader refuses queries on the corrupt-record column alone, so a
+    # document field (null whenever the record is corrupt) is read beside it.
+    field = next(c for c in df.columns if c not in ("account_id", "__path", CORRUPT))
+    unreadable = F.col(CORRUPT).isNotNull() & F.col(field).isNull()
+    reason = F.when(F.col("account_id").isNull(), F.lit("name")).when(unreadable, F.lit("content"))
+    return df.select(F.col("__path").alias("path"), reason.alias("reason")).filter(F.col("reason").isNotNull())
 
 
 def parse_payload(df: DataFrame, kind: str, payload: str = "payload") -> DataFrame:
-    """Parse a JSON string column into the document's top-level fields."""
-    doc = F.from_json(F.col(payload), DOC_SCHEMAS[kind])
-    others = [c for c in df.columns if c != payload]
+    """Parse a JSON string column into the document's top-level fields, plus
+    the raw text of payloads that do not parse in ``_corrupt_record``."""
+    doc = F.from_json(
+        F.col(payload), f"{DOC_SCHEMAS[kind]}, {CORRUPT} string",
+        {"mode": "PERMISSIVE", "columnNameOfCorruptRecord": CORRUPT},
+    )
+    others = [c for c in df.columns if c not in (payload, CORRUPT)]
     return df.select(*others, doc.alias("__doc")).select(*others, "__doc.*")
 
 
+def _readable(docs: DataFrame) -> DataFrame:
+    """Documents that parsed (a corrupt one counts as not there)."""
+    return docs.filter(F.col(CORRUPT).isNull()) if CORRUPT in docs.columns else docs
+
+
 # --- documents -> canonical tables ------------------------------------------
 
 def profile_from_documents(docs: DataFrame) -> DataFrame:
     """account_id, player_found, persona, country, timecreated.
 
     A missing ``players`` (or ``response``) gives an all-default profile; an
-    empty ``players`` array means the account has no player.
+    empty ``players`` array means the account has no player.  A document that
+    does not parse gives no row: as a friend, its account is skipped.
     """
+    docs = _readable(docs)
     players = F.col("response.players")
     first = F.get(players, 0)
     found = ~(players.isNotNull() & (F.size(players) == 0))
@@ -73,7 +110,7 @@ def profile_from_documents(docs: DataFrame) -> DataFrame:
 def library_from_documents(docs: DataFrame) -> DataFrame:
     """account_id, pos, appid, name, playtime_min; documents without games
     yield no rows (their status is in ``library_status``)."""
-    exploded = docs.select("account_id", F.posexplode("response.games").alias("pos", "game"))
+    exploded = _readable(docs).select("account_id", F.posexplode("response.games").alias("pos", "game"))
     return exploded.select(
         "account_id",
         F.col("pos").cast("int").alias("pos"),
@@ -84,19 +121,34 @@ def library_from_documents(docs: DataFrame) -> DataFrame:
 
 
 def library_status(docs: DataFrame) -> DataFrame:
+    """account_id, library_status: NO_DATA (unreadable, or without a ``response`` or with an empty one),
+    NO_GAMES (empty list), NO_PLAYTIME (no game ever played) or OK."""
     games = F.col("response.games")
+    played = F.exists(games, lambda g: g["playtime_forever"] > 0)
     return docs.select(
         "account_id",
-        F.when(games.isNull() | (F.size(games) == 0), F.lit(S.NO_GAMES)).otherwise(F.lit(S.OK)).alias("library_status"),
+        F.when(games.isNull(), F.lit(S.NO_DATA))
+        .when(F.size(games) == 0, F.lit(S.NO_GAMES))
+        .when(~F.coalesce(played, F.lit(False)), F.lit(S.NO_PLAYTIME))
+        .otherwise(F.lit(S.OK)).alias("library_status"),
     )
 
 
 def friend_edge_from_documents(docs: DataFrame) -> DataFrame:
-    exploded = docs.select("account_id", F.posexplode("friendslist.friends").alias("pos", "f"))
+    """account_id, pos, friend_id; an id that is no 64-bit integer is null (``bad_friend_ids`` lists it) and joins nothing."""
+    exploded = _readable(docs).select("account_id", F.posexplode("friendslist.friends").alias("pos", "f"))
     return exploded.select(
         "account_id",
         F.col("pos").cast("int").alias("pos"),
-        F.col("f.steamid").cast("bigint").alias("friend_id"),
+        F.col("f.steamid").try_cast("bigint").alias("friend_id"),
+    )
+
+
+def bad_friend_ids(docs: DataFrame) -> DataFrame:
+    """account_id, pos, value of friend entries whose id is no 64-bit integer."""
+    exploded = _readable(docs).select("account_id", F.posexplode("friendslist.friends").alias("pos", "f"))
+    return exploded.filter(F.col("f.steamid").try_cast("bigint").isNull()).select(
+        "account_id", F.col("pos").cast("int").alias("pos"), F.col("f.steamid").alias("value")
     )
 
 
@@ -181,7 +233,7 @@ def friend_edge_from_pages(pages: DataFrame, page_size: int = 1000) -> DataFrame
     parsed = parse_payload(pages, "friend")
     exploded = parsed.select("account_id", "page", F.posexplode("friendslist.friends").alias("i", "f"))
     return exploded.select(
-        "account_id", _unpage(page_size), F.col("f.steamid").cast("bigint").alias("friend_id")
+        "account_id", _unpage(page_size), F.col("f.steamid").try_cast("bigint").alias("friend_id")
     )
 
 
@@ -190,6 +242,12 @@ def library_roundtrip(library: DataFrame, page_size: int = 1000) -> DataFrame:
     return library_from_pages(library_documents(library, page_size), page_size)
 
 
-def write_documents(docs: DataFrame, path: str, mode: str = "overwrite") -> None:
-    """Write ``payload`` strings as JSON-lines text (one document per line)."""
-    docs.select("payload").write.mode(mode).text(path)
+def write_documents(docs: DataFrame, path: str, kind: str, mode: str = "overwrite") -> None:
+    """Write one document per account (``account_id, payload``) under its file name.
+
+    The name becomes a folder (``document=games_7.json/``) that
+    ``read_documents`` resolves to the key again.  Pages of one account must be
+    joined before (``page_size`` above the longest list): a page has no name of its own.
+    """
+    named = docs.select(document_file_name(kind).alias(FOLDER), "payload")
+    named.write.mode(mode).partitionBy(FOLDER).text(path)

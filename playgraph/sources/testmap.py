@@ -11,12 +11,13 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import fixed_decimals
-from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, bucket_of, dense_position
+from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, dense_position
 from playgraph.functions.timecols import epoch_seconds, ntz_literal
+from playgraph.operators.news import latest_news
 from playgraph.sources.tables import Tables
 
 # Fixed values of the mapping.
-FRIEND_LIST_LEN = 50          # friend list length (longest sweep step)
+FRIEND_LIST_LEN = 60          # friend list length (longer than the longest sweep step, which so cuts)
 PERSONA_NULL_EVERY = 7        # c_custkey % 7 = 0 -> no persona
 COUNTRY_NULL_EVERY = 5        # c_custkey % 5 = 0 -> no country
 CREATED_ZERO_EVERY = 10       # c_custkey % 10 = 0 -> timecreated 0
@@ -26,39 +27,33 @@ CACHED_EVENT_TYPES = ("click", "view")   # -> "useCache", others "noCache"
 SNAPSHOT_NOW = "2024-01-31 00:00:00"
 
 
-def library(t: Tables, bucket_width: int = DEFAULT_BUCKET_WIDTH) -> DataFrame:
-    """account_id, pos, appid, name, playtime_min (one row per owned game).
+def played(t: Tables, accounts: DataFrame | None = None) -> DataFrame:
+    """account_id, appid, playtime_min: one row per owned game.
 
-    The joined lines are shuffled once on (account, appid bucket): that one
-    exchange serves the (account, appid) sum and the position windows.  Map
-    side combining is skipped on purpose: (customer, part) pairs are almost
-    unique per line, so a partial sum would not shrink the shuffle.  Names
-    join last, against the already summed rows.
+    The sum is partial + final on (account, appid), so a hot account's lines
+    are reduced map-side and its games spread over tasks.  ``accounts`` (column
+    account_id) restricts the orders before the lines are joined.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
-    lines = li.join(o, li.l_orderkey == o.o_orderkey).select(
-        "account_id", F.col("l_partkey").alias("appid"), "l_quantity"
-    )
-    bucket = "__lib_bucket"
-    played = (
-        lines.withColumn(bucket, bucket_of("appid", bucket_width))
-        .repartition("account_id", bucket)
-        .groupBy("account_id", bucket, "appid")
+    if accounts is not None:
+        o = o.join(accounts.select("account_id").distinct(), "account_id", "left_semi")
+    return (
+        li.join(o, li.l_orderkey == o.o_orderkey)
+        .groupBy("account_id", F.col("l_partkey").alias("appid"))
         .agg(F.sum("l_quantity").cast("bigint").alias("playtime_min"))
     )
-    lib = dense_position(played, ["account_id"], "appid", "pos", bucket_width, bucket=bucket)
-    names = t.part.select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
-    return lib.join(names, "appid", "left").select("account_id", "pos", "appid", "name", "playtime_min")
 
 
-def owned_games(t: Tables) -> DataFrame:
-    """account_id, appid: the owned pairs (the library without names or
-    positions).  Pairs may repeat (one per order line); an anti-join build
-    side needs no de-duplication, so none is paid for."""
-    li = t.lineitem.select("l_orderkey", "l_partkey")
-    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
-    return li.join(o, li.l_orderkey == o.o_orderkey).select("account_id", F.col("l_partkey").alias("appid"))
+def library(t: Tables, bucket_width: int = DEFAULT_BUCKET_WIDTH, pairs: DataFrame | None = None) -> DataFrame:
+    """account_id, pos, appid, name, playtime_min from ``played`` pairs (default: those of all accounts).
+
+    Names join last, against the already summed and ranked rows.
+    """
+    pairs = played(t) if pairs is None else pairs
+    lib = dense_position(pairs, ["account_id"], "appid", "pos", bucket_width)
+    names = t.part.select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
+    return lib.join(names, "appid", "left").select("account_id", "pos", "appid", "name", "playtime_min")
 
 
 def friend_edge(
@@ -121,6 +116,26 @@ def accounts(t: Tables) -> DataFrame:
     return t.customer.select(F.col("c_custkey").alias("account_id"))
 
 
+def status_inputs(t: Tables, lib: DataFrame, edges: DataFrame, prof: DataFrame) -> dict[str, DataFrame]:
+    """Inputs of the account status in which every status word occurs.
+
+    By account number: modulo 8 = 0 has no profile document; modulo 11 = 0 no
+    library document, 1 an empty library, 2 a library never played; modulo 9 =
+    0 no friend document, 1 an empty friend list.
+    """
+    def by(m):
+        return F.pmod(F.col("account_id"), F.lit(m))
+
+    unplayed = F.when(by(11) == 2, F.lit(0).cast("bigint")).otherwise(F.col("playtime_min"))
+    return {
+        "profile": prof.filter(by(8) != 0),
+        "library": lib.filter(by(11) > 1).withColumn("playtime_min", unplayed),
+        "friend_edge": edges.filter(by(9) > 1),
+        "library_docs": accounts(t).filter(by(11) != 0),
+        "friend_docs": accounts(t).filter(by(9) != 0),
+    }
+
+
 def _kind(event_type):
     expr = None
     for src, kind in EVENT_KIND.items():
@@ -171,6 +186,16 @@ def news(t: Tables) -> DataFrame:
     )
 
 
+def news_snapshot(t: Tables) -> DataFrame:
+    """kind, key, payload, fetched_at: per app one stored news document with its newest items, as the API returns it."""
+    app = F.regexp_extract("app", "^src([0-9]+)$", 1).try_cast("bigint")
+    newest = latest_news(news(t)).select(app.alias("key"), "rank", "news_id", "contents").filter("key is not null")
+    item = F.struct(F.col("news_id").cast("string").alias("gid"), F.col("contents"), F.lit(0).cast("bigint").alias("date"))
+    docs = newest.groupBy("key").agg(F.collect_list(item).alias("newsitems"))  # at most the items of one request
+    doc = F.struct(F.struct(F.col("key").alias("appid"), F.col("newsitems")).alias("appnews"))
+    return docs.select(F.lit("news").alias("kind"), "key", F.to_json(doc).alias("payload"), snapshot_now().alias("fetched_at"))
+
+
 def account_list_lines(t: Tables) -> DataFrame:
     """A run's account list as text lines: the id of every event's account
     (one line per event, so ids repeat)."""

@@ -75,10 +75,15 @@ def append_run_log(run_log: DataFrame, path: str) -> None:
 
 
 def parse_account_list(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(account_id) distinct ids and (value) rejects from one-id-per-line text."""
+    """(account_id) distinct ids and (value) rejects from one-id-per-line text.
+
+    An id is all digits and fits a signed 64-bit integer; everything else but
+    blank lines is a reject.
+    """
     v = strip_ws("value")
     staged = lines.select(F.col("value"), v.alias("__v"))
-    ok = F.col("__v").rlike(r"^[0-9]{1,18}$")
-    ids = staged.filter(ok).select(F.col("__v").cast("bigint").alias("account_id")).distinct()
+    number = F.col("__v").try_cast("bigint")
+    ok = F.col("__v").rlike("^[0-9]+$") & number.isNotNull()
+    ids = staged.filter(ok).select(number.alias("account_id")).distinct()
     rejects = staged.filter(~ok & (F.col("__v") != "")).select("value")
     return ids, rejects

@@ -7,9 +7,11 @@ summary is rewritten after every pass.  As a Structured Streaming job:
         -> complete output -> foreachBatch: rewrite both report sections
 
 State is one row per label (a bounded set of workload names), kept in the
-checkpoint folder, so a restarted or relocated driver resumes without
-re-reading old log files.  Malformed lines go to a rejects sink instead of
-ending the summary.
+checkpoint folder, which must be a stable path of the deployment: a restarted
+or relocated driver resumes from it without re-reading old log files.  Both
+report sections of a pass go to one new folder, and readers follow the newest
+complete one (``current_summary``), so they never mix two passes.  Malformed
+lines go to a rejects table instead of ending the summary.
 """
 
 from __future__ import annotations
@@ -21,7 +23,6 @@ from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
 from playgraph.operators import runlog
-from playgraph.session import ensure_checkpoint_dir
 from playgraph.sources import text
 
 
@@ -36,9 +37,31 @@ def label_totals(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
 
 def _write_summary(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
-        avg = batch.select("label", (F.col("total_ms") / F.col("runs")).alias("avg_ms"), "runs")
-        runlog.averages_text(avg).write.mode("overwrite").parquet(os.path.join(out_dir, "averages"))
-        runlog.comparison_from_averages(avg).write.mode("overwrite").parquet(os.path.join(out_dir, "comparison"))
+        spark = batch.sparkSession
+        avg = batch.select("label", (F.col("total_ms") / F.col("runs")).alias("avg_ms"), "runs").persist()
+        try:
+            target = f"{out_dir.rstrip('/')}/pass={batch_id}"
+            runlog.averages_text(avg).write.mode("overwrite").parquet(f"{target}/averages")
+            runlog.comparison_from_averages(avg).write.mode("overwrite").parquet(f"{target}/comparison")
+            done = spark.createDataFrame([(batch_id,)], "pass_id bigint")
+            done.coalesce(1).write.mode("append").parquet(f"{out_dir.rstrip('/')}/passes")
+        finally:
+            avg.unpersist()
+
+    return write
+
+
+def current_summary(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
+    """(averages, comparison) of the newest complete pass."""
+    base = out_dir.rstrip("/")
+    newest = spark.read.parquet(f"{base}/passes").agg(F.max("pass_id")).first()[0]
+    return spark.read.parquet(f"{base}/pass={newest}/averages"), spark.read.parquet(f"{base}/pass={newest}/comparison")
+
+
+def _write_rejects(out_dir: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        # One folder per batch: a batch written again after a failure replaces itself.
+        batch.write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/rejects/batch={batch_id}")
 
     return write
 
@@ -47,31 +70,27 @@ def start_summary(
     spark: SparkSession,
     log_dir: str,
     out_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
     processing_time: str = "10 seconds",
 ) -> tuple[StreamingQuery, StreamingQuery]:
-    """Start the summary stream and the rejects stream; returns both queries.
-
-    ``checkpoint`` defaults to a folder under the session's checkpoint
-    directory (``spark.checkpoint.dir`` on a cluster).
-    """
-    base = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "runlog-summary")
-    lines = spark.readStream.text(log_dir)
+    """Start the summary stream and the rejects stream; returns both queries."""
+    if not checkpoint:
+        raise ValueError("start_summary needs a stable checkpoint path; a restart resumes from it")
+    lines = spark.readStream.option("maxFileAge", "36500d").text(log_dir)  # the default ignores files a week older than the newest
     totals, rejects = label_totals(lines)
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     summary = (
         totals.writeStream.outputMode("complete")
         .foreachBatch(_write_summary(out_dir))
-        .option("checkpointLocation", os.path.join(base, "summary"))
+        .option("checkpointLocation", os.path.join(checkpoint, "summary"))
         .trigger(**trigger)
         .start()
     )
     bad = (
         rejects.writeStream.outputMode("append")
-        .format("parquet")
-        .option("path", os.path.join(out_dir, "rejects"))
-        .option("checkpointLocation", os.path.join(base, "rejects"))
+        .foreachBatch(_write_rejects(out_dir))
+        .option("checkpointLocation", os.path.join(checkpoint, "rejects"))
         .trigger(**trigger)
         .start()
     )

@@ -3,39 +3,70 @@
 A fetcher drops JSON documents anywhere under a landing folder (a new file
 per fetch), named by kind: ``{id}.json`` (user), ``games_{id}.json``,
 ``friends_{id}.json`` and ``news_{id}.json``.  Each micro-batch appends ``(kind, key, payload,
-fetched_at)`` rows to the Parquet snapshot table partitioned by ``kind``;
+fetched_at)`` rows to the Parquet snapshot table with the batch writer
+(``append_snapshots``), so streamed and appended rows are equally visible;
 readers take the newest row per (kind, key) (``latest_snapshots``), which
 is what overwriting a file per key did.  The raw document is kept as a
-string so any document shape (news is opaque) lands unchanged.
+string so any document shape (news is opaque) lands unchanged.  Files whose
+name gives no key go to a rejects table.
+
+The checkpoint must be a stable path of the deployment: it is what a restart
+resumes from, so none is made up here.
 """
 
 from __future__ import annotations
 
 import os
 
-from pyspark.sql import SparkSession
+from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
-from playgraph.session import ensure_checkpoint_dir
+from playgraph.operators.snapshots import append_snapshots
 
 KEY_PATTERN = r"^(games_|friends_|news_)?([0-9]+)\.json$"
 # File-name prefix -> snapshot kind (no prefix: user profile).
 PREFIX_KIND = {"games_": "game", "friends_": "friend", "news_": "news", "": "user"}
 
 
+def _write(table_dir: str, rejects_dir: str):
+    def write(batch: DataFrame, batch_id: int) -> None:
+        batch = batch.persist()
+        try:
+            append_snapshots(batch.filter(F.col("key").isNotNull()), table_dir)
+            bad = batch.filter(F.col("key").isNull()).select("path", "payload", "fetched_at")
+            bad.write.mode("append").parquet(rejects_dir)
+        finally:
+            batch.unpersist()
+
+    return write
+
+
 def start_ingest(
     spark: SparkSession,
     landing_dir: str,
     table_dir: str,
-    checkpoint: str | None = None,
+    checkpoint: str,
     available_now: bool = False,
     processing_time: str = "30 seconds",
+    max_files: int = 10_000,
+    archive_dir: str | None = None,
 ) -> StreamingQuery:
-    """Append every new landing file as one snapshot row."""
-    base = checkpoint or os.path.join(ensure_checkpoint_dir(spark), "snapshot-ingest")
+    """Append every new landing file as one snapshot row; rejects go to ``<table_dir>_rejects``.
+
+    A micro-batch takes at most ``max_files`` files, the rest follow in the
+    next.  With ``archive_dir`` finished files leave the landing folder, which
+    keeps its listing short.
+    """
+    if not checkpoint:
+        raise ValueError("start_ingest needs a stable checkpoint path; a restart resumes from it")
     # wholetext: one row per file, the document as written by the fetcher.
-    files = spark.readStream.option("wholetext", "true").option("recursiveFileLookup", "true").text(landing_dir)
+    # maxFileAge: by default files a week older than the newest are ignored.
+    options = {"wholetext": "true", "recursiveFileLookup": "true", "maxFilesPerTrigger": max_files, "maxFileAge": "36500d"}
+    reader = spark.readStream.options(**options)
+    if archive_dir:
+        reader = reader.option("cleanSource", "archive").option("sourceArchiveDir", archive_dir)
+    files = reader.text(landing_dir)
     meta = F.col("_metadata")
     prefix = F.regexp_extract(meta["file_name"], KEY_PATTERN, 1)
     kind = None
@@ -43,20 +74,16 @@ def start_ingest(
         kind = F.when(prefix == p, F.lit(k)) if kind is None else kind.when(prefix == p, F.lit(k))
     rows = files.select(
         kind.alias("kind"),
-        F.regexp_extract(meta["file_name"], KEY_PATTERN, 2).alias("key_text"),
+        F.regexp_extract(meta["file_name"], KEY_PATTERN, 2).try_cast("bigint").alias("key"),
         F.col("value").alias("payload"),
         meta["file_modification_time"].cast("timestamp_ntz").alias("fetched_at"),
-    )
-    rows = rows.filter(F.col("key_text") != "").select(
-        "kind", F.col("key_text").cast("bigint").alias("key"), "payload", "fetched_at"
+        meta["file_path"].alias("path"),
     )
     trigger = {"availableNow": True} if available_now else {"processingTime": processing_time}
     return (
         rows.writeStream.outputMode("append")
-        .format("parquet")
-        .partitionBy("kind")
-        .option("path", table_dir)
-        .option("checkpointLocation", os.path.join(base, "ingest"))
+        .foreachBatch(_write(table_dir, table_dir.rstrip("/") + "_rejects"))
+        .option("checkpointLocation", os.path.join(checkpoint, "ingest"))
         .trigger(**trigger)
         .start()
     )

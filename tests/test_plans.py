@@ -8,8 +8,9 @@ import pytest
 from conftest import SF_SMALL
 
 import __spark_entry__ as entry
-from playgraph.plans.queries import Canonical
+from playgraph.plans.queries import QUERIES, Canonical
 from playgraph.operators import recommend as rec
+from playgraph.sources import testmap
 from playgraph.sources.tables import TABLES, table_path
 
 PY_NODES = ("BatchEvalPython", "ArrowEvalPython", "FlatMapGroupsInPandas", "MapInPandas", "PythonUDF")
@@ -29,7 +30,7 @@ def test_recommend_plan_shape(spark):
 
 
 def test_no_python_in_any_query(spark):
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         p = plan(q(spark, SF_SMALL))
         assert not any(n in p for n in PY_NODES), name
         assert "CartesianProduct" not in p and "BroadcastNestedLoopJoin" not in p, name
@@ -37,8 +38,28 @@ def test_no_python_in_any_query(spark):
 
 def test_scans_are_pruned(spark):
     p = plan(entry.queries()["recommend_all_k10"](spark, SF_SMALL))
-    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in p
-    assert "l_extendedprice" not in p
+    assert "l_extendedprice" not in p and "l_orderkey" not in p  # lines are read once, into the stored pairs
+    pairs = plan(testmap.played(Canonical(spark, SF_SMALL).t))
+    assert "ReadSchema: struct<l_orderkey:bigint,l_partkey:bigint,l_quantity:double>" in pairs
+    assert pairs.count("HashAggregate") >= 2  # partial sums before the shuffle
+
+
+def test_snapshot_reads_are_pruned(spark):
+    for name in ("snapshot_fresh", "snapshot_refresh_list", "snapshot_refresh_list_nocache"):
+        p = plan(QUERIES[name](spark, SF_SMALL))
+        assert "props" not in p and "SortAggregate" not in p, name
+    assert "GreaterThanOrEqual(ts," in plan(QUERIES["snapshot_refresh_list"](spark, SF_SMALL))
+
+
+def test_every_status_word_occurs(spark):
+    rows = QUERIES["account_status"](spark, "/root/testdata/sf0.01").collect()
+    seen = {c: {r[c] for r in rows} for c in ("profile_status", "library_status", "friends_status", "recommend_status")}
+    assert seen == {
+        "profile_status": {"OK", "NO_DATA", "NO_PROFILE"},
+        "library_status": {"OK", "NO_DATA", "NO_GAMES", "NO_PLAYTIME"},
+        "friends_status": {"OK", "NO_DATA", "NO_FRIENDS"},
+        "recommend_status": {"OK", "NO_CANDIDATES"},
+    }
 
 
 def test_by_name_equals_by_appid_when_names_unique(spark):
@@ -69,7 +90,7 @@ def duck():
     return con
 
 
-@pytest.mark.parametrize("name", sorted(entry.queries()))
+@pytest.mark.parametrize("name", sorted(QUERIES))
 def test_query_matches_duckdb(spark, duck, name):
     sql = entry.oracle_sql()[name]
     df = entry.queries()[name](spark, SF_SMALL)

@@ -29,7 +29,9 @@ def test_library_documents_edge_cases(spark, tmpdir_fresh):
     assert [(r.account_id, r.pos, r.appid, r.name, r.playtime_min) for r in lib.orderBy("pos").collect()] == \
         [(3, 0, 7, None, None), (3, 1, 8, "Eight", 5)]
     st = {r.account_id: r.library_status for r in documents.library_status(docs).collect()}
-    assert st == {1: "NO_GAMES", 2: "NO_GAMES", 3: "OK"}
+    assert st == {1: "NO_DATA", 2: "NO_GAMES", 3: "OK"}
+    rejects = [(r.path.rsplit("/", 1)[1], r.reason) for r in documents.document_rejects(spark, d, "game").collect()]
+    assert rejects == [("notes.json", "name")]
 
 
 def test_profile_documents_players_rules(spark, tmpdir_fresh):
@@ -65,6 +67,39 @@ def test_corrupt_document_is_reported_not_fatal(spark, tmpdir_fresh):
     docs = documents.read_documents(spark, d, "game")
     r = docs.collect()[0]
     assert r.account_id == 4 and r.response is None and r[documents.CORRUPT]
+    assert [x.reason for x in documents.document_rejects(spark, d, "game").collect()] == ["content"]
+
+
+def test_corrupt_profile_is_no_player(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "users")
+    _write(d, "1.json", {"response": {"players": [{"personaname": "A"}]}})
+    with open(os.path.join(d, "2.json"), "w") as f:
+        f.write("{broken")
+    prof = documents.profile_from_documents(documents.read_documents(spark, d, "user"))
+    assert [r.account_id for r in prof.collect()] == [1]
+    payloads = spark.createDataFrame([(1, '{"response":{}}'), (2, "{broken")], "account_id bigint, payload string")
+    prof = documents.profile_from_documents(documents.parse_payload(payloads, "user"))
+    assert [(r.account_id, r.player_found) for r in prof.collect()] == [(1, True)]
+
+
+def test_bad_ids_do_not_stop_the_job(spark, tmpdir_fresh):
+    d = os.path.join(tmpdir_fresh, "friends")
+    _write(d, "friends_1.json", {"friendslist": {"friends": [{"steamid": "7"}, {"steamid": "x"}, {"steamid": "9" * 20}]}})
+    _write(d, f"friends_{'9' * 20}.json", {"friendslist": {"friends": []}})
+    docs = documents.read_documents(spark, d, "friend")
+    assert [(r.pos, r.friend_id) for r in documents.friend_edge_from_documents(docs).orderBy("pos").collect()] == [(0, 7), (1, None), (2, None)]
+    assert [(r.pos, r.value) for r in documents.bad_friend_ids(docs).orderBy("pos").collect()] == [(1, "x"), (2, "9" * 20)]
+    assert [r.reason for r in documents.document_rejects(spark, d, "friend").collect()] == ["name"]
+
+
+def test_written_documents_keep_their_key(spark, tmpdir_fresh):
+    lib = library_df(spark, [(a, i, 100 + i, f"g{i}", i * 3) for a in (1, 76561198061116734) for i in range(4)])
+    out = os.path.join(tmpdir_fresh, "docs")
+    documents.write_documents(documents.library_documents(lib), out, "game")
+    assert "document=games_1.json" in os.listdir(out)
+    back = documents.library_from_documents(documents.read_documents(spark, out, "game"))
+    assert sorted(map(tuple, back.collect())) == sorted(map(tuple, lib.collect()))
+    assert documents.document_rejects(spark, out, "game").count() == 0
 
 
 def test_nested_round_trip_through_files(spark, tmpdir_fresh):
@@ -120,6 +155,10 @@ def test_account_list(spark):
     ids, rejects = text.parse_account_list(lines)
     assert [r.account_id for r in ids.collect()] == [76561198061116734]
     assert [r.value for r in rejects.collect()] == ["abc"]
+    lines = spark.createDataFrame([("9223372036854775807",), ("9223372036854775808",), ("0" * 20 + "5",)], "value string")
+    ids, rejects = text.parse_account_list(lines)
+    assert sorted(r.account_id for r in ids.collect()) == [5, 9223372036854775807]
+    assert [r.value for r in rejects.collect()] == ["9223372036854775808"]
 
 
 def test_snapshot_latest_fresh_refresh(spark):
@@ -168,8 +207,12 @@ def test_sinks_round_trip(spark, tmpdir_fresh):
     parsed, _ = text.parse_run_log(lines)
     report = os.path.join(tmpdir_fresh, "report")
     runlog.write_summary(parsed, report)
-    assert spark.read.text(report + "/averages").count() == 1
-    assert spark.read.text(report + "/comparison").collect()[0].value.startswith("10        ")
+    files = [f for f in os.listdir(report) if f.startswith("part-")]
+    assert len(files) == 1
+    body = open(os.path.join(report, files[0])).read().split("\n")
+    assert body[0] == "=== Individual Averages ===" and body[2] == "" and body[3].startswith("=== Comparison Table")
+    assert body[4] == f"{'Friends':<10}{'Manual (Cached)':<18}{'Manual (No Cache)':<20}{'Spark (Cached)':<18}{'Spark (No Cache)'}"
+    assert body[5] == "-" * (len(body[4]) + 1) and body[6].startswith("10        ")
     res = spark.createDataFrame([("w", 1.0, 2.0)], "label string, cpu_pct double, rss_mb double")
     runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))
     runlog.append_resource_averages(res, os.path.join(tmpdir_fresh, "res"))

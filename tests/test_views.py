@@ -79,15 +79,24 @@ def test_account_status(spark):
     e = edges_df(spark, [(1, 0, 3), (2, 0, 4)])
     out = {r.account_id: r for r in status.account_status(accounts, p, lib, e).collect()}
     assert (out[1].profile_status, out[1].library_status, out[1].friends_status, out[1].recommend_status) == \
-        ("OK", "NO_GAMES", "OK", "OK")
+        ("OK", "NO_DATA", "OK", "OK")
     assert (out[2].profile_status, out[2].recommend_status) == ("NO_PROFILE", "NO_CANDIDATES")
-    assert (out[5].profile_status, out[5].friends_status) == ("NO_DATA", "NO_FRIENDS")
+    assert (out[5].profile_status, out[5].friends_status) == ("NO_DATA", "NO_DATA")
+    # With the lists of documents: an empty list is not a missing document.
+    docs = spark.createDataFrame([(1,), (3,), (5,)], "account_id bigint")
+    lib = lib.union(library_df(spark, [(5, 0, 9, "n", 0)]))
+    out = {r.account_id: r for r in status.account_status(accounts, p, lib, e, library_docs=docs, friend_docs=docs).collect()}
+    assert [out[i].library_status for i in range(1, 6)] == ["NO_GAMES", "NO_DATA", "OK", "NO_DATA", "NO_PLAYTIME"]
+    assert [out[i].friends_status for i in range(1, 6)] == ["OK", "OK", "NO_FRIENDS", "NO_DATA", "NO_FRIENDS"]
+    # One account (nobody is its own friend): the friend's library still counts.
+    one = status.account_status(accounts, p, lib, e, account_id=1).collect()
+    assert [(r.account_id, r.recommend_status) for r in one] == [(1, "OK")]
 
 
 def test_single_account_mode_equals_filter(spark):
     # FLT-7: one account is a filter, never a separate path.
     lib = library_df(spark, [(a, i, 10 * a + i, f"g{i}", (a * 37 + i * 11) % 90) for a in (1, 2, 3) for i in range(20)])
-    e = edges_df(spark, [(a, p, 1 + (a + p) % 3) for a in (1, 2, 3) for p in range(12)])
+    e = edges_df(spark, [(a, p, 1 + (a + p % 2) % 3) for a in (1, 2, 3) for p in range(12)])  # nobody is its own friend
     p = profile_df(spark, [(a, True, f"p{a}", "US", 100) for a in (1, 2, 3)])
     accounts = spark.createDataFrame([(a,) for a in (1, 2, 3)], "account_id bigint")
     from playgraph.operators import recommend as rec
