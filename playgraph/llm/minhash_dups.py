@@ -4,22 +4,25 @@
    set, and ``COORDS`` MinHash coordinates.  Documents of equal sets form a
    class; only class representatives go on.
 2. Every representative is posted under its coordinate-value pairs.  Two sets of
-   the wanted similarity agree in at least ``matches`` coordinates (five
-   standard deviations below the mean), so they share a pair among each one's
-   ``COORDS - matches + 1`` globally rarest: only those prefixes stay posted,
-   and pairs seen once drop out.
-3. Posting lists are merged without writing their pairs out.  First every
-   member meets its list's leader: collisions are counted, and the best leader
-   is confirmed on the full sets.  That joins most copies in linear work.
-   Then, list by list, members outside the list's largest component (probes)
-   meet all others in bounded blocks, skipping sizes and components that
-   cannot matter; candidates with enough collisions travel as one row per
-   probe and block of documents.
-4. Candidates are confirmed on full sets, block by block, skipping pairs that
-   earlier links in the block already joined; links become components.
-
-Lists, components and blocks are split by size, so a hot pair or group is
-spread over tasks; no step emits a group's pairs.
+   the wanted similarity agree in at least ``needed`` coordinates (five standard
+   deviations below the mean), so of each one's ``COORDS - needed + COMMON``
+   globally rarest pairs they share at least COMMON: only those prefixes stay
+   posted, and pairs seen once drop out.
+3. Posting lists are merged without writing a group's pairs out.  First every
+   member meets its list's leader; collisions are counted, pairs with enough of
+   them are compared by signature, and each member's best leader is confirmed on
+   the full sets.  That joins most copies in linear work.  Then lists that still
+   hold several components are merged: in short lists collisions are counted
+   pair by pair (COMMON are needed); in long ones members outside the largest
+   component (probes) meet the others in bounded blocks and need ``needed`` equal
+   coordinates.  Sizes that cannot match and pairs already joined are skipped.
+4. Candidates travel as one row per probe and block of documents and are
+   confirmed on full sets, skipping what earlier links in the block joined.
+   Links become components.
+
+A pair of different components that shares no long list shares COMMON short
+ones, so both ways together miss nothing that step 2 keeps.  Lists and blocks
+are split by size, so a hot pair or group is spread over tasks.
 """
 
 from __future__ import annotations
@@ -36,9 +39,9 @@ from .components import connected_components
 from .shared import UPPER, stored
 from .vector_dups import Forest
 
-COORDS = 64
-LIST_BLOCK, DOC_BLOCK, PROBES = 1024, 256, 512
-BROADCAST_IDS = 1_000_000
+COORDS, COMMON = 64, 4
+SHORT_LIST, LIST_BLOCK, DOC_BLOCK, PROBES = 16, 1024, 256, 512
+BROADCAST_ROWS = 300_000
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 _RNG = np.random.default_rng(20)
 MULT = _RNG.integers(1, 2**62, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -188,31 +191,46 @@ def _confirm(percent):
     return run
 
 
-def _confirmed(lists: DataFrame, sets: DataFrame, homes: DataFrame, percent: int) -> DataFrame:
-    """Links among ``lists(probe, block, members)``; ``homes(rep, comp, home)``; ``sets(rep, shingles)``."""
-    salts = lists.groupBy("block").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("salts"))
-    known = sets.join(homes, "rep")
-    members = lists.select("block", F.explode("members").alias("rep")).distinct().join(salts, "block")
-    held = members.withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1))).join(known, "rep")
-    held = held.select("block", "salt", F.lit(0).alias("kind"), F.col("rep").alias("doc"), "comp", "shingles", F.array().cast("array<bigint>").alias("members"))
-    asking = lists.join(salts, "block").join(known, F.col("probe") == F.col("rep"))
-    asking = asking.select("block", F.pmod(F.xxhash64("probe"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), F.col("probe").alias("doc"), "comp", "shingles", "members")
-    rows = held.union(asking).repartition("block", "salt").sortWithinPartitions("block", "salt", "kind", "doc")
-    return rows.mapInArrow(_confirm(percent), "a bigint, b bigint")
-
-
-def _shingle_sets(docs: DataFrame, wanted: DataFrame, size: int) -> DataFrame:
-    """(rep, shingles) of the wanted documents; their ids are broadcast only when few."""
-    few = wanted.count() <= BROADCAST_IDS
-    texts = docs.join(F.broadcast(wanted) if few else wanted, docs.doc_id == wanted.rep).select("rep", "fp_wanted", "text")
+def _confirmed(texts: DataFrame, lists: DataFrame, homes: DataFrame, size: int, percent: int) -> DataFrame:
+    """Links among ``lists(probe, block, members)``.
 
-    def run(batches):
-        shingle = Shingler(size)
+    ``homes(rep, fp_wanted, comp, home)`` says in which block a document is
+    held.  The work table (ids, no texts) is broadcast to the text scan when it
+    has few rows, so texts are shingled where they are read and only the sets
+    asked for are shuffled, once; a larger one is joined by a shuffle.
+    """
+    salts = lists.groupBy("block").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("salts"))
+    held = homes.join(salts, F.col("home") == F.col("block")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
+    held = held.select("rep", "fp_wanted", "block", "salt", F.lit(0).alias("kind"), "comp", F.array().cast("array<bigint>").alias("members"))
+    asking = lists.join(salts, "block").join(homes, F.col("probe") == F.col("rep"))
+    asking = asking.select("rep", "fp_wanted", "block", F.pmod(F.xxhash64("probe"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "comp", "members")
+    work = stored(held.union(asking), "near-work")
+    side = F.broadcast(work) if work.count() <= BROADCAST_ROWS else work
+    joined = texts.join(side, F.col("doc_id") == F.col("rep")).select("rep", "fp_wanted", "text", "block", "salt", "kind", "comp", "members")
+
+    def sets(batches):
+        shingle, seen, last = Shingler(size), set(), (None, None, None)
         for b in batches:
-            rows = [(r, s.tobytes()) for r, fp, s in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), map(shingle, b.column(2).to_pylist())) if hashlib.blake2b(s.tobytes(), digest_size=16).digest() == fp]
-            yield pa.RecordBatch.from_arrays([pa.array([r[0] for r in rows], pa.int64()), pa.array([r[1] for r in rows], pa.binary())], ["rep", "shingles"])
-
-    return texts.mapInArrow(run, "rep bigint, shingles binary").dropDuplicates(["rep"])
+            rows = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
+            keep, data = [], []
+            for i, (rep, fp, text) in enumerate(zip(rows["rep"], rows["fp_wanted"], rows["text"])):
+                key = (rep, rows["block"][i], rows["salt"][i], rows["kind"][i])
+                if key in seen:
+                    continue
+                if last[:2] != (rep, text):
+                    found = shingle(text)
+                    last = (rep, text, found.tobytes(), hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                if last[3] == fp:  # of texts sharing an id, the class representative
+                    seen.add(key)
+                    keep.append(i)
+                    data.append(last[2])
+            part = b.take(pa.array(keep, pa.int64()))
+            cols = [part.column(part.schema.get_field_index(n)) for n in ("block", "salt", "kind", "rep", "comp", "members")]
+            yield pa.RecordBatch.from_arrays([*cols, pa.array(data, pa.binary())], ["block", "salt", "kind", "doc", "comp", "members", "shingles"])
+
+    rows = joined.mapInArrow(sets, "block bigint, salt int, kind int, doc bigint, comp bigint, members array<bigint>, shingles binary")
+    rows = rows.repartition("block", "salt").sortWithinPartitions("block", "salt", "kind", "doc")
+    return rows.mapInArrow(_confirm(percent), "a bigint, b bigint")
 
 
 def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
@@ -228,7 +246,7 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
     """
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
     needed = needed_matches(percent)
-    prefix = COORDS - needed + 1
+    prefix = min(COORDS, COORDS - needed + COMMON)
     feats = stored(texts.mapInArrow(_features(shingle_words), "doc_id bigint, n_shingles bigint, fp binary, sig binary"), "near-features")
     classes = feats.where("fp is not null and doc_id is not null").groupBy("fp", "n_shingles", "sig").agg(F.min("doc_id").alias("rep"))
     classes = stored(classes.select("fp", "rep", F.col("n_shingles").alias("n"), "sig"), "near-classes")
@@ -236,44 +254,54 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
     reps = classes.withColumn("__r", F.row_number().over(one)).where("__r = 1").drop("__r")
     sigs = reps.select("rep", "n", "sig")
 
-    postings = reps.select("rep", "sig").select("rep", "sig").mapInArrow(lambda it: _post(b.select(["rep", "sig"]) for b in it), "cv bigint, rep bigint")
+    postings = reps.select("rep", "sig").mapInArrow(lambda it: _post(b.select(["rep", "sig"]) for b in it), "cv bigint, rep bigint")
     shared = postings.groupBy("cv").agg(F.count("*").alias("df")).where("df > 1")
     by_doc = postings.join(shared, "cv").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "cv"))).alias("cvs"))  # at most COORDS entries
     free = prefix - (COORDS - F.size("cvs"))
-    post = by_doc.where(free > 0).select("rep", F.explode(F.slice("cvs", F.lit(1), F.greatest(free, F.lit(1)))).alias("x")).select("rep", F.col("x.cv").alias("cv"))
+    post = by_doc.where(free >= COMMON).select("rep", F.explode(F.slice("cvs", F.lit(1), F.greatest(free, F.lit(1)))).alias("x")).select("rep", F.col("x.cv").alias("cv"))
     post = stored(post, "near-postings")
 
     # Leaders: every member of a list against its smallest id, best match confirmed.
     lead = post.groupBy("cv").agg(F.min("rep").alias("leader"), F.count("*").alias("c")).where("c > 1").select("cv", "leader")
-    cand = post.join(lead, "cv").where("rep <> leader").select("rep", "leader").distinct()
+    cand = post.join(lead, "cv").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("hits")).where(F.col("hits") >= COMMON).drop("hits")
     cand = cand.join(sigs, "rep").join(sigs.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("sig").alias("leader_sig")), "leader")
     matched = cand.select("rep", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(_leader_matches(needed, percent), "rep bigint, leader bigint, matches bigint")
-    best = stored(matched.groupBy("rep").agg(F.max("matches").alias("m"), F.max_by("leader", F.struct("matches", -F.col("leader"))).alias("leader")), "near-leaders")
-    wanted = stored(post.select("rep").distinct().join(reps.select("rep", F.col("fp").alias("fp_wanted")), "rep"), "near-wanted")
-    sets = stored(_shingle_sets(texts, wanted, shingle_words), "near-sets")
-    alone = wanted.select("rep", F.col("rep").alias("comp"), F.col("rep").alias("home"))
+    best = matched.groupBy("rep").agg(F.max("matches").alias("m"), F.max_by("leader", F.struct("matches", -F.col("leader"))).alias("leader"))
+    best = stored(best.select("rep", "leader"), "near-leaders")
+    known = reps.select("rep", "n", F.col("fp").alias("fp_wanted"))
+    alone = best.select("rep").union(best.select(F.col("leader").alias("rep"))).distinct().join(known, "rep")
+    alone = alone.select("rep", "fp_wanted", F.col("rep").alias("comp"), F.col("rep").alias("home"))
     first = best.select(F.col("rep").alias("probe"), F.col("leader").alias("block"), F.array("leader").alias("members"))
-    links = stored(_confirmed(first, sets, alone, percent), "near-links")
+    links = stored(_confirmed(texts, first, alone, shingle_words, percent), "near-links")
     comps = connected_components(links, "near-first")
 
-    # The rest: in each list, members outside its largest component against all others.
-    where = wanted.select("rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").join(best.select("rep", "leader"), "rep", "left")
+    # The rest: lists that hold several components.
+    where = post.select("rep").distinct().join(comps.withColumnRenamed("node", "rep"), "rep", "left").join(best, "rep", "left")
     lead_comp = comps.select(F.col("node").alias("leader"), F.col("component").alias("lead_comp"))
     where = where.join(lead_comp, "leader", "left").select("rep", F.coalesce("component", "rep").alias("comp"), F.coalesce("component", "lead_comp", "leader", "rep").alias("family"))
     crowd = where.groupBy("family").agg(F.ceil(F.count("*") / DOC_BLOCK).alias("parts"))
-    homes = where.join(crowd, "family").select("rep", "comp", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("home"))
+    homes = where.join(crowd, "family").join(known, "rep").select("rep", "n", "fp_wanted", "comp", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("home"))
     homes = stored(homes, "near-homes")
-    placed = post.join(homes, "rep")
+    placed = post.join(homes.select("rep", "n", "comp", "home"), "rep")
     counts = placed.groupBy("cv", "comp").agg(F.count("*").alias("k"))
-    mixed = counts.groupBy("cv").agg(F.count("*").alias("n_comps"), F.sum("k").alias("size"), F.max_by("comp", F.struct("k", "comp")).alias("main")).where("n_comps > 1")
-    listed = placed.join(mixed, "cv").join(sigs, "rep").withColumn("is_probe", F.col("comp") != F.col("main")).withColumn("blocks", F.ceil(F.col("size") / LIST_BLOCK).cast("int"))
+    mixed = counts.groupBy("cv").agg(F.count("*").alias("n_comps"), F.sum("k").alias("size"), F.max_by("comp", F.struct("k", "comp")).alias("main"))
+    mixed = mixed.where("n_comps > 1").drop("n_comps")
+
+    short = placed.join(mixed.where(F.col("size") <= SHORT_LIST).select("cv"), "cv")
+    other = short.select("cv", *[F.col(c).alias(f"{c}2") for c in ("rep", "n", "comp", "home")])
+    fits = f"rep < rep2 and comp <> comp2 and 100 * least(n, n2) >= {percent} * greatest(n, n2)"
+    pairs = short.join(other, "cv").where(fits).groupBy("rep", "rep2", "home2").agg(F.count("*").alias("hits")).where(F.col("hits") >= COMMON)
+    pairs = pairs.select(F.col("rep").alias("probe"), F.col("home2").alias("block"), F.array("rep2").alias("members"))
+
+    listed = placed.join(mixed.where(F.col("size") > SHORT_LIST), "cv").join(sigs.select("rep", "sig"), "rep")
+    listed = listed.withColumn("is_probe", F.col("comp") != F.col("main")).withColumn("blocks", F.ceil(F.col("size") / LIST_BLOCK).cast("int"))
     cols = ["cv", "blk", "kind", "rep", "comp", "n", "is_probe", "home", "sig"]
     members = listed.withColumn("blk", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("kind", F.lit(0)).select(cols)
     probes = listed.where("is_probe").withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("kind", F.lit(1)).select(cols)
     ordered = members.union(probes).repartition("cv", "blk").sortWithinPartitions("cv", "blk", "kind", "rep")
-    lists = ordered.mapInArrow(_probe_lists(needed, percent), "probe bigint, block bigint, members array<bigint>")
+    lists = pairs.union(ordered.mapInArrow(_probe_lists(needed, percent), "probe bigint, block bigint, members array<bigint>"))
     lists = stored(lists.groupBy("probe", "block").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("members")), "near-lists")  # members of one block
-    more = _confirmed(lists, sets, homes, percent)
+    more = _confirmed(texts, lists, homes.drop("n"), shingle_words, percent)
     comps = connected_components(stored(links.union(more), "near-all-links"), "near-last")
 
     label = classes.select("fp", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
