@@ -1,4 +1,4 @@
-"""Plan shape of every registered query with broadcasts disabled (the
+"""Plan shape of every registered query of the reference part with broadcasts disabled (the
 shape at a scale where no side fits a broadcast).  Prints a markdown table.
 
 Usage: python scripts/plan_shapes.py [sf_dir]
@@ -26,7 +26,7 @@ def shape(plan: str) -> dict:
 
 
 def main() -> None:
-    import __spark_entry__ as entry
+    from playgraph.plans.queries import QUERIES
     from playgraph.session import build_session
 
     sf = sys.argv[1] if len(sys.argv) > 1 else "/root/testdata/sf0.01"
@@ -38,7 +38,7 @@ def main() -> None:
     cols = ["shuffles", "partial_topk", "anti_semi", "sort_agg", "cartesian_or_nl", "python"]
     print("| query | " + " | ".join(cols) + " |")
     print("| --- | " + " | ".join("---:" for _ in cols) + " |")
-    for name, q in entry.queries().items():
+    for name, q in QUERIES.items():
         plan = q(spark, sf)._jdf.queryExecution().executedPlan().toString()
         s = shape(plan)
         print(f"| `{name}` | " + " | ".join(str(s[c]) for c in cols) + " |")
