@@ -127,8 +127,18 @@ def _leader_matches(needed, percent):
     return run
 
 
+def _bits(masks: list[int]) -> np.ndarray:
+    """One row of COORDS booleans per 64-bit mask."""
+    return np.unpackbits(np.array(masks, "<i8").view(np.uint8).reshape(-1, 8), axis=1, bitorder="little").astype(bool)
+
+
 def _probe_lists(needed, percent):
-    """Rows sorted by (cv, blk, probe flag): members of a list block, then probes; yields (probe, block, members)."""
+    """Rows sorted by (cv, blk, probe flag): members of a list block, then probes; yields (probe, block, members).
+
+    ``posted`` has a bit for each coordinate under which a document is in a long
+    list.  Two documents may share many lists; their pair is handed on by the
+    list of the first coordinate they share only.
+    """
 
     def run(batches):
         key, members, packed = None, [], None
@@ -139,18 +149,21 @@ def _probe_lists(needed, percent):
             for i in range(b.num_rows):
                 if (rows["cv"][i], rows["blk"][i]) != key:
                     key, members, packed = (rows["cv"][i], rows["blk"][i]), [], None
-                mine = (rows["rep"][i], rows["comp"][i], rows["n"][i], rows["is_probe"][i], rows["home"][i], rows["sig"][i])
+                mine = (rows["rep"][i], rows["comp"][i], rows["n"][i], rows["is_probe"][i], rows["home"][i], rows["sig"][i], rows["posted"][i])
                 if rows["kind"][i] == 0:
                     members.append(mine)
                     continue
                 if packed is None:
-                    packed = [np.array([m[k] for m in members]) for k in range(5)] + [np.frombuffer(b"".join(m[5] for m in members), "<u4").reshape(-1, COORDS)]
+                    packed = [np.array([m[k] for m in members]) for k in range(5)] + [np.frombuffer(b"".join(m[5] for m in members), "<u4").reshape(-1, COORDS), _bits([m[6] for m in members])]
                 if not members:
                     continue
-                ids, comps, ns, probes, homes, sigs = packed
+                ids, comps, ns, probes, homes, sigs, posted = packed
                 ok = (comps != mine[1]) & _sizes_fit(ns, mine[2], percent) & (~probes | (ids > mine[0]))
                 at = np.flatnonzero(ok)
-                at = at[(sigs[at] == np.frombuffer(mine[5], "<u4")).sum(1) >= needed]
+                same = sigs[at] == np.frombuffer(mine[5], "<u4")
+                enough = same.sum(1) >= needed
+                at, same = at[enough], same[enough]
+                at = at[(same & posted[at] & _bits([mine[6]])).argmax(1) == key[0] >> 32]
                 for j in at.tolist():
                     out.setdefault((mine[0], int(homes[j])), set()).add(int(ids[j]))
             keys = list(out)
@@ -295,7 +308,9 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
 
     listed = placed.join(mixed.where(F.col("size") > SHORT_LIST), "cv").join(sigs.select("rep", "sig"), "rep")
     listed = listed.withColumn("is_probe", F.col("comp") != F.col("main")).withColumn("blocks", F.ceil(F.col("size") / LIST_BLOCK).cast("int"))
-    cols = ["cv", "blk", "kind", "rep", "comp", "n", "is_probe", "home", "sig"]
+    posted = listed.groupBy("rep").agg(F.expr("bit_or(shiftleft(1L, cast(shiftright(cv, 32) as int)))").alias("posted"))
+    listed = listed.join(posted, "rep")
+    cols = ["cv", "blk", "kind", "rep", "comp", "n", "is_probe", "home", "sig", "posted"]
     members = listed.withColumn("blk", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("kind", F.lit(0)).select(cols)
     probes = listed.where("is_probe").withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("kind", F.lit(1)).select(cols)
     ordered = members.union(probes).repartition("cv", "blk").sortWithinPartitions("cv", "blk", "kind", "rep")
