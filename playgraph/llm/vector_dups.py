@@ -9,7 +9,9 @@ Cells are split into tiles of bounded size; each pair of tiles is one row of
 work.  Inside it, blocks are compared by accumulating the leading dimensions
 first: partial products plus the product of the suffix norms bound the cosine
 from above, and rows, columns and whole blocks leave as soon as the bound is
-below the threshold.  What remains is confirmed in the original coordinates.
+below the threshold.  What remains near the threshold is confirmed in the
+original coordinates.  Tiles travel in original coordinates and are rotated in
+the task.
 
 A pair of tiles returns link counts per vector and a spanning forest of its
 links, never the links themselves.
@@ -30,7 +32,7 @@ from .shared import stored
 TILE, BLOCK, STEP = 1024, 256, 8
 GRID = 3
 VECTORS = "vec_id bigint, key binary, dim int, unit binary"
-PACKED = "cell bigint, tile int, dim int, reps binary, mults binary, turned binary, units binary"
+PACKED = "cell bigint, tile int, dim int, reps binary, mults binary, units binary"
 
 
 def _unit_rows(batches):
@@ -70,7 +72,7 @@ def _in_cells(bases: dict[int, np.ndarray], width: float):
         for b in batches:
             dims = b.column(2).to_numpy()
             units = b.column(3).to_pylist()
-            cells, turned = np.zeros(len(dims), np.int64), [None] * len(dims)
+            cells, lead = np.zeros(len(dims), np.int64), np.zeros((len(dims), 2))
             for d in np.unique(dims):
                 rows = np.flatnonzero(dims == d)
                 y = np.stack([np.frombuffer(units[i]) for i in rows])
@@ -79,33 +81,30 @@ def _in_cells(bases: dict[int, np.ndarray], width: float):
                 grid = np.zeros((len(rows), GRID), np.int64)
                 grid[:, : min(GRID, d)] = np.floor(y[:, :GRID] / width) + 512
                 cells[rows] = ((int(d) * 1024 + grid[:, 0]) * 1024 + grid[:, 1]) * 1024 + grid[:, 2]
-                for i, x in zip(rows.tolist(), y):
-                    turned[i] = x.tobytes()
-            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells), pa.array(turned, pa.binary())], ["rep", "mult", "dim", "unit", "cell", "turned"])
+                lead[rows, : min(2, d)] = y[:, :2]
+            yield pa.RecordBatch.from_arrays([*b.columns, pa.array(cells), pa.array(lead[:, 0]), pa.array(lead[:, 1])], ["rep", "mult", "dim", "unit", "cell", "lead", "lead2"])
 
     return run
 
 
 def _pack(key, table):
     table = table.take(pa.array(np.argsort(table.column("rep").to_numpy(), kind="stable")))
-    y = np.stack([np.frombuffer(x) for x in table.column("turned").to_pylist()])
-    order = np.lexsort((y[:, 1 % y.shape[1]], y[:, 0]))
-    units = [table.column("unit")[int(i)].as_py() for i in order]
+    u = np.stack([np.frombuffer(x) for x in table.column("unit").to_pylist()])
+    order = np.lexsort((table.column("lead2").to_numpy(), table.column("lead").to_numpy()))
     cols = {
         "cell": [key[0].as_py()],
         "tile": [key[1].as_py()],
-        "dim": [y.shape[1]],
+        "dim": [u.shape[1]],
         "reps": [table.column("rep").to_numpy()[order].tobytes()],
         "mults": [table.column("mult").to_numpy()[order].tobytes()],
-        "turned": [y[order].tobytes()],
-        "units": [b"".join(units)],
+        "units": [u[order].tobytes()],
     }
-    types = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 4
+    types = [pa.int64(), pa.int32(), pa.int32()] + [pa.binary()] * 3
     return pa.table(cols, schema=pa.schema(list(zip(cols, types))))
 
 
 def linked_in_blocks(ya: np.ndarray, yb: np.ndarray, ua: np.ndarray, ub: np.ndarray, threshold: float) -> tuple[np.ndarray, np.ndarray]:
-    """Index pairs with cosine >= threshold between two blocks (PCA coordinates for the bounds, original ones to confirm)."""
+    """Index pairs with cosine >= threshold between two blocks of unit vectors (PCA coordinates y, original ones u)."""
     d, slack = ya.shape[1], 1e-9
     rest_a = np.sqrt(np.maximum(0, np.cumsum((ya**2)[:, ::-1], 1)[:, ::-1]))
     rest_b = np.sqrt(np.maximum(0, np.cumsum((yb**2)[:, ::-1], 1)[:, ::-1]))
@@ -123,9 +122,9 @@ def linked_in_blocks(ya: np.ndarray, yb: np.ndarray, ua: np.ndarray, ub: np.ndar
     if not len(ra) or not len(rb):
         return np.zeros(0, np.int64), np.zeros(0, np.int64)
     i, j = np.nonzero(part >= threshold - slack)
+    exact = part[i, j] >= threshold + slack
     i, j = ra[i], rb[j]
-    near = np.abs((ya[i] * yb[j]).sum(1) - threshold) < 1e-7
-    exact = np.ones(len(i), bool)
+    near = np.flatnonzero(~exact)
     exact[near] = (ua[i[near]] * ub[j[near]]).sum(1) >= threshold
     return i[exact], j[exact]
 
@@ -153,10 +152,11 @@ class Forest:
         return True
 
 
-def _compare(threshold: float):
+def _compare(bases: dict[int, np.ndarray], threshold: float):
     def side(row, s):
-        d = row["dim"]
-        return np.frombuffer(row[f"reps{s}"], np.int64), np.frombuffer(row[f"mults{s}"], np.int64), np.frombuffer(row[f"turned{s}"]).reshape(-1, d), np.frombuffer(row[f"units{s}"]).reshape(-1, d)
+        u = np.frombuffer(row[f"units{s}"]).reshape(-1, row["dim"])
+        y = u @ bases[row["dim"]] if row["dim"] in bases else u
+        return np.frombuffer(row[f"reps{s}"], np.int64), np.frombuffer(row[f"mults{s}"], np.int64), y, u
 
     def run(batches):
         for batch in batches:
@@ -209,7 +209,8 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
     valid = vectors.where("unit is not null and vec_id is not null")
     reps = stored(valid.groupBy("key", "dim", "unit").agg(F.min("vec_id").alias("rep"), F.count("*").alias("mult")), "near-reps")
     width = float(np.sqrt(2 - 2 * threshold)) + 1e-9
-    celled = stored(reps.select("rep", "mult", "dim", "unit").mapInArrow(_in_cells(_pca_bases(reps, sample_rows), width), "rep bigint, mult bigint, dim int, unit binary, cell bigint, turned binary"), "near-cells")
+    bases = _pca_bases(reps, sample_rows)
+    celled = stored(reps.select("rep", "mult", "dim", "unit").mapInArrow(_in_cells(bases, width), "rep bigint, mult bigint, dim int, unit binary, cell bigint, lead double, lead2 double"), "near-cells")
     cells = stored(celled.groupBy("cell").agg(F.ceil(F.count("*") / TILE).cast("int").alias("tiles")), "near-counts")
     tiled = celled.join(cells, "cell").withColumn("tile", F.pmod(F.xxhash64("rep"), "tiles").cast("int"))
     packed = stored(tiled.groupBy("cell", "tile").applyInArrow(_pack, PACKED), "near-tiles")
@@ -218,10 +219,10 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
     tiles = packed.select("cell", "tile")
     near = tiles.withColumn("cell2", F.explode(F.array(*[F.lit(o).cast("bigint") + F.col("cell") for o in offsets if o >= 0])))
     pairs = near.join(tiles.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2")), "cell2").where("cell < cell2 or tile <= tile2")
-    other = packed.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in ("reps", "mults", "turned", "units")])
+    other = packed.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in ("reps", "mults", "units")])
     work = pairs.join(packed, ["cell", "tile"]).join(other, ["cell2", "tile2"])
-    work = work.withColumn("same", F.expr("cell = cell2 and tile = tile2")).select("dim", "same", *[f"{c}{s}" for s in ("", "2") for c in ("reps", "mults", "turned", "units")])
-    found = stored(work.mapInArrow(_compare(threshold), "a bigint, n bigint, b bigint"), "near-found")
+    work = work.withColumn("same", F.expr("cell = cell2 and tile = tile2")).select("dim", "same", *[f"{c}{s}" for s in ("", "2") for c in ("reps", "mults", "units")])
+    found = stored(work.mapInArrow(_compare(bases, threshold), "a bigint, n bigint, b bigint"), "near-found")
 
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
     comps = connected_components(found.where("b is not null").select("a", "b"), "near-components")
