@@ -19,15 +19,23 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .tokens import SLICE_CHARS, tokenizer_path
+from .tokens import SLICE_CHARS, tokenizer_path, worker_state
 
 MARK = "▁"
 
 
+def worker_walker(path: str) -> "PieceWalker":
+    """One walker per Python worker process and model, so its word cache serves all of the worker's tasks."""
+    kept = worker_state()
+    if ("walker", path) not in kept:
+        kept["walker", path] = PieceWalker(path)
+    return kept["walker", path]
+
+
 class PieceWalker:
     """Ids of marked words by a forward pass over their trie."""
 
-    def __init__(self, path: str, cache_words: int = 500_000):
+    def __init__(self, path: str, cache_words: int = 400_000):
         import sentencepiece
 
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -74,7 +82,7 @@ class PieceWalker:
             else:
                 out = True
                 break
-        if len(self.apart) > 2_000_000:
+        if len(self.apart) > 500_000:
             self.apart.clear()
         self.apart[a, b] = out
         return out
@@ -177,7 +185,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
     path = model or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches):
-        walker = PieceWalker(path)
+        walker = worker_walker(path)
         for batch in batches:
             ids = list(walker.encode(batch.column(1).to_pylist()))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n_ids"])
@@ -191,7 +199,7 @@ def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
     path = model or tokenizer_path("piece_bpe_32k.model")
 
     def run(batches):
-        walker = PieceWalker(path)
+        walker = worker_walker(path)
         for batch in batches:
             texts = [None if x is None else walker.decode(np.frombuffer(x, "<u4")) for x in batch.column(1).to_pylist()]
             yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "n_ids", "text"])

@@ -29,9 +29,14 @@ def tokenizer_path(name: str) -> str:
     return public_tokenizers.path(name)
 
 
+def worker_state() -> dict:
+    """A dict that lives as long as the Python worker process (functions pickled by value have no lasting globals)."""
+    return sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__
+
+
 def worker_encoder(path: str) -> "ChunkEncoder":
     """One encoder per Python worker process and file, so its cache serves all of the worker's tasks."""
-    kept = sys.modules.setdefault("_llm_worker_state", types.ModuleType("_llm_worker_state")).__dict__
+    kept = worker_state()
     if ("encoder", path) not in kept:
         kept["encoder", path] = ChunkEncoder(path)
     return kept["encoder", path]
