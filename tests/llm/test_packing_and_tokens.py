@@ -1,6 +1,7 @@
 """Token ids, both packers and the piece codec against the tokenizer libraries themselves."""
 
 import collections
+import functools
 
 import numpy as np
 import pytest
@@ -33,9 +34,13 @@ def odd(spark):
     return spark.createDataFrame(ODD, SCHEMA)
 
 
+@functools.cache
+def _tokenizer():
+    return tokenizers.Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
+
+
 def _ids(text):
-    tok = tokenizers.Tokenizer.from_file(tokenizer_path("word_bpe_49k.json"))
-    return tok.encode(text or "", add_special_tokens=False).ids + [1]
+    return _tokenizer().encode(text or "", add_special_tokens=False).ids + [1]
 
 
 def test_chunk_encoder_equals_the_tokenizer(spark):
