@@ -36,4 +36,98 @@ r AS (
 SELECT query_id, rank, vec_id, score FROM r WHERE rank <= 5
 """
 
-ORACLE: dict[str, str] = {"op3_url_filter": URL_FILTER, "op10_topk": TOP_K}
+NEAR_VECTORS = """
+WITH RECURSIVE v AS (
+  SELECT vec_id, list_transform(embedding, lambda x: CAST(x AS DOUBLE)) AS e
+  FROM embeddings
+  WHERE vec_id IS NOT NULL AND embedding IS NOT NULL
+    AND len(list_filter(embedding, lambda x: x IS NULL OR NOT isfinite(x))) = 0
+    AND len(list_filter(embedding, lambda x: x <> 0)) > 0),
+n AS (SELECT vec_id, e, sqrt(list_dot_product(e, e)) AS norm FROM v),
+link AS (
+  SELECT a.vec_id AS a, b.vec_id AS b FROM n a JOIN n b ON a.vec_id <> b.vec_id AND len(a.e) = len(b.e)
+  WHERE list_dot_product(a.e, b.e) / (a.norm * b.norm) >= 0.9),
+reach(a, b) AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+comp AS (SELECT a, least(a, min(b)) AS component FROM reach GROUP BY a),
+links AS (SELECT a, count(*) AS n FROM link GROUP BY a)
+SELECT x.vec_id, coalesce(k.n, 0) AS n_links, coalesce(c.component, x.vec_id) AS component_id,
+       x.vec_id = coalesce(c.component, x.vec_id) AS kept
+FROM embeddings x LEFT JOIN comp c ON c.a = x.vec_id LEFT JOIN links k ON k.a = x.vec_id
+"""
+
+#: Words are runs of anything but ASCII white space; a text of one word is one shingle.
+NEAR_DOCUMENTS = """
+WITH RECURSIVE w AS (
+  SELECT doc_id, regexp_extract_all(translate(text, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x20\\x09-\\x0D]+') AS words
+  FROM documents WHERE doc_id IS NOT NULL AND text IS NOT NULL),
+s AS (
+  SELECT DISTINCT doc_id, unnest(CASE WHEN len(words) = 1 THEN [words[1]]
+    ELSE list_transform(range(1, len(words)), lambda i: words[i] || ' ' || words[i + 1]) END) AS shingle
+  FROM w WHERE len(words) > 0),
+size AS (SELECT doc_id, count(*) AS n FROM s GROUP BY doc_id),
+-- A pair of similarity 0.8 shares one of the rarest (n - ceil(0.8 n) + 1) shingles of each side.
+freq AS (SELECT shingle, count(*) AS df FROM s GROUP BY shingle),
+ranked AS (
+  SELECT s.doc_id, s.shingle, z.n, row_number() OVER (PARTITION BY s.doc_id ORDER BY f.df, s.shingle) AS place
+  FROM s JOIN freq f USING (shingle) JOIN size z USING (doc_id)),
+lead AS (SELECT doc_id, shingle, n FROM ranked WHERE place <= n - CAST(ceil(n * 0.8 - 1e-9) AS BIGINT) + 1),
+cand AS (
+  SELECT DISTINCT a.doc_id AS a, b.doc_id AS b, a.n AS na, b.n AS nb
+  FROM lead a JOIN lead b ON a.shingle = b.shingle AND a.doc_id < b.doc_id
+  WHERE 100 * least(a.n, b.n) >= 80 * greatest(a.n, b.n)),
+pair AS (
+  SELECT c.a, c.b FROM cand c JOIN s x ON x.doc_id = c.a JOIN s y ON y.doc_id = c.b AND y.shingle = x.shingle
+  GROUP BY c.a, c.b, c.na, c.nb
+  HAVING 100 * count(*) >= 80 * (c.na + c.nb - count(*))),
+link AS (SELECT a, b FROM pair UNION ALL SELECT b, a FROM pair),
+reach(a, b) AS (
+  SELECT a, b FROM link
+  UNION
+  SELECT r.a, l.b FROM reach r JOIN link l ON l.a = r.b),
+comp AS (SELECT a, least(a, min(b)) AS component FROM reach GROUP BY a)
+SELECT d.doc_id, coalesce(z.n, 0) AS n_shingles, coalesce(c.component, d.doc_id) AS component_id,
+       d.doc_id = coalesce(c.component, d.doc_id) AS kept
+FROM documents d LEFT JOIN size z ON z.doc_id = d.doc_id LEFT JOIN comp c ON c.a = d.doc_id
+"""
+
+#: Bytes as hexadecimal text, two characters each.
+REPEATED_BYTES = """
+WITH b AS (
+  SELECT doc_id, lower(hex(encode(coalesce(text, '')))) AS h FROM documents),
+d AS (SELECT doc_id, h, len(h) // 2 AS n FROM b),
+-- Windows are cut from pieces of 200 starts, so each substring call works on a short text.
+part AS (
+  SELECT doc_id, n, p, substr(h, 400 * p + 1, 598) AS h
+  FROM (SELECT doc_id, h, n, unnest(range(0, (n - 100) // 200 + 1)) AS p FROM d WHERE n >= 100)),
+w AS (
+  SELECT doc_id, 200 * p + i AS start, hash(substr(h, 2 * i + 1, 200)) AS k
+  FROM (SELECT doc_id, h, p, unnest(range(0, least(200, n - 99 - 200 * p))) AS i FROM part)),
+f AS (SELECT k, min(doc_id * 1000000000 + start) AS first FROM w GROUP BY k HAVING count(*) > 1),
+gone AS (
+  SELECT w.doc_id, w.start FROM w JOIN f USING (k) WHERE w.doc_id * 1000000000 + w.start > f.first),
+edge AS (
+  SELECT doc_id, start, coalesce(start > lag(start) OVER (PARTITION BY doc_id ORDER BY start) + 100, true) AS opens FROM gone),
+run AS (SELECT doc_id, start, sum(CASE WHEN opens THEN 1 ELSE 0 END) OVER (PARTITION BY doc_id ORDER BY start) AS r FROM edge),
+span AS (SELECT doc_id, r, min(start) AS lo, max(start) + 100 AS hi FROM run GROUP BY doc_id, r),
+piece AS (
+  SELECT s.doc_id, s.lo, substr(d.h, 2 * coalesce(lag(s.hi) OVER (PARTITION BY s.doc_id ORDER BY s.lo), 0) + 1,
+         2 * (s.lo - coalesce(lag(s.hi) OVER (PARTITION BY s.doc_id ORDER BY s.lo), 0))) AS kept
+  FROM span s JOIN d USING (doc_id)),
+front AS (SELECT doc_id, string_agg(kept, '' ORDER BY lo) AS kept FROM piece GROUP BY doc_id),
+total AS (SELECT doc_id, sum(hi - lo) AS removed, count(*) AS spans, max(hi) AS last FROM span GROUP BY doc_id)
+SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(t.removed, 0) AS BIGINT) AS n_removed, CAST(coalesce(t.spans, 0) AS BIGINT) AS n_spans,
+       sha256(unhex(coalesce(p.kept, '') || substr(d.h, 2 * coalesce(t.last, 0) + 1))) AS kept_sha256
+FROM d LEFT JOIN total t USING (doc_id) LEFT JOIN front p USING (doc_id)
+"""
+
+ORACLE: dict[str, str] = {
+    "op3_url_filter": URL_FILTER,
+    "op5_vector_dups": NEAR_VECTORS,
+    "op6_minhash": NEAR_DOCUMENTS,
+    "op7_suffix_dedup": REPEATED_BYTES,
+    "op10_topk": TOP_K,
+}
