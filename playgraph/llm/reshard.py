@@ -4,8 +4,12 @@ Old shard sizes are the supplies, new capacities the demands, and moving a byte
 from old shard i to new shard j costs ``cost[i][j]`` (default: 0 to stay, 1 to
 move).  The flow is solved on the driver over shards only; its size follows the
 number of shards, not the data.  A shard's documents stand in blocks, largest
-size class first, so that the cuts between transfers fall among small documents
-and the large ones stay; a document goes where its middle byte falls.
+size class first, and a document goes where its middle byte falls.  Since a cut
+between two transfers so misses its byte by up to half a document, the flow is
+solved for large, middling and small documents in turn: each time with the
+capacity that is really left, and with some of it kept back (two documents, or
+half a share of the smaller ones) for the smaller documents, which even out what
+the larger ones missed.
 
 Blocks are bounded, positions are block prefix sums plus a window inside the
 block, so no task holds a shard.  Only files of shards that gain or lose a
@@ -24,6 +28,8 @@ from pyspark.sql import functions as F
 from .shared import octets, scratch_dir, stored
 
 BLOCK = ["__old", "__cls", "__bucket"]
+#: Smallest size of a level's documents.
+LEVELS = (8192, 1024, 0)
 
 
 def min_cost_transfers(supply: list[int], capacity: list[int], cost: np.ndarray | None = None) -> np.ndarray:
@@ -88,8 +94,8 @@ class Transfers:
         out = []
         for i, o in enumerate(self.old):
             order = sorted((j for j in range(len(self.new)) if self.amount[i, j]), key=lambda j: (self.new[j] != o, self.new[j]))
-            ends = np.cumsum([int(self.amount[i, j]) for j in order]).tolist()
-            out.append((o, ends, [self.new[j] for j in order]))
+            if order:
+                out.append((o, np.cumsum([int(self.amount[i, j]) for j in order]).tolist(), [self.new[j] for j in order]))
         return out
 
 
@@ -99,6 +105,10 @@ def _placed_in_blocks(docs: DataFrame, old: Column, id_col: str, text_col: str,
     rows = docs.withColumn("__size", size).withColumn("__old", F.coalesce(old.cast("int"), F.lit(0)))
     rows = rows.withColumn("__crc", F.crc32(F.coalesce(text, F.lit(""))))
     rows = rows.withColumn("__cls", -F.floor(F.log2("__size")).cast("int"))
+    level = F.lit(len(LEVELS) - 1)
+    for n in range(len(LEVELS) - 2, -1, -1):
+        level = F.when(F.col("__cls") <= -int(np.log2(LEVELS[n])), F.lit(n)).otherwise(level)
+    rows = rows.withColumn("__level", level)
     return rows.withColumn("__bucket", F.pmod(F.xxhash64(F.col(f"`{id_col}`")), F.lit(buckets)).cast("int"))
 
 
@@ -121,31 +131,49 @@ def reshard(docs: DataFrame, old: Column, n_new: int, capacities: list[int] | No
     n = docs.count()
     olds = max(1, docs.select(old.alias("o")).distinct().count())
     rows = _placed_in_blocks(docs, old, id_col, text_col, max(1, -(-n // (block_rows * olds))))
-    blocks = stored(rows.groupBy(*BLOCK).agg(F.sum("__size").alias("__bytes")), "reshard-blocks")
-    held = {r[0]: int(r[1]) for r in blocks.groupBy("__old").agg(F.sum("__bytes")).collect()}  # one number per shard
+    blocks = stored(rows.groupBy(*BLOCK, "__level").agg(F.sum("__size").alias("__bytes"), F.max("__size").alias("__most")), "reshard-blocks")
+    sums = blocks.groupBy("__level", "__old").agg(F.sum("__bytes"), F.max("__most")).collect()  # two numbers per shard and level
+    held = {(r[0], r[1]): int(r[2]) for r in sums}
     total = sum(held.values())
     capacities = capacities or [total // n_new + (j < total % n_new) for j in range(n_new)]
-    old_ids = sorted(held)
+    if sum(capacities) < total:
+        raise ValueError("capacities hold less than the shards do")
+    old_ids = sorted({o for _, o in held})
     if cost is None:
         cost = np.array([[0.0 if o == j else 1.0 for j in range(n_new)] for o in old_ids]).reshape(len(old_ids), n_new)
-    plan = Transfers(old_ids, list(range(n_new)), min_cost_transfers([held[o] for o in old_ids], capacities, cost))
-
-    before = F.sum("__bytes").over(Window.partitionBy("__old").orderBy("__cls", "__bucket").rowsBetween(Window.unboundedPreceding, -1))
-    cuts = docs.sparkSession.createDataFrame(plan.cuts(), "__old int, __ends array<bigint>, __to array<int>")
-    starts = blocks.withColumn("__before", F.coalesce(before, F.lit(0))).join(cuts, "__old").drop("__bytes")
-    starts = stored(starts, "reshard-starts")
 
-    def to_shards(numbered: DataFrame) -> DataFrame:
+    def to_shards(numbered: DataFrame, starts: DataFrame) -> DataFrame:
         middle = F.col("__before") + F.col("__end") - F.floor((F.col("__size") + 1) / 2)
         nth = F.least(F.size(F.filter("__ends", lambda e: e <= middle)), F.size("__to") - 1)
         return numbered.join(starts, BLOCK).withColumn("shard", F.element_at("__to", nth + 1))
 
+    light = rows.select(F.col(f"`{id_col}`"), "__crc", "__size", "__level", *BLOCK)
+    before = F.sum("__bytes").over(Window.partitionBy("__old").orderBy("__cls", "__bucket").rowsBetween(Window.unboundedPreceding, -1))
+    room, amount, starts = list(capacities), np.zeros((len(old_ids), n_new), dtype=object), None
+    for level in range(len(LEVELS)):
+        supply = [held.get((level, o), 0) for o in old_ids]
+        smaller = sum(v for (k, _), v in held.items() if k > level)
+        largest = max((int(r[3]) for r in sums if r[0] == level), default=0)
+        kept_back = min(smaller // (2 * n_new), 2 * largest)
+        free = [max(0, r - kept_back) for r in room]
+        lack = max(0, sum(supply) - sum(free))
+        plan = Transfers(old_ids, list(range(n_new)), min_cost_transfers(supply, [f + -(-lack // n_new) for f in free], cost))
+        amount = amount + plan.amount
+        cuts = docs.sparkSession.createDataFrame(plan.cuts(), "__old int, __ends array<bigint>, __to array<int>")
+        mine = blocks.where(F.col("__level") == level).withColumn("__before", F.coalesce(before, F.lit(0)))
+        mine = stored(mine.join(cuts, "__old").drop("__bytes", "__most", "__level"), "reshard-starts")
+        starts = mine if starts is None else starts.union(mine)
+        if level < len(LEVELS) - 1 and any(supply):
+            got = to_shards(_numbered(light.where(F.col("__level") == level), id_col), mine).groupBy("shard").agg(F.sum("__size"))
+            for shard, size in got.collect():  # one number per shard
+                room[shard] -= int(size)
+    plan = Transfers(old_ids, list(range(n_new)), amount)
+
     keys = ["shard", *BLOCK]
-    light = rows.select(F.col(f"`{id_col}`"), "__crc", "__size", *BLOCK)
-    runs = to_shards(_numbered(light, id_col)).groupBy(*keys).agg(F.min("__nth").alias("__first"), F.count("*").alias("__n"))
+    runs = to_shards(_numbered(light, id_col), starts).groupBy(*keys).agg(F.min("__nth").alias("__first"), F.count("*").alias("__n"))
     sofar = F.sum("__n").over(Window.partitionBy("shard").orderBy(*BLOCK).rowsBetween(Window.unboundedPreceding, -1))
     runs = stored(runs.withColumn("__base", F.coalesce(sofar, F.lit(0)) - F.col("__first")).drop("__n", "__first"), "reshard-runs")
-    full = to_shards(_numbered(rows, id_col)).join(runs, keys)
+    full = to_shards(_numbered(rows, id_col), starts).join(runs, keys)
     kept = [F.col(f"`{c}`") for c in docs.columns]
     return full.select(*kept, "shard", (F.col("__base") + F.col("__nth")).cast("bigint").alias("slot"), F.col("__size").alias("size")), plan
 
