@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import UPPER, stored
+from .shared import UPPER, stored, texts_of
 from .vector_dups import Forest
 
 COORDS, COMMON = 64, 4
@@ -51,7 +51,7 @@ PLUS = _RNG.integers(0, 2**63, COORDS, dtype=np.uint64)
 class Shingler:
     """Sorted distinct 64-bit hashes of a text's word shingles (A-Z lower-cased, words between ASCII white space)."""
 
-    def __init__(self, size: int, cache_words: int = 500_000):
+    def __init__(self, size: int, cache_words: int = 100_000):
         self.size, self.cache, self.cache_words = size, {}, cache_words
 
     def __call__(self, text: str | None) -> np.ndarray:
@@ -92,7 +92,7 @@ def _features(size):
         shingle = Shingler(size)
         for b in batches:
             n, fp, sig = [], [], []
-            for text in b.column(1).to_pylist():
+            for text in texts_of(b.column(1)):
                 s = shingle(text)
                 n.append(len(s))
                 fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)

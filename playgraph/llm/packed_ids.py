@@ -18,7 +18,7 @@ from pyspark import TaskContext
 from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
-from .shared import scratch_dir
+from .shared import scratch_dir, texts_of
 from .tokens import tokenizer_path, worker_encoder
 
 SEGMENT = pa.struct([("row", pa.int32()), ("offset", pa.int32()), ("length", pa.int32()), ("doc_id", pa.int64()), ("start", pa.int64()), ("doc_tokens", pa.int64())])
@@ -102,7 +102,7 @@ def _matrices(tokenizer: str, width: int, end_id: int, pad_id: int, block_tokens
         pieces, tokens = [], 0
         end = np.array([end_id], "<u4").tobytes()
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch.column(1)))):
                 ids += end
                 n = len(ids) // 4
                 pieces += [((doc_id, ids, n), s, min(width, n - s)) for s in range(0, n, width)]

@@ -24,6 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
+from .shared import texts_of
 from .tokens import tokenizer_path, worker_encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -139,7 +140,7 @@ def _packed(tokenizer: str, tiers: tuple[int, ...], end_id: int, block_tokens: i
             return pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, types)], names)
 
         for batch in batches:
-            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(batch.column(1).to_pylist())):
+            for doc_id, ids in zip(batch.column(0).to_pylist(), encoder.encode(texts_of(batch.column(1)))):
                 ids += end
                 packer.add((doc_id, ids, len(ids) // 4), len(ids) // 4)
                 state["tokens"] += len(ids) // 4

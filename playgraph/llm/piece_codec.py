@@ -19,6 +19,7 @@ import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
+from .shared import texts_of
 from .tokens import SLICE_CHARS, tokenizer_path, worker_state
 
 MARK = "▁"
@@ -35,7 +36,7 @@ def worker_walker(path: str) -> "PieceWalker":
 class PieceWalker:
     """Ids of marked words by a forward pass over their trie."""
 
-    def __init__(self, path: str, cache_words: int = 400_000):
+    def __init__(self, path: str, cache_words: int = 300_000):
         import sentencepiece
 
         self.sp = sp = sentencepiece.SentencePieceProcessor(model_file=path)
@@ -143,7 +144,7 @@ class PieceWalker:
                 marks = ""
         return words + [marks] if marks else words
 
-    def encode(self, texts: list[str | None]):
+    def encode(self, texts):
         """Yields each text's ids as uint32 bytes, a bounded slice at a time; null like empty."""
         for part in _slices(texts):
             lists = [self.marked_words(t) for t in part]
@@ -187,7 +188,7 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
     def run(batches):
         walker = worker_walker(path)
         for batch in batches:
-            ids = list(walker.encode(batch.column(1).to_pylist()))
+            ids = list(walker.encode(texts_of(batch.column(1))))
             yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n_ids"])
 
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"cast(`{text_col}` as string) as text")

@@ -36,6 +36,12 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def texts_of(column, rows: int = 500):
+    """The Python strings of an Arrow column, a few rows at a time (a batch of long texts is never held twice)."""
+    for a in range(0, len(column), rows):
+        yield from column.slice(a, rows).to_pylist()
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(col, UPPER, UPPER.lower())

@@ -30,10 +30,10 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import stored, texts_of
 
 TRIGGER = 24
-SLICE_BYTES = 4_000_000
+SLICE_BYTES = 1_000_000
 HOT_ROWS = 4096
 BROADCAST_IDS = 1_000_000
 #: Fixed odd multipliers of the hash.
@@ -128,31 +128,36 @@ def phrases(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int)
     return doc_of[lo], lo, n, at, h[at], whole
 
 
-def _slices(batches):
-    ids, versions, texts, size = [], [], [], 0
+def _slices(batches, length):
+    """(id, version, bytes, place of the bytes in the text) in slices of bounded size.
+
+    A text longer than a slice comes in parts that overlap by ``length - 1``
+    bytes.  That may cut a phrase in two; such parts are compared window by
+    window like any other phrases of one trigger, so the result is the same.
+    """
+    rows, size = [], 0
     for b in batches:
-        for i, v, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+        for i, v, t in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), texts_of(b.column(2))):
             data = t.encode("utf-8", "surrogatepass")
-            ids.append(i)
-            versions.append(v)
-            texts.append(data)
-            size += len(data)
-            if size >= SLICE_BYTES:
-                yield ids, versions, texts
-                ids, versions, texts, size = [], [], [], 0
-    if ids:
-        yield ids, versions, texts
+            for a in range(0, max(1, len(data) - length + 1), SLICE_BYTES):
+                rows.append((i, v, data[a : a + SLICE_BYTES + length - 1], a))
+                size += len(rows[-1][2])
+                if size >= SLICE_BYTES:
+                    yield zip(*rows)
+                    rows, size = [], 0
+    if rows:
+        yield zip(*rows)
 
 
 def _parse(length):
     def run(batches):
-        for ids, versions, texts in _slices(batches):
+        for ids, versions, texts, bases in _slices(batches, length):
             sizes = np.array([len(t) for t in texts], np.int64)
             ends = np.cumsum(sizes)
             starts = ends - sizes
             row, lo, n, at, h, whole = phrases(np.frombuffer(b"".join(texts), np.uint8), starts, ends, length)
             doc, version = np.array(ids, np.int64)[row], np.array(versions, np.int64)[row]
-            place = lo - starts[row]
+            place = lo - starts[row] + np.array(bases, np.int64)[row]
             order = np.lexsort((place, doc, whole, h))
             row, n, h, whole, doc, version, place, off = (x[order] for x in (row, n, h, whole, doc, version, place, at - lo))
             again = np.zeros(len(row), bool)
@@ -216,7 +221,7 @@ def _cut_phrases(length):
     def run(batches):
         for b in batches:
             cols = [[] for _ in range(5)]
-            for doc, text, refs in zip(b.column(0).to_pylist(), b.column(1).to_pylist(), b.column(2).to_pylist()):
+            for doc, text, refs in zip(b.column(0).to_pylist(), texts_of(b.column(1)), texts_of(b.column(2))):
                 data = text.encode("utf-8", "surrogatepass")
                 for ref in refs:
                     place = ref["place"]

@@ -19,7 +19,7 @@ import numpy as np
 
 #: Marks that the tokenizer splits off a word as one run (the apostrophe starts contractions and is not one).
 EDGE = ".,;:!?()[]{}|*#/\\<>=+~^&%$@\"-"
-SLICE_CHARS = 3_000_000
+SLICE_CHARS = 2_000_000
 
 
 def tokenizer_path(name: str) -> str:
@@ -45,7 +45,7 @@ def worker_encoder(path: str) -> "ChunkEncoder":
 class ChunkEncoder:
     """Exact ids of ``Tokenizer.encode(text, add_special_tokens=False)`` for a tokenizer that drops white space."""
 
-    def __init__(self, path: str, cache_chunks: int = 600_000):
+    def __init__(self, path: str, cache_chunks: int = 300_000):
         from tokenizers import Tokenizer
 
         self.tok = Tokenizer.from_file(path)
@@ -131,7 +131,7 @@ class ChunkEncoder:
         get = self.cache.__getitem__
         return [self._ids(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, lists)]
 
-    def encode(self, texts: list[str | None]):
+    def encode(self, texts):
         """Yields the ids of each text (null: none) as little-endian uint32 bytes, a bounded slice at a time."""
         part: list[str] = []
         size = 0

@@ -39,7 +39,7 @@ def chunk_terms(chunk: str) -> list[int]:
     return out
 
 
-def _distinct_terms(texts, cache: dict, lookup=None, limit: int = 500_000):
+def _distinct_terms(texts, cache: dict, lookup=None, limit: int = 100_000):
     """For each text its sorted distinct terms (after ``lookup``) as int32, chunk by chunk through ``cache``."""
     for text in texts:
         chunks = set((text or "").replace("\n", " ").split(" "))
@@ -116,7 +116,7 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, ep
     return fm
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000, id_col: str = "doc_id", text_col: str = "text") -> FactorizationMachine:
+def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> FactorizationMachine:
     """Fit on at most ``sample_rows`` labelled rows outside the held-out quarter.
 
     The sample is the labelled ids with the smallest hash, so it is the same
