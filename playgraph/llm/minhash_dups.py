@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import UPPER, stored, texts_of
+from .shared import UPPER, small_batches, stored
 from .vector_dups import Forest
 
 COORDS, COMMON = 64, 4
@@ -90,9 +90,9 @@ def needed_matches(percent: int) -> int:
 def _features(size):
     def run(batches):
         shingle = Shingler(size)
-        for b in batches:
+        for b in small_batches(batches):
             n, fp, sig = [], [], []
-            for text in texts_of(b.column(1)):
+            for text in b.column(1).to_pylist():
                 s = shingle(text)
                 n.append(len(s))
                 fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
@@ -177,7 +177,7 @@ def _confirm(percent):
 
     def run(batches):
         key, sets, forest = None, {}, Forest()
-        for b in batches:
+        for b in small_batches(batches):
             rows = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
             edges = []
             for i in range(b.num_rows):
@@ -223,7 +223,7 @@ def _confirmed(texts: DataFrame, lists: DataFrame, homes: DataFrame, size: int,
 
     def sets(batches):
         shingle, seen, last = Shingler(size), set(), (None, None, None)
-        for b in batches:
+        for b in small_batches(batches):
             rows = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
             keep, data = [], []
             for i, (rep, fp, text) in enumerate(zip(rows["rep"], rows["fp_wanted"], rows["text"])):

@@ -42,6 +42,13 @@ def texts_of(column, rows: int = 500):
         yield from column.slice(a, rows).to_pylist()
 
 
+def small_batches(batches, rows: int = 500):
+    """Arrow batches cut to a few rows, where rows hold texts or sets."""
+    for b in batches:
+        for a in range(0, b.num_rows, rows):
+            yield b.slice(a, rows)
+
+
 def ascii_lower(col: Column) -> Column:
     """A-Z to a-z, every other character as it is."""
     return F.translate(col, UPPER, UPPER.lower())
