@@ -15,9 +15,12 @@ NEWS_DOC = "appnews struct<appid:bigint,newsitems:array<struct<gid:string,conten
 def news_from_snapshots(snapshot: DataFrame) -> DataFrame:
     """app, news_id, body from the newest stored news document of each app.
 
-    Items whose id is no 64-bit integer, and documents that do not parse, give no row.
+    With a ``page`` column an app has several documents, and the newest of each
+    (app, page) counts.  Items whose id is no 64-bit integer, and documents that
+    do not parse, give no row.
     """
-    stored = latest_snapshots(snapshot.filter(F.col("kind") == "news"))
+    keys = ["kind", "key", *(["page"] if "page" in snapshot.columns else [])]
+    stored = latest_snapshots(snapshot.filter(F.col("kind") == "news"), keys)
     items = stored.select("key", F.explode(F.from_json("payload", NEWS_DOC)["appnews"]["newsitems"]).alias("item"))
     news_id = F.col("item.gid").try_cast("bigint")
     return items.select(F.col("key").alias("app"), news_id.alias("news_id"), F.col("item.contents").alias("body")).filter(F.col("news_id").isNotNull())

@@ -21,15 +21,15 @@ from playgraph.functions.timecols import age_seconds
 NO_CACHE_TTL = {"user": S.LATEST_TTL_SECONDS}
 
 
-def latest_snapshots(snapshot: DataFrame) -> DataFrame:
-    """kind, key, fetched_at, payload: the newest document per (kind, key).
+def latest_snapshots(snapshot: DataFrame, keys: Sequence[str] = ("kind", "key")) -> DataFrame:
+    """kind, key, fetched_at, payload: the newest document per (kind, key), or per other ``keys``.
 
     ``max(struct(fetched_at, payload))`` is an aggregate with a map-side
     partial step, so a key with a huge history is reduced before the shuffle.
     """
     best = F.max(F.struct("fetched_at", "payload")).alias("s")
-    return snapshot.groupBy("kind", "key").agg(best).select(
-        "kind", "key", F.col("s.fetched_at").alias("fetched_at"), F.col("s.payload").alias("payload")
+    return snapshot.groupBy(*keys).agg(best).select(
+        *keys, F.col("s.fetched_at").alias("fetched_at"), F.col("s.payload").alias("payload")
     )
 
 

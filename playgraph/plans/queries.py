@@ -307,7 +307,7 @@ def news_latest3(spark, sf_dir):
 
 
 def news_from_snapshots(spark, sf_dir):
-    """The newest items of each app, read from stored news documents."""
+    """The newest items of each app, read from stored news documents that hold every item and its whole body."""
     c = _c(spark, sf_dir)
     return news.latest_news(news.news_from_snapshots(testmap.news_snapshot(c.t)))
 

@@ -6,14 +6,13 @@ played, and each nation is a ring of friends ordered by customer key.
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import Column, DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import fixed_decimals
 from playgraph.functions.ranking import DEFAULT_BUCKET_WIDTH, dense_position
 from playgraph.functions.timecols import epoch_seconds, ntz_literal
-from playgraph.operators.news import latest_news
 from playgraph.sources.tables import Tables
 
 # Fixed values of the mapping.
@@ -25,6 +24,7 @@ NO_PLAYER_EVERY = 13          # c_custkey % 13 = 0 -> players: []
 EVENT_KIND = {"click": "user", "view": "game", "purchase": "friend", "signup": "news"}
 CACHED_EVENT_TYPES = ("click", "view")   # -> "useCache", others "noCache"
 SNAPSHOT_NOW = "2024-01-31 00:00:00"
+NEWS_PAGE_IDS = 64            # a stored news page covers this many consecutive item ids
 
 
 def played(t: Tables, accounts: DataFrame | None = None) -> DataFrame:
@@ -186,14 +186,28 @@ def news(t: Tables) -> DataFrame:
     )
 
 
+def news_key(app: Column) -> Column:
+    """The 64-bit key of a source: k for ``srck``, a negative hash for any other name, null for null.
+
+    Numbers with leading zeros or beyond 64 bits are hashed like names, so no two of them share a key.
+    """
+    number = F.regexp_extract(app, "^src([0-9]+)$", 1).try_cast("bigint")
+    named = F.when(app.isNotNull(), F.xxhash64(app).bitwiseOR(F.lit(-(1 << 63))))
+    return F.when(F.concat(F.lit("src"), number.cast("string")) == app, number).otherwise(named)
+
+
 def news_snapshot(t: Tables) -> DataFrame:
-    """kind, key, payload, fetched_at: per app one stored news document with its newest items, as the API returns it."""
-    app = F.regexp_extract("app", "^src([0-9]+)$", 1).try_cast("bigint")
-    newest = latest_news(news(t)).select(app.alias("key"), "rank", "news_id", "contents").filter("key is not null")
-    item = F.struct(F.col("news_id").cast("string").alias("gid"), F.col("contents"), F.lit(0).cast("bigint").alias("date"))
-    docs = newest.groupBy("key").agg(F.collect_list(item).alias("newsitems"))  # at most the items of one request
+    """kind, key, page, payload, fetched_at: every news item with its whole body, in stored documents of bounded size.
+
+    A page of an app holds its items of ``NEWS_PAGE_IDS`` consecutive ids, so no
+    document and no ``collect_list`` group grows with an app's history.
+    """
+    # Items without an id have no range; their page is a hash of the body.
+    page = F.coalesce(F.floor(F.col("news_id") / F.lit(NEWS_PAGE_IDS)), F.xxhash64("body")).alias("page")
+    item = F.struct(F.col("news_id").cast("string").alias("gid"), F.col("body").alias("contents"), F.lit(0).cast("bigint").alias("date"))
+    docs = news(t).groupBy(news_key(F.col("app")).alias("key"), page).agg(F.collect_list(item).alias("newsitems"))
     doc = F.struct(F.struct(F.col("key").alias("appid"), F.col("newsitems")).alias("appnews"))
-    return docs.select(F.lit("news").alias("kind"), "key", F.to_json(doc).alias("payload"), snapshot_now().alias("fetched_at"))
+    return docs.select(F.lit("news").alias("kind"), "key", "page", F.to_json(doc).alias("payload"), snapshot_now().alias("fetched_at"))
 
 
 def account_list_lines(t: Tables) -> DataFrame:
