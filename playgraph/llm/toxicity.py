@@ -21,6 +21,8 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
+from .shared import stored
+
 SPACE = 1 << 26
 RUN = re.compile(r"[^\W\d_]+")
 
@@ -70,22 +72,36 @@ def _sigmoid(x):
     return 1 / (1 + np.exp(-np.clip(x, -35, 35)))
 
 
+def _blocks(docs: list[np.ndarray], rows: int = 1000):
+    """(slice of ``docs``, row inside it and term of every entry), a bounded number of documents at a time."""
+    for a in range(0, len(docs), rows):
+        part = docs[a : a + rows]
+        yield slice(a, a + len(part)), np.repeat(np.arange(len(part)), [len(d) for d in part]), np.concatenate(part)
+
+
 def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 20, screen: float = 20.0, seed: int = 7) -> FactorizationMachine:
     """Fit on the term arrays of a sample.  No rows, or one class only: a constant score of that share."""
     share = float(labels.mean()) if len(labels) else 0.0
-    flat = np.concatenate(docs) if docs else np.zeros(0, np.int64)
-    terms, col, n_docs = np.unique(flat, return_inverse=True, return_counts=True)
     if share in (0.0, 1.0):
         return FactorizationMachine(np.zeros(0, np.int64), 35.0 if share else -35.0, np.zeros(0), np.zeros((0, factors)))
-    row = np.repeat(np.arange(len(docs)), [len(d) for d in docs])
+    terms = np.unique(np.concatenate(docs))
     # Likelihood-ratio screen: terms whose share of toxic documents is no accident.
-    k, n = np.bincount(col, labels[row], len(terms)), n_docs
+    # Counted block by block, so only the sample's four-byte terms are held at once.
+    k, n = np.zeros(len(terms)), np.zeros(len(terms))
+    for part, r, t in _blocks(docs):
+        at = np.searchsorted(terms, t)
+        k += np.bincount(at, labels[part][r], len(terms))
+        n += np.bincount(at, minlength=len(terms))
     with np.errstate(divide="ignore", invalid="ignore"):
         g2 = 2 * (np.nan_to_num(k * np.log(k / (n * share))) + np.nan_to_num((n - k) * np.log((n - k) / (n * (1 - share)))))
     alive = np.flatnonzero(g2 >= screen)
-    renum = np.full(len(terms), -1)
-    renum[alive] = np.arange(len(alive))
-    row, col = row[renum[col] >= 0], renum[col[renum[col] >= 0]]
+    terms = terms[alive]
+    row, col = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    for part, r, t in _blocks(docs):
+        known = np.isin(t, terms)
+        row.append(part.start + r[known])
+        col.append(np.searchsorted(terms, t[known]))
+    row, col = np.concatenate(row), np.concatenate(col)
     starts = np.searchsorted(row, np.arange(len(docs) + 1))
     rng = np.random.default_rng(seed)
 
@@ -97,7 +113,7 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, ep
             r = np.repeat(np.arange(len(part)), [len(p) for p in picks])
             yield part, r, col[np.concatenate(picks)]
 
-    fm = FactorizationMachine(terms[alive].astype(np.int64), float(np.log(share / (1 - share))), np.zeros(len(alive)), rng.normal(0, 0.01, (len(alive), factors)))
+    fm = FactorizationMachine(terms.astype(np.int64), float(np.log(share / (1 - share))), np.zeros(len(alive)), rng.normal(0, 0.01, (len(alive), factors)))
     gw, gv, g0 = np.ones(len(alive)), np.ones((len(alive), factors)), 1.0
     for _ in range(epochs):
         for part, r, c in batches():
@@ -116,12 +132,13 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, ep
     return fm
 
 
-def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000, id_col: str = "doc_id", text_col: str = "text") -> FactorizationMachine:
+def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000, id_col: str = "doc_id", text_col: str = "text") -> FactorizationMachine:
     """Fit on at most ``sample_rows`` labelled rows outside the held-out quarter.
 
     The sample is the labelled ids with the smallest hash, so it is the same
     wherever rows lie; its ids are the only thing broadcast and only its terms
-    reach the driver, both bounded by ``sample_rows``.  Null ids and null
+    reach the driver, both bounded by ``sample_rows``; they are stored first and
+    fetched one partition at a time.  Null ids and null
     labels are left out; an id labelled twice counts as toxic if one label says so.
     """
     ids = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col(f"`{id_col}`")))
@@ -136,9 +153,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 8_000,
             found = [x.tobytes() for x in _distinct_terms(b.column(2).to_pylist(), cache)]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(found, pa.binary())], ["id", "toxic", "terms"])
 
-    got = rows.mapInArrow(terms, "id bigint, toxic int, terms binary").collect()
-    got.sort(key=lambda r: (r.id, r.terms))
-    return fit_machine([np.frombuffer(r.terms, "<i4") for r in got], np.array([float(r.toxic) for r in got]))
+    found = stored(rows.mapInArrow(terms, "id bigint, toxic int, terms binary"), "toxicity-sample")
+    got = sorted((r.id, r.terms, r.toxic) for r in found.toLocalIterator())
+    return fit_machine([np.frombuffer(t, "<i4") for _, t, _ in got], np.array([float(y) for _, _, y in got]))
 
 
 def toxicity_score(fm: FactorizationMachine, text: Column) -> Column:
