@@ -175,7 +175,7 @@ def account_status(spark, sf_dir):
     c = _c(spark, sf_dir)
     # Only game counts and playtimes are read from the library, so the stored
     # pairs (no positions or names to derive) stand in for it.
-    return status.account_status(c.accounts, **testmap.status_inputs(c.t, c.pairs, c.first_friends(10), c.profile))
+    return status.account_status(c.accounts, **testmap.status_inputs(c.t, c.pairs, c.friend_edge, c.profile))
 
 
 def account_selection(spark, sf_dir):
@@ -198,7 +198,7 @@ def recommend_from_documents(spark, sf_dir):
     explicit document schemas and exploded, then recommended on."""
     c = _c(spark, sf_dir)
     lib = documents.library_from_pages(documents.library_documents(c.library))
-    edges = documents.friend_edge_from_pages(documents.friend_documents(c.first_friends(10)))
+    edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge))
     prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
     return rec.recommend(lib, edges, prof, k=10)
 
@@ -217,7 +217,7 @@ def recommend_from_damaged_documents(spark, sf_dir):
     lib_docs = damaged(documents.library_documents(c.library), F.pmod(acc, F.lit(10)) == 3)
     lib = documents.library_from_pages(lib_docs)
     bad_id = F.when(F.pmod("pos", F.lit(7)) == 3, F.lit("99999999999999999999")).otherwise(F.col("friend_id").cast("string"))
-    edges = documents.friend_edge_from_pages(documents.friend_documents(c.first_friends(10).withColumn("friend_id", bad_id)))
+    edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge.withColumn("friend_id", bad_id)))
     prof_docs = damaged(documents.profile_documents(c.profile), F.pmod(acc, F.lit(6)) == 0)
     prof = documents.profile_from_documents(documents.parse_payload(prof_docs, "user"))
     return rec.recommend(lib, edges, prof, k=10)

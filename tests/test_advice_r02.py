@@ -11,9 +11,9 @@ from pyspark.sql import functions as F
 import __spark_entry__ as entry
 from playgraph.llm import toxicity
 from playgraph.llm.toxicity import held_out, train_toxicity
-from playgraph.operators import news
+from playgraph.operators import news, status
 from playgraph.plans.queries import QUERIES
-from playgraph.sources import testmap
+from playgraph.sources import documents, testmap
 from playgraph.sources.tables import Tables, table_path
 
 
@@ -93,3 +93,16 @@ def test_screen_by_blocks_equals_whole_counts():
         part = [x * np.log(x / (n * s)) for x, s in ((k, share), (n - k, 1 - share)) if x]
         want += [t] if 2 * sum(part) >= 20 else []
     assert list(fm.terms) == want and 7 in want
+
+
+def test_whole_friend_lists_reach_the_operators(spark, monkeypatch):
+    seen = []
+    real = documents.friend_documents, status.account_status
+    monkeypatch.setattr(documents, "friend_documents", lambda edges: seen.append(edges) or real[0](edges))
+    monkeypatch.setattr(status, "account_status", lambda accounts, **t: seen.append(t["friend_edge"]) or real[1](accounts, **t))
+    sf = "/root/testdata/sf0.01"
+    for name in ("recommend_from_documents", "recommend_from_damaged_documents", "account_status"):
+        QUERIES[name](spark, sf)
+    whole = testmap.friend_edge(Tables(spark, sf))
+    reached = whole.filter(F.pmod("account_id", F.lit(9)) > 1)   # the status mapping's accounts with a friend list
+    assert [e.count() for e in seen] == [whole.count(), whole.count(), reached.count()]
