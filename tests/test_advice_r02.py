@@ -12,7 +12,7 @@ import __spark_entry__ as entry
 from playgraph.llm import toxicity
 from playgraph.llm.toxicity import held_out, train_toxicity
 from playgraph.operators import news, status
-from playgraph.plans.queries import QUERIES
+from playgraph.plans.queries import QUERIES, Canonical
 from playgraph.sources import documents, testmap
 from playgraph.sources.tables import Tables, table_path
 
@@ -106,3 +106,19 @@ def test_whole_friend_lists_reach_the_operators(spark, monkeypatch):
     whole = testmap.friend_edge(Tables(spark, sf))
     reached = whole.filter(F.pmod("account_id", F.lit(9)) > 1)   # the status mapping's accounts with a friend list
     assert [e.count() for e in seen] == [whole.count(), whole.count(), reached.count()]
+
+
+def test_account_status_of_unfiltered_tables(spark):
+    c = Canonical(spark, SF_SMALL)
+    got = {tuple(r) for r in status.account_status(c.accounts, c.profile, c.pairs, c.friend_edge).collect()}
+    ids = [r.account_id for r in c.accounts.collect()]
+    owners = {r.account_id for r in c.pairs.select("account_id").distinct().collect()}
+    friends = {i: [] for i in ids}
+    for r in c.friend_edge.collect():
+        friends[r.account_id].append((r.pos, r.friend_id))
+    want = set()
+    for i in ids:
+        usable = any(f % 13 and f in owners for p, f in friends[i] if p < 10)
+        want.add((i, "OK" if i % 13 else "NO_PROFILE", "OK" if i in owners else "NO_DATA",
+                  "OK" if friends[i] else "NO_DATA", "OK" if usable else "NO_CANDIDATES"))
+    assert got == want and len(got) == len(ids)
