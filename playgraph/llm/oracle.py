@@ -124,10 +124,44 @@ SELECT d.doc_id, d.n AS n_bytes, CAST(coalesce(t.removed, 0) AS BIGINT) AS n_rem
 FROM d LEFT JOIN total t USING (doc_id) LEFT JOIN front p USING (doc_id)
 """
 
+#: Words between ASCII white space; lines of a host count once per distinct text.
+QUALITY = """
+WITH d AS (SELECT doc_id, coalesce(source, chr(0)) AS host, coalesce(text, '') AS t FROM documents),
+w AS (SELECT doc_id, regexp_extract_all(t, '[^\\x20\\x09-\\x0D]+') AS ws FROM d),
+win AS (
+  SELECT doc_id, i, ws[i] || ' ' || ws[i + 1] || ' ' || ws[i + 2] AS x
+  FROM (SELECT doc_id, ws, unnest(range(1, len(ws) - 1)) AS i FROM w WHERE len(ws) >= 3)),
+dup AS (SELECT doc_id, x FROM win GROUP BY ALL HAVING count(*) > 1),
+start AS (SELECT doc_id, i, lead(i) OVER (PARTITION BY doc_id ORDER BY i) AS nxt FROM win JOIN dup USING (doc_id, x)),
+rep AS (SELECT doc_id, CAST(sum(least(3, coalesce(nxt - i, 3))) AS BIGINT) AS n FROM start GROUP BY doc_id),
+raw AS (SELECT doc_id, host, t, unnest(string_split(t, chr(10))) AS line FROM d),
+lines AS (
+  SELECT doc_id, host, t, line,
+    regexp_replace(translate(line, 'ABCDEFGHIJKLMNOPQRSTUVWXYZ123456789', 'abcdefghijklmnopqrstuvwxyz000000000'), '[\\x20\\x09-\\x0D]+', '', 'g') AS norm
+  FROM raw),
+again AS (SELECT doc_id, CAST(count(*) - count(DISTINCT line) AS BIGINT) AS n FROM lines WHERE norm <> '' GROUP BY doc_id),
+docs AS (SELECT host, count(DISTINCT t) AS docs FROM d GROUP BY host),
+hot AS (
+  SELECT host, norm FROM (SELECT host, norm, count(DISTINCT t) AS n FROM lines WHERE norm <> '' GROUP BY host, norm)
+  JOIN docs USING (host) WHERE n > 5 AND n > 0.05 * docs),
+lost AS (SELECT doc_id, count(*) AS n, CAST(sum(length(norm)) AS BIGINT) AS chars FROM lines JOIN hot USING (host, norm) GROUP BY doc_id),
+m AS (
+  SELECT d.doc_id, CAST(len(w.ws) AS BIGINT) AS n_words,
+    CAST(length(regexp_replace(d.t, '[\\x20\\x09-\\x0D]+', '', 'g')) AS BIGINT) AS word_chars,
+    CAST(length(regexp_replace(d.t, '[^#*$%&|<>]+', '', 'g')) AS BIGINT) AS n_symbols,
+    coalesce(a.n, 0) AS n_dup_lines, coalesce(r.n, 0) AS n_repeat_words, coalesce(l.n, 0) AS lost_lines, coalesce(l.chars, 0) AS lost_chars
+  FROM d JOIN w USING (doc_id) LEFT JOIN again a USING (doc_id) LEFT JOIN rep r USING (doc_id) LEFT JOIN lost l USING (doc_id)),
+v AS (SELECT *, n_words < 50 OR 100 * n_repeat_words > 50 * n_words AS base_failed, 100 * lost_chars > 50 * word_chars AS depleted FROM m)
+SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base_failed, NOT base_failed AND NOT depleted AS kept,
+       lost_lines, lost_chars, depleted
+FROM v
+"""
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": URL_FILTER,
     "op5_vector_dups": NEAR_VECTORS,
     "op6_minhash": NEAR_DOCUMENTS,
     "op7_suffix_dedup": REPEATED_BYTES,
     "op10_topk": TOP_K,
+    "op13_quality": QUALITY,
 }

@@ -11,6 +11,7 @@ from .minhash_dups import near_documents
 from .packed_ids import matrix_segments, write_id_matrices
 from .packing_tiers import pack_tiers
 from .piece_codec import decode_pieces, encode_pieces
+from .quality_lines import quality_rules
 from .reshard import reshard, rewrite_affected
 from .suffix_dups import cut_bytes, with_spans
 from .topk import exact_top_k
@@ -111,6 +112,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Measures and verdict of every document by the base rules and the line frequency of its source."""
+    return quality_rules(_table(spark, sf_dir, "documents"))
+
+
 QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op1_token_ids": op1_token_ids,
     "op2_sentencepiece": op2_sentencepiece,
@@ -122,4 +128,5 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
+    "op13_quality": op13_quality,
 }
