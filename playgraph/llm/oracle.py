@@ -157,11 +157,59 @@ SELECT doc_id, n_words, word_chars, n_symbols, n_dup_lines, n_repeat_words, base
 FROM v
 """
 
+#: CRC-32 byte by byte over all distinct features at once; ``tab`` is the byte table of the polynomial.
+RESAMPLE = """
+WITH RECURSIVE bits(b, k, r) AS (
+  SELECT CAST(range AS BIGINT), 0, CAST(range AS BIGINT) FROM range(256)
+  UNION ALL
+  SELECT b, k + 1, CASE WHEN r & 1 = 1 THEN xor(r >> 1, 3988292384) ELSE r >> 1 END FROM bits WHERE k < 8),
+tab AS (SELECT b, r FROM bits WHERE k = 8),
+d AS (
+  SELECT doc_id, regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                                    '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM documents),
+e AS (
+  SELECT regexp_extract_all(translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'),
+                            '[^\\x00-\\x2F\\x3A-\\x60\\x7B-\\x7F]+') AS w FROM benchmark),
+df AS (
+  SELECT doc_id, f, count(*) AS n FROM (
+    SELECT doc_id, unnest(w) AS f FROM d
+    UNION ALL SELECT doc_id, unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM d WHERE len(w) > 1)
+  GROUP BY doc_id, f),
+ef AS (
+  SELECT f, count(*) AS n FROM (
+    SELECT unnest(w) AS f FROM e
+    UNION ALL SELECT unnest(list_transform(range(1, len(w)), lambda i: w[i] || ' ' || w[i + 1])) FROM e WHERE len(w) > 1)
+  GROUP BY f),
+names AS (SELECT f, hex(encode(f)) AS h FROM (SELECT f FROM df UNION SELECT f FROM ef)),
+crc(f, h, i, r) AS (
+  SELECT f, h, 0, CAST(4294967295 AS BIGINT) FROM names
+  UNION ALL
+  SELECT c.f, c.h, c.i + 1, xor(c.r >> 8, t.r)
+  FROM crc c JOIN tab t ON t.b = xor(c.r & 255, CAST('0x' || substr(c.h, 2 * c.i + 1, 2) AS BIGINT))
+  WHERE 2 * c.i < len(c.h)),
+bucket AS (SELECT f, xor(r, 4294967295) % 10000 AS b FROM crc WHERE 2 * i = len(h)),
+s AS (SELECT b, sum(n) AS n FROM df JOIN bucket USING (f) GROUP BY b),
+t AS (SELECT b, sum(n) AS n FROM ef JOIN bucket USING (f) GROUP BY b),
+total AS (SELECT coalesce((SELECT sum(n) FROM df), 0) AS s, coalesce((SELECT sum(n) FROM ef), 0) AS t),
+gain AS (
+  SELECT s.b, CAST(floor(1000 * ln(((coalesce(t.n, 0) + 1)::DOUBLE * (total.s + 10000)::DOUBLE) / ((s.n + 1)::DOUBLE * (total.t + 10000)::DOUBLE))) AS BIGINT) AS g
+  FROM s LEFT JOIN t USING (b), total),
+mean AS (SELECT doc_id, sum(n) AS n, CAST(floor(sum(n * g)::DOUBLE / sum(n)::DOUBLE) AS BIGINT) AS w FROM df JOIN bucket USING (f) JOIN gain USING (b) GROUP BY doc_id),
+scored AS (
+  SELECT d.doc_id, len(d.w) >= 20 AS able, CAST(coalesce(m.n, 0) AS BIGINT) AS n_features, coalesce(m.w, 0) AS weight,
+    coalesce(m.w, 0) + CAST(floor(-1000 * ln(-ln((CAST('0x' || substr(sha256('7:' || d.doc_id), 1, 8) AS BIGINT) + 0.5::DOUBLE) / 4294967296::DOUBLE))) AS BIGINT) AS score
+  FROM d LEFT JOIN mean m USING (doc_id)),
+place AS (SELECT doc_id, row_number() OVER (ORDER BY score DESC, doc_id) AS r, count(*) OVER () AS able FROM scored WHERE able)
+SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN p.r <= 25 * p.able // 100 THEN p.r END AS rank
+FROM scored s LEFT JOIN place p USING (doc_id)
+"""
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": URL_FILTER,
     "op5_vector_dups": NEAR_VECTORS,
     "op6_minhash": NEAR_DOCUMENTS,
     "op7_suffix_dedup": REPEATED_BYTES,
     "op10_topk": TOP_K,
+    "op12_resampling": RESAMPLE,
     "op13_quality": QUALITY,
 }

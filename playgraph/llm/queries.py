@@ -14,6 +14,7 @@ from .piece_codec import decode_pieces, encode_pieces
 from .quality_lines import quality_rules
 from .reshard import reshard, rewrite_affected
 from .suffix_dups import cut_bytes, with_spans
+from .target_resampling import resample
 from .topk import exact_top_k
 from .toxicity import held_out, toxicity_score, train_toxicity
 from .vector_dups import near_vectors
@@ -112,6 +113,12 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """Weight, score and rank of every document, drawn towards the texts of ``benchmark``."""
+    rows = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
+    return rows.select("doc_id", "n_features", "weight", "score", "rank")
+
+
 def op13_quality(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Measures and verdict of every document by the base rules and the line frequency of its source."""
     return quality_rules(_table(spark, sf_dir, "documents"))
@@ -128,5 +135,6 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
+    "op12_resampling": op12_resampling,
     "op13_quality": op13_quality,
 }

@@ -1,0 +1,104 @@
+"""CRC features, weights and the global draw against plain Python."""
+
+import hashlib
+import math
+import random
+import re
+import zlib
+
+import numpy as np
+import pyarrow as pa
+import pytest
+
+from playgraph.llm import target_resampling as tr
+
+WORD = re.compile(r"[^\x00-\x2F\x3A-\x60\x7B-\x7F]+")
+SCHEMA = "doc_id bigint, text string, score int, weight string"
+TEXTS = [None, "", " . ", "a", "a b", "Straße ÄB c1 d_e", "A" * 500 + " b " + "ü" * 100 + " " + "c" * 64 + " " + "d" * 63 + " e", "x" * 129, "x" * 128 + " " + "y" * 128]
+
+
+def _features(t):
+    w = WORD.findall("".join(chr(ord(c) + 32) if "A" <= c <= "Z" else c for c in t or ""))
+    return w, w + [f"{a} {b}" for a, b in zip(w, w[1:])]
+
+
+def _bucket(f):
+    return zlib.crc32(f.encode()) % 10000
+
+
+@pytest.mark.parametrize("size", [100, 3000, 2 << 20])
+def test_crcs(monkeypatch, size):
+    """Every feature's CRC, in whole slices and in long texts cut between words."""
+    monkeypatch.setattr(tr, "SLICE", size)
+    rng = random.Random(1)
+    texts = TEXTS + [" ".join("".join(rng.choices("abÜ9_.", k=rng.randint(0, 90))) for _ in range(rng.randint(0, 60))) for _ in range(40)]
+    found, words = [[] for _ in texts], [0] * len(texts)
+    for bucket, row, word_row in tr._features(pa.array(["left out", *texts], pa.string()).slice(1), 10000):
+        for b, r in zip(bucket.tolist(), row.tolist()):
+            found[r].append(b)
+        for r in word_row.tolist():
+            words[r] += 1
+    for i, t in enumerate(texts):
+        w, f = _features(t)
+        assert words[i] == len(w) and sorted(found[i]) == sorted(map(_bucket, f)), i
+
+
+def test_no_texts():
+    assert list(tr._features(pa.array([], pa.string()), 10)) == []
+    assert all(len(b) == 0 for b, _, _ in tr._features(pa.array([None, ""], pa.string()), 10))
+
+
+def _brute(rows, target):
+    s, t = np.zeros(10000, int), np.zeros(10000, int)
+    for _, x in rows:
+        for f in _features(x)[1]:
+            s[_bucket(f)] += 1
+    for x in target:
+        for f in _features(x)[1]:
+            t[_bucket(f)] += 1
+    gain = [math.floor(1000 * math.log((float(b) + 1) * (s.sum() + 10000) / ((a + 1) * float(t.sum() + 10000)))) for a, b in zip(s, t)]
+    out = []
+    for i, x in rows:
+        w, f = _features(x)
+        weight = sum(gain[_bucket(y)] for y in f) // len(f) if f else 0
+        h = int(hashlib.sha256(f"7:{'null' if i is None else i}".encode()).hexdigest()[:8], 16)
+        out.append((i, len(w), len(f), weight, weight + math.floor(-1000 * math.log(-math.log((h + 0.5) / 4294967296)))))
+    able = sorted((r for r in out if r[1] >= 20), key=lambda r: (-r[4], r[0] is None, r[0] or 0, -r[3], -r[2]))
+    n = 25 * len(able) // 100
+    return sorted([(*r, k + 1 if k < n else None) for k, r in enumerate(able)] + [(*r, None) for r in out if r[1] < 20], key=str)
+
+
+def test_against_brute_force(spark):
+    """Nulls, repeated ids and rows, ties and clashing column names; many ranges in the ranking."""
+    rng = random.Random(2)
+    vocab = ["w%d" % i for i in range(50)] + ["ÄÖ", "long" * 40]
+    rows = [(i, " ".join(rng.choices(vocab, k=rng.randint(0, 60)))) for i in range(300)]
+    rows += [(1000 + i, t) for i, t in enumerate(TEXTS)] + [(None, rows[0][1]), (None, rows[1][1]), rows[5], rows[5], (7, rows[9][1])]
+    target = ["w1 w2 w3 w4 w5", "w1 w2", None, ""]
+    docs = spark.createDataFrame([(i, t, 3, "x") for i, t in rows], SCHEMA).repartition(7).select("doc_id", "text")
+    goal = spark.createDataFrame([(t,) for t in target], "text string")
+    got = tr.resample(docs, goal).select("doc_id", "n_words", "n_features", "weight", "score", "rank")
+    assert sorted(map(tuple, got.collect()), key=str) == _brute(rows, target)
+
+
+def test_clashing_names_and_kept_texts(spark):
+    rows = [(i, f"w{i % 7} " * 30, 3, "x") for i in range(40)]
+    docs = spark.createDataFrame(rows, SCHEMA)
+    got = tr.resample(docs, spark.createDataFrame([("w1 w1",)], "text string"), keep=["text"])
+    assert got.columns == ["doc_id", "text", "n_words", "n_features", "weight", "score", "rank"]
+    drawn = got.where("rank is not null").collect()
+    assert sorted(r["rank"] for r in drawn) == list(range(1, 11)) and all(r.text == f"w{r.doc_id % 7} " * 30 for r in drawn)
+
+
+def test_ranks_over_many_ranges(spark):
+    rows = spark.range(5000).selectExpr("id", "id % 13 AS v")
+    got = tr.ranked(rows, [rows.v.desc(), rows.id.asc()], per_task=100).orderBy("rank").collect()
+    assert [r["rank"] for r in got] == list(range(1, 5001))
+    assert [(r.v, r.id) for r in got] == sorted(((i % 13, i) for i in range(5000)), key=lambda x: (-x[0], x[1]))
+
+
+def test_empty_tables(spark):
+    docs = spark.createDataFrame([], SCHEMA)
+    one = spark.createDataFrame([(1, "a b " * 20, 1, "")], SCHEMA)
+    assert tr.resample(docs, one).count() == 0
+    assert [r["rank"] for r in tr.resample(one, docs, percent=100).collect()] == [1]
