@@ -204,12 +204,44 @@ SELECT s.doc_id, s.n_features, s.weight, s.score, CASE WHEN p.r <= 25 * p.able /
 FROM scored s LEFT JOIN place p USING (doc_id)
 """
 
+#: All phrases of 1 to 5 words; a trailing space lets a phrase be looked for at word boundaries.
+COLLOCATIONS = """
+WITH p AS (
+  SELECT coalesce(lang, 'und') AS lang, unnest(regexp_split_to_array(
+    translate(coalesce(text, ''), 'ABCDEFGHIJKLMNOPQRSTUVWXYZ', 'abcdefghijklmnopqrstuvwxyz'), '[.,;:!?\\x0A-\\x0D]')) AS piece
+  FROM documents),
+w AS (SELECT lang, regexp_extract_all(piece, '[^\\x20\\x09]+') AS ws FROM p),
+total AS (SELECT lang, CAST(sum(len(ws)) AS BIGINT) AS n FROM w GROUP BY lang),
+g AS (
+  SELECT lang, k, array_to_string(ws[i:i + k - 1], ' ') AS phrase
+  FROM (SELECT lang, ws, k, unnest(range(1, len(ws) - k + 2)) AS i FROM w, (SELECT unnest([1, 2, 3, 4, 5]) AS k) WHERE len(ws) >= k)),
+f AS (SELECT lang, k, phrase, count(*) AS a FROM g GROUP BY ALL HAVING count(*) >= 100),
+c AS (SELECT lang, k, phrase, string_split(phrase, ' ') AS ws, a FROM f WHERE k >= 2),
+cut AS (
+  SELECT lang, phrase, a, j, array_to_string(ws[1:j], ' ') AS head, array_to_string(ws[j + 1:], ' ') AS rest
+  FROM (SELECT *, unnest(range(1, k)) AS j FROM c)),
+scored AS (
+  SELECT cut.lang, cut.phrase, cut.a, j, x.a AS l, y.a AS r, n,
+    CAST(1000::HUGEINT * cut.a * n // (x.a::HUGEINT * y.a) AS BIGINT) AS score
+  FROM cut JOIN f x ON x.lang = cut.lang AND x.phrase = head JOIN f y ON y.lang = cut.lang AND y.phrase = rest JOIN total t ON t.lang = cut.lang),
+best AS (SELECT * FROM scored QUALIFY row_number() OVER (PARTITION BY lang, phrase ORDER BY score, j) = 1),
+free AS (
+  SELECT * FROM best b
+  WHERE NOT EXISTS (SELECT 1 FROM (
+      SELECT lang, array_to_string(ws[i:i + m - 1], ' ') AS phrase, a
+      FROM (SELECT lang, ws, k, a, m, unnest(range(1, k - m + 2)) AS i FROM c, (SELECT unnest([2, 3, 4]) AS m) WHERE m < k)) s
+    WHERE s.lang = b.lang AND s.phrase = b.phrase AND 100 * s.a >= 100 * b.a)),
+placed AS (SELECT *, row_number() OVER (PARTITION BY lang ORDER BY score DESC, a DESC, phrase) AS place FROM free)
+SELECT lang, place AS rank, phrase, a, l, r, n, score FROM placed WHERE place <= 2000
+"""
+
 ORACLE: dict[str, str] = {
     "op3_url_filter": URL_FILTER,
     "op5_vector_dups": NEAR_VECTORS,
     "op6_minhash": NEAR_DOCUMENTS,
     "op7_suffix_dedup": REPEATED_BYTES,
     "op10_topk": TOP_K,
+    "op11_collocations": COLLOCATIONS,
     "op12_resampling": RESAMPLE,
     "op13_quality": QUALITY,
 }

@@ -10,6 +10,7 @@ from pyspark.sql import functions as F
 from .minhash_dups import near_documents
 from .packed_ids import matrix_segments, write_id_matrices
 from .packing_tiers import pack_tiers
+from .phrase_mining import collocations
 from .piece_codec import decode_pieces, encode_pieces
 from .quality_lines import quality_rules
 from .reshard import reshard, rewrite_affected
@@ -113,6 +114,11 @@ def op10_topk(spark: SparkSession, sf_dir: str) -> DataFrame:
     return exact_top_k(_table(spark, sf_dir, "embeddings"), F.col("vec_id") % 50 == 0, k=5)
 
 
+def op11_collocations(spark: SparkSession, sf_dir: str) -> DataFrame:
+    """The 2,000 strongest phrases of every language."""
+    return collocations(_table(spark, sf_dir, "documents"))
+
+
 def op12_resampling(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Weight, score and rank of every document, drawn towards the texts of ``benchmark``."""
     rows = resample(_table(spark, sf_dir, "documents"), _table(spark, sf_dir, "benchmark"))
@@ -135,6 +141,7 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     "op8_toxicity": op8_toxicity,
     "op9_packing": op9_packing,
     "op10_topk": op10_topk,
+    "op11_collocations": op11_collocations,
     "op12_resampling": op12_resampling,
     "op13_quality": op13_quality,
 }
