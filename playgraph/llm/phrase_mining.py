@@ -32,7 +32,7 @@ from .shared import UPPER, stored
 BREAKS = b".,;:!?\n\x0b\x0c\r"
 BLANKS = b" \t"
 #: Bytes of text numbered and counted together.
-SLICE = 4 << 20
+SLICE = 2 << 20
 TABLE_BITS = 26
 #: Up to so many languages, their totals are broadcast (one short row each).
 FEW_LANGS = 100_000

@@ -8,6 +8,7 @@ import uuid
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+BATCH_BYTES = 8 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
 
@@ -28,9 +29,18 @@ def scratch_dir(spark: SparkSession) -> str:
     return base.rstrip("/")
 
 
+def lean_batches(spark: SparkSession) -> None:
+    """Arrow batches of at most 8 MB: tasks of these operators hold whole texts, and long ones would fill the default 64 MB."""
+    key = "spark.sql.execution.arrow.maxBytesPerBatch"
+    size = spark.conf.get(key).rstrip("b")
+    if not size.isdigit() or int(size) > BATCH_BYTES or int(size) <= 0:
+        spark.conf.set(key, str(BATCH_BYTES))
+
+
 def stored(df: DataFrame, label: str) -> DataFrame:
     """Write ``df`` as a table in the shared folder and read it back (cuts the lineage)."""
     spark = df.sparkSession
+    lean_batches(spark)
     path = f"{scratch_dir(spark)}/{label}-{uuid.uuid4().hex}"
     df.write.parquet(path)
     return spark.read.schema(df.schema).parquet(path)
