@@ -207,12 +207,11 @@ def _propose(sample: DataFrame, low: int, longest: int, bits: int) -> BitTable:
         def run(batches):
             for b in batches:
                 for lang, data, starts in _slices(b.column(0), b.column(1).to_pylist()):
-                    salt = _word_hashes(pa.array([b"\x00" + lang.encode()], pa.large_binary()))
                     for n, hashes, counts, _, _ in slice_phrases(data, starts, lengths[-1], sent.value, None, known):
                         if n in lengths:
-                            yield pa.RecordBatch.from_arrays([pa.array((hashes ^ salt).view(np.int64)), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["k", "h", "n"])
+                            yield pa.RecordBatch.from_arrays([pa.array([lang] * len(hashes), pa.string()), pa.array(hashes.view(np.int64)), pa.array(counts.astype(np.int64))], ["lang", "h", "n"])
 
-        rows = sample.mapInArrow(run, "k bigint, h bigint, n bigint").groupBy("k", "h").agg(F.sum("n").alias("n"))
+        rows = sample.mapInArrow(run, "lang string, h bigint, n bigint").groupBy("lang", "h").agg(F.sum("n").alias("n"))
         return rows.where(F.col("n") >= low)
 
     short = table.with_spots(_spots(counted(range(1, min(longest, 2) + 1), 0, table), bits))
@@ -236,19 +235,22 @@ def _counted(docs: DataFrame, table: BitTable, before: BitTable | None, longest:
             for lang, data, starts in _slices(b.column(0), b.column(1).to_pylist()):
                 for n, _, counts, dictionary, places in slice_phrases(data, starts, longest, table, before, longest):
                     for a in range(0, len(counts), 50_000):
-                        c, p = counts[a : a + 50_000], _phrase_bytes(dictionary, places[a : a + 50_000]).cast(pa.binary())
-                        yield _rows(lang, n, p, c)
+                        yield _rows(lang, _phrase_bytes(dictionary, places[a : a + 50_000]), counts[a : a + 50_000])
                     if n == 1:
-                        yield _rows(lang, 0, pa.array([b""]), np.array([counts.sum()]))
+                        yield _rows(lang, pa.array([b""], pa.large_binary()), np.array([counts.sum()]))
 
-    rows = docs.mapInArrow(run, "lang string, words int, phrase binary, a bigint")
-    rows = rows.groupBy("lang", "words", "phrase").agg(F.sum("a").alias("a"))
-    return rows.where((F.col("a") >= least) | (F.col("words") == 0)).select("lang", F.col("phrase").cast("string").alias("phrase"), "words", "a")
+    # One short key per row: the phrase, a line end (which no phrase holds) and the language.
+    counts = docs.mapInArrow(run, "key binary, a bigint").groupBy("key").agg(F.sum("a").alias("a"))
+    key = F.col("key").cast("string")
+    cut = F.instr(key, "\n")
+    rows = counts.where((F.col("a") >= least) | (cut == 1)).select(F.expr("substring(string(key), instr(string(key), '\n') + 1)").alias("lang"), F.substring_index(key, "\n", 1).alias("phrase"), "a")
+    words = F.when(F.col("phrase") == "", 0).otherwise(F.length("phrase") - F.length(F.replace("phrase", F.lit(" "), F.lit(""))) + 1)
+    return rows.select("lang", "phrase", words.alias("words"), "a")
 
 
-def _rows(lang: str, n: int, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
-    k = len(counts)
-    return pa.RecordBatch.from_arrays([pa.array([lang] * k, pa.string()), pa.array(np.full(k, n, np.int32)), phrases, pa.array(counts.astype(np.int64))], ["lang", "words", "phrase", "a"])
+def _rows(lang: str, phrases: pa.Array, counts: np.ndarray) -> pa.RecordBatch:
+    key = pc.binary_join_element_wise(phrases, pa.scalar(lang.encode(), pa.large_binary()), pa.scalar(b"\n", pa.large_binary()))
+    return pa.RecordBatch.from_arrays([key.cast(pa.binary()), pa.array(counts.astype(np.int64))], ["key", "a"])
 
 
 def _phrase_hashes(phrases: list[str]) -> np.ndarray:
