@@ -6,26 +6,49 @@ from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
-from playgraph.operators.snapshots import latest_snapshots
+from playgraph.operators.snapshots import latest_page_sets, latest_snapshots
 
 
 NEWS_DOC = "appnews struct<appid:bigint,newsitems:array<struct<gid:string,contents:string,date:bigint>>>"
 
 
+def news_documents(snapshot: DataFrame) -> DataFrame:
+    """key, payload of the stored news documents that count.
+
+    With ``pages`` (a stored table) these are all pages of each app's newest
+    complete fetch; with ``page`` alone the newest document of each (app, page);
+    with neither the newest document of each app.
+    """
+    rows = snapshot.filter(F.col("kind") == "news")
+    if "pages" in snapshot.columns:
+        return latest_page_sets(rows).select("key", "payload")
+    return latest_snapshots(rows, ["kind", "key", *(["page"] if "page" in snapshot.columns else [])]).select("key", "payload")
+
+
+def _items(documents: DataFrame) -> DataFrame:
+    return documents.select("key", F.explode(F.from_json("payload", NEWS_DOC)["appnews"]["newsitems"]).alias("item"))
+
+
 def news_from_snapshots(snapshot: DataFrame) -> DataFrame:
-    """app, news_id, body from the newest stored news document of each app.
+    """app, news_id, body from the stored news documents that count (``news_documents``).
 
-    With a ``page`` column an app has several documents, and the newest of each
-    (app, page) counts.  Items whose id is no 64-bit integer, and documents that
-    do not parse, give no row.
+    Items whose id is no 64-bit integer, and documents that do not parse, give
+    no row; ``news_rejects`` lists them.
     """
-    keys = ["kind", "key", *(["page"] if "page" in snapshot.columns else [])]
-    stored = latest_snapshots(snapshot.filter(F.col("kind") == "news"), keys)
-    items = stored.select("key", F.explode(F.from_json("payload", NEWS_DOC)["appnews"]["newsitems"]).alias("item"))
     news_id = F.col("item.gid").try_cast("bigint")
+    items = _items(news_documents(snapshot))
     return items.select(F.col("key").alias("app"), news_id.alias("news_id"), F.col("item.contents").alias("body")).filter(F.col("news_id").isNotNull())
 
 
+def news_rejects(snapshot: DataFrame) -> DataFrame:
+    """app, reason (``document`` or ``item``), value: documents that do not parse and items without a 64-bit id."""
+    documents = news_documents(snapshot)
+    parsed = F.from_json("payload", NEWS_DOC)["appnews"]["newsitems"]
+    unread = documents.filter(parsed.isNull()).select(F.col("key").alias("app"), F.lit("document").alias("reason"), F.col("payload").alias("value"))
+    items = _items(documents).filter(F.col("item.gid").try_cast("bigint").isNull())
+    return unread.unionByName(items.select(F.col("key").alias("app"), F.lit("item").alias("reason"), F.col("item.gid").alias("value")))
+
+
 def latest_news(news: DataFrame, per_app: int = S.NEWS_PER_APP, max_chars: int = S.NEWS_MAX_CHARS) -> DataFrame:
     """app, rank, news_id, contents, body_chars.
 

@@ -10,7 +10,9 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, Window
 from pyspark.sql import functions as F
 
+from playgraph.functions.exact import average_of, sum_parts
 from playgraph.functions.formats import fixed_decimals
+from playgraph.sources.ledger import append_batch
 
 # Comparison-table cells in display order: (engine, cache mode, column).
 COMPARISON_CELLS = (
@@ -23,10 +25,9 @@ AVG_DIGITS = 6  # numeric averages are rounded so equal inputs compare equal
 
 
 def label_averages(run_log: DataFrame) -> DataFrame:
-    """label, avg_ms, runs (unrounded average)."""
-    return run_log.groupBy("label").agg(
-        F.avg("duration_ms").alias("avg_ms"), F.count(F.lit(1)).alias("runs")
-    )
+    """label, avg_ms, runs (unrounded average of exact sums: the same bits for any order of the log)."""
+    totals = run_log.groupBy("label").agg(*sum_parts("duration_ms", "t"), F.count(F.lit(1)).alias("runs"))
+    return totals.select("label", average_of("t").alias("avg_ms"), "runs")
 
 
 def run_averages(run_log: DataFrame) -> DataFrame:
@@ -79,9 +80,8 @@ def comparison_from_averages(a: DataFrame) -> DataFrame:
 
 def resource_averages(samples: DataFrame) -> DataFrame:
     """label, avg_cpu_pct, avg_rss_mb, samples, line."""
-    a = samples.groupBy("label").agg(
-        F.avg("cpu_pct").alias("cpu"), F.avg("rss_mb").alias("rss"), F.count(F.lit(1)).alias("samples")
-    )
+    totals = samples.groupBy("label").agg(*sum_parts("cpu_pct", "c"), *sum_parts("rss_mb", "r"), F.count(F.lit(1)).alias("samples"))
+    a = totals.select("label", average_of("c").alias("cpu"), average_of("r").alias("rss"), "samples")
     line = F.format_string(
         "%s: AVG_CPU=%s%% AVG_MEM=%sMB over %d samples",
         "label", fixed_decimals("cpu", 2), fixed_decimals("rss", 2), "samples",
@@ -95,11 +95,16 @@ def resource_averages(samples: DataFrame) -> DataFrame:
     )
 
 
-def append_resource_averages(samples: DataFrame, path: str) -> None:
-    """Append the per-label resource lines to the resource log folder."""
-    resource_averages(samples).select(F.col("line").alias("value")).write.mode("append").text(path)
+def append_resource_averages(samples: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append the per-label resource lines to the resource log folder; a named ``batch`` counts once."""
+    lines = resource_averages(samples).select(F.col("line").alias("value"))
+    if batch:
+        append_batch(lines, path, batch, fmt="text")
+    else:
+        lines.write.mode("append").text(path)
 
 
+# The report's titles, header and column widths.
 AVERAGES_TITLE = "=== Individual Averages ==="
 COMPARISON_TITLE = "=== Comparison Table (Manual vs Spark with/without cache) ==="
 COMPARISON_HEADER = f"{'Friends':<10}{'Manual (Cached)':<18}{'Manual (No Cache)':<20}{'Spark (Cached)':<18}{'Spark (No Cache)'}"

@@ -10,11 +10,12 @@ from __future__ import annotations
 import math
 from collections.abc import Sequence
 
-from pyspark.sql import Column, DataFrame
+from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.timecols import age_seconds
+from playgraph.sources.ledger import append_batch, read_batches
 
 # The benchmark's no-cache mode: only profiles are re-fetched ("latest"
 # ttl); libraries and friend lists keep the normal ttl.
@@ -70,6 +71,18 @@ def snapshot_freshness(
     )
 
 
+def recent_snapshots(
+    snapshot: DataFrame,
+    now: Column,
+    ttl_seconds: float | dict = S.CACHE_TTL_SECONDS,
+    kinds: Sequence[str] = S.CACHED_KINDS,
+) -> DataFrame:
+    """Rows that may be fresh: of a known kind and not older than the longest ttl (both tests reach the scan)."""
+    longest = max([float(v) for v in ttl_seconds.values()] + [S.CACHE_TTL_SECONDS]) if isinstance(ttl_seconds, dict) else float(ttl_seconds)
+    oldest = now - F.expr(f"INTERVAL '{math.ceil(longest)}' SECOND")
+    return snapshot.filter(F.col("kind").isin(*kinds) & (F.col("fetched_at") >= oldest))
+
+
 def fresh_keys(
     snapshot: DataFrame,
     now: Column,
@@ -83,9 +96,7 @@ def fresh_keys(
     constant (the longest ttl back from ``now``) that Parquet statistics can
     use, and the exact test per kind follows.
     """
-    longest = max([float(v) for v in ttl_seconds.values()] + [S.CACHE_TTL_SECONDS]) if isinstance(ttl_seconds, dict) else float(ttl_seconds)
-    oldest = now - F.expr(f"INTERVAL '{math.ceil(longest)}' SECOND")
-    recent = snapshot.filter(F.col("kind").isin(*kinds) & (F.col("fetched_at") >= oldest))
+    recent = recent_snapshots(snapshot, now, ttl_seconds, kinds)
     return snapshot_freshness(newest_times(recent), now, ttl_seconds, kinds).filter("is_fresh").select("kind", "key", "fetched_at")
 
 
@@ -102,9 +113,9 @@ def refresh_list(
 
 
 def cache_hits(wanted: DataFrame, snapshot: DataFrame, now: Column, ttl_seconds: float | dict = S.CACHE_TTL_SECONDS) -> DataFrame:
-    """kind, key, payload of wanted documents served from fresh snapshots; payloads are read for hits only."""
+    """kind, key, payload of wanted documents served from fresh snapshots; payloads are read of recent rows only."""
     hits = wanted.select("kind", "key").join(fresh_keys(snapshot, now, ttl_seconds), ["kind", "key"])
-    docs = snapshot.join(hits.distinct(), ["kind", "key", "fetched_at"])
+    docs = recent_snapshots(snapshot, now, ttl_seconds).join(hits.distinct(), ["kind", "key", "fetched_at"])
     newest = docs.groupBy("kind", "key").agg(F.max("payload").alias("payload"))
     return wanted.select("kind", "key").join(newest, ["kind", "key"])
 
@@ -116,11 +127,48 @@ def wanted_documents(accounts: DataFrame, kinds: Sequence[str] = S.CACHED_KINDS)
     )
 
 
-def append_snapshots(docs: DataFrame, path: str) -> None:
-    """Append fetched documents, partitioned by kind (prunes per-kind reads).
+STORED = "key bigint, page bigint, pages int, payload string, fetched_at timestamp_ntz, kind string"
+
+
+def append_snapshots(docs: DataFrame, path: str, batch: str | None = None) -> str:
+    """Append fetched documents as one batch, partitioned by kind (prunes per-kind reads); returns the batch name.
+
+    The one way into the table, for batch jobs and the streaming ingest alike.
+    ``docs`` has kind, key, payload, fetched_at and, for documents of several
+    pages, ``page``; ``pages`` tells how many pages the fetch has when they come
+    in more than one batch.  A batch of the same name is written once.
+    """
+    def given(name, kind):
+        return (F.col(name) if name in docs.columns else F.lit(None)).cast(kind).alias(name)
+
+    rows = docs.select("kind", "key", given("page", "bigint"), given("pages", "int"), "payload", "fetched_at")
+    return append_batch(rows, path, batch, partition_by=("kind",))
+
+
+def read_snapshots(spark: SparkSession, path: str) -> DataFrame:
+    """kind, key, page, pages, payload, fetched_at of all committed batches (a missing table is empty)."""
+    return read_batches(spark, path, STORED).select("kind", "key", "page", "pages", "payload", "fetched_at")
+
+
+def _newest_sets(rows: DataFrame, keys: list[str]) -> DataFrame:
+    """Rows of the newest complete fetch per ``keys``; only the narrow columns are grouped before the join."""
+    fetches = rows.groupBy(*keys, "fetched_at").agg(F.count_distinct(F.coalesce("page", F.lit(0))).alias("n"), F.max("pages").alias("pages"))
+    complete = fetches.filter(F.col("pages").isNull() | (F.col("n") >= F.col("pages")))
+    newest = complete.groupBy(*keys).agg(F.max("fetched_at").alias("fetched_at"))
+    found = rows.join(newest, [*keys, "fetched_at"])
+    # A page that was written twice (two batches of one fetch) counts once.
+    return found.groupBy(*keys, "fetched_at", "page").agg(F.max("payload").alias("payload"))
+
+
+def latest_page_sets(snapshot: DataFrame) -> DataFrame:
+    """kind, key, page, payload, fetched_at: all pages of the newest complete fetch of every (kind, key).
 
-    The one way into the table, for batch jobs and the streaming ingest alike,
-    so that every reader sees every row.  A batch that is written again after a
-    failure repeats rows, which the latest-per-key reads collapse.
+    A fetch is what shares kind, key and ``fetched_at``; it is complete when it
+    has as many pages as its ``pages`` says (null: all that its batch holds).
+    Pages become visible together, and pages that a newer fetch no longer has
+    are gone.  Documents with a null key are those of one key.
     """
-    docs.select("kind", "key", "payload", "fetched_at").write.mode("append").partitionBy("kind").parquet(path)
+    cols = ["kind", "key", "page", "payload", "fetched_at"]
+    sets = _newest_sets(snapshot.filter(F.col("key").isNotNull()), ["kind", "key"]).select(cols)
+    unnamed = _newest_sets(snapshot.filter(F.col("key").isNull()), ["kind"])
+    return sets.unionByName(unnamed.withColumn("key", F.lit(None).cast("bigint")).select(cols))

@@ -196,6 +196,7 @@ def oracle_sql() -> dict[str, str]:
     q["recommend_all_k10"] = _recommend()
     q["recommend_rank"] = _recommend(top_n=None)
     q["recommend_from_documents"] = _recommend()
+    q["recommend_after_delta"] = _recommend()
     q["recommend_sweep"] = _recommend(sweep=True)
     q["recommend_sweep_by_appid"] = _recommend(sweep=True, mode="by_appid")
     q["recommend_by_appid"] = _recommend(mode="by_appid")
@@ -277,6 +278,16 @@ SELECT account_id, rank, appid, name, total_playtime FROM ranked WHERE rank <= 1
         "WHERE regexp_full_match(CAST(user_id AS VARCHAR), '[0-9]+'))"
     )
     q["library_explode"] = _with() + "\nSELECT account_id, pos, appid, name, playtime_min FROM library"
+    q["library_from_containers"] = q["library_explode"]
+    q["document_summary"] = _with() + """
+SELECT 'user' AS kind, account_id AS key, CAST(0 AS BIGINT) AS page, CAST(CASE WHEN player_found THEN 1 ELSE 0 END AS BIGINT) AS n_entries,
+       persona, CAST(NULL AS BIGINT) AS first_id FROM profile
+UNION ALL
+SELECT 'game', account_id, CAST(floor(pos / 1000) AS BIGINT), count(*), CAST(NULL AS VARCHAR), arg_min(appid, pos) FROM library GROUP BY ALL
+UNION ALL
+SELECT 'friend', account_id, CAST(floor(pos / 1000) AS BIGINT), count(*), CAST(NULL AS VARCHAR), arg_min(friend_id, pos) FROM friend_edge GROUP BY ALL
+UNION ALL
+SELECT 'news', TRY_CAST(substr(source, 4) AS BIGINT), CAST(floor(doc_id / 64) AS BIGINT), count(*), CAST(NULL AS VARCHAR), min(doc_id) FROM documents GROUP BY ALL"""
     q["game_defaults"] = _with() + "\nSELECT owner_id AS account_id, pos, appid, name, playtime FROM games"
     top15 = _with() + """
 SELECT account_id, rank, appid, name, total_playtime FROM (
@@ -297,6 +308,7 @@ FROM (SELECT owner_id AS account_id, appid, name, playtime,
              row_number() OVER (PARTITION BY owner_id ORDER BY playtime DESC, pos) AS rn FROM games)
 WHERE rn = 1"""
     q["snapshot_latest"] = SNAPSHOT + "\nSELECT kind, key, fetched_at, payload FROM latest"
+    q["snapshot_latest_compacted"] = q["snapshot_latest"]
     q["snapshot_fresh"] = SNAPSHOT + "\nSELECT kind, key, fetched_at, age_seconds, is_fresh FROM flagged"
     q["snapshot_refresh_list"] = SNAPSHOT + """
 SELECT w.kind, w.key FROM wanted w
@@ -309,6 +321,7 @@ WHERE NOT EXISTS (SELECT 1 FROM fresh f WHERE f.kind = w.kind AND f.key = w.key
     q["snapshot_cache_hits"] = SNAPSHOT + """
 SELECT w.kind, w.key, f.payload FROM wanted w
 JOIN flagged f ON f.is_fresh AND f.kind = w.kind AND f.key = w.key"""
+    q["snapshot_hits_located"] = q["snapshot_cache_hits"]
     q["runlog_parse"] = RUN_LOG + "\nSELECT label, duration_ms FROM run_log"
     q["runlog_averages"] = RUN_LOG + """
 SELECT label, round(avg(duration_ms), 6) AS avg_ms, count(*) AS runs,
@@ -341,6 +354,11 @@ SELECT label, round(avg(cpu_pct), 6) AS avg_cpu_pct, round(avg(rss_mb), 6) AS av
          || 'MB over ' || count(*) || ' samples' AS line
 FROM samples GROUP BY label"""
     q["runlog_sink"] = q["runlog_parse"]
+    q["runlog_batches"] = q["runlog_parse"]
+    q["decimal_texts"] = """
+SELECT event_id, printf('%.1f', value) AS value_1, printf('%.2f', value) AS value_2, printf('%.3f', value) AS value_3,
+       printf('%.3f', value / 1000) AS milli, printf('%.3f', -value / 1000000) AS micro, printf('%.1f', floor(value * 8) / 16) AS half
+FROM events"""
     q["resource_sink"] = f"SELECT line AS value FROM ({q['resource_averages']}) r"
     header = "printf('%-10s%-18s%-20s%-18s%s', 'Friends', 'Manual (Cached)', 'Manual (No Cache)', 'Spark (Cached)', 'Spark (No Cache)')"
     q["summary_report"] = f"""
@@ -348,11 +366,13 @@ SELECT line AS value FROM ({q['runlog_averages']}) a
 UNION ALL SELECT line FROM ({q['runlog_comparison']}) c
 UNION ALL SELECT unnest(['=== Individual Averages ===', '', '=== Comparison Table (Manual vs Spark with/without cache) ===',
                          {header}, repeat('-', length({header}) + 1)])"""
+    # Sources are named src<number>; a source of another name has a hash for its key, which DuckDB has not got.
     q["news_from_snapshots"] = """
-SELECT app, rank, news_id, contents, CAST(length(contents) AS BIGINT) AS body_chars FROM (
+SELECT app, rank, news_id, contents, body_chars FROM (
   SELECT TRY_CAST(substr(source, 4) AS BIGINT) AS app, doc_id AS news_id, substring(text, 1, 300) AS contents,
+         CAST(length(text) AS BIGINT) AS body_chars,
          CAST(row_number() OVER (PARTITION BY source ORDER BY doc_id DESC) AS INTEGER) AS rank
-  FROM documents WHERE regexp_full_match(source, 'src[0-9]+')) WHERE rank <= 3"""
+  FROM documents) WHERE rank <= 3"""
     q["news_latest3"] = """
 SELECT app, rank, news_id, contents, body_chars FROM (
   SELECT source AS app, doc_id AS news_id, substring(text, 1, 300) AS contents,

@@ -15,10 +15,11 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.operators import library as lib_ops
-from playgraph.operators import network, news, profile as profile_ops, recommend as rec, runlog, snapshots, status
+from playgraph.operators import compaction, network, news, opaque, profile as profile_ops, recommend as rec, refresh, runlog, snapshots, status
+from playgraph.functions.formats import fixed_decimals
 from playgraph.plans.batch import materialize
 from playgraph.session import ensure_checkpoint_dir
-from playgraph.sources import documents, testmap, text
+from playgraph.sources import containers, documents, testmap, text
 from playgraph.sources.tables import Tables
 
 ONE_ACCOUNT = 42  # the account of the single-account query
@@ -51,10 +52,6 @@ class Canonical:
     def friend_edge(self) -> DataFrame:
         return testmap.friend_edge(self.t)
 
-    def first_friends(self, k: int) -> DataFrame:
-        """Friend lists of at most ``k + 1`` entries: all that an operator using the first ``k`` needs."""
-        return testmap.friend_edge(self.t, list_len=k + 1)
-
     @cached_property
     def profile(self) -> DataFrame:
         return testmap.profile(self.t)
@@ -82,7 +79,7 @@ def _c(spark: SparkSession, sf_dir: str) -> Canonical:
 def recommend_one(spark, sf_dir):
     """One account: its friends are found first, and only their orders and its own are read further."""
     c = _c(spark, sf_dir)
-    mine = c.first_friends(S.FRIENDS_USED).filter(F.col("account_id") == ONE_ACCOUNT)
+    mine = c.friend_edge.filter(F.col("account_id") == ONE_ACCOUNT)
     edges = materialize(mine, "friends_of_one")
     ids = edges.select(F.col("friend_id").alias("account_id")).union(
         c.accounts.filter(F.col("account_id") == ONE_ACCOUNT).select("account_id")
@@ -94,12 +91,12 @@ def recommend_one(spark, sf_dir):
 
 def recommend_all_k10(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, owned=c.owned)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned)
 
 
 def recommend_rank(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, top_n=None, owned=c.owned)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, top_n=None, owned=c.owned)
 
 
 def recommend_sweep(spark, sf_dir):
@@ -114,7 +111,7 @@ def recommend_sweep_by_appid(spark, sf_dir):
 
 def recommend_by_appid(spark, sf_dir):
     c = _c(spark, sf_dir)
-    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, mode=rec.BY_APPID, owned=c.owned)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, mode=rec.BY_APPID, owned=c.owned)
 
 
 def recommend_hours(spark, sf_dir):
@@ -133,7 +130,7 @@ def recommend_empty(spark, sf_dir):
         .select("account_id", "appid")
     )
     owned = c.owned.unionByName(friends_games)
-    return rec.recommend(c.library, c.first_friends(10), c.profile, k=10, owned=owned)
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=owned)
 
 
 def top10_per_friend(spark, sf_dir):
@@ -154,6 +151,17 @@ def friends_used(spark, sf_dir):
     return rec.friends_used(c.friend_edge, c.profile, k=10)
 
 
+def recommend_after_delta(spark, sf_dir):
+    """Recommendations of all accounts, kept up to date: computed on the orders before a date, then refreshed
+    for the accounts that the later orders reach."""
+    c = _c(spark, sf_dir)
+    old_pairs = materialize(testmap.played(c.t, before=testmap.DELTA_FROM), "played_before")
+    previous = materialize(rec.recommend(testmap.library(c.t, pairs=old_pairs), c.friend_edge, c.profile, k=10, owned=old_pairs.select("account_id", "appid")), "previous")
+    changed = c.t.orders.filter(~F.coalesce(F.col("o_orderdate") < F.lit(testmap.DELTA_FROM).cast("timestamp_ntz"), F.lit(False)))
+    changed = changed.select(F.col("o_custkey").alias("account_id"))
+    return refresh.refresh_recommendations(previous, c.library, c.friend_edge, c.profile, changed, k=10, owned=c.owned)
+
+
 # --- friends, profiles, status ------------------------------------------------
 
 def friend_network(spark, sf_dir):
@@ -248,6 +256,27 @@ def most_played(spark, sf_dir):
     return lib_ops.most_played(c.library)
 
 
+def library_from_containers(spark, sf_dir):
+    """Every library as documents in container files, read back and flattened."""
+    path = _sink_dir(spark, "containers")
+    containers.write_containers(documents.library_documents(_c(spark, sf_dir).library), path)
+    return documents.library_from_pages(containers.container_rows(spark, path))
+
+
+def document_summary(spark, sf_dir):
+    """Profile, library, friend-list and news documents in one VARIANT column, read by path."""
+    c = _c(spark, sf_dir)
+    news_docs = testmap.news_snapshot(c.t).select("kind", "key", "page", "payload")
+
+    def of(kind, docs):
+        page = F.col("page").cast("bigint") if "page" in docs.columns else F.lit(0).cast("bigint")
+        return docs.select(F.lit(kind).alias("kind"), F.col("account_id").alias("key"), page.alias("page"), "payload")
+
+    docs = of("user", documents.profile_documents(c.profile)).unionByName(of("game", documents.library_documents(c.library)))
+    docs = docs.unionByName(of("friend", documents.friend_documents(c.friend_edge))).unionByName(news_docs)
+    return opaque.document_summary(docs)
+
+
 # --- snapshots ---------------------------------------------------------------------
 
 def snapshot_latest(spark, sf_dir):
@@ -282,6 +311,35 @@ def snapshot_cache_hits(spark, sf_dir):
     return snapshots.cache_hits(wanted, c.snapshot, testmap.snapshot_now())
 
 
+def _stored_log(spark, c):
+    """The snapshot log appended in batches, a week of fetches each, as a fetcher would."""
+    path = _sink_dir(spark, "snapshots")
+    week = F.floor(F.timestamp_diff("DAY", F.lit(testmap.FIRST_FETCH).cast("timestamp_ntz"), F.col("fetched_at")) / 7)
+    numbered = materialize(c.snapshot.withColumn("week", week), "log")
+    for r in numbered.select("week").distinct().orderBy("week").collect():
+        snapshots.append_snapshots(numbered.filter(F.col("week").eqNullSafe(F.lit(r.week))), path)
+    return path
+
+
+def snapshot_latest_compacted(spark, sf_dir):
+    """The newest documents from a log compacted twice on its way: after two weeks, and after all but the last."""
+    c = _c(spark, sf_dir)
+    path = _sink_dir(spark, "compacted")
+    cut = [F.lit(t).cast("timestamp_ntz") for t in testmap.COMPACTED_AT]
+    at = F.col("fetched_at")
+    for part in (at < cut[0], (at >= cut[0]) & (at < cut[1])):
+        snapshots.append_snapshots(c.snapshot.filter(part), path)
+        compaction.compact(spark, path, buckets=int(spark.conf.get("spark.sql.shuffle.partitions")))
+    snapshots.append_snapshots(c.snapshot.filter((at >= cut[1]) | at.isNull()), path)
+    return compaction.latest_compacted(spark, path).select("kind", "key", "fetched_at", "payload")
+
+
+def snapshot_hits_located(spark, sf_dir):
+    """Cache hits from the stored log: places first, payloads of hit files after."""
+    c = _c(spark, sf_dir)
+    return compaction.located_hits(spark, _stored_log(spark, c), snapshots.wanted_documents(c.accounts), testmap.snapshot_now())
+
+
 # --- run log, resources, news ----------------------------------------------------------
 
 def runlog_parse(spark, sf_dir):
@@ -307,9 +365,10 @@ def news_latest3(spark, sf_dir):
 
 
 def news_from_snapshots(spark, sf_dir):
-    """The newest items of each app, read from stored news documents that hold every item and its whole body."""
-    c = _c(spark, sf_dir)
-    return news.latest_news(news.news_from_snapshots(testmap.news_snapshot(c.t)))
+    """The newest items of each app, from news documents written to a snapshot table in pages and read back."""
+    path = _sink_dir(spark, "news")
+    snapshots.append_snapshots(testmap.news_snapshot(_c(spark, sf_dir).t), path)
+    return news.latest_news(news.news_from_snapshots(snapshots.read_snapshots(spark, path)))
 
 
 # --- sinks: written to the shared folder and read back ----------------------------------
@@ -326,6 +385,29 @@ def runlog_sink(spark, sf_dir):
     return parsed
 
 
+def runlog_batches(spark, sf_dir):
+    """Raw timing lines ingested in three batches, each of them twice (a retry): every line counts once."""
+    path = _sink_dir(spark, "runlog_batches")
+    lines = testmap.run_log_lines(_c(spark, sf_dir).t)
+    part = F.pmod(F.xxhash64("value"), F.lit(3))
+    for n in (0, 0, 1, 2, 1, 2):
+        text.ingest_run_log(lines.filter(part == n), path, f"run-{n}")
+    parsed, _ = text.parse_run_log(text.read_lines(spark, path))
+    return parsed
+
+
+def decimal_texts(spark, sf_dir):
+    """Every event's value, and a thousandth and a millionth of it, as text with one to three decimals."""
+    value = F.col("value")
+    return _c(spark, sf_dir).t.events.select(
+        "event_id",
+        *[fixed_decimals(value, d).alias(f"value_{d}") for d in (1, 2, 3)],
+        fixed_decimals(value / 1000, 3).alias("milli"),
+        fixed_decimals(-value / 1000000, 3).alias("micro"),
+        fixed_decimals(F.floor(value * 8) / 16, 1).alias("half"),
+    )
+
+
 def summary_report(spark, sf_dir):
     """The summary report's lines, written and read again."""
     path = _sink_dir(spark, "summary")
@@ -345,12 +427,12 @@ QUERIES: dict[str, Callable[[SparkSession, str], DataFrame]] = {
     for f in [
         recommend_one, recommend_all_k10, recommend_rank, recommend_sweep, recommend_sweep_by_appid,
         recommend_by_appid, recommend_hours, recommend_empty, top10_per_friend, owned_exclusion,
-        friends_used, friend_network, friend_count, profile_summary, account_status,
-        account_selection, library_explode, recommend_from_documents, profile_summary_from_documents,
+        recommend_after_delta, friends_used, friend_network, friend_count, profile_summary, account_status,
+        account_selection, library_explode, library_from_containers, document_summary, recommend_from_documents, profile_summary_from_documents,
         game_defaults, library_top15, library_hours,
         most_played, snapshot_latest, snapshot_fresh, snapshot_refresh_list, snapshot_refresh_list_nocache,
-        snapshot_cache_hits,
+        snapshot_cache_hits, snapshot_latest_compacted, snapshot_hits_located,
         runlog_parse, runlog_averages, runlog_comparison, resource_averages, news_latest3,
-        recommend_from_damaged_documents, news_from_snapshots, runlog_sink, summary_report, resource_sink,
+        recommend_from_damaged_documents, news_from_snapshots, runlog_sink, runlog_batches, decimal_texts, summary_report, resource_sink,
     ]
 }

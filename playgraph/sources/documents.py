@@ -12,6 +12,7 @@ lists them.
 
 from __future__ import annotations
 
+from pyspark.errors import AnalysisException
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
@@ -42,7 +43,12 @@ def _scan(spark: SparkSession, path: str, kind: str, multiline: bool) -> DataFra
         .option("columnNameOfCorruptRecord", CORRUPT)
         .option("multiLine", str(multiline).lower())
     )
-    df = reader.json(path)
+    try:
+        df = reader.json(path)
+    except AnalysisException as missing:  # a folder that nothing was fetched into yet
+        if missing.getCondition() != "PATH_NOT_FOUND":
+            raise
+        return spark.createDataFrame([], f"account_id bigint, __path string, {DOC_SCHEMAS[kind]}, {CORRUPT} string")
     fields = [c for c in df.columns if c != FOLDER]
     where = F.col("_metadata.file_path")
     return df.select(_key_of(where, kind).alias("account_id"), where.alias("__path"), *fields)

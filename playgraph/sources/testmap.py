@@ -24,18 +24,23 @@ NO_PLAYER_EVERY = 13          # c_custkey % 13 = 0 -> players: []
 EVENT_KIND = {"click": "user", "view": "game", "purchase": "friend", "signup": "news"}
 CACHED_EVENT_TYPES = ("click", "view")   # -> "useCache", others "noCache"
 SNAPSHOT_NOW = "2024-01-31 00:00:00"
+DELTA_FROM = "2001-06-01 00:00:00"        # orders from here on are the change that recommendations are refreshed for
+FIRST_FETCH = "2024-01-01 00:00:00"      # weeks of the stored log count from here
+COMPACTED_AT = ("2024-01-15 00:00:00", "2024-01-29 00:00:00")
 NEWS_PAGE_IDS = 64            # a stored news page covers this many consecutive item ids
 
 
-def played(t: Tables, accounts: DataFrame | None = None) -> DataFrame:
+def played(t: Tables, accounts: DataFrame | None = None, before: str | None = None) -> DataFrame:
     """account_id, appid, playtime_min: one row per owned game.
 
     The sum is partial + final on (account, appid), so a hot account's lines
     are reduced map-side and its games spread over tasks.  ``accounts`` (column
-    account_id) restricts the orders before the lines are joined.
+    account_id) restricts the orders before the lines are joined, ``before`` to
+    those of an earlier date.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
-    o = t.orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
+    orders = t.orders if before is None else t.orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
+    o = orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
     if accounts is not None:
         o = o.join(accounts.select("account_id").distinct(), "account_id", "left_semi")
     return (
@@ -205,7 +210,8 @@ def news_snapshot(t: Tables) -> DataFrame:
     # Items without an id have no range; their page is a hash of the body.
     page = F.coalesce(F.floor(F.col("news_id") / F.lit(NEWS_PAGE_IDS)), F.xxhash64("body")).alias("page")
     item = F.struct(F.col("news_id").cast("string").alias("gid"), F.col("body").alias("contents"), F.lit(0).cast("bigint").alias("date"))
-    docs = news(t).groupBy(news_key(F.col("app")).alias("key"), page).agg(F.collect_list(item).alias("newsitems"))
+    docs = news(t).groupBy(news_key(F.col("app")).alias("key"), page).agg(F.sort_array(F.collect_list(F.struct("news_id", item.alias("item")))).alias("sorted"))
+    docs = docs.withColumn("newsitems", F.transform("sorted", lambda x: x["item"]))
     doc = F.struct(F.struct(F.col("key").alias("appid"), F.col("newsitems")).alias("appnews"))
     return docs.select(F.lit("news").alias("kind"), "key", "page", F.to_json(doc).alias("payload"), snapshot_now().alias("fetched_at"))
 

@@ -10,6 +10,7 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
 from playgraph.functions.formats import fixed_decimals, strip_ws
+from playgraph.sources.ledger import append_batch, committed, read_batches, read_or_empty
 
 # Numbers accepted by Python's float(): decimal with optional exponent,
 # digit groups joined by single underscores, and the nan/inf words.
@@ -30,8 +31,12 @@ def _float_value(text):
 
 
 def read_lines(spark: SparkSession, path: str) -> DataFrame:
-    """``value`` string per line (splittable text scan)."""
-    return spark.read.text(path)
+    """``value`` string per line (splittable text scan); a folder written in batches gives the committed ones,
+    a missing one no lines."""
+    batches = committed(spark, path)
+    if batches:
+        return read_batches(spark, path, "value string", batches, fmt="text")
+    return read_or_empty(spark, path, "value string", fmt="text")
 
 
 def parse_run_log(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
@@ -69,9 +74,27 @@ def run_log_text(run_log: DataFrame) -> DataFrame:
     )
 
 
-def append_run_log(run_log: DataFrame, path: str) -> None:
-    """Append timing lines to the log folder."""
-    run_log_text(run_log).write.mode("append").text(path)
+def append_run_log(run_log: DataFrame, path: str, batch: str | None = None) -> None:
+    """Append timing lines to the log folder; a named ``batch`` counts once, however often it is written.
+
+    A folder is written with batches or without, not both.
+    """
+    if batch:
+        append_batch(run_log_text(run_log), path, batch, fmt="text")
+    else:
+        run_log_text(run_log).write.mode("append").text(path)
+
+
+def ingest_run_log(lines: DataFrame, path: str, batch: str) -> None:
+    """One batch of raw lines: good ones go to the log, bad ones to ``<path>_rejects``; both count once."""
+    parsed, rejects = parse_run_log(lines)
+    append_batch(rejects, path.rstrip("/") + "_rejects", batch)
+    append_run_log(parsed, path, batch)
+
+
+def run_log_rejects(spark: SparkSession, path: str) -> DataFrame:
+    """value, reason of the lines that ``ingest_run_log`` set aside."""
+    return read_batches(spark, path.rstrip("/") + "_rejects", "value string, reason string")
 
 
 def parse_account_list(lines: DataFrame) -> tuple[DataFrame, DataFrame]:

@@ -9,8 +9,10 @@ summary is rewritten after every pass.  As a Structured Streaming job:
 State is one row per label (a bounded set of workload names), kept in the
 checkpoint folder, which must be a stable path of the deployment: a restarted
 or relocated driver resumes from it without re-reading old log files.  Both
-report sections of a pass go to one new folder, and readers follow the newest
-complete one (``current_summary``), so they never mix two passes.  Malformed
+report sections of a pass go to one of a few folders in turn, and readers follow
+the newest complete one (``current_summary``), so they never mix two passes and
+old passes take no room.  Totals are kept as exact parts (``functions.exact``),
+so the averages do not depend on how lines fell into micro-batches.  Malformed
 lines go to a rejects table instead of ending the summary.
 """
 
@@ -22,29 +24,31 @@ from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 from pyspark.sql.streaming import StreamingQuery
 
+from playgraph.functions.exact import average_of, sum_parts
 from playgraph.operators import runlog
 from playgraph.sources import text
+from playgraph.sources.ledger import read_or_empty
+
+KEPT_PASSES = 3  # folders of report passes: one being read, one newer, one being written
 
 
 def label_totals(lines: DataFrame) -> tuple[DataFrame, DataFrame]:
-    """(label, total_ms, runs) running totals and the rejects stream."""
+    """label, the exact parts of its total, runs (running totals), and the rejects stream."""
     parsed, rejects = text.parse_run_log(lines)
-    totals = parsed.groupBy("label").agg(
-        F.sum("duration_ms").alias("total_ms"), F.count(F.lit(1)).alias("runs")
-    )
-    return totals, rejects
+    return parsed.groupBy("label").agg(*sum_parts("duration_ms", "t"), F.count(F.lit(1)).alias("runs")), rejects
 
 
 def _write_summary(out_dir: str):
     def write(batch: DataFrame, batch_id: int) -> None:
         spark = batch.sparkSession
-        avg = batch.select("label", (F.col("total_ms") / F.col("runs")).alias("avg_ms"), "runs").persist()
+        avg = batch.select("label", average_of("t").alias("avg_ms"), "runs").persist()
         try:
-            target = f"{out_dir.rstrip('/')}/pass={batch_id}"
+            slot = batch_id % KEPT_PASSES
+            target = f"{out_dir.rstrip('/')}/pass={slot}"
             runlog.averages_text(avg).write.mode("overwrite").parquet(f"{target}/averages")
             runlog.comparison_from_averages(avg).write.mode("overwrite").parquet(f"{target}/comparison")
             done = spark.createDataFrame([(batch_id,)], "pass_id bigint")
-            done.coalesce(1).write.mode("append").parquet(f"{out_dir.rstrip('/')}/passes")
+            done.coalesce(1).write.mode("overwrite").parquet(f"{out_dir.rstrip('/')}/passes/slot={slot}")
         finally:
             avg.unpersist()
 
@@ -52,10 +56,14 @@ def _write_summary(out_dir: str):
 
 
 def current_summary(spark: SparkSession, out_dir: str) -> tuple[DataFrame, DataFrame]:
-    """(averages, comparison) of the newest complete pass."""
+    """(averages, comparison) of the newest complete pass; both empty before the first."""
     base = out_dir.rstrip("/")
-    newest = spark.read.parquet(f"{base}/passes").agg(F.max("pass_id")).first()[0]
-    return spark.read.parquet(f"{base}/pass={newest}/averages"), spark.read.parquet(f"{base}/pass={newest}/comparison")
+    newest = read_or_empty(spark, f"{base}/passes", "pass_id bigint, slot int").agg(F.max("pass_id")).first()[0]
+    if newest is None:
+        none = spark.createDataFrame([], "label string, avg_ms double, runs bigint")
+        return runlog.averages_text(none), runlog.comparison_from_averages(none)
+    slot = newest % KEPT_PASSES
+    return spark.read.parquet(f"{base}/pass={slot}/averages"), spark.read.parquet(f"{base}/pass={slot}/comparison")
 
 
 def _write_rejects(out_dir: str):

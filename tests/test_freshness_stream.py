@@ -1,0 +1,56 @@
+"""The freshness stream against the batch refresh list."""
+
+import os
+import subprocess
+import sys
+
+from conftest import ROOT
+from pyspark.sql import functions as F
+
+from playgraph.functions.timecols import ntz_literal
+from playgraph.operators import snapshots
+from playgraph.streaming import freshness_stream as fs
+
+SCHEMA = "kind string, key bigint, fetched_at timestamp_ntz"
+RUN = """
+import sys
+sys.path.insert(0, {root!r})
+from playgraph.session import build_session
+from playgraph.streaming import freshness_stream as fs
+spark = build_session("local[2]", conf={{"spark.sql.shuffle.partitions": "2"}})
+rows = spark.readStream.schema({schema!r}).parquet({land!r})
+fs.start_freshness(spark, rows, {table!r}, {ckpt!r}).awaitTermination(200)
+spark.stop()
+"""
+
+
+def _fetches(spark, rows):
+    return spark.createDataFrame(rows, "kind string, key bigint, at string").select("kind", "key", F.col("at").cast("timestamp_ntz").alias("fetched_at"))
+
+
+def test_stream_equals_batch_list_at_three_times(spark, tmpdir_fresh):
+    """Three values of now, the last after a restart in a second session; ages below, at and above the ttl (10 hours)."""
+    land, table, ckpt = (os.path.join(tmpdir_fresh, x) for x in ("land", "table", "ckpt"))
+    steps = [
+        ([("user", 1, "2024-01-01 00:00:00"), ("game", 1, "2024-01-01 02:00:00"), ("friend", 2, "2024-01-01 03:00:00.000001"), ("news", 1, "2024-01-01 03:00:00"),
+          ("user", 3, "2023-12-31 00:00:00"), ("user", None, "2024-01-01 00:00:00")], "2024-01-01 10:00:00"),
+        ([("user", 1, "2024-01-01 10:30:00"), ("user", 1, "2024-01-01 09:00:00"), ("game", 2, "2024-01-01 11:00:00")], "2024-01-01 12:00:00"),
+        ([("game", 1, "2024-01-01 12:00:00")], "2024-01-01 20:30:00"),
+    ]
+    wanted = spark.createDataFrame([(k, i) for k in ("user", "game", "friend") for i in (1, 2, 3)], "kind string, key bigint")
+    log = None
+    for n, (rows, now) in enumerate(steps):
+        new = _fetches(spark, rows)
+        log = new if log is None else log.unionByName(new)
+        new.unionByName(fs.clock_row(spark, ntz_literal(now))).coalesce(1).write.mode("append").parquet(land)
+        if n < 2:
+            fs.start_freshness(spark, spark.readStream.schema(SCHEMA).parquet(land), table, ckpt).awaitTermination(200)
+        else:
+            subprocess.run([sys.executable, "-c", RUN.format(root=ROOT, schema=SCHEMA, land=land, table=table, ckpt=ckpt)], check=True, timeout=300, capture_output=True)
+        want = snapshots.refresh_list(wanted, log, ntz_literal(now))
+        assert sorted(map(tuple, fs.stream_refresh_list(spark, wanted, table).collect())) == sorted(map(tuple, want.collect())), now
+
+
+def test_no_changes_yet(spark, tmpdir_fresh):
+    wanted = spark.createDataFrame([("user", 1)], "kind string, key bigint")
+    assert [tuple(r) for r in fs.stream_refresh_list(spark, wanted, os.path.join(tmpdir_fresh, "none")).collect()] == [("user", 1)]
