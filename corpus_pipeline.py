@@ -6,7 +6,7 @@ columns of ``documents`` (whatever columns came in, in their order).
 
 from __future__ import annotations
 
-from pyspark.sql import DataFrame, SparkSession
+from pyspark.sql import DataFrame, SparkSession, Window
 from pyspark.sql import functions as F
 
 from playgraph.llm.minhash_dups import near_documents
@@ -29,15 +29,25 @@ def toxicity(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
 def minhash_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:
     """The document of smallest id of each near-duplicate group (five-word shingles, 0.8), and all documents of none.
 
-    Rows with a null id stay; of rows sharing an id one stays.
+    Rows with a null id stay.  Rows sharing an id are told apart by their texts;
+    of rows equal in id and text one stays, the first by its other columns.
     """
-    near = stored(near_documents(docs, shingle_words=5, percent=80), "pipeline-near")
-    out = stored(near.where("not kept").select("doc_id").distinct(), "pipeline-out")
-    repeated = near.where("doc_id is not null").groupBy("doc_id").count().where("count > 1").limit(1).count()
-    kept = docs.join(F.broadcast(out) if out.count() <= FEW_IDS else out, "doc_id", "left_anti").select(docs.columns)
-    if repeated:
-        kept = kept.where("doc_id is not null").dropDuplicates(["doc_id"]).unionByName(kept.where("doc_id is null"))
-    return kept
+    near = stored(near_documents(docs, shingle_words=5, percent=80, by_text=True), "pipeline-near")
+    out = stored(near.where("not kept").select("doc_id", "text_hash").distinct(), "pipeline-out")
+    again = near.where("doc_id is not null").groupBy("doc_id", "text_hash").count().where("count > 1").select("doc_id", "text_hash")
+    again = stored(again, "pipeline-again")
+
+    def few(ids: DataFrame) -> DataFrame:
+        return F.broadcast(ids) if ids.count() <= FEW_IDS else ids
+
+    keys = ["doc_id", "__text_hash"]
+    out, again = (t.withColumnRenamed("text_hash", "__text_hash") for t in (out, again))
+    kept = docs.withColumn("__text_hash", F.xxhash64(F.col("text").cast("string"))).join(few(out), keys, "left_anti")
+    if again.isEmpty():
+        return kept.select(docs.columns)
+    first = Window.partitionBy("doc_id", "text").orderBy(F.to_json(F.struct(*[F.col(f"`{c}`") for c in docs.columns])))
+    one = kept.join(few(again), keys, "left_semi").withColumn("__first", F.row_number().over(first)).where("__first = 1")
+    return kept.join(few(again), keys, "left_anti").select(docs.columns).unionByName(one.select(docs.columns))
 
 
 def suffix_dedup(spark: SparkSession, docs: DataFrame, sf_dir: str) -> DataFrame:

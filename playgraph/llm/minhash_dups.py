@@ -32,7 +32,7 @@ import hashlib
 import numpy as np
 import pyarrow as pa
 import xxhash
-from pyspark.sql import DataFrame, Window
+from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
@@ -41,7 +41,7 @@ from .vector_dups import Forest
 
 COORDS, COMMON = 64, 4
 SHORT_LIST, LIST_BLOCK, DOC_BLOCK, PROBES = 16, 1024, 256, 512
-BROADCAST_ROWS = 300_000
+BROADCAST_ROWS, BROADCAST_BYTES, SETS_BYTES = 300_000, 48 << 20, 4 << 20
 LOWER = bytes.maketrans(UPPER.encode(), UPPER.lower().encode())
 _RNG = np.random.default_rng(20)
 MULT = _RNG.integers(1, 2**62, COORDS, dtype=np.uint64) * np.uint64(2) + np.uint64(1)
@@ -97,7 +97,7 @@ def _features(size):
                 n.append(len(s))
                 fp.append(hashlib.blake2b(s.tobytes(), digest_size=16).digest() if len(s) else None)
                 sig.append(signature(s).tobytes() if len(s) else None)
-            yield pa.RecordBatch.from_arrays([b.column(0), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "n_shingles", "fp", "sig"])
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(2), pa.array(n, pa.int64()), pa.array(fp, pa.binary()), pa.array(sig, pa.binary())], ["doc_id", "text_hash", "n_shingles", "fp", "sig"])
 
     return run
 
@@ -207,64 +207,86 @@ def _confirm(percent):
 def _confirmed(texts: DataFrame, lists: DataFrame, homes: DataFrame, size: int, percent: int) -> DataFrame:
     """Links among ``lists(probe, block, members)``.
 
-    ``homes(rep, fp_wanted, comp, home)`` says in which block a document is
-    held.  The work table (ids, no texts) is broadcast to the text scan when it
-    has few rows, so texts are shingled where they are read and only the sets
-    asked for are shuffled, once; a larger one is joined by a shuffle.
+    ``homes(rep, doc, fp_wanted, comp, home)`` says in which block a class is
+    held and whose text stands for it.  What a class is asked for is gathered
+    first, so its text is joined and shingled once (per 64 uses of a class asked
+    for very often).  The work table holds ids, no texts; while its bytes are few
+    it is broadcast to the text scan, a larger one is joined by a shuffle.
     """
     salts = lists.groupBy("block").agg(F.ceil(F.count("*") / PROBES).cast("int").alias("salts"))
     held = homes.join(salts, F.col("home") == F.col("block")).withColumn("salt", F.explode(F.sequence(F.lit(0), F.col("salts") - 1)))
-    held = held.select("rep", "fp_wanted", "block", "salt", F.lit(0).alias("kind"), "comp", F.array().cast("array<bigint>").alias("members"))
+    cols = ["rep", "doc", "fp_wanted", "comp", "block", "salt", "kind", "members", "part"]
+    held = held.withColumn("kind", F.lit(0)).withColumn("members", F.array().cast("array<bigint>")).withColumn("part", F.col("salt").cast("bigint") - F.pmod("salt", F.lit(64))).select(cols)
     asking = lists.join(salts, "block").join(homes, F.col("probe") == F.col("rep"))
-    asking = asking.select("rep", "fp_wanted", "block", F.pmod(F.xxhash64("probe"), "salts").cast("int").alias("salt"), F.lit(1).alias("kind"), "comp", "members")
-    work = stored(held.union(asking), "near-work")
-    side = F.broadcast(work) if work.count() <= BROADCAST_ROWS else work
-    joined = texts.join(side, F.col("doc_id") == F.col("rep")).select("rep", "fp_wanted", "text", "block", "salt", "kind", "comp", "members")
+    asking = asking.withColumn("salt", F.pmod(F.xxhash64("probe"), "salts").cast("int")).withColumn("kind", F.lit(1)).withColumn("part", -1 - F.pmod(F.xxhash64("block"), F.lit(16))).select(cols)
+    uses = F.collect_list(F.struct("block", "salt", "kind", "members")).alias("uses")  # at most 64 blocks held, or a sixteenth of those asked
+    work = stored(held.union(asking).groupBy("rep", "doc", "fp_wanted", "comp", "part").agg(uses).drop("part"), "near-work")
+    rows, size_of = work.agg(F.count("*"), F.sum(64 + F.aggregate("uses", F.lit(0), lambda n, u: n + 32 + 8 * F.size(u["members"])))).first()
+    side = F.broadcast(work) if rows <= BROADCAST_ROWS and (size_of or 0) <= BROADCAST_BYTES else work
+    joined = texts.join(side, F.col("doc_id") == F.col("doc")).select("rep", "fp_wanted", "comp", "text", "uses")
+    names = ["block", "salt", "kind", "doc", "comp", "members", "shingles"]
+    types = [pa.int64(), pa.int32(), pa.int32(), pa.int64(), pa.int64(), pa.list_(pa.int64()), pa.binary()]
 
     def sets(batches):
         shingle, seen, last = Shingler(size), set(), (None, None, None)
-        for b in small_batches(batches):
-            rows = {n: b.column(i).to_pylist() for i, n in enumerate(b.schema.names)}
-            keep, data = [], []
-            for i, (rep, fp, text) in enumerate(zip(rows["rep"], rows["fp_wanted"], rows["text"])):
-                key = (rep, rows["block"][i], rows["salt"][i], rows["kind"][i])
-                if key in seen:
+        out, held_bytes = [], 0
+        for b in small_batches(batches, 50):
+            for row in b.to_pylist():
+                if last[0] != row["text"]:
+                    found = shingle(row["text"])
+                    last = (row["text"], found.tobytes(), hashlib.blake2b(found.tobytes(), digest_size=16).digest())
+                if last[2] != row["fp_wanted"]:  # another text of this id
                     continue
-                if last[:2] != (rep, text):
-                    found = shingle(text)
-                    last = (rep, text, found.tobytes(), hashlib.blake2b(found.tobytes(), digest_size=16).digest())
-                if last[3] == fp:  # of texts sharing an id, the class representative
+                for u in row["uses"]:
+                    key = (row["rep"], u["block"], u["salt"], u["kind"])
+                    if key in seen:  # the same text again
+                        continue
                     seen.add(key)
-                    keep.append(i)
-                    data.append(last[2])
-            part = b.take(pa.array(keep, pa.int64()))
-            cols = [part.column(part.schema.get_field_index(n)) for n in ("block", "salt", "kind", "rep", "comp", "members")]
-            yield pa.RecordBatch.from_arrays([*cols, pa.array(data, pa.binary())], ["block", "salt", "kind", "doc", "comp", "members", "shingles"])
+                    out.append((u["block"], u["salt"], u["kind"], row["rep"], row["comp"], u["members"], last[1]))
+                    held_bytes += len(last[1])
+                    if held_bytes > SETS_BYTES:
+                        yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
+                        out, held_bytes = [], 0
+        if out:
+            yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
     rows = joined.mapInArrow(sets, "block bigint, salt int, kind int, doc bigint, comp bigint, members array<bigint>, shingles binary")
+    # Two tasks may hold the same text of one id: a set counts once per place.
     rows = rows.repartition("block", "salt").sortWithinPartitions("block", "salt", "kind", "doc")
     return rows.mapInArrow(_confirm(percent), "a bigint, b bigint")
 
 
-def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
+def _shared_ids(feats: DataFrame, classes: DataFrame) -> DataFrame:
+    """Links between the classes of ids that occur with unequal texts: rows of one id are one document."""
+    known = feats.where("fp is not null and doc_id is not null").select("doc_id", "fp")
+    print_ = F.xxhash64("fp")
+    mixed = known.groupBy("doc_id").agg(F.min(print_).alias("lo"), F.max(print_).alias("hi")).where("lo <> hi").select("doc_id")
+    nodes = known.join(mixed, "doc_id").distinct().join(classes.select("fp", "rep"), "fp").select("doc_id", "rep")
+    return nodes.join(nodes.groupBy("doc_id").agg(F.min("rep").alias("b")), "doc_id").where("rep <> b").select(F.col("rep").alias("a"), "b")
+
+
+def near_documents(
+    docs: DataFrame, shingle_words: int = 5, percent: int = 80, id_col: str = "doc_id", text_col: str = "text", by_text: bool = False
+) -> DataFrame:
     """``(doc_id, n_shingles, component_id, kept)``, one row per input row.
 
     Links join documents whose shingle sets satisfy 100 * |A & B| >= percent *
     |A | B|; the component is the smallest id reachable.  Texts with fewer words
     than a shingle are one shingle; null, empty and blank texts link with
     nothing.  Rows with a null id stay as such and link with nothing; rows
-    sharing an id share a component (one of their texts, the one of the smallest
-    fingerprint class, stands for links to others beyond equal sets).  Other
-    columns are ignored; an empty table gives no rows.
+    sharing an id are one document and share a component, whatever their texts.
+    With ``by_text`` they are documents of their own: a row belongs to the
+    component of its text, and a column ``text_hash`` (xxhash64 of the text)
+    tells which.  Other columns are ignored; an empty table gives no rows.
     """
-    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), F.col(f"`{text_col}`").cast("string").alias("text"))
+    text = F.col(f"`{text_col}`").cast("string")
+    texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     needed = needed_matches(percent)
     prefix = min(COORDS, COORDS - needed + COMMON)
-    feats = stored(texts.mapInArrow(_features(shingle_words), "doc_id bigint, n_shingles bigint, fp binary, sig binary"), "near-features")
-    classes = feats.where("fp is not null and doc_id is not null").groupBy("fp", "n_shingles", "sig").agg(F.min("doc_id").alias("rep"))
-    classes = stored(classes.select("fp", "rep", F.col("n_shingles").alias("n"), "sig"), "near-classes")
-    one = Window.partitionBy("rep").orderBy("fp")
-    reps = classes.withColumn("__r", F.row_number().over(one)).where("__r = 1").drop("__r")
+    feats = stored(texts.mapInArrow(_features(shingle_words), "doc_id bigint, text_hash bigint, n_shingles bigint, fp binary, sig binary"), "near-features")
+    # A class (texts of equal sets) is a node, numbered when it is stored; the text of its smallest id stands for it.
+    reps = feats.where("fp is not null and doc_id is not null").groupBy("fp", "n_shingles", "sig").agg(F.min("doc_id").alias("doc"))
+    reps = stored(reps.select("fp", "doc", F.col("n_shingles").alias("n"), "sig", F.monotonically_increasing_id().alias("rep")), "near-classes")
     sigs = reps.select("rep", "n", "sig")
 
     postings = reps.select("rep", "sig").mapInArrow(lambda it: _post(b.select(["rep", "sig"]) for b in it), "cv bigint, rep bigint")
@@ -281,9 +303,9 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
     matched = cand.select("rep", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(_leader_matches(needed, percent), "rep bigint, leader bigint, matches bigint")
     best = matched.groupBy("rep").agg(F.max("matches").alias("m"), F.max_by("leader", F.struct("matches", -F.col("leader"))).alias("leader"))
     best = stored(best.select("rep", "leader"), "near-leaders")
-    known = reps.select("rep", "n", F.col("fp").alias("fp_wanted"))
+    known = reps.select("rep", "doc", "n", F.col("fp").alias("fp_wanted"))
     alone = best.select("rep").union(best.select(F.col("leader").alias("rep"))).distinct().join(known, "rep")
-    alone = alone.select("rep", "fp_wanted", F.col("rep").alias("comp"), F.col("rep").alias("home"))
+    alone = alone.select("rep", "doc", "fp_wanted", F.col("rep").alias("comp"), F.col("rep").alias("home"))
     first = best.select(F.col("rep").alias("probe"), F.col("leader").alias("block"), F.array("leader").alias("members"))
     links = stored(_confirmed(texts, first, alone, shingle_words, percent), "near-links")
     comps = connected_components(links, "near-first")
@@ -293,7 +315,7 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
     lead_comp = comps.select(F.col("node").alias("leader"), F.col("component").alias("lead_comp"))
     where = where.join(lead_comp, "leader", "left").select("rep", F.coalesce("component", "rep").alias("comp"), F.coalesce("component", "lead_comp", "leader", "rep").alias("family"))
     crowd = where.groupBy("family").agg(F.ceil(F.count("*") / DOC_BLOCK).alias("parts"))
-    homes = where.join(crowd, "family").join(known, "rep").select("rep", "n", "fp_wanted", "comp", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("home"))
+    homes = where.join(crowd, "family").join(known, "rep").select("rep", "doc", "n", "fp_wanted", "comp", F.xxhash64("family", F.pmod(F.xxhash64("rep"), "parts")).alias("home"))
     homes = stored(homes, "near-homes")
     placed = post.join(homes.select("rep", "n", "comp", "home"), "rep")
     counts = placed.groupBy("cv", "comp").agg(F.count("*").alias("k"))
@@ -317,9 +339,11 @@ def near_documents(docs: DataFrame, shingle_words: int = 5, percent: int = 80, i
     lists = pairs.union(ordered.mapInArrow(_probe_lists(needed, percent), "probe bigint, block bigint, members array<bigint>"))
     lists = stored(lists.groupBy("probe", "block").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("members")), "near-lists")  # members of one block
     more = _confirmed(texts, lists, homes.drop("n"), shingle_words, percent)
-    comps = connected_components(stored(links.union(more), "near-all-links"), "near-last")
+    links = links.union(more) if by_text else links.union(more).union(_shared_ids(feats, reps))
+    comps = connected_components(stored(links, "near-all-links"), "near-last")
 
-    label = classes.select("fp", "rep").join(comps.withColumnRenamed("node", "rep"), "rep", "left").select("fp", F.coalesce("component", "rep").alias("component_id"))
-    out = feats.select("doc_id", "n_shingles", F.expr("case when doc_id is not null then fp end").alias("fp")).join(label, "fp", "left")
-    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"))
+    nodes = reps.select("fp", "rep", "doc").join(comps.withColumnRenamed("node", "rep"), "rep", "left").withColumn("component", F.coalesce("component", "rep"))
+    label = nodes.join(nodes.groupBy("component").agg(F.min("doc").alias("component_id")), "component").select("fp", "component_id")
+    out = feats.select("doc_id", "text_hash", "n_shingles", F.expr("case when doc_id is not null then fp end").alias("fp")).join(label, "fp", "left")
+    out = out.select("doc_id", "n_shingles", F.coalesce("component_id", "doc_id").alias("component_id"), *(["text_hash"] if by_text else []))
     return out.withColumn("kept", F.col("doc_id") == F.col("component_id"))
