@@ -10,16 +10,20 @@ The public model is a merge (BPE) model, for which a best sum of scores gives
 wrong ids.  Its forward pass therefore keeps, per prefix, the last piece of
 that prefix's encoding: piece ``t`` may follow when merging leaves the boundary
 between the two alone, which is decided by undoing merges, latest first.  The
-words' ids are then checked against the library's own encoder.
+pieces that end at a character come from a matching automaton over the pieces,
+whose state is kept with the prefix.  The words' ids are those of the pass; the library's own
+encoder checks them, and what it sees differently is counted (``n_differs``).
 """
 
 from __future__ import annotations
 
+from struct import pack
+
 import numpy as np
 import pyarrow as pa
 from pyspark.sql import DataFrame
 
-from .shared import texts_of
+from .shared import lean_batches, texts_of
 from .tokens import SLICE_CHARS, tokenizer_path, worker_state
 
 MARK = "▁"
@@ -47,14 +51,54 @@ class PieceWalker:
         order = sorted((i for i in plain if len(self.text[i]) > 1), key=lambda i: -sp.get_score(i))
         self.rank = {i: -1 for i in plain} | {i: r for r, i in enumerate(order)}
         self.byte = {b: sp.piece_to_id(f"<0x{b:02X}>") for b in range(256)}
-        self.longest = max(map(len, self.piece), default=1)
         if any(MARK in t.lstrip(MARK) for t in self.piece):
             raise ValueError("a piece crosses a space mark; words would not encode independently")
         self.parts: dict[int, tuple[int, int]] = {}
         self.apart: dict[tuple[int, int], bool] = {}
         self.cache_words = cache_words
-        self.cache: dict[str, bytes] = {}
-        self.corrected = 0
+        self.cache: dict[str, bytes] = {}  # words of this generation; the one before is kept for words that come again
+        self.older: dict[str, bytes] = {}
+        self.differing: set[str] = set()
+        self._build_automaton()
+
+    def _build_automaton(self) -> None:
+        """States are beginnings of pieces: ``next`` one character on, ``fail`` the longest other state that ends it,
+        ``found`` the (length, id) of the pieces that end there, longest first."""
+        self.next: list[dict[str, int]] = [{}]
+        own: list[tuple] = [()]
+        for text, i in self.piece.items():
+            state = 0
+            for c in text:
+                to = self.next[state].get(c)
+                if to is None:
+                    to = self.next[state][c] = len(self.next)
+                    self.next.append({})
+                    own.append(())
+                state = to
+            own[state] = ((len(text), i),)
+        self.fail, self.found = [0] * len(own), own
+        queue = list(self.next[0].values())
+        for state in queue:  # grows while it is read: breadth first
+            self.found[state] = own[state] + self.found[self.fail[state]]
+            for c, to in self.next[state].items():
+                at = self.fail[state]
+                while at and c not in self.next[at]:
+                    at = self.fail[at]
+                self.fail[to] = self.next[at].get(c, 0)
+                queue.append(to)
+        self.jumps: list[dict[str, int]] = [{} for _ in own]  # steps over ``fail`` links, remembered
+        self.n_jumps = 0
+
+    def _jump(self, state: int, c: str) -> int:
+        at = state
+        while at and c not in self.next[at]:
+            at = self.fail[at]
+        to = self.next[at].get(c, 0)
+        if self.n_jumps > 1_000_000:
+            self.jumps, self.n_jumps = [{} for _ in self.next], 0
+        self.jumps[state][c] = to
+        self.n_jumps += 1
+        return to
 
     def _split(self, t: int) -> tuple[int, int]:
         """The two pieces whose merge made piece ``t`` (by merging its characters)."""
@@ -93,24 +137,36 @@ class PieceWalker:
         out, before = {}, ""
         last: list[int] = [-1]  # last piece of each prefix's encoding; -1: none, -2: a character outside the vocabulary
         back: list[int] = [0]
-        piece = self.piece
+        states = [0]  # the automaton's state after each prefix
+        follow, found, known, apart = self.next, self.found, self.apart.get, self.stay_apart
         for word in sorted(words):
             shared = 0
             for x, y in zip(before, word):
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], back[shared + 1 :]
+            del last[shared + 1 :], back[shared + 1 :], states[shared + 1 :]
+            state = states[shared]
             for i in range(shared + 1, len(word) + 1):
-                for size in range(min(i, self.longest), 0, -1):
-                    t = piece.get(word[i - size : i])
-                    if t is not None and (last[i - size] < 0 or self.stay_apart(last[i - size], t)):
-                        last.append(t)
-                        back.append(i - size)
+                c = word[i - 1]
+                to = follow[state].get(c)
+                if to is None:
+                    to = self.jumps[state].get(c)
+                    if to is None:
+                        to = self._jump(state, c)
+                state = to
+                for size, t in found[state]:  # the longest piece that may follow
+                    left = last[i - size]
+                    if left < 0:
+                        break
+                    free = known((left, t))
+                    if apart(left, t) if free is None else free:
                         break
                 else:
-                    last.append(-2)
-                    back.append(i - 1)
+                    size, t = 1, -2
+                states.append(state)
+                last.append(t)
+                back.append(i - size)
             ids, i = [], len(word)
             while i:
                 if last[i] >= 0:
@@ -127,9 +183,8 @@ class PieceWalker:
         names = [w for w in found if w != MARK]
         for w, exact in zip(names, self.sp.encode([w[1:].replace(MARK, " ") for w in names], num_threads=1)):
             if found[w] != exact:
-                self.corrected += 1
-                found[w] = exact
-        self.cache.update((w, np.asarray(x, dtype="<u4").tobytes()) for w, x in found.items())
+                self.differing.add(w)
+        self.cache.update((w, pack("<%dI" % len(x), *x)) for w, x in found.items())
 
     @staticmethod
     def marked_words(text: str) -> list[str]:
@@ -144,17 +199,27 @@ class PieceWalker:
                 marks = ""
         return words + [marks] if marks else words
 
+    @property
+    def corrected(self) -> int:
+        """Distinct words so far whose ids the library's encoder disputes."""
+        return len(self.differing)
+
     def encode(self, texts):
-        """Yields each text's ids as uint32 bytes, a bounded slice at a time; null like empty."""
+        """Yields each text's ids as uint32 bytes; null like empty."""
+        return (ids for ids, _ in self.encode_checked(texts))
+
+    def encode_checked(self, texts):
+        """Yields each text's ids and its number of words that the library sees differently, a bounded slice at a time."""
         for part in _slices(texts):
             lists = [self.marked_words(t) for t in part]
-            need = set().union(*lists)
-            if len(self.cache) > self.cache_words:
-                self.cache = {w: self.cache[w] for w in need if w in self.cache}
-            self._learn([w for w in need if w not in self.cache])
-            get = self.cache.__getitem__
+            if len(self.cache) > self.cache_words // 2:
+                self.older, self.cache = self.cache, {}
+            need = [w for w in set().union(*lists) if w not in self.cache]
+            self.cache.update((w, self.older[w]) for w in need if w in self.older)
+            self._learn([w for w in need if w not in self.older])
+            get, differing = self.cache.__getitem__, self.differing
             for words in lists:
-                yield b"".join(map(get, words))
+                yield b"".join(map(get, words)), sum(w in differing for w in words) if differing else 0
 
     def decode(self, ids: np.ndarray) -> str:
         """The text of ids; bytes that are not UTF-8 become U+FFFD."""
@@ -177,7 +242,9 @@ def _slices(texts):
 
 
 def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_id", text_col: str = "text") -> DataFrame:
-    """``(doc_id, ids, n_ids)``: whole texts as uint32 LE piece ids, one row per input row.
+    """``(doc_id, ids, n_ids, n_differs)``: whole texts as uint32 LE piece ids, one row per input row.
+
+    ``n_differs`` counts the words whose ids the library's encoder disputes (none in any test).
 
     Null and empty texts have no ids; null ids stay; other columns are ignored;
     an empty table gives no rows.  No shuffle; memory is bounded by a slice of
@@ -188,11 +255,12 @@ def encode_pieces(docs: DataFrame, model: str | None = None, id_col: str = "doc_
     def run(batches):
         walker = worker_walker(path)
         for batch in batches:
-            ids = list(walker.encode(texts_of(batch.column(1))))
-            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64())], ["doc_id", "ids", "n_ids"])
+            ids, differs = zip(*walker.encode_checked(texts_of(batch.column(1)))) if batch.num_rows else ((), ())
+            yield pa.RecordBatch.from_arrays([batch.column(0), pa.array(ids, pa.binary()), pa.array([len(x) // 4 for x in ids], pa.int64()), pa.array(differs, pa.int64())], ["doc_id", "ids", "n_ids", "n_differs"])
 
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"cast(`{text_col}` as string) as text")
-    return rows.mapInArrow(run, "doc_id bigint, ids binary, n_ids bigint")
+    lean_batches(docs.sparkSession)
+    return rows.mapInArrow(run, "doc_id bigint, ids binary, n_ids bigint, n_differs bigint")
 
 
 def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
@@ -203,6 +271,6 @@ def decode_pieces(encoded: DataFrame, model: str | None = None) -> DataFrame:
         walker = worker_walker(path)
         for batch in batches:
             texts = [None if x is None else walker.decode(np.frombuffer(x, "<u4")) for x in batch.column(1).to_pylist()]
-            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "n_ids", "text"])
+            yield pa.RecordBatch.from_arrays([*batch.columns, pa.array(texts, pa.string())], ["doc_id", "ids", "n_ids", "n_differs", "text"])
 
-    return encoded.select("doc_id", "ids", "n_ids").mapInArrow(run, "doc_id bigint, ids binary, n_ids bigint, text string")
+    return encoded.select("doc_id", "ids", "n_ids", "n_differs").mapInArrow(run, "doc_id bigint, ids binary, n_ids bigint, n_differs bigint, text string")

@@ -54,7 +54,7 @@ def op2_sentencepiece(spark: SparkSession, sf_dir: str) -> DataFrame:
     """Every document's piece ids and the text decoded from them, as digests."""
     docs = _table(spark, sf_dir, "documents")
     out = decode_pieces(encode_pieces(docs))
-    return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.crc32("text").alias("decoded_crc32"), F.length("text").cast("bigint").alias("decoded_chars"))
+    return out.select("doc_id", "n_ids", F.crc32("ids").alias("ids_crc32"), F.crc32("text").alias("decoded_crc32"), F.length("text").cast("bigint").alias("decoded_chars"), "n_differs")
 
 
 def op3_url_filter(spark: SparkSession, sf_dir: str) -> DataFrame:

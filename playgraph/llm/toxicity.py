@@ -4,8 +4,8 @@ A document is the set of its hashed terms: every letter run, and the first four
 and five letters of longer ones.  The machine adds linear weights and pairwise
 interactions of the terms present.  It is fitted on a bounded sample of the
 labelled training rows (``sample_rows``, taken by a hash of the id), over the
-terms that pass a likelihood-ratio screen, by AdaGrad steps on the logistic
-loss.  Scoring reads whole texts where they lie, looks each
+terms that pass a likelihood-ratio screen of their own or matter beside another
+term, by AdaGrad steps on the logistic loss.  Scoring reads whole texts where they lie, looks each
 distinct chunk up once, and needs no shuffle.
 """
 
@@ -79,8 +79,46 @@ def _blocks(docs: list[np.ndarray], rows: int = 1000):
         yield slice(a, a + len(part)), np.repeat(np.arange(len(part)), [len(d) for d in part]), np.concatenate(part)
 
 
-def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 20, screen: float = 20.0, seed: int = 7) -> FactorizationMachine:
-    """Fit on the term arrays of a sample.  No rows, or one class only: a constant score of that share."""
+def _likelihood_ratio(k, n, share):
+    """2 log likelihood ratio of k toxic ones among n against a share of toxic ones; 0 where undefined."""
+    with np.errstate(divide="ignore", invalid="ignore"):
+        return 2 * (np.nan_to_num(k * np.log(k / (n * share)), posinf=0, neginf=0) + np.nan_to_num((n - k) * np.log((n - k) / (n * (1 - share))), posinf=0, neginf=0))
+
+
+def paired_terms(docs: list[np.ndarray], labels: np.ndarray, terms: np.ndarray, screen: float, rows: int = 200) -> np.ndarray:
+    """Which of ``terms`` matter beside another of them: among the documents that hold some other term, those
+    with and those without this one differ in their share of toxic ones (likelihood ratio of at least ``screen``).
+
+    So a group mention that is toxic beside an insult only, or a word that is toxic
+    unless another one stands by it, is found though it means nothing alone.
+    """
+    m = len(terms)
+    both, toxic = np.zeros((m, m), np.float32), np.zeros((m, m), np.float32)
+    for part, r, t in _blocks(docs):
+        at = np.searchsorted(terms, t)
+        at[at == m] = 0
+        known = terms[at] == t if m else np.zeros(len(t), bool)
+        held = np.zeros((part.stop - part.start, m), np.float32)
+        held[r[known], at[known]] = 1
+        both += held.T @ held
+        toxic += (held * labels[part, None].astype(np.float32)).T @ held
+    found = np.zeros(m, bool)
+    n, k = np.diag(both).astype(float), np.diag(toxic).astype(float)
+    for a in range(0, m, rows):  # documents with term a, split by each other term
+        n_with, k_with = both[a : a + rows].astype(float), toxic[a : a + rows].astype(float)
+        n_all, k_all = n[a : a + rows, None], k[a : a + rows, None]
+        share = k_all / np.maximum(n_all, 1)
+        ratio = _likelihood_ratio(k_with, n_with, share) + _likelihood_ratio(k_all - k_with, n_all - n_with, share)
+        found |= (ratio >= screen).any(0)
+    return found
+
+
+def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 20, screen: float = 20.0, seed: int = 7, pair_screen: float = 40.0, pair_terms: int = 2000) -> FactorizationMachine:
+    """Fit on the term arrays of a sample.  No rows, or one class only: a constant score of that share.
+
+    Terms stay that tell by themselves (``screen``) or, of the ``pair_terms`` in
+    most documents, beside another one (``pair_screen``, higher, since pairs are many).
+    """
     share = float(labels.mean()) if len(labels) else 0.0
     if share in (0.0, 1.0):
         return FactorizationMachine(np.zeros(0, np.int64), 35.0 if share else -35.0, np.zeros(0), np.zeros((0, factors)))
@@ -92,9 +130,10 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, ep
         at = np.searchsorted(terms, t)
         k += np.bincount(at, labels[part][r], len(terms))
         n += np.bincount(at, minlength=len(terms))
-    with np.errstate(divide="ignore", invalid="ignore"):
-        g2 = 2 * (np.nan_to_num(k * np.log(k / (n * share))) + np.nan_to_num((n - k) * np.log((n - k) / (n * (1 - share)))))
-    alive = np.flatnonzero(g2 >= screen)
+    keep = _likelihood_ratio(k, n, share) >= screen
+    often = np.sort(np.lexsort((terms, -n))[:pair_terms])
+    keep[often[paired_terms(docs, labels, terms[often], pair_screen)]] = True
+    alive = np.flatnonzero(keep)
     terms = terms[alive]
     row, col = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
     for part, r, t in _blocks(docs):

@@ -33,3 +33,70 @@ def test_screen_by_blocks_equals_whole_counts():
         part = [x * np.log(x / (n * s)) for x, s in ((k, share), (n - k, 1 - share)) if x]
         want += [t] if 2 * sum(part) >= 20 else []
     assert list(fm.terms) == want and 7 in want
+
+
+def test_scores_are_the_sum_over_all_pairs():
+    """The machine's shortcut against a plain loop over term pairs."""
+    rng = np.random.default_rng(1)
+    fm = toxicity.FactorizationMachine(np.arange(30), 0.3, rng.normal(size=30), rng.normal(size=(30, 4)))
+    docs = [np.sort(rng.choice(30, rng.integers(0, 12), replace=False)) for _ in range(50)]
+    rows, cols = np.repeat(np.arange(50), [len(d) for d in docs]), np.concatenate(docs)
+    got, _ = fm.raw(rows, cols, 50)
+    for d, x in zip(docs, got):
+        want = fm.w0 + sum(fm.w[i] for i in d) + sum(float(fm.v[i] @ fm.v[j]) for a, i in enumerate(d) for j in d[a + 1 :])
+        assert abs(x - want) < 1e-9
+
+
+def _fit_and_score(docs, labels):
+    fm = toxicity.fit_machine(docs, labels)
+    cols = [np.searchsorted(fm.terms, d[np.isin(d, fm.terms)]) for d in docs]
+    rows = np.repeat(np.arange(len(docs)), [len(c) for c in cols])
+    return fm, toxicity._sigmoid(fm.raw(rows, np.concatenate(cols).astype(np.int64), len(docs))[0])
+
+
+def test_exclusive_words_are_learned():
+    """Toxic exactly when one of two words occurs without the other: neither tells anything by itself."""
+    rng = np.random.default_rng(5)
+    docs, labels = [], []
+    for _ in range(16_000):
+        a, b = rng.random(2) < 0.5
+        docs.append(np.unique(np.r_[rng.integers(10, 300, 15), [1] * int(a), [2] * int(b)]).astype("<i4"))
+        labels.append(float(a != b))
+    fm, score = _fit_and_score(docs, np.array(labels))
+    assert {1, 2} <= set(fm.terms.tolist())
+    assert np.mean((score >= 0.5) == np.array(labels)) > 0.99
+
+
+def test_a_neutral_mention_is_toxic_beside_an_insult():
+    """The mention is as frequent in clean as in toxic texts; only the pair tells."""
+    rng = np.random.default_rng(6)
+    docs, labels = [], []
+    for _ in range(16_000):
+        insult, mention = rng.random() < 0.2, rng.random() < 0.3
+        docs.append(np.unique(np.r_[rng.integers(10, 500, 20), [1] * int(insult), [2] * int(mention)]).astype("<i4"))
+        labels.append(float(insult and mention) if rng.random() < 0.98 else float(rng.random() < 0.06))
+    fm, score = _fit_and_score(docs, np.array(labels))
+    pair = np.array([1 in d and 2 in d for d in docs])
+    one = np.array([(1 in d) != (2 in d) for d in docs])
+    assert {1, 2} <= set(fm.terms.tolist()) and (score[pair] > 0.5).mean() > 0.99 and (score[one] < 0.5).mean() > 0.99
+
+
+def test_pair_screen_counts():
+    rng = np.random.default_rng(7)
+    docs = [np.unique(rng.integers(0, 12, rng.integers(0, 8))).astype("<i4") for _ in range(400)]
+    labels = np.array([float((3 in d) != (4 in d)) for d in docs])
+    terms = np.arange(12)
+
+    def ratio(k, n, s):
+        return 2 * sum(x * np.log(x / y) for x, y in ((k, n * s), (n - k, n * (1 - s))) if x and y)
+
+    want = []
+    for t in terms:
+        best = 0.0
+        for other in terms:
+            base = [i for i, d in enumerate(docs) if other in d]
+            s = np.mean(labels[base])
+            parts = [[i for i in base if (t in docs[i]) == x] for x in (True, False)]
+            best = max(best, sum(ratio(labels[p].sum(), len(p), s) for p in parts))
+        want.append(best >= 40)
+    assert toxicity.paired_terms(docs, labels, terms, 40.0).tolist() == want and want[3] and want[4]
