@@ -4,19 +4,20 @@ A rolling hash over 24-byte triggers cuts every text into phrases: each window
 of ``length`` bytes belongs to the trigger of smallest hash inside it, and the
 windows of one trigger, with all their bytes, are a phrase.  Equal windows lie
 at the same place of equal triggers, wherever they occur, so a comparison never
-leaves a phrase and the order of windows in the corpus follows from the
-dictionary of distinct phrases (sorted under their trigger) and each phrase's
-first place in the parse:
+leaves a phrase: it is settled in the dictionary of distinct phrases (sorted
+under their trigger) with each phrase's first place in the parse.  Strings of
+one length only are asked for, so windows are grouped, not put in corpus order,
+and no suffix array is built:
 
 * a phrase that occurred before repeats whole: all its windows are removed;
 * the first occurrence of a phrase whose trigger has other phrases too may share
-  some windows with them: the windows of such phrases are sorted per trigger,
-  and all but the first of equal ones are removed;
+  some windows with them: the windows of such phrases are sorted per trigger by
+  a hash and compared byte by byte, and all but the first of equal ones are removed;
 * a trigger seen once has nothing to compare, and most text ends here.
 
 Within a slice of texts equal phrases are settled before anything is shuffled.
 Triggers with very many distinct phrases are split over tasks and their windows
-settled by an aggregation.  Memory is bounded by a slice, a document or
+settled by an aggregation, by two hashes (128 bits).  Memory is bounded by a slice, a document or
 ``HOT_ROWS`` phrases.
 """
 
@@ -95,6 +96,11 @@ def span_hasher(h: np.ndarray):
     return lambda lo, n: _mix((sums[lo + n] - sums[lo]) * inv[lo])
 
 
+def window_hash(triggers: np.ndarray, lo: np.ndarray, n: np.ndarray) -> np.ndarray:
+    """Hashes of the windows that hold ``n`` triggers from ``lo`` on."""
+    return span_hasher(triggers)(lo, n)
+
+
 def phrases(data: np.ndarray, starts: np.ndarray, ends: np.ndarray, length: int) -> tuple:
     """Phrases of the texts data[starts[i]:ends[i]]: text number, first window, windows, trigger place (in ``data``), trigger hash, phrase hash."""
     none = tuple(np.zeros(0, t) for t in (np.int64, np.int64, np.int64, np.int64, np.uint64, np.uint64))
@@ -234,6 +240,24 @@ def _cut_phrases(length):
     return run
 
 
+def _byte_keys(key: np.ndarray, at: np.ndarray, data: np.ndarray, length: int, rows: int = 20_000) -> np.ndarray:
+    """``key`` of the windows that begin ``at`` places of ``data``, told apart where equal keys have unequal bytes."""
+    order = np.argsort(key, kind="stable")
+    same = np.flatnonzero(key[order[1:]] == key[order[:-1]])
+    bad = []
+    for a in range(0, len(same), rows):
+        part = same[a : a + rows]
+        left, right = (at[order[part + d]][:, None] + np.arange(length) for d in (0, 1))
+        bad.append(key[order[part[(data[left] != data[right]).any(1)]]])
+    for k in np.unique(np.concatenate(bad)) if bad else ():
+        seen: dict = {}
+        for i in np.flatnonzero(key == k):
+            nth = seen.setdefault(data[at[i] : at[i] + length].tobytes(), len(seen))
+            if nth:
+                key[i] = _mix(np.array([k], np.uint64) + np.uint64(nth) * C1)[0]
+    return key
+
+
 def _equal_windows(length):
     """Phrases sorted by trigger: kind 0, windows equal to an earlier one; kind 1, first windows of a hot trigger, still to be settled."""
     wide = length - TRIGGER + 1
@@ -246,11 +270,16 @@ def _equal_windows(length):
         n, lo, off = (place & 127) + 1, PlaceBits.lo(place), (place >> 7) & 127
         row = np.repeat(np.arange(len(rows)), n)
         nth = np.arange(len(row)) - np.repeat(np.cumsum(n) - n, n)
-        key = span_hasher(trigger_hashes(data))(begin[row] + nth, np.full(len(row), wide))
+        triggers = trigger_hashes(data)
+        key = window_hash(triggers, begin[row] + nth, np.full(len(row), wide))
         key = _mix(key ^ _mix(h[row].view(np.uint64) + (off[row] - nth).astype(np.uint64) * C1))
+        key = _byte_keys(key, begin[row] + nth, data, length)
+        second = np.zeros(len(key), np.uint64)
+        if hot.any():  # their windows meet those of other tasks by hashes alone
+            second = window_hash(_mix(triggers ^ C3), begin[row] + nth, np.full(len(row), wide))
         start = lo[row] + nth
         order = np.lexsort((start, doc[row], key))
-        row, nth, key, start = row[order], nth[order], key[order], start[order]
+        row, nth, key, start, second = row[order], nth[order], key[order], start[order], second[order]
         again = np.zeros(len(key), bool)
         again[1:] = key[1:] == key[:-1]
         first = np.maximum.accumulate(np.where(again, 0, np.arange(len(key))))
@@ -265,12 +294,12 @@ def _equal_windows(length):
         from_lo = lo[at] + cuts - (np.cumsum(n) - n)[at]
         span = (from_lo << 7) | (stops - cuts)
         open_ = ~again & hot[row]
-        k = np.concatenate([np.zeros(len(cuts), np.int64), key[open_].view(np.int64)])
+        k, k2 = (np.concatenate([np.zeros(len(cuts), np.int64), x[open_].view(np.int64)]) for x in (key, second))
         d = np.concatenate([doc[at], doc[row[open_]]])
         v = np.concatenate([place[at] >> 46, place[row[open_]] >> 46])
         s = np.concatenate([span, start[open_] << 7])
         kind = np.concatenate([np.zeros(len(cuts), np.int32), np.ones(int(open_.sum()), np.int32)])
-        return pa.RecordBatch.from_arrays([pa.array(x) for x in (k, d, v, s, kind)], ["key", "doc_id", "version", "span", "kind"])
+        return pa.RecordBatch.from_arrays([pa.array(x) for x in (k, k2, d, v, s, kind)], ["key", "key2", "doc_id", "version", "span", "kind"])
 
     def run(batches):
         held: list[tuple] = []
@@ -314,11 +343,11 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
     held = texts.join(refs, ["doc_id", "version"]).select("doc_id", "text", "refs").mapInArrow(_cut_phrases(length), "h bigint, doc_id bigint, place bigint, hot boolean, data binary")
     spread = F.when(F.col("hot"), F.xxhash64("doc_id")).otherwise(F.lit(0))
     held = held.withColumn("spread", spread).repartition("h", "spread").sortWithinPartitions("h", "spread", "doc_id", "place").select("h", "doc_id", "place", "hot", "data")
-    windows = stored(held.mapInArrow(_equal_windows(length), "key bigint, doc_id bigint, version bigint, span bigint, kind int"), "suffix-windows")
+    windows = stored(held.mapInArrow(_equal_windows(length), "key bigint, key2 bigint, doc_id bigint, version bigint, span bigint, kind int"), "suffix-windows")
 
     still = windows.where("kind = 1")
-    firsts = still.groupBy("key").agg(F.min(F.struct("doc_id", "span")).alias("first"))
-    late = still.join(firsts, "key").where("struct(doc_id, span) > first").select("doc_id", "version", "span")
+    firsts = still.groupBy("key", "key2").agg(F.min(F.struct("doc_id", "span")).alias("first"))
+    late = still.join(firsts, ["key", "key2"]).where("struct(doc_id, span) > first").select("doc_id", "version", "span")
     whole = settled.where("kind = 0").select("doc_id", F.shiftright("place", 46).alias("version"), F.expr("shiftleft(shiftright(place, 15) & 2147483647, 7) | (place & 127)").alias("span"))
     spans = whole.union(windows.where("kind = 0").select("doc_id", "version", "span")).union(late)
     return spans.groupBy("doc_id", F.col("version").cast("int").alias("version")).agg(F.collect_list("span").alias("spans"))

@@ -7,7 +7,7 @@ import pytest
 from pyspark.sql import functions as F
 
 import corpus_pipeline
-from playgraph.llm import topk
+from playgraph.llm import suffix_dups, topk
 from playgraph.llm.minhash_dups import near_documents
 from playgraph.llm.topk import exact_top_k
 
@@ -80,3 +80,23 @@ def test_scores_beyond_64_bits_are_refused(spark):
         exact_top_k(df, F.col("vec_id") == 0).collect()
     fits = spark.createDataFrame([(0, [1e6]), (1, [-1e6])], VEC)
     assert math.isclose(exact_top_k(fits, F.col("vec_id") == 0).first().score, -(256e6**2))
+
+
+def test_windows_of_equal_hashes_are_told_apart_by_bytes(spark, monkeypatch):
+    """With a window hash that knows 8 values only, the result is still that of the bytes."""
+    rng = np.random.default_rng(9)
+    base = ["".join(rng.choice(list("abcdefgh "), 400)) for _ in range(6)]
+    rows = []
+    for i in range(60):
+        a, b = rng.choice(6, 2)
+        cut = int(rng.integers(0, 250))
+        rows.append((i, "".join(rng.choice(list("xyz "), 30)) + base[a][cut : cut + 140] + "".join(rng.choice(list("uvw "), 20)) + base[b][: 100 + cut % 90], "s"))
+    docs = _docs(spark, rows)
+
+    def removed():
+        return sorted((r.doc_id, sorted(r.spans)) for r in suffix_dups.repeated_spans(docs).collect())
+
+    want = removed()
+    real = suffix_dups.window_hash
+    monkeypatch.setattr(suffix_dups, "window_hash", lambda *a: real(*a) & np.uint64(7))
+    assert removed() == want and len(want) > 30
