@@ -135,11 +135,11 @@ def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, ep
     keep[often[paired_terms(docs, labels, terms[often], pair_screen)]] = True
     alive = np.flatnonzero(keep)
     terms = terms[alive]
-    row, col = [np.zeros(0, np.int64)], [np.zeros(0, np.int64)]
+    row, col = [np.zeros(0, np.int32)], [np.zeros(0, np.int32)]
     for part, r, t in _blocks(docs):
         known = np.isin(t, terms)
-        row.append(part.start + r[known])
-        col.append(np.searchsorted(terms, t[known]))
+        row.append((part.start + r[known]).astype(np.int32))
+        col.append(np.searchsorted(terms, t[known]).astype(np.int32))
     row, col = np.concatenate(row), np.concatenate(col)
     starts = np.searchsorted(row, np.arange(len(docs) + 1))
     rng = np.random.default_rng(seed)
@@ -175,9 +175,9 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000
     """Fit on at most ``sample_rows`` labelled rows outside the held-out quarter.
 
     The sample is the labelled ids with the smallest hash, so it is the same
-    wherever rows lie; its ids are the only thing broadcast and only its terms
-    reach the driver, both bounded by ``sample_rows``; they are stored first and
-    fetched one partition at a time.  Null ids and null
+    wherever rows lie; its ids are the only thing broadcast.  Its terms, bounded
+    by ``sample_rows``, are stored and fitted in one task; the driver gets the
+    machine.  Null ids and null
     labels are left out; an id labelled twice counts as toxic if one label says so.
     """
     ids = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col(f"`{id_col}`")))
@@ -193,8 +193,23 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(found, pa.binary())], ["id", "toxic", "terms"])
 
     found = stored(rows.mapInArrow(terms, "id bigint, toxic int, terms binary"), "toxicity-sample")
-    got = sorted((r.id, r.terms, r.toxic) for r in found.toLocalIterator())
-    return fit_machine([np.frombuffer(t, "<i4") for _, t, _ in got], np.array([float(y) for _, _, y in got]))
+    ordered = found.repartition(1).sortWithinPartitions("id", "terms", "toxic")
+    row = ordered.mapInArrow(_fit_task, "terms binary, w0 double, w binary, v binary").first()
+    if row is None:  # no labelled rows at all
+        return fit_machine([], np.zeros(0))
+    known = np.frombuffer(row.terms, np.int64)
+    return FactorizationMachine(known, row.w0, np.frombuffer(row.w), np.frombuffer(row.v).reshape(len(known), -1) if len(known) else np.zeros((0, 4)))
+
+
+def _fit_task(batches):
+    """The machine of a sample, fitted in one task (the sample is bounded); one row."""
+    docs, labels = [], []
+    for b in batches:
+        labels += b.column(1).to_pylist()
+        docs += [np.frombuffer(t, "<i4") for t in b.column(2).to_pylist()]
+    fm = fit_machine(docs, np.array(labels, float))
+    cols = [[fm.terms.astype(np.int64).tobytes()], [fm.w0], [fm.w.tobytes()], [fm.v.tobytes()]]
+    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.float64(), pa.binary(), pa.binary()))], ["terms", "w0", "w", "v"])
 
 
 def toxicity_score(fm: FactorizationMachine, text: Column) -> Column:
