@@ -121,16 +121,12 @@ def recommend_hours(spark, sf_dir):
 
 
 def recommend_empty(spark, sf_dir):
-    """Every account owns every game of its first 10 friends: the result is
-    empty but keeps the recommendation schema."""
+    """Every account owns all that its first 10 friends would contribute: the
+    result is empty but keeps the recommendation schema."""
     c = _c(spark, sf_dir)
-    friends_games = (
-        c.friend_edge.filter(F.col("pos") < 10)
-        .join(c.owned.select(F.col("account_id").alias("friend_id"), "appid"), "friend_id")
-        .select("account_id", "appid")
-    )
-    owned = c.owned.unionByName(friends_games)
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=owned)
+    top = rec.top_games_per_owner(c.library).select(F.col("owner_id").alias("friend_id"), "appid")
+    friends_games = c.friend_edge.filter(F.col("pos") < 10).join(top, "friend_id").select("account_id", "appid")
+    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned.unionByName(friends_games))
 
 
 def top10_per_friend(spark, sf_dir):
