@@ -5,8 +5,9 @@ vectors rotated into a PCA basis (fitted on a bounded sample; any rotation keeps
 cosines, so the sample affects speed only).  Two vectors of cosine >= t differ by
 at most sqrt(2-2t) in every coordinate, so the three leading ones give grid
 cells of that width and a vector meets its own and the neighbouring cells only.
-Cells are split into tiles of bounded size; each pair of tiles is one row of
-work.  Inside it, blocks are compared by accumulating the leading dimensions
+Cells are split into tiles of bounded size, and ``SIDE`` tiles of a cell form a
+side: the unit of work is a pair of sides, so a tile travels once for all the
+tiles it meets there.  Inside a pair of tiles, blocks are compared by accumulating the leading dimensions
 first: partial products plus the product of the suffix norms bound the cosine
 from above, and rows, columns and whole blocks leave as soon as the bound is
 below the threshold.  What remains near the threshold is confirmed in the
@@ -29,7 +30,7 @@ from pyspark.sql import functions as F
 from .components import connected_components
 from .shared import stored
 
-TILE, BLOCK, STEP = 1024, 256, 8
+TILE, BLOCK, STEP, SIDE = 1024, 256, 8, 8
 GRID = 3
 VECTORS = "vec_id bigint, key binary, dim int, unit binary"
 PACKED = "cell bigint, tile int, dim int, reps binary, mults binary, units binary"
@@ -152,44 +153,61 @@ class Forest:
         return True
 
 
+def _linked_tiles(a, b, same: bool, threshold: float) -> pa.RecordBatch:
+    """Link counts (b null) and forest edges between two tiles, each (ids, multiplicities, PCA and original coordinates)."""
+    ids_a, mult_a, ya, ua = a
+    ids_b, mult_b, yb, ub = b
+    links_a, links_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
+    forest, edges = Forest(), []
+    blocks_b = [(o, yb[o : o + BLOCK].mean(0)) for o in range(0, len(ids_b), BLOCK)]
+    reach_b = [np.sqrt(((yb[o : o + BLOCK] - c) ** 2).sum(1).max()) for o, c in blocks_b]
+    limit = np.sqrt(2 - 2 * threshold) + 1e-9
+    for o in range(0, len(ids_a), BLOCK):
+        center = ya[o : o + BLOCK].mean(0)
+        reach = np.sqrt(((ya[o : o + BLOCK] - center) ** 2).sum(1).max())
+        for (p, other), far in zip(blocks_b, reach_b):
+            if same and p < o or np.sqrt(((center - other) ** 2).sum()) - reach - far > limit:
+                continue
+            i, j = linked_in_blocks(ya[o : o + BLOCK], yb[p : p + BLOCK], ua[o : o + BLOCK], ub[p : p + BLOCK], threshold)
+            i, j = i + o, j + p
+            if same:
+                i, j = i[i < j], j[i < j]
+            np.add.at(links_a, i, mult_b[j])
+            np.add.at(links_a if same else links_b, j, mult_a[i])
+            edges += [(x, y) for x, y in zip(ids_a[i].tolist(), ids_b[j].tolist()) if forest.join(x, y)]
+    ids, n = np.concatenate([ids_a, ids_b]), np.concatenate([links_a, links_b])
+    ids, n = ids[n > 0], n[n > 0]
+    return pa.RecordBatch.from_arrays(
+        [pa.array(np.concatenate([ids, [e[0] for e in edges]]).astype(np.int64)), pa.array(np.concatenate([n, np.zeros(len(edges))]).astype(np.int64)), pa.array([None] * len(ids) + [e[1] for e in edges], pa.int64())],
+        ["a", "n", "b"],
+    )
+
+
 def _compare(bases: dict[int, np.ndarray], threshold: float):
-    def side(row, s):
-        u = np.frombuffer(row[f"units{s}"]).reshape(-1, row["dim"])
+    """Rows sorted by unit, side and tile: the tiles of the first side are held, each tile of the second meets them."""
+
+    def side(row):
+        u = np.frombuffer(row["units"]).reshape(-1, row["dim"])
         y = u @ bases[row["dim"]] if row["dim"] in bases else u
-        return np.frombuffer(row[f"reps{s}"], np.int64), np.frombuffer(row[f"mults{s}"], np.int64), y, u
+        return np.frombuffer(row["reps"], np.int64), np.frombuffer(row["mults"], np.int64), y, u
 
     def run(batches):
+        unit, held = None, []
         for batch in batches:
             names = batch.schema.names
             for r in range(batch.num_rows):
                 row = {n: batch.column(c)[r].as_py() for c, n in enumerate(names)}
-                ids_a, mult_a, ya, ua = side(row, "")
-                ids_b, mult_b, yb, ub = side(row, "2")
-                same = row["same"]
-                links_a, links_b = np.zeros(len(ids_a), np.int64), np.zeros(len(ids_b), np.int64)
-                forest, edges = Forest(), []
-                blocks_b = [(o, yb[o : o + BLOCK].mean(0)) for o in range(0, len(ids_b), BLOCK)]
-                reach_b = [np.sqrt(((yb[o : o + BLOCK] - c) ** 2).sum(1).max()) for o, c in blocks_b]
-                limit = np.sqrt(2 - 2 * threshold) + 1e-9
-                for a in range(0, len(ids_a), BLOCK):
-                    center = ya[a : a + BLOCK].mean(0)
-                    reach = np.sqrt(((ya[a : a + BLOCK] - center) ** 2).sum(1).max())
-                    for (b, other), far in zip(blocks_b, reach_b):
-                        if same and b < a or np.sqrt(((center - other) ** 2).sum()) - reach - far > limit:
-                            continue
-                        i, j = linked_in_blocks(ya[a : a + BLOCK], yb[b : b + BLOCK], ua[a : a + BLOCK], ub[b : b + BLOCK], threshold)
-                        i, j = i + a, j + b
-                        if same:
-                            i, j = i[i < j], j[i < j]
-                        np.add.at(links_a, i, mult_b[j])
-                        np.add.at(links_a if same else links_b, j, mult_a[i])
-                        edges += [(x, y) for x, y in zip(ids_a[i].tolist(), ids_b[j].tolist()) if forest.join(x, y)]
-                ids, n = np.concatenate([ids_a, ids_b]), np.concatenate([links_a, links_b])
-                ids, n = ids[n > 0], n[n > 0]
-                yield pa.RecordBatch.from_arrays(
-                    [pa.array(np.concatenate([ids, [e[0] for e in edges]]).astype(np.int64)), pa.array(np.concatenate([n, np.zeros(len(edges))]).astype(np.int64)), pa.array([None] * len(ids) + [e[1] for e in edges], pa.int64())],
-                    ["a", "n", "b"],
-                )
+                key = (row["cell1"], row["side1"], row["cell2"], row["side2"])
+                if key != unit:
+                    unit, held = key, []
+                if row["second"] == 0:
+                    held.append((row["tile"], side(row)))
+                    continue
+                mine = side(row)
+                for tile, other in held:
+                    same = row["cell1"] == row["cell2"] and tile == row["tile"]
+                    if row["cell1"] != row["cell2"] or tile <= row["tile"]:
+                        yield _linked_tiles(other, mine, same, threshold)
 
     return run
 
@@ -216,12 +234,15 @@ def near_vectors(df: DataFrame, threshold: float = 0.9, id_col: str = "vec_id",
     packed = stored(tiled.groupBy("cell", "tile").applyInArrow(_pack, PACKED), "near-tiles")
 
     offsets = [(a * 1024 + b) * 1024 + c for a in (-1, 0, 1) for b in (-1, 0, 1) for c in (-1, 0, 1)]
-    tiles = packed.select("cell", "tile")
-    near = tiles.withColumn("cell2", F.explode(F.array(*[F.lit(o).cast("bigint") + F.col("cell") for o in offsets if o >= 0])))
-    pairs = near.join(tiles.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2")), "cell2").where("cell < cell2 or tile <= tile2")
-    other = packed.select(F.col("cell").alias("cell2"), F.col("tile").alias("tile2"), *[F.col(c).alias(f"{c}2") for c in ("reps", "mults", "units")])
-    work = pairs.join(packed, ["cell", "tile"]).join(other, ["cell2", "tile2"])
-    work = work.withColumn("same", F.expr("cell = cell2 and tile = tile2")).select("dim", "same", *[f"{c}{s}" for s in ("", "2") for c in ("reps", "mults", "units")])
+    sides = packed.select("cell", F.expr(f"tile div {SIDE}").cast("int").alias("side")).distinct()
+    near = sides.withColumn("cell2", F.explode(F.array(*[F.lit(o).cast("bigint") + F.col("cell") for o in offsets if o >= 0])))
+    units = near.join(sides.select(F.col("cell").alias("cell2"), F.col("side").alias("side2")), "cell2").where("cell < cell2 or side <= side2")
+    units = stored(units.select(F.col("cell").alias("cell1"), F.col("side").alias("side1"), "cell2", "side2"), "near-units")
+    need = units.select("*", F.lit(0).alias("second"), F.col("cell1").alias("cell"), F.col("side1").alias("side"))
+    need = need.union(units.select("*", F.lit(1).alias("second"), F.col("cell2").alias("cell"), F.col("side2").alias("side")))
+    work = need.join(packed.withColumn("side", F.expr(f"tile div {SIDE}").cast("int")), ["cell", "side"])
+    unit = ["cell1", "side1", "cell2", "side2"]
+    work = work.select(*unit, "second", "tile", "dim", "reps", "mults", "units").repartition(*unit).sortWithinPartitions(*unit, "second", "tile")
     found = stored(work.mapInArrow(_compare(bases, threshold), "a bigint, n bigint, b bigint"), "near-found")
 
     links = found.where("b is null").groupBy("a").agg(F.sum("n").alias("n"))
