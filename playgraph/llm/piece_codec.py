@@ -54,7 +54,8 @@ class PieceWalker:
         if any(MARK in t.lstrip(MARK) for t in self.piece):
             raise ValueError("a piece crosses a space mark; words would not encode independently")
         self.parts: dict[int, tuple[int, int]] = {}
-        self.apart: dict[tuple[int, int], bool] = {}
+        self.apart: dict[int, dict[int, bool]] = {i: {} for i in plain}  # by piece: whether it stays apart from the piece before
+        self.n_apart = 0
         self.cache_words = cache_words
         self.cache: dict[str, bytes] = {}  # words of this generation; the one before is kept for words that come again
         self.older: dict[str, bytes] = {}
@@ -63,7 +64,7 @@ class PieceWalker:
 
     def _build_automaton(self) -> None:
         """States are beginnings of pieces: ``next`` one character on, ``fail`` the longest other state that ends it,
-        ``found`` the (length, id) of the pieces that end there, longest first."""
+        ``found`` the (length, id, table of ``apart``) of the pieces that end there, longest first."""
         self.next: list[dict[str, int]] = [{}]
         own: list[tuple] = [()]
         for text, i in self.piece.items():
@@ -75,7 +76,7 @@ class PieceWalker:
                     self.next.append({})
                     own.append(())
                 state = to
-            own[state] = ((len(text), i),)
+            own[state] = ((len(text), i, self.apart[i]),)
         self.fail, self.found = [0] * len(own), own
         queue = list(self.next[0].values())
         for state in queue:  # grows while it is read: breadth first
@@ -86,18 +87,20 @@ class PieceWalker:
                     at = self.fail[at]
                 self.fail[to] = self.next[at].get(c, 0)
                 queue.append(to)
-        self.jumps: list[dict[str, int]] = [{} for _ in own]  # steps over ``fail`` links, remembered
-        self.n_jumps = 0
+        self.size_of = {i: len(text) for text, i in self.piece.items()}
+        self.jumps: list[tuple[int, str]] = []  # steps over ``fail`` links that ``next`` remembers
 
     def _jump(self, state: int, c: str) -> int:
         at = state
         while at and c not in self.next[at]:
             at = self.fail[at]
         to = self.next[at].get(c, 0)
-        if self.n_jumps > 1_000_000:
-            self.jumps, self.n_jumps = [{} for _ in self.next], 0
-        self.jumps[state][c] = to
-        self.n_jumps += 1
+        if len(self.jumps) > 1_000_000:
+            for known, x in self.jumps:
+                del self.next[known][x]
+            self.jumps.clear()
+        self.next[state][c] = to
+        self.jumps.append((state, c))
         return to
 
     def _split(self, t: int) -> tuple[int, int]:
@@ -112,8 +115,8 @@ class PieceWalker:
 
     def stay_apart(self, a: int, b: int) -> bool:
         """Whether merging leaves the boundary between pieces ``a`` and ``b``: undo the latest merge beside it, again and again."""
-        if (a, b) in self.apart:
-            return self.apart[a, b]
+        if a in self.apart[b]:
+            return self.apart[b][a]
         left, right, limit, text, rank = a, b, float("inf"), self.text, self.rank
         while True:
             joined = self.piece.get(text[left] + text[right])
@@ -127,54 +130,57 @@ class PieceWalker:
             else:
                 out = True
                 break
-        if len(self.apart) > 500_000:
-            self.apart.clear()
-        self.apart[a, b] = out
+        if self.n_apart > 500_000:
+            for known in self.apart.values():  # the tables stay, the automaton refers to them
+                known.clear()
+            self.n_apart = 0
+        self.apart[b][a] = out
+        self.n_apart += 1
         return out
 
     def walk(self, words: list[str]) -> dict[str, list[int]]:
-        """Ids of each distinct word, visiting them in trie order."""
+        """Ids of each distinct word, visiting them in trie order.
+
+        Of each prefix two things are kept: the automaton's state and the last piece of its encoding.
+        """
         out, before = {}, ""
-        last: list[int] = [-1]  # last piece of each prefix's encoding; -1: none, -2: a character outside the vocabulary
-        back: list[int] = [0]
-        states = [0]  # the automaton's state after each prefix
-        follow, found, known, apart = self.next, self.found, self.apart.get, self.stay_apart
+        last = [-1]  # -1: nothing before; -2: a character outside the vocabulary
+        states = [0]
+        step, found, apart, sizes = self.next, self.found, self.stay_apart, self.size_of
         for word in sorted(words):
             shared = 0
             for x, y in zip(before, word):
                 if x != y:
                     break
                 shared += 1
-            del last[shared + 1 :], back[shared + 1 :], states[shared + 1 :]
-            state = states[shared]
-            for i in range(shared + 1, len(word) + 1):
-                c = word[i - 1]
-                to = follow[state].get(c)
-                if to is None:
-                    to = self.jumps[state].get(c)
-                    if to is None:
-                        to = self._jump(state, c)
-                state = to
-                for size, t in found[state]:  # the longest piece that may follow
+            del last[shared + 1 :], states[shared + 1 :]
+            state, i = states[shared], shared
+            for c in word[shared:]:
+                i += 1
+                to = step[state].get(c)
+                state = self._jump(state, c) if to is None else to
+                for size, t, known in found[state]:  # the longest piece that may follow
                     left = last[i - size]
                     if left < 0:
                         break
-                    free = known((left, t))
+                    free = known.get(left)
                     if apart(left, t) if free is None else free:
                         break
                 else:
-                    size, t = 1, -2
+                    t = -2
                 states.append(state)
                 last.append(t)
-                back.append(i - size)
-            ids, i = [], len(word)
+            ids = []
             while i:
-                if last[i] >= 0:
-                    ids.append(last[i])
+                t = last[i]
+                if t >= 0:
+                    ids.append(t)
+                    i -= sizes[t]
                 else:
-                    ids += [self.byte[b] for b in reversed(word[back[i] : i].encode("utf-8", "surrogatepass"))]
-                i = back[i]
-            out[word] = ids[::-1]
+                    i -= 1
+                    ids += [self.byte[b] for b in reversed(word[i].encode("utf-8", "surrogatepass"))]
+            ids.reverse()
+            out[word] = ids
             before = word
         return out
 
@@ -191,8 +197,11 @@ class PieceWalker:
         """The text's words, each with the marks before it; none for an empty text."""
         if not text:
             return []
+        parts = text.replace(MARK, " ").split(" ")
+        if all(parts):  # single spaces only
+            return [MARK + p for p in parts]
         words, marks = [], ""
-        for part in text.replace(MARK, " ").split(" "):
+        for part in parts:
             marks += MARK
             if part:
                 words.append(marks + part)
