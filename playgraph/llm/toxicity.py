@@ -24,6 +24,8 @@ from pyspark.sql import functions as F
 from .shared import stored
 
 SPACE = 1 << 26
+#: Least likelihood ratio of a term, and the number of frequent terms looked at in pairs.
+SCREEN, OFTEN = 20.0, 2000
 RUN = re.compile(r"[^\W\d_]+")
 
 
@@ -113,7 +115,7 @@ def paired_terms(docs: list[np.ndarray], labels: np.ndarray, terms: np.ndarray,
     return found
 
 
-def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 20, screen: float = 20.0, seed: int = 7, pair_screen: float = 40.0, pair_terms: int = 2000) -> FactorizationMachine:
+def fit_machine(docs: list[np.ndarray], labels: np.ndarray, factors: int = 4, epochs: int = 20, screen: float = SCREEN, seed: int = 7, pair_screen: float = 40.0, pair_terms: int = OFTEN) -> FactorizationMachine:
     """Fit on the term arrays of a sample.  No rows, or one class only: a constant score of that share.
 
     Terms stay that tell by themselves (``screen``) or, of the ``pair_terms`` in
@@ -176,8 +178,8 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000
 
     The sample is the labelled ids with the smallest hash, so it is the same
     wherever rows lie; its ids are the only thing broadcast.  Its terms, bounded
-    by ``sample_rows``, are stored and fitted in one task; the driver gets the
-    machine.  Null ids and null
+    by ``sample_rows``, are stored and counted by Spark; the driver gets the
+    few that the machine may keep, and fits it.  Null ids and null
     labels are left out; an id labelled twice counts as toxic if one label says so.
     """
     ids = labels.where(F.col(f"`{id_col}`").isNotNull() & F.col("toxic").isNotNull() & ~held_out(F.col(f"`{id_col}`")))
@@ -193,23 +195,43 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(found, pa.binary())], ["id", "toxic", "terms"])
 
     found = stored(rows.mapInArrow(terms, "id bigint, toxic int, terms binary"), "toxicity-sample")
-    ordered = found.repartition(1).sortWithinPartitions("id", "terms", "toxic")
-    row = ordered.mapInArrow(_fit_task, "terms binary, w0 double, w binary, v binary").first()
-    if row is None:  # no labelled rows at all
-        return fit_machine([], np.zeros(0))
-    known = np.frombuffer(row.terms, np.int64)
-    return FactorizationMachine(known, row.w0, np.frombuffer(row.w), np.frombuffer(row.v).reshape(len(known), -1) if len(known) else np.zeros((0, 4)))
-
-
-def _fit_task(batches):
-    """The machine of a sample, fitted in one task (the sample is bounded); one row."""
-    docs, labels = [], []
-    for b in batches:
-        labels += b.column(1).to_pylist()
-        docs += [np.frombuffer(t, "<i4") for t in b.column(2).to_pylist()]
-    fm = fit_machine(docs, np.array(labels, float))
-    cols = [[fm.terms.astype(np.int64).tobytes()], [fm.w0], [fm.w.tobytes()], [fm.v.tobytes()]]
-    yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(cols, (pa.binary(), pa.float64(), pa.binary(), pa.binary()))], ["terms", "w0", "w", "v"])
+    keep = _telling_terms(found)
+
+    def known(batches):
+        for b in batches:
+            lists = [np.frombuffer(t, "<i4") for t in b.column(2).to_pylist()]
+            yield pa.RecordBatch.from_arrays([b.column(0), b.column(1), pa.array([x[np.isin(x, keep)].tobytes() for x in lists], pa.binary())], ["id", "toxic", "terms"])
+
+    got = sorted((r.id, r.terms, r.toxic) for r in found.mapInArrow(known, "id bigint, toxic int, terms binary").toLocalIterator())
+    return fit_machine([np.frombuffer(t, "<i4") for _, t, _ in got], np.array([float(y) for _, _, y in got]))
+
+
+def _telling_terms(found: DataFrame, screen: float = SCREEN, often: int = OFTEN) -> np.ndarray:
+    """The terms of a sample that ``fit_machine`` can keep: those that pass its screen, and those in most documents.
+
+    They are counted by Spark, so the sample's other terms, most of them, never reach the driver.
+    """
+    n_rows, n_toxic = found.agg(F.count("*"), F.coalesce(F.sum("toxic"), F.lit(0))).first()
+    if n_toxic in (0, n_rows):
+        return np.zeros(0, "<i4")
+
+    def count(batches):
+        for b in batches:
+            docs = [np.frombuffer(t, "<i4") for t in b.column(2).to_pylist()]
+            sizes = [len(d) for d in docs]
+            terms, at = np.unique(np.concatenate(docs), return_inverse=True) if docs else (np.zeros(0, "<i4"), np.zeros(0, int))
+            k = np.bincount(at, np.repeat(b.column(1).to_numpy().astype(float), sizes), len(terms))
+            yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(np.bincount(at, minlength=len(terms)).astype(np.int64)), pa.array(k.astype(np.int64))], ["term", "n", "k"])
+
+    counts = stored(found.mapInArrow(count, "term int, n bigint, k bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "toxicity-counts")
+
+    def part(x, share):
+        return F.when(x > 0, x * F.log(x / (F.col("n") * share))).otherwise(0.0)
+
+    share = n_toxic / n_rows
+    ratio = 2 * (part(F.col("k"), share) + part(F.col("n") - F.col("k"), 1 - share))
+    telling = counts.where(ratio >= screen - 1e-6).select("term").union(counts.orderBy(F.desc("n"), "term").limit(often).select("term"))
+    return np.unique(np.array([r.term for r in telling.toLocalIterator()], "<i4"))
 
 
 def toxicity_score(fm: FactorizationMachine, text: Column) -> Column:

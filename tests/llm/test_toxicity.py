@@ -100,3 +100,25 @@ def test_pair_screen_counts():
             best = max(best, sum(ratio(labels[p].sum(), len(p), s) for p in parts))
         want.append(best >= 40)
     assert toxicity.paired_terms(docs, labels, terms, 40.0).tolist() == want and want[3] and want[4]
+
+
+def test_terms_counted_by_spark_give_the_same_machine(spark, monkeypatch):
+    """Only terms that the machine may keep are fetched; the machine is that of the whole sample."""
+    rng = np.random.default_rng(8)
+    words = [f"word{chr(97 + i // 26)}{chr(97 + i % 26)}" for i in range(500)]
+    rows = []
+    for i in range(1500):
+        text = " ".join(rng.choice(words, rng.integers(0, 30)))
+        rows.append((i, text, int("wordaa" in text or "wordbb" in text)))
+    t = spark.createDataFrame(rows, "doc_id bigint, text string, toxic int").repartition(5)
+    monkeypatch.setattr(toxicity, "OFTEN", 10)
+    seen = []
+    real = toxicity.fit_machine
+    monkeypatch.setattr(toxicity, "fit_machine", lambda docs, labels: seen.append((docs, labels)) or real(docs, labels, pair_terms=10))
+    monkeypatch.setattr(toxicity._telling_terms, "__defaults__", (20.0, 10))
+    fm = train_toxicity(t.select("doc_id", "text"), t.select("doc_id", "toxic"))
+    kept = [r for r in rows if zlib.crc32(str(r[0]).encode()) % 4 != 2]
+    whole = list(toxicity._distinct_terms([r[1] for r in kept], {}))
+    want = real(whole, np.array([float(r[2]) for r in kept]), pair_terms=10)
+    assert fm.terms.tolist() == want.terms.tolist() and np.allclose(fm.w, want.w) and np.allclose(fm.v, want.v)
+    assert sum(map(len, seen[0][0])) < sum(map(len, whole)) / 3
