@@ -21,6 +21,9 @@ Scale notes:
   and the aggregate share one hash partitioning on (account, null-safe app
   key): the candidates cross the network once, and the owned side, hashed
   on (account, appid), spreads even a huge library over many tasks.
+* Candidates carry the number of a game's name (``number_names``); the ranked
+  rows get the name back.  Accounts, games and orders grow with the input and
+  compress well in Parquet, so joins with them are never broadcast.
 * A friend that sits in a third of all friend lists makes the edge side of
   the ``friend_id`` join skewed.  Players and their top games meet first (≤ 10
   rows per friend) and the edges are joined to that once; both sides of that
@@ -36,6 +39,7 @@ from pyspark.sql import functions as F
 
 from playgraph import schema as S
 from playgraph.functions.formats import hours_one_decimal, hours_one_decimal_label, unknown_game_name
+from playgraph.session import materialize
 
 BY_NAME = "by_name"    # group by (appid, name): the DataFrame path
 BY_APPID = "by_appid"  # group by appid, last seen name: the hand-written path
@@ -71,7 +75,7 @@ def friends_with_profile(friend_edge: DataFrame, profile: DataFrame, k: int) ->
         F.col("account_id").alias("friend_id"),
         F.coalesce(F.col("persona"), F.lit(S.DEFAULT_NAME)).alias("friend_name"),
     )
-    return edges.join(players, "friend_id")
+    return edges.join(players.hint("merge"), "friend_id")
 
 
 def own_exchange(key: str) -> Column:
@@ -87,7 +91,7 @@ def own_exchange(key: str) -> Column:
 def usable_top_games(profile: DataFrame, library: DataFrame, games_per_friend: int = S.GAMES_PER_FRIEND) -> DataFrame:
     """friend_id, rank_in_friend, appid, name, playtime: the top games of every account that has a player."""
     players = profile.filter(F.col("player_found")).select(F.col("account_id").alias("owner_id"))
-    top = top_games_per_owner(library, games_per_friend).join(players, "owner_id")
+    top = top_games_per_owner(library, games_per_friend).join(players.hint("merge"), "owner_id")
     return top.select(own_exchange("owner_id").alias("friend_id"), "rank_in_friend", "appid", "name", "playtime")
 
 
@@ -101,8 +105,13 @@ def candidate_games(
     """account_id, friend_pos, friend_id, rank_in_friend, appid, name,
     playtime: every game one of the first ``k`` usable friends contributes
     (before exclusion)."""
+    return _of_friends(friend_edge, usable_top_games(profile, library, games_per_friend), k)
+
+
+def _of_friends(friend_edge: DataFrame, top: DataFrame, k: int) -> DataFrame:
+    """``candidate_games`` from the usable top games."""
     friends = friend_edge.filter(F.col("pos") < k).select("account_id", F.col("pos").alias("friend_pos"), "friend_id")
-    return friends.join(usable_top_games(profile, library, games_per_friend), "friend_id").select(
+    return friends.join(top.hint("merge"), "friend_id").select(
         "account_id", "friend_pos", "friend_id", "rank_in_friend", "appid", "name", "playtime"
     )
 
@@ -147,6 +156,34 @@ def exclude_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
     return _anti_owned(_with_app_keys(df), owned).drop(APP_NULL, APP_KEY)
 
 
+def number_names(games: DataFrame) -> DataFrame:
+    """names_null, names_key, names_name, name_no: each name of an appid and its number among that appid's names.
+
+    The candidates outnumber the top games by the friends that list them, so
+    they carry the number and the chosen rows get their name back.  Rows are
+    made distinct first: the window holds an appid's names, not its owners.
+    """
+    distinct = _with_app_keys(games.select("appid", "name")).select(
+        F.col(APP_NULL).alias("names_null"), F.col(APP_KEY).alias("names_key"), F.col("name").alias("names_name")
+    ).distinct()
+    w = Window.partitionBy("names_null", "names_key").orderBy("names_name")
+    return distinct.withColumn("name_no", F.row_number().over(w))
+
+
+def _same_app(names: DataFrame) -> Column:
+    return (F.col(APP_NULL) == names["names_null"]) & (F.col(APP_KEY) == names["names_key"])
+
+
+def same_name(games: DataFrame, names: DataFrame) -> Column:
+    return _same_app(names) & games["name"].eqNullSafe(names["names_name"])
+
+
+def with_names(ranked: DataFrame, names: DataFrame) -> DataFrame:
+    """``ranked`` with the name itself in place of its number."""
+    numbered = _with_app_keys(ranked.withColumnRenamed("name", "__name_no"))
+    return numbered.join(names.hint("merge"), _same_app(names) & (F.col("__name_no") == names["name_no"])).withColumn("name", F.col("names_name"))
+
+
 ORDER_SHIFT = 1 << 32
 
 
@@ -271,6 +308,7 @@ def recommend(
     applied first, so only that account's friends' libraries are joined).
     ``sweep`` runs several friend counts in one plan (column ``friends``).
     ``owned`` overrides the owned-games table (defaults to ``library``).
+    The top games are stored once; their names and the candidates read them.
     """
     counts = _counts(k, sweep)
     owned = library if owned is None else owned
@@ -281,14 +319,20 @@ def recommend(
         friend_ids = friend_edge.filter(F.col("pos") < counts[-1]).select(F.col("friend_id").alias("account_id"))
         library = library.join(friend_ids, "account_id", "left_semi")
         owned = owned.filter(F.col("account_id") == F.lit(account_id))
-    cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
+    top = materialize(usable_top_games(profile, library), "top_games")
+    names = number_names(top)
+    numbered = _with_app_keys(top).join(names.hint("merge"), same_name(top, names)).select(
+        "friend_id", "rank_in_friend", "appid", F.col("name_no").alias("name"), "playtime"
+    )
+    cands = _with_app_keys(_of_friends(friend_edge, numbered, counts[-1]))
     # Exclusion depends on (account, appid) only, so removing owned games
     # before summing gives the same groups; done first, the candidates are
     # shuffled once, and the aggregate reuses the anti-join's partitioning.
     kept = _anti_owned(cands, owned)
     wide = aggregate_wide(kept, mode, counts)
     keys = ["account_id", "friends"] if sweep else ["account_id"]
-    return rank_per_account(to_long(wide, mode, counts, bool(sweep)), keys, top_n)
+    ranked = rank_per_account(to_long(wide, mode, counts, bool(sweep)), keys, top_n)
+    return with_names(ranked, names).select(*keys, "rank", "appid", "name", "total_playtime")
 
 
 def recommend_sweep(

@@ -11,24 +11,12 @@ account inside each file, so per-account reads touch few row groups.
 from __future__ import annotations
 
 import os
-import uuid
 
 from pyspark.sql import DataFrame, SparkSession
 
 from playgraph.operators import library as lib_ops
 from playgraph.operators import network, profile as profile_ops, recommend as rec, status
-from playgraph.session import ensure_checkpoint_dir
-
-
-def materialize(df: DataFrame, name: str, root: str | None = None, sort_by: list[str] | None = None) -> DataFrame:
-    """Write ``df`` as Parquet under ``root`` (default: a fresh run folder in
-    the checkpoint directory) and return a DataFrame reading it back."""
-    spark = df.sparkSession
-    base = root or os.path.join(ensure_checkpoint_dir(spark), "tables", uuid.uuid4().hex)
-    path = os.path.join(base, name)
-    out = df.sortWithinPartitions(*sort_by) if sort_by else df
-    out.write.mode("overwrite").parquet(path)
-    return spark.read.schema(df.schema).parquet(path)
+from playgraph.session import materialize
 
 
 def run_reports(

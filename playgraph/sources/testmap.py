@@ -36,12 +36,15 @@ def played(t: Tables, accounts: DataFrame | None = None, before: str | None = No
     The sum is partial + final on (account, appid), so a hot account's lines
     are reduced map-side and its games spread over tasks.  ``accounts`` (column
     account_id) restricts the orders before the lines are joined, ``before`` to
-    those of an earlier date.
+    those of an earlier date.  All orders grow with the lines, so both sides
+    are shuffled: their compressed size must not lead to a broadcast.
     """
     li = t.lineitem.select("l_orderkey", "l_partkey", "l_quantity")
     orders = t.orders if before is None else t.orders.filter(F.col("o_orderdate") < F.lit(before).cast("timestamp_ntz"))
     o = orders.select("o_orderkey", F.col("o_custkey").alias("account_id"))
-    if accounts is not None:
+    if accounts is None:
+        o = o.hint("merge")
+    else:
         o = o.join(accounts.select("account_id").distinct(), "account_id", "left_semi")
     return (
         li.join(o, li.l_orderkey == o.o_orderkey)
@@ -53,12 +56,13 @@ def played(t: Tables, accounts: DataFrame | None = None, before: str | None = No
 def library(t: Tables, bucket_width: int = DEFAULT_BUCKET_WIDTH, pairs: DataFrame | None = None) -> DataFrame:
     """account_id, pos, appid, name, playtime_min from ``played`` pairs (default: those of all accounts).
 
-    Names join last, against the already summed and ranked rows.
+    Names join last, against the already summed and ranked rows; they grow with
+    the games, so they are never broadcast.
     """
     pairs = played(t) if pairs is None else pairs
     lib = dense_position(pairs, ["account_id"], "appid", "pos", bucket_width)
     names = t.part.select(F.col("p_partkey").alias("appid"), F.col("p_name").alias("name"))
-    return lib.join(names, "appid", "left").select("account_id", "pos", "appid", "name", "playtime_min")
+    return lib.join(names.hint("merge"), "appid", "left").select("account_id", "pos", "appid", "name", "playtime_min")
 
 
 def friend_edge(
@@ -103,7 +107,7 @@ def profile(t: Tables) -> DataFrame:
 
     return (
         c.join(n, c.c_nationkey == n.n_nationkey, "left")
-        .join(first, "c_custkey", "left")
+        .join(first.hint("merge"), "c_custkey", "left")
         .select(
             key.alias("account_id"),
             found.alias("player_found"),
