@@ -12,6 +12,7 @@ from __future__ import annotations
 from pyspark.sql import DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from playgraph.session import materialize
 from playgraph.sources.documents import parse_payload
 from playgraph.sources.ledger import read_or_empty
 
@@ -28,7 +29,8 @@ def write_containers(docs: DataFrame, path: str, target_bytes: int = TARGET_BYTE
     are left out.
     """
     page = (F.col("page") if "page" in docs.columns else F.lit(None)).cast("int").alias("page")
-    rows = docs.filter(F.col("account_id").isNotNull()).select("account_id", page, "payload")
+    # Stored once: the size, the sample for the ranges and the files all read the rendered rows.
+    rows = materialize(docs.filter(F.col("account_id").isNotNull()).select("account_id", page, "payload"), "container_rows")
     size = rows.agg(F.sum(F.octet_length("payload") + F.lit(16))).first()[0] or 0
     files = max(1, -(-size // target_bytes))
     base = path.rstrip("/")
