@@ -149,13 +149,17 @@ def friends_used(spark, sf_dir):
 
 def recommend_after_delta(spark, sf_dir):
     """Recommendations of all accounts, kept up to date: computed on the orders before a date, then refreshed
-    for the accounts that the later orders reach."""
+    for the accounts that the later orders reach.
+
+    The edges that the first 10 friends need and the profiles do not depend on the date and are stored once."""
     c = _c(spark, sf_dir)
+    edges = materialize(c.friend_edge.filter(F.col("pos") < 10), "first_friends")
+    profile = materialize(c.profile, "profile")
     old_pairs = materialize(testmap.played(c.t, before=testmap.DELTA_FROM), "played_before")
-    previous = materialize(rec.recommend(testmap.library(c.t, pairs=old_pairs), c.friend_edge, c.profile, k=10, owned=old_pairs.select("account_id", "appid")), "previous")
+    previous = materialize(rec.recommend(testmap.library(c.t, pairs=old_pairs), edges, profile, k=10, owned=old_pairs.select("account_id", "appid")), "previous")
     changed = c.t.orders.filter(~F.coalesce(F.col("o_orderdate") < F.lit(testmap.DELTA_FROM).cast("timestamp_ntz"), F.lit(False)))
     changed = changed.select(F.col("o_custkey").alias("account_id"))
-    return refresh.refresh_recommendations(previous, c.library, c.friend_edge, c.profile, changed, k=10, owned=c.owned)
+    return refresh.refresh_recommendations(previous, c.library, edges, profile, changed, k=10, owned=c.owned)
 
 
 # --- friends, profiles, status ------------------------------------------------
