@@ -36,7 +36,7 @@ from pyspark.sql import DataFrame
 from pyspark.sql import functions as F
 
 from .components import connected_components
-from .shared import UPPER, small_batches, stored
+from .shared import UPPER, lean, small_batches, stored
 from .vector_dups import Forest
 
 COORDS, COMMON = 64, 4
@@ -250,10 +250,10 @@ def _confirmed(texts: DataFrame, lists: DataFrame, homes: DataFrame, size: int,
         if out:
             yield pa.RecordBatch.from_arrays([pa.array(c, t) for c, t in zip(zip(*out), types)], names)
 
-    rows = joined.mapInArrow(sets, "block bigint, salt int, kind int, doc bigint, comp bigint, members array<bigint>, shingles binary")
+    rows = joined.mapInArrow(lean(sets), "block bigint, salt int, kind int, doc bigint, comp bigint, members array<bigint>, shingles binary")
     # Two tasks may hold the same text of one id: a set counts once per place.
     rows = rows.repartition("block", "salt").sortWithinPartitions("block", "salt", "kind", "doc")
-    return rows.mapInArrow(_confirm(percent), "a bigint, b bigint")
+    return rows.mapInArrow(lean(_confirm(percent)), "a bigint, b bigint")
 
 
 def _shared_ids(feats: DataFrame, classes: DataFrame) -> DataFrame:
@@ -283,13 +283,13 @@ def near_documents(
     texts = docs.select(F.col(f"`{id_col}`").cast("bigint").alias("doc_id"), text.alias("text"), F.xxhash64(text).alias("text_hash"))
     needed = needed_matches(percent)
     prefix = min(COORDS, COORDS - needed + COMMON)
-    feats = stored(texts.mapInArrow(_features(shingle_words), "doc_id bigint, text_hash bigint, n_shingles bigint, fp binary, sig binary"), "near-features")
+    feats = stored(texts.mapInArrow(lean(_features(shingle_words)), "doc_id bigint, text_hash bigint, n_shingles bigint, fp binary, sig binary"), "near-features")
     # A class (texts of equal sets) is a node, numbered when it is stored; the text of its smallest id stands for it.
     reps = feats.where("fp is not null and doc_id is not null").groupBy("fp", "n_shingles", "sig").agg(F.min("doc_id").alias("doc"))
     reps = stored(reps.select("fp", "doc", F.col("n_shingles").alias("n"), "sig", F.monotonically_increasing_id().alias("rep")), "near-classes")
     sigs = reps.select("rep", "n", "sig")
 
-    postings = reps.select("rep", "sig").mapInArrow(lambda it: _post(b.select(["rep", "sig"]) for b in it), "cv bigint, rep bigint")
+    postings = reps.select("rep", "sig").mapInArrow(lean(lambda it: _post(b.select(["rep", "sig"]) for b in it)), "cv bigint, rep bigint")
     shared = postings.groupBy("cv").agg(F.count("*").alias("df")).where("df > 1")
     by_doc = postings.join(shared, "cv").groupBy("rep").agg(F.array_sort(F.collect_list(F.struct("df", "cv"))).alias("cvs"))  # at most COORDS entries
     free = prefix - (COORDS - F.size("cvs"))
@@ -300,7 +300,7 @@ def near_documents(
     lead = post.groupBy("cv").agg(F.min("rep").alias("leader"), F.count("*").alias("c")).where("c > 1").select("cv", "leader")
     cand = post.join(lead, "cv").where("rep <> leader").groupBy("rep", "leader").agg(F.count("*").alias("hits")).where(F.col("hits") >= COMMON).drop("hits")
     cand = cand.join(sigs, "rep").join(sigs.select(F.col("rep").alias("leader"), F.col("n").alias("leader_n"), F.col("sig").alias("leader_sig")), "leader")
-    matched = cand.select("rep", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(_leader_matches(needed, percent), "rep bigint, leader bigint, matches bigint")
+    matched = cand.select("rep", "n", "sig", "leader", "leader_n", "leader_sig").mapInArrow(lean(_leader_matches(needed, percent)), "rep bigint, leader bigint, matches bigint")
     best = matched.groupBy("rep").agg(F.max("matches").alias("m"), F.max_by("leader", F.struct("matches", -F.col("leader"))).alias("leader"))
     best = stored(best.select("rep", "leader"), "near-leaders")
     known = reps.select("rep", "doc", "n", F.col("fp").alias("fp_wanted"))
@@ -336,7 +336,7 @@ def near_documents(
     members = listed.withColumn("blk", F.pmod(F.xxhash64("rep"), "blocks").cast("int")).withColumn("kind", F.lit(0)).select(cols)
     probes = listed.where("is_probe").withColumn("blk", F.explode(F.sequence(F.lit(0), F.col("blocks") - 1))).withColumn("kind", F.lit(1)).select(cols)
     ordered = members.union(probes).repartition("cv", "blk").sortWithinPartitions("cv", "blk", "kind", "rep")
-    lists = pairs.union(ordered.mapInArrow(_probe_lists(needed, percent), "probe bigint, block bigint, members array<bigint>"))
+    lists = pairs.union(ordered.mapInArrow(lean(_probe_lists(needed, percent)), "probe bigint, block bigint, members array<bigint>"))
     lists = stored(lists.groupBy("probe", "block").agg(F.array_distinct(F.flatten(F.collect_list("members"))).alias("members")), "near-lists")  # members of one block
     more = _confirmed(texts, lists, homes.drop("n"), shingle_words, percent)
     links = links.union(more) if by_text else links.union(more).union(_shared_ids(feats, reps))

@@ -24,7 +24,7 @@ import pyarrow as pa
 from pyspark import TaskContext
 from pyspark.sql import DataFrame
 
-from .shared import texts_of
+from .shared import lean, texts_of
 from .tokens import tokenizer_path, worker_encoder
 
 PIECES = "doc_id bigint, start bigint, length bigint, ids binary, doc_tokens bigint, sequence_id bigint, offset bigint, tier int, step_id bigint"
@@ -173,4 +173,4 @@ def pack_tiers(
     """
     path = tokenizer or tokenizer_path("word_bpe_49k.json")
     rows = docs.selectExpr(f"cast(`{id_col}` as bigint) as doc_id", f"cast(`{text_col}` as string) as text")
-    return rows.mapInArrow(_packed(path, tuple(sorted(tiers)), end_id, block_tokens, step_tokens), PIECES)
+    return rows.mapInArrow(lean(_packed(path, tuple(sorted(tiers)), end_id, block_tokens, step_tokens), encoders=True), PIECES)

@@ -2,12 +2,16 @@
 
 from __future__ import annotations
 
+import ctypes
 import tempfile
 import uuid
 
+import pyarrow as pa
 from pyspark.sql import Column, DataFrame, SparkSession
 from pyspark.sql import functions as F
 
+from .tokens import drop_encoders
+
 BATCH_BYTES = 8 << 20
 UPPER = "ABCDEFGHIJKLMNOPQRSTUVWXYZ"
 
@@ -46,6 +50,33 @@ def stored(df: DataFrame, label: str) -> DataFrame:
     return spark.read.schema(df.schema).parquet(path)
 
 
+def release_memory() -> None:
+    """Give the pages that this Python process has freed back to the system (a reused worker would keep its peak for good)."""
+    pa.default_memory_pool().release_unused()
+    trim = getattr(ctypes.CDLL(None), "malloc_trim", None)
+    if trim:
+        trim(0)
+
+
+def lean(run, encoders: bool = False):
+    """``run`` (Arrow batches to Arrow batches) in a worker that first drops what other operators left there and last what it freed.
+
+    Spark hands the same Python workers to one operator after the other; token
+    encoders with their caches stay only where ``encoders`` are used.
+    """
+
+    def lean_run(batches):
+        if not encoders:
+            drop_encoders()
+            release_memory()
+        try:
+            yield from run(batches)
+        finally:
+            release_memory()
+
+    return lean_run
+
+
 def texts_of(column, rows: int = 500):
     """The Python strings of an Arrow column, a few rows at a time (a batch of long texts is never held twice)."""
     for a in range(0, len(column), rows):

@@ -31,7 +31,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored, texts_of
+from .shared import lean, release_memory, stored, texts_of
 
 TRIGGER = 24
 SLICE_BYTES = 1_000_000
@@ -331,19 +331,19 @@ def repeated_spans(docs: DataFrame, length: int = 100, id_col: str = "doc_id", t
         raise ValueError(f"length must be {TRIGGER + 1} to {127 + TRIGGER}")
     rows = _keyed(docs, id_col, text_col).where("__id is not null and octet_length(__text) >= " + str(length))
     rows = rows.select("__id", "__version", "__text")
-    parsed = rows.mapInArrow(_parse(length), "h bigint, c bigint, doc_id bigint, place bigint")
+    parsed = rows.mapInArrow(lean(_parse(length)), "h bigint, c bigint, doc_id bigint, place bigint")
     ordered = parsed.repartition("h").sortWithinPartitions("h", "c", "doc_id", "place")
-    settled = stored(ordered.mapInArrow(_settle, "h bigint, doc_id bigint, place bigint, kind int"), "suffix-settled")
+    settled = stored(ordered.mapInArrow(lean(_settle), "h bigint, doc_id bigint, place bigint, kind int"), "suffix-settled")
 
     mixed = settled.where("kind = 1").drop("kind")
     hot = mixed.groupBy("h").agg(F.count("*").alias("n")).where(F.col("n") > HOT_ROWS).select("h", F.lit(True).alias("hot"))
     refs = mixed.join(hot, "h", "left").withColumn("hot", F.coalesce("hot", F.lit(False)))
     refs = refs.groupBy("doc_id", F.shiftright("place", 46).cast("int").alias("version")).agg(F.collect_list(F.struct("h", "place", "hot")).alias("refs"))
     texts = _only(rows.select(F.col("__id").alias("doc_id"), F.col("__version").alias("version"), F.col("__text").alias("text")), mixed.select("doc_id").distinct(), "left_semi")
-    held = texts.join(refs, ["doc_id", "version"]).select("doc_id", "text", "refs").mapInArrow(_cut_phrases(length), "h bigint, doc_id bigint, place bigint, hot boolean, data binary")
+    held = texts.join(refs, ["doc_id", "version"]).select("doc_id", "text", "refs").mapInArrow(lean(_cut_phrases(length)), "h bigint, doc_id bigint, place bigint, hot boolean, data binary")
     spread = F.when(F.col("hot"), F.xxhash64("doc_id")).otherwise(F.lit(0))
     held = held.withColumn("spread", spread).repartition("h", "spread").sortWithinPartitions("h", "spread", "doc_id", "place").select("h", "doc_id", "place", "hot", "data")
-    windows = stored(held.mapInArrow(_equal_windows(length), "key bigint, key2 bigint, doc_id bigint, version bigint, span bigint, kind int"), "suffix-windows")
+    windows = stored(held.mapInArrow(lean(_equal_windows(length)), "key bigint, key2 bigint, doc_id bigint, version bigint, span bigint, kind int"), "suffix-windows")
 
     still = windows.where("kind = 1")
     firsts = still.groupBy("key", "key2").agg(F.min(F.struct("doc_id", "span")).alias("first"))
@@ -400,6 +400,7 @@ def cut_text(text: Column, spans: Column, length: int = 100) -> Column:
 
     @F.pandas_udf("string")
     def cut(batches: Iterator[tuple[pd.Series, pd.Series]]) -> Iterator[pd.Series]:
+        release_memory()
         for texts, lists in batches:
             out = []
             for t, s in zip(texts, lists):

@@ -42,6 +42,13 @@ def worker_encoder(path: str) -> "ChunkEncoder":
     return kept["encoder", path]
 
 
+def drop_encoders() -> None:
+    """Forget the encoders of this worker process and their caches."""
+    kept = worker_state()
+    for key in [k for k in kept if k[0] == "encoder"]:
+        del kept[key]
+
+
 class ChunkEncoder:
     """Exact ids of ``Tokenizer.encode(text, add_special_tokens=False)`` for a tokenizer that drops white space."""
 

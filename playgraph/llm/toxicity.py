@@ -21,7 +21,7 @@ import pyarrow as pa
 from pyspark.sql import Column, DataFrame
 from pyspark.sql import functions as F
 
-from .shared import stored
+from .shared import lean, release_memory, stored
 
 SPACE = 1 << 26
 #: Least likelihood ratio of a term, and the number of frequent terms looked at in pairs.
@@ -194,7 +194,7 @@ def train_toxicity(docs: DataFrame, labels: DataFrame, sample_rows: int = 16_000
             found = [x.tobytes() for x in _distinct_terms(b.column(2).to_pylist(), cache)]
             yield pa.RecordBatch.from_arrays([b.column(0).cast(pa.int64()), b.column(1).cast(pa.int32()), pa.array(found, pa.binary())], ["id", "toxic", "terms"])
 
-    found = stored(rows.mapInArrow(terms, "id bigint, toxic int, terms binary"), "toxicity-sample")
+    found = stored(rows.mapInArrow(lean(terms), "id bigint, toxic int, terms binary"), "toxicity-sample")
     keep = _telling_terms(found)
 
     def known(batches):
@@ -223,7 +223,7 @@ def _telling_terms(found: DataFrame, screen: float = SCREEN, often: int = OFTEN)
             k = np.bincount(at, np.repeat(b.column(1).to_numpy().astype(float), sizes), len(terms))
             yield pa.RecordBatch.from_arrays([pa.array(terms, pa.int32()), pa.array(np.bincount(at, minlength=len(terms)).astype(np.int64)), pa.array(k.astype(np.int64))], ["term", "n", "k"])
 
-    counts = stored(found.mapInArrow(count, "term int, n bigint, k bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "toxicity-counts")
+    counts = stored(found.mapInArrow(lean(count), "term int, n bigint, k bigint").groupBy("term").agg(F.sum("n").alias("n"), F.sum("k").alias("k")), "toxicity-counts")
 
     def part(x, share):
         return F.when(x > 0, x * F.log(x / (F.col("n") * share))).otherwise(0.0)
@@ -247,5 +247,7 @@ def toxicity_score(fm: FactorizationMachine, text: Column) -> Column:
             rows = np.repeat(np.arange(len(found)), [len(x) for x in found])
             cols = np.concatenate(found).astype(np.int64) if found else np.zeros(0, np.int64)
             yield pd.Series(_sigmoid(model.raw(rows, cols, len(found))[0]))
+        del lookup, cache
+        release_memory()
 
     return score(text.cast("string"))
