@@ -98,32 +98,31 @@ class ChunkEncoder:
                 self.cache[word] = data[a:b]
                 a = b
 
-    def _learn(self, chunks: list[str]) -> None:
-        plain, other, known = {}, set(), self.cache
+    def _learn(self, chunks: set[str]) -> None:
+        parts, new, other, known = [], set(), set(), self.cache
         for c in chunks:
+            if self.words and c.isalpha() and c.isascii() and c.islower():
+                new.add(c)
+                continue
             word = c.strip(EDGE) if self.words else ""
             if word.isalpha() and (word.islower() and word.isascii() or word == word.lower() and unicodedata.is_normalized("NFC", word)):
-                if word is c or len(word) == len(c):
-                    plain[c] = ("", word, "")
-                    continue
-                at = c.find(word)
-                head, tail = c[:at], c[at + len(word) :]
-                plain[c] = (head, word, tail)
-                if head:
-                    other.add(head)
-                if tail:
-                    other.add(tail)
+                if word not in known:
+                    new.add(word)
+                if len(word) < len(c):
+                    head, _, tail = c.partition(word)
+                    parts.append((c, head, word, tail))
+                    if head:
+                        other.add(head)
+                    if tail:
+                        other.add(tail)
             else:
                 other.add(c)
-        new = {w for _, w, _ in plain.values() if w not in known}
         if new:
-            self._learn_words(sorted(new))
-        for c in other:
-            if c not in known:
-                known[c] = self._ids(c)
-        for c, (head, word, tail) in plain.items():
-            if head or tail:
-                known[c] = (known[head] if head else b"") + known[word] + (known[tail] if tail else b"")
+            self._learn_words(list(new))
+        for c in other.difference(known):
+            known[c] = self._ids(c)
+        for c, head, word, tail in parts:
+            known[c] = (known[head] if head else b"") + known[word] + (known[tail] if tail else b"")
 
     def _slice(self, texts: list[str]) -> list[bytes]:
         whole = [not self.by_chunk or any(m in t for m in self.marks) for t in texts]
@@ -133,8 +132,8 @@ class ChunkEncoder:
             if x:
                 need.update(x)
         if len(self.cache) > self.cache_chunks:
-            self.cache = {c: self.cache[c] for c in need if c in self.cache}
-        self._learn([c for c in need if c not in self.cache])
+            self.cache = {c: self.cache[c] for c in need.intersection(self.cache)}
+        self._learn(need.difference(self.cache))
         get = self.cache.__getitem__
         return [self._ids(t) if x is None else b"".join(map(get, x)) for t, x in zip(texts, lists)]
 
