@@ -40,7 +40,9 @@ def dense_position(
     and unique within its group (a primary key of the group's rows).
 
     One shuffle of the data on (group, bucket); ``df`` is read a second time
-    for the bucket counts, which are partial sums before they move.
+    for the bucket counts, which are partial sums before they move.  The counts
+    meet the rows where the window left them, sorted; estimates from compressed
+    files must not lead to a broadcast of the ranked rows.
     """
     rn, bucket, span = "__pg_rn", "__pg_bucket", "__pg_span"
     before = Window.unboundedPreceding, -1
@@ -56,7 +58,7 @@ def dense_position(
     prefix = counts.withColumn("__pg_in", F.coalesce(in_span, F.lit(0))).join(starts, [*group_cols, span])
     prefix = prefix.withColumn("__pg_before", F.col("__pg_earlier") + F.col("__pg_in")).drop("__pg_n", span, "__pg_earlier", "__pg_in")
     return (
-        ranked.join(prefix, [*group_cols, bucket])
+        ranked.join(prefix.hint("merge"), [*group_cols, bucket])
         .withColumn(out, (F.col("__pg_before") + F.col(rn) - 1).cast("int"))
         .drop(bucket, rn, "__pg_before")
     )

@@ -125,7 +125,7 @@ def recommend_empty(spark, sf_dir):
     result is empty but keeps the recommendation schema."""
     c = _c(spark, sf_dir)
     top = rec.top_games_per_owner(c.library).select(F.col("owner_id").alias("friend_id"), "appid")
-    friends_games = c.friend_edge.filter(F.col("pos") < 10).join(top, "friend_id").select("account_id", "appid")
+    friends_games = c.friend_edge.filter(F.col("pos") < 10).join(top.hint("merge"), "friend_id").select("account_id", "appid")
     return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned.unionByName(friends_games))
 
 
