@@ -42,7 +42,8 @@ def dense_position(
     One shuffle of the data on (group, bucket); ``df`` is read a second time
     for the bucket counts, which are partial sums before they move.  The counts
     meet the rows where the window left them, sorted; estimates from compressed
-    files must not lead to a broadcast of the ranked rows.
+    files must not lead to a broadcast of the ranked rows, nor the groups'
+    measured size to one of the span starts: they grow with the groups.
     """
     rn, bucket, span = "__pg_rn", "__pg_bucket", "__pg_span"
     before = Window.unboundedPreceding, -1
@@ -55,7 +56,7 @@ def dense_position(
     earlier = F.sum("__pg_n").over(Window.partitionBy(*group_cols).orderBy(span).rowsBetween(*before))
     whole = [F.sum("__pg_n").over(Window.partitionBy(*group_cols)).alias(size)] if size else []
     starts = spans.select(*group_cols, span, F.coalesce(earlier, F.lit(0)).alias("__pg_earlier"), *whole)
-    prefix = counts.withColumn("__pg_in", F.coalesce(in_span, F.lit(0))).join(starts, [*group_cols, span])
+    prefix = counts.withColumn("__pg_in", F.coalesce(in_span, F.lit(0))).join(starts.hint("merge"), [*group_cols, span])
     prefix = prefix.withColumn("__pg_before", F.col("__pg_earlier") + F.col("__pg_in")).drop("__pg_n", span, "__pg_earlier", "__pg_in")
     return (
         ranked.join(prefix.hint("merge"), [*group_cols, bucket])

@@ -132,7 +132,8 @@ def _anti_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
 
     Both sides are hashed on (account_id, app keys), which spreads even an
     account owning a third of all rows over many tasks, and the result stays
-    clustered on those columns for a following aggregate.
+    clustered on those columns for a following aggregate.  Owned games grow
+    with the orders, so they are never broadcast.
     """
     o = _with_app_keys(owned.select("account_id", "appid")).select(
         F.col("account_id").alias("__own_acc"),
@@ -144,7 +145,7 @@ def _anti_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
         & (F.col(APP_NULL) == F.col("__own_null"))
         & (F.col(APP_KEY) == F.col("__own_key"))
     )
-    return df.join(o, cond, "left_anti")
+    return df.join(o.hint("merge"), cond, "left_anti")
 
 
 def exclude_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
