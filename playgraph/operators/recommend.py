@@ -12,17 +12,20 @@ Scale notes:
 * ``top_games_per_owner`` is computed once per owner, not per edge; Spark
   plans it with a partial ``WindowGroupLimit`` before the shuffle, so even an
   account owning a third of all rows ships only ≤ 10 rows per map task.
-* Candidates are bounded per account (K × 10), so the aggregate and the final
-  window never see a large group; the aggregate runs partial + final as a
-  hash aggregate (the encounter order is one bigint), and a sweep over
-  several friend counts is one conditional aggregation, not one per count.
+* Candidates are bounded per account (K × 10), so they are hashed on the
+  account alone and cross the network once, as lists: one row per friend with
+  its games.  Exclusion, sums (a hash aggregate; the encounter order is one
+  bigint) and ranks then need no exchange, and nothing is cut or multiplied
+  before it moves.  A sweep over several friend counts is one conditional
+  aggregation, not one per count; its partitions grow with the friends.
 * Owned games are removed before the aggregate (exclusion depends only on
-  (account, appid), so the order does not change the answer).  The anti-join
-  and the aggregate share one hash partitioning on (account, null-safe app
-  key): the candidates cross the network once, and the owned side, hashed
-  on (account, appid), spreads even a huge library over many tasks.
+  (account, appid), so the order does not change the answer), by an anti-join
+  with one set per account.  A library of more than ``LARGE_LIBRARY`` games is
+  first cut to the account's candidates, hashed on (account, appid), so that
+  even an account owning a third of all rows gives a small set.
 * Candidates carry the number of a game's name (``number_names``); the ranked
-  rows get the name back.  Accounts, games and orders grow with the input and
+  rows get the name back.  Where every candidate is returned, the names travel
+  with the lists instead.  Accounts, games and orders grow with the input and
   compress well in Parquet, so joins with them are never broadcast.
 * A friend that sits in a third of all friend lists makes the edge side of
   the ``friend_id`` join skewed.  Players and their top games meet first (≤ 10
@@ -116,6 +119,33 @@ def _of_friends(friend_edge: DataFrame, top: DataFrame, k: int) -> DataFrame:
     )
 
 
+LISTED = ("rank_in_friend", "appid", "name", "playtime")
+
+
+def friend_lists(top: DataFrame) -> DataFrame:
+    """friend_id and its games: a list per column of ``LISTED``, in rank order.
+
+    One row per friend: what the candidates repeat is the list, not every game's row.
+    """
+    games = top.groupBy("friend_id").agg(F.sort_array(F.collect_list(F.struct(*LISTED))).alias("games"))
+    return games.select(own_exchange("friend_id").alias("friend_id"), *[F.col("games")[c].alias(c) for c in LISTED])
+
+
+def _each_game(lists: DataFrame) -> DataFrame:
+    """A row per game from rows of ``LISTED`` lists."""
+    others = [c for c in lists.columns if c not in LISTED]
+    rows = lists.select(*others, F.posexplode("appid").alias("__i", "__appid"), *[c for c in LISTED if c != "appid"])
+    return rows.select(*others, *[F.col("__appid").alias(c) if c == "appid" else F.get(c, F.col("__i")).alias(c) for c in LISTED])
+
+
+def _by_account(df: DataFrame, k: int) -> DataFrame:
+    """``df`` hashed on the account; the candidates of an account grow with ``k``, and the partitions alike."""
+    times = -(-k // S.FRIENDS_USED)
+    if times == 1:
+        return df.repartition("account_id")
+    return df.repartition(times * int(df.sparkSession.conf.get("spark.sql.shuffle.partitions")), "account_id")
+
+
 APP_NULL, APP_KEY = "__app_null", "__app_key"
 
 
@@ -157,6 +187,39 @@ def exclude_owned(df: DataFrame, owned: DataFrame) -> DataFrame:
     return _anti_owned(_with_app_keys(df), owned).drop(APP_NULL, APP_KEY)
 
 
+LARGE_LIBRARY = 4096  # owned games from which an account's are cut to its candidates before they meet in one task
+
+
+def owned_within_reach(owned: DataFrame, friend_edge: DataFrame, top: DataFrame, k: int) -> DataFrame:
+    """account_id, appid: ``owned``, of accounts with large libraries only what is among their candidates.
+
+    Accounts with large libraries are counted and stored first, their games in
+    reach too; both are few.  Without any, ``owned`` is left as it is.
+    """
+    pairs = owned.select("account_id", "appid").filter(F.col("account_id").isNotNull())
+    counted = pairs.groupBy("account_id").agg(F.count(F.lit(1)).alias("n")).filter(F.col("n") > LARGE_LIBRARY)
+    large = materialize(counted.select("account_id"), "large_libraries")
+    if large.isEmpty():
+        return pairs
+    theirs = _with_app_keys(_of_friends(friend_edge.join(large, "account_id", "left_semi"), top, k))
+    mine = _with_app_keys(pairs.join(large, "account_id", "left_semi"))
+    reached = mine.join(theirs.hint("merge"), ["account_id", APP_NULL, APP_KEY], "left_semi").select("account_id", "appid")
+    return pairs.join(large, "account_id", "left_anti").unionByName(materialize(reached.distinct(), "owned_in_reach"))
+
+
+def _not_owned(df: DataFrame, owned: DataFrame, k: int) -> DataFrame:
+    """``df`` (hashed by ``_by_account``) minus owned (account_id, appid), in the task that holds the account.
+
+    An account's owned games, bounded by ``owned_within_reach``, are one set
+    with a flag for a null appid.
+    """
+    sets = _by_account(owned, k).groupBy("account_id").agg(
+        F.collect_set("appid").alias("__own_apps"), F.max(F.isnull("appid")).alias("__own_null")
+    ).withColumnRenamed("account_id", "__own_acc")
+    own = F.when(F.isnull("appid"), F.col("__own_null")).otherwise(F.array_contains("__own_apps", F.col("appid")))
+    return df.join(sets.hint("shuffle_hash"), (F.col("account_id") == F.col("__own_acc")) & own, "left_anti")
+
+
 def number_names(games: DataFrame) -> DataFrame:
     """names_null, names_key, names_name, name_no: each name of an appid and its number among that appid's names.
 
@@ -179,10 +242,18 @@ def same_name(games: DataFrame, names: DataFrame) -> Column:
     return _same_app(names) & games["name"].eqNullSafe(names["names_name"])
 
 
+def with_numbers(top: DataFrame, names: DataFrame) -> DataFrame:
+    """``top`` with the names' numbers in place of the names."""
+    return _with_app_keys(top).join(names.hint("merge"), same_name(top, names)).select(
+        "friend_id", "rank_in_friend", "appid", F.col("name_no").alias("name"), "playtime"
+    )
+
+
 def with_names(ranked: DataFrame, names: DataFrame) -> DataFrame:
-    """``ranked`` with the name itself in place of its number."""
-    numbered = _with_app_keys(ranked.withColumnRenamed("name", "__name_no"))
-    return numbered.join(names.hint("merge"), _same_app(names) & (F.col("__name_no") == names["name_no"])).withColumn("name", F.col("names_name"))
+    """``ranked`` with the name itself in place of its number; the appid moves as its keys only."""
+    keyed = _with_app_keys(ranked.withColumnRenamed("name", "__name_no")).drop("appid")
+    named = keyed.join(names.hint("merge"), _same_app(names) & (F.col("__name_no") == names["name_no"]))
+    return named.withColumn("name", F.col("names_name")).withColumn("appid", F.when(~F.col(APP_NULL), F.col(APP_KEY)))
 
 
 ORDER_SHIFT = 1 << 32
@@ -292,6 +363,16 @@ def rank_per_account(agg: DataFrame, keys: Sequence[str], top_n: int | None) ->
     return ranked.select(*keys, "rank", "appid", "name", "total_playtime")
 
 
+def _kept(friend_edge: DataFrame, top: DataFrame, named: DataFrame, owned: DataFrame, k: int) -> DataFrame:
+    """account_id, friend_pos and ``LISTED``, hashed on the account: the candidates from ``named`` that are not owned.
+
+    Exclusion depends on (account, appid) only, so removing owned games before
+    summing gives the same groups, and the aggregate stays in the task.
+    """
+    lists = _by_account(_of_friends(friend_edge, friend_lists(named), k).drop("friend_id"), k)
+    return _not_owned(_each_game(lists), owned_within_reach(owned, friend_edge, top, k), k)
+
+
 def recommend(
     library: DataFrame,
     friend_edge: DataFrame,
@@ -321,19 +402,13 @@ def recommend(
         library = library.join(friend_ids, "account_id", "left_semi")
         owned = owned.filter(F.col("account_id") == F.lit(account_id))
     top = materialize(usable_top_games(profile, library), "top_games")
-    names = number_names(top)
-    numbered = _with_app_keys(top).join(names.hint("merge"), same_name(top, names)).select(
-        "friend_id", "rank_in_friend", "appid", F.col("name_no").alias("name"), "playtime"
-    )
-    cands = _with_app_keys(_of_friends(friend_edge, numbered, counts[-1]))
-    # Exclusion depends on (account, appid) only, so removing owned games
-    # before summing gives the same groups; done first, the candidates are
-    # shuffled once, and the aggregate reuses the anti-join's partitioning.
-    kept = _anti_owned(cands, owned)
-    wide = aggregate_wide(kept, mode, counts)
+    named = top if top_n is None else with_numbers(top, names := number_names(top))
+    wide = aggregate_wide(_kept(friend_edge, top, named, owned, counts[-1]), mode, counts)
     keys = ["account_id", "friends"] if sweep else ["account_id"]
     ranked = rank_per_account(to_long(wide, mode, counts, bool(sweep)), keys, top_n)
-    return with_names(ranked, names).select(*keys, "rank", "appid", "name", "total_playtime")
+    if top_n is not None:
+        ranked = with_names(ranked, names)
+    return ranked.select(*keys, "rank", "appid", "name", "total_playtime")
 
 
 def recommend_sweep(
@@ -355,8 +430,8 @@ def both_sweeps(library: DataFrame, friend_edge: DataFrame, profile: DataFrame,
     ``store(df, name)`` writes a table and returns it read back.
     """
     counts = _counts(0, friend_counts)
-    cands = _with_app_keys(candidate_games(friend_edge, profile, library, counts[-1]))
-    kept = _anti_owned(cands, owned)
+    top = store(usable_top_games(profile, library), "sweep_top_games")
+    kept = _kept(friend_edge, top, top, owned, counts[-1])
     largest, order, aggs = counts[-1], encounter_order(), []
     for n in counts:
         inside = F.lit(True) if n == largest else F.col("friend_pos") < n
@@ -365,7 +440,7 @@ def both_sweeps(library: DataFrame, friend_edge: DataFrame, profile: DataFrame,
             F.min(F.when(inside, order)).alias(f"__f{n}"),
             F.max(F.when(inside, order)).alias(f"__l{n}"),
         ]
-    wide = store(kept.groupBy("account_id", APP_NULL, APP_KEY, "appid", "name").agg(*aggs), "sweep_totals")
+    wide = store(kept.groupBy("account_id", "appid", "name").agg(*aggs), "sweep_totals")
     modes = {"recommend_sweep": (BY_NAME, wide), "recommend_sweep_by_appid": (BY_APPID, merge_names(wide, counts))}
     return {
         name: rank_per_account(to_long(table, mode, counts, True), ["account_id", "friends"], top_n)
