@@ -203,9 +203,10 @@ def library_explode(spark, sf_dir):
 def recommend_from_documents(spark, sf_dir):
     """Recommendations computed from JSON documents: every profile, library
     and friend list is rendered to its document form, parsed back with the
-    explicit document schemas and exploded, then recommended on."""
+    explicit document schemas and exploded, then recommended on.  The libraries
+    are read for the top games and the owned ones; parsed, they are stored once."""
     c = _c(spark, sf_dir)
-    lib = documents.library_from_pages(documents.library_documents(c.library))
+    lib = materialize(documents.library_from_pages(documents.library_documents(c.library)), "parsed_library")
     edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge))
     prof = documents.profile_from_documents(documents.parse_payload(documents.profile_documents(c.profile), "user"))
     return rec.recommend(lib, edges, prof, k=10)
@@ -223,7 +224,7 @@ def recommend_from_damaged_documents(spark, sf_dir):
         return docs.withColumn("payload", F.when(where, F.lit('{"response": {broken')).otherwise(F.col("payload")))
 
     lib_docs = damaged(documents.library_documents(c.library), F.pmod(acc, F.lit(10)) == 3)
-    lib = documents.library_from_pages(lib_docs)
+    lib = materialize(documents.library_from_pages(lib_docs), "parsed_library")
     bad_id = F.when(F.pmod("pos", F.lit(7)) == 3, F.lit("99999999999999999999")).otherwise(F.col("friend_id").cast("string"))
     edges = documents.friend_edge_from_pages(documents.friend_documents(c.friend_edge.withColumn("friend_id", bad_id)))
     prof_docs = damaged(documents.profile_documents(c.profile), F.pmod(acc, F.lit(6)) == 0)

@@ -175,10 +175,12 @@ def _paged(df: DataFrame, item: Column, page_size: int) -> DataFrame:
 
     A page holds at most ``page_size`` entries, so neither a document nor a
     ``collect_list`` group grows with an account's list; the position is
-    ``page * page_size`` + the index inside the page.
+    ``page * page_size`` + the index inside the page.  The flat rows move to
+    their page first: lists of structs from many tasks are larger than the rows.
     """
     page = F.floor(F.col("pos") / F.lit(page_size)).cast("int")
-    grouped = df.groupBy("account_id", page.alias("page")).agg(
+    dealt = df.withColumn("page", page).repartition("account_id", "page")
+    grouped = dealt.groupBy("account_id", "page").agg(
         F.array_sort(F.collect_list(F.struct(F.col("pos").alias("p"), item.alias("v")))).alias("items")
     )
     return grouped.select("account_id", "page", F.transform("items", lambda x: x["v"]).alias("items"))
