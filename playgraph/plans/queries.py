@@ -122,11 +122,18 @@ def recommend_hours(spark, sf_dir):
 
 def recommend_empty(spark, sf_dir):
     """Every account owns all that its first 10 friends would contribute: the
-    result is empty but keeps the recommendation schema."""
+    result is empty but keeps the recommendation schema.
+
+    What friends contribute is needed for the owned games and for the
+    recommendations: the first edges and the top games are stored once, and
+    the top games of a library of top games are these."""
     c = _c(spark, sf_dir)
-    top = rec.top_games_per_owner(c.library).select(F.col("owner_id").alias("friend_id"), "appid")
-    friends_games = c.friend_edge.filter(F.col("pos") < 10).join(top.hint("merge"), "friend_id").select("account_id", "appid")
-    return rec.recommend(c.library, c.friend_edge, c.profile, k=10, owned=c.owned.unionByName(friends_games))
+    edges = materialize(c.friend_edge.filter(F.col("pos") < 10), "first_friends")
+    best = rec.top_games_per_owner(c.library).select(F.col("owner_id").alias("account_id"), "pos", "appid", "name", F.col("playtime").alias("playtime_min"))
+    best = materialize(best, "top_games_of_all")
+    top = rec.top_games_per_owner(best).select(F.col("owner_id").alias("friend_id"), "appid")
+    friends_games = edges.join(top.hint("merge"), "friend_id").select("account_id", "appid")
+    return rec.recommend(best, edges, c.profile, k=10, owned=c.owned.unionByName(friends_games))
 
 
 def top10_per_friend(spark, sf_dir):
